@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import words
+from quire.scratch import broadcast_if_small
 
 
 def distinct_words(text) -> Column:
@@ -38,9 +39,13 @@ def answer_overlap(answers: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def flag_rate(hits: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Per question: labelled hits, share of good ones, share of flagged ones."""
+    """Per question: labelled hits, share of good ones, share of flagged ones.
+
+    ``hits`` is a materialised result; only the labels of its rows are joined.
+    """
+    theirs = labels.join(broadcast_if_small(hits.select(key).distinct()), key, "left_semi")
     return (
-        hits.join(labels, key, "left")
+        hits.join(theirs, key, "left")
         .groupBy("question_id")
         .agg(
             F.count("*").alias("hits"),

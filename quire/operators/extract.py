@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.contracts import DOCUMENT_MARKDOWN, EXTRACTION
+from quire.contracts import DOCUMENT_MARKDOWN, DOCUMENT_STORE, EXTRACTION
 from quire.functions.markup import html_to_markdown
 from quire.functions.sizes import estimated_pages
 
@@ -26,26 +26,29 @@ def html_text(content: Column) -> Column:
     return html_to_markdown(F.decode(content, "UTF-8"))
 
 
-def extraction(
+def extract(
+    store: DataFrame,
     extractor: Callable[[Column], Column] = plain_text,
-    content: str = "binary_content",
-    ext: str = "file_extension",
     supported: tuple[str, ...] = (".pdf",),
     seconds: Column | None = None,
-) -> Column:
-    """Extraction struct built from JVM expressions; errors become data."""
-    body = F.col(content)
-    known = F.lower(F.col(ext)).isin(*supported)
+) -> DataFrame:
+    """Markdown table from JVM expressions; errors become data.
+
+    The text is a column of its own before the figures are taken from it, so
+    the extractor runs once per row.
+    """
+    body, ext = F.col("binary_content"), F.col("file_extension")
+    known = F.lower(ext).isin(*supported)
     good = known & body.isNotNull()
-    text = F.when(good, extractor(body))
-    length = F.coalesce(F.length(text), F.lit(0)).cast("long")
-    error = F.when(~known, F.concat(F.lit(UNSUPPORTED), F.col(ext))).when(
-        body.isNull(), F.lit(NO_BODY)
-    )
-    return F.struct(
+    staged = store.withColumn("_text", F.when(good, extractor(body)))
+    length = F.coalesce(F.length("_text"), F.lit(0)).cast("long")
+    return staged.select(
+        *[c for c in DOCUMENT_STORE.fieldNames() if c != "binary_content"],
         good.alias("extraction_success"),
-        text.alias("markdown_content"),
-        error.alias("error_message"),
+        F.col("_text").alias("markdown_content"),
+        F.when(~known, F.concat(F.lit(UNSUPPORTED), ext))
+        .when(body.isNull(), F.lit(NO_BODY))
+        .alias("error_message"),
         (F.lit(0.0) if seconds is None else seconds).cast("double").alias("processing_time_seconds"),
         length.alias("character_count"),
         estimated_pages(length).alias("page_count"),
@@ -100,8 +103,8 @@ def extraction_udf(parse: Callable[[bytes, str], str], supported: tuple[str, ...
     return F.pandas_udf(run, EXTRACTION)
 
 
-def extract_documents(store: DataFrame, result: Column) -> DataFrame:
-    """Store columns without the body, plus the flattened extraction."""
+def flatten_extraction(store: DataFrame, result: Column) -> DataFrame:
+    """Store columns without the body, plus the fields of an extraction struct."""
     kept = [c for c in store.columns if c != "binary_content"]
     return (
         store.select("*", result.alias("_extraction"))
@@ -113,7 +116,7 @@ def extract_documents(store: DataFrame, result: Column) -> DataFrame:
 def extract_with(store: DataFrame, parse: Callable[[bytes, str], str]) -> DataFrame:
     """Extraction through a caller's Python parser."""
     udf = extraction_udf(parse)
-    return extract_documents(
+    return flatten_extraction(
         store, udf(F.col("binary_content"), F.col("file_name"), F.col("file_extension"))
     )
 

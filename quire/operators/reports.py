@@ -24,9 +24,13 @@ def total_size(df: DataFrame, size: str = "file_size_bytes") -> DataFrame:
     return df.agg(total.alias("total_bytes"), F.round(megabytes(total), 2).alias("total_mb"))
 
 
-def collection_summary(store: DataFrame) -> DataFrame:
+def collection_summary(store: DataFrame, present: Column | None = None) -> DataFrame:
+    """Counts, sizes and dates per extension over the files with a body.
+
+    A stored flag given as ``present`` spares reading the bodies.
+    """
     return (
-        store.filter(F.col("binary_content").isNotNull())
+        store.filter(F.col("binary_content").isNotNull() if present is None else present)
         .groupBy("file_extension")
         .agg(
             F.count("*").alias("file_count"),

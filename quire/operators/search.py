@@ -7,8 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions.columns import as_col
+from quire.functions.predicates import has_text
 from quire.functions.text import base_name, contains_any, words
-from quire.operators.similarity import top_k
+from quire.operators.similarity import top_k, with_columns
 from quire.scratch import checkpoint
 
 # Words that make a question temporal, and the search parameters
@@ -78,15 +79,14 @@ def first_stage(summaries: DataFrame, questions: DataFrame) -> DataFrame:
     the second stage and the fallback both read it.
     """
     most = max(PLAIN["search_k"], TEMPORAL["search_k"])
-    hits = (
-        top_k(summaries.filter(F.col("file_name").isNotNull() & (F.col("file_name") != "")),
-              questions, most, group=None)
+    hits = checkpoint(
+        top_k(summaries, questions, most)
         .join(questions.select("question_id", "search_k"), "question_id")
         .filter(F.col("rank") <= F.col("search_k"))
         .select("question_id", "id", "score")
     )
-    named = hits.join(summaries.select("id", "file_name"), "id")
-    return checkpoint(relevant_files(named))
+    named = with_columns(hits, summaries, "id", ["file_name"])
+    return checkpoint(relevant_files(named.filter(has_text("file_name"))))
 
 
 def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
             pages,
             questions.join(files.select("question_id").distinct(), "question_id", "left_semi"),
             most,
-            scope=(scoped.select("question_id", "file_name"), "source_filename"),
+            scope=[(scoped.select("question_id", "file_name"), "source_filename")],
             group="source_filename",
         )
         .withColumnRenamed("source_filename", "file_name")
@@ -133,9 +133,9 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
     ).filter(F.col("position") <= F.col("max_chunks"))
 
     rest = questions.join(files, "question_id", "left_anti")
-    wide = top_k(pages, rest, FALLBACK_K)
+    wide = checkpoint(top_k(pages, rest, FALLBACK_K))
     unscoped = (
-        wide.join(pages.select("id", F.col("source_filename").alias("file_name")), "id")
+        with_columns(wide, pages.withColumnRenamed("source_filename", "file_name"), "id", ["file_name"])
         .select(
             "question_id",
             F.lit("fallback").alias("mode"),
@@ -154,7 +154,7 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
 def render_hits(questions: DataFrame, hits: DataFrame, texts: DataFrame) -> DataFrame:
     """One text block per question: header, file list, numbered chunks.
 
-    ``texts`` has id and chunk_text. A question has at most ten chunks, so the
+    ``hits`` is a materialised result, ``texts`` has id and chunk_text. A question has at most ten chunks, so the
     lists stay short. A question without chunks gets a message.
     """
     size = F.when(F.col("mode") == "fallback", F.lit(FALLBACK_PREVIEW)).otherwise(F.lit(CHUNK_PREVIEW))
@@ -168,7 +168,7 @@ def render_hits(questions: DataFrame, hits: DataFrame, texts: DataFrame) -> Data
         F.lit("..."),
     )
     blocks = (
-        hits.join(texts, "id")
+        with_columns(hits, texts, "id", ["chunk_text"])
         .select("question_id", "mode", "n_chunks", "n_files", "position", "file_name", line.alias("line"))
         .groupBy("question_id")
         .agg(

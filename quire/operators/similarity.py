@@ -28,7 +28,13 @@ from pyspark.sql import types as T
 
 from quire.functions.text import words
 from quire.functions.vectors import with_hashed_counts, with_unit
-from quire.scratch import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, bounded_rows, scratch_path
+from quire.scratch import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
+    bounded_rows,
+    broadcast_if_small,
+    scratch_path,
+)
 
 SCORE_DIGITS = 6
 # Scores computed at once by a task.
@@ -68,7 +74,7 @@ def top_k(
     vector: str = "vector",
     question: str = "question_id",
     question_vector: str = "vector",
-    scope: tuple[DataFrame, str] | None = None,
+    scope: list[tuple[DataFrame, str]] | None = None,
     group: str | None = None,
     block_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
@@ -76,8 +82,9 @@ def top_k(
 
     Returns question, [group,] id, score, rank. Equal scores are ranked by id.
 
-    ``scope`` is a pair of a frame (question, key) and the index column the key
-    belongs to: a question then sees only the rows with one of its keys.
+    ``scope`` lists pairs of a frame (question, key) and the index column the
+    key belongs to: a question then sees only the rows with one of its keys in
+    one of these columns.
     """
     asked = questions.select(question, F.col(question_vector).alias("_vector")).filter(
         F.col("_vector").isNotNull()
@@ -130,22 +137,7 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
     if group is not None:
         columns.append(F.col(group).alias("_group"))
     if scope is not None:
-        pairs, column = scope
-        placed = spark.createDataFrame(
-            [(key, i) for i, key in enumerate(keys)],
-            T.StructType([question_field, T.StructField("_at", T.IntegerType())]),
-        )
-        # One row per key; a list holds each question of the block once.
-        seen = (
-            pairs.select(F.col(name), F.col(pairs.columns[1]).alias("_key"))
-            .join(F.broadcast(placed), name)
-            .groupBy("_key")
-            .agg(F.collect_set("_at").alias("_scope"))
-        )
-        listed = bounded_rows(seen)
-        if listed is not None:  # a checked, small list of keys spares the index a shuffle
-            seen = F.broadcast(spark.createDataFrame(listed, seen.schema))
-        index = index.join(seen, index[column] == seen["_key"]).drop("_key")
+        index = _with_scope(index, question_field, keys, scope)
         columns.append(F.col("_scope"))
 
     kernel = _kernel(matrix, keys, k, group is not None, scope is not None, schema)
@@ -155,6 +147,35 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
     return local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k)
 
 
+def _with_scope(index, question_field, keys, scope) -> DataFrame:
+    """Index rows some question may see, with the positions of these questions.
+
+    A key maps to one list, so a row stays one row however many questions name
+    its key. The lists are checked to be few and then spare the index a shuffle.
+    """
+    spark, name = index.sparkSession, question_field.name
+    placed = spark.createDataFrame(
+        [(key, i) for i, key in enumerate(keys)],
+        T.StructType([question_field, T.StructField("_at", T.IntegerType())]),
+    )
+    lists = []
+    for n, (pairs, column) in enumerate(scope):
+        seen = (
+            pairs.select(F.col(name), F.col(pairs.columns[1]).alias("_key"))
+            .join(F.broadcast(placed), name)
+            .groupBy("_key")
+            .agg(F.collect_set("_at").alias(f"_seen_{n}"))
+        )
+        rows = bounded_rows(seen)
+        if rows is not None:
+            seen = F.broadcast(spark.createDataFrame(rows, seen.schema))
+        how = "inner" if len(scope) == 1 else "left"
+        index = index.join(seen, index[column] == seen["_key"], how).drop("_key")
+        lists.append(F.coalesce(F.col(f"_seen_{n}"), F.array().cast("array<int>")))
+    every = lists[0] if len(lists) == 1 else F.array_distinct(F.concat(*lists))
+    return index.withColumn("_scope", every).filter(F.size("_scope") > 0)
+
+
 def _kernel(matrix, keys, k, grouped, scoped, schema):
     """Arrow batch function that keeps the k best rows per question (and group)."""
     digits, cells = SCORE_DIGITS, CELLS
@@ -283,34 +304,25 @@ def approximate_top_k(
 ) -> DataFrame:
     """Top-k among the rows that share a hash bucket with the question.
 
-    A row meets the questions of its bucket as a list, so a bucket holding many
-    rows adds no rows; each table's best rows are merged in the end.
+    A row meets the questions of its buckets as one list, so a bucket holding
+    many rows adds no rows, and all hash tables are probed in one pass.
     """
     asked = questions.select(question, F.col(vector))
     scaled = with_unit(index.select(id_col, vector), vector, vector)
     asked = with_unit(asked, vector, vector)
     add = lsh_buckets(scaled, vector, bucket_length, tables, seed)
     hashed, probes = add(scaled), add(asked)
-    found = None
-    for i in range(tables):
-        pairs = probes.select(question, f"bucket_{i}")
-        hits = top_k(
-            hashed, asked, k, id_col, vector, question, vector, scope=(pairs, f"bucket_{i}")
-        )
-        found = hits if found is None else found.unionByName(hits)
-    order = W.partitionBy(question).orderBy(F.desc("score"), F.asc("id"))
-    return (
-        found.select(question, "id", "score")
-        .distinct()
-        .withColumn("rank", F.row_number().over(order).cast("long"))
-        .filter(F.col("rank") <= k)
-    )
+    scope = [(probes.select(question, f"bucket_{i}"), f"bucket_{i}") for i in range(tables)]
+    return top_k(hashed, asked, k, id_col, vector, question, vector, scope=scope)
 
 
 def with_columns(hits: DataFrame, index: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """Hits with further index columns; only the hit rows of the index pass."""
+    """Materialised hits with further index columns.
+
+    Few hits are sent to the index rows; the index is not shuffled for them.
+    """
     wanted = index.select(F.col(id_col).alias("id"), *columns)
-    return hits.join(wanted, "id")
+    return wanted.join(broadcast_if_small(hits), "id").select(*hits.columns, *columns)
 
 
 def within(
@@ -324,7 +336,7 @@ def within(
 ) -> DataFrame:
     """Top-k inside the document (or label) each question names."""
     pairs = questions.select(question, question_key)
-    return top_k(index, questions, k, question=question, scope=(pairs, key), **names)
+    return top_k(index, questions, k, question=question, scope=[(pairs, key)], **names)
 
 
 def centroids(vectors: DataFrame, by: str, vector: str, out: str = "vector") -> DataFrame:

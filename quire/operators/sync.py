@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.ids import content_hash
+from quire.scratch import broadcast_if_small, checkpoint
 
 
 def with_content_hash(df: DataFrame, content: str, out: str = "content_hash") -> DataFrame:
@@ -33,10 +34,15 @@ def sync_diff(source: DataFrame, index: DataFrame, key: str, hashed: str = "cont
 
 
 def apply_sync(source: DataFrame, index: DataFrame, key: str, hashed: str = "content_hash") -> DataFrame:
-    """The index after the sync: kept entries plus the source's new versions."""
+    """The index after the sync: kept entries plus the source's new versions.
+
+    The changed keys are kept in the shared folder; while they are few, neither
+    the index nor the source is shuffled to apply them.
+    """
     diff = sync_diff(source, index, key, hashed).select(key, "action")
-    gone = diff.filter(F.col("action").isin("update", "delete"))
-    fresh = diff.filter(F.col("action").isin("insert", "update"))
+    changes = checkpoint(diff.filter(F.col("action") != "keep"))
+    gone = broadcast_if_small(changes.filter(F.col("action").isin("update", "delete")).select(key))
+    fresh = broadcast_if_small(changes.filter(F.col("action").isin("insert", "update")).select(key))
     return index.join(gone, key, "left_anti").unionByName(
         source.join(fresh, key, "left_semi").select(*index.columns)
     )

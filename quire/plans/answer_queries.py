@@ -269,6 +269,29 @@ def extract_native(spark, sf):
     )
 
 
+@query(
+    "mapped_rows",
+    """SELECT page_id, upper(left(url, 5)) AS scheme, length(html) AS characters FROM pages""",
+)
+def mapped_rows(spark, sf):
+    """Caller functions before and after a model call, on Arrow batches."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType(
+        [
+            T.StructField("page_id", T.LongType()),
+            T.StructField("scheme", T.StringType()),
+            T.StructField("characters", T.LongType()),
+        ]
+    )
+    return answers.map_rows(
+        read_parquet(spark, sf, "pages"),
+        lambda r: {**r, "scheme": r["url"][:5]},
+        lambda r: {"page_id": r["page_id"], "scheme": r["scheme"].upper(), "characters": len(r["html"])},
+        schema,
+    )
+
+
 @query(
     "processing_class",
     ANALYSIS

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.vectors import ALPHABET
 from quire.operators.answers import answer_struct, route_documents, with_provenance
-from quire.operators.extract import extract_documents, extraction
+from quire.operators.extract import extract
 from quire.operators.pages import split_text_pages
 from quire.operators.similarity import embed
 from quire.sources.tables import read_parquet
@@ -58,7 +58,7 @@ def markdown(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     """Extraction results; the recorded time is the text length by a constant."""
     files = store(spark, sf, spread)
     seconds = F.length("text") / F.lit(100_000.0)
-    return extract_documents(files, extraction(seconds=seconds))
+    return extract(files, seconds=seconds)
 
 
 def routed(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:

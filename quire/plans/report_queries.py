@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.columns import double_round
+from quire.functions.dates import iso_text, millis_to_timestamp, stamp_text
+from quire.functions.ids import document_id, row_key
 from quire.functions.predicates import extractable, is_pdf_body, splittable, status_filter
 from quire.functions.sizes import gigabytes, kilobytes, megabytes
-from quire.functions.text import base_name, extension, parent_dir, preview, title_case
+from quire.functions.text import (
+    base_name,
+    extension,
+    normalise_path,
+    parent_dir,
+    preview,
+    thousands,
+    title_case,
+)
 from quire.operators import listing, reports
 from quire.plans.corpus import LIMITS, ROOT, markdown, store, with_tables
 from quire.plans.registry import query
+from quire.sources.tables import query as sql_query
 from quire.sources.tables import read_parquet
 
 STORE = with_tables("store")
@@ -161,26 +172,90 @@ def size_distribution(spark, sf):
     "row_counts",
     MARKDOWN
     + """SELECT count(*) AS total_rows, count(*) FILTER (extraction_success) AS successful,
-  count(*) FILTER (file_extension = '.pdf') AS pdf_files,
-  coalesce(sum(file_size_bytes), 0)::BIGINT AS total_bytes,
-  round(coalesce(sum(file_size_bytes), 0) / 1048576.0::DOUBLE, 2) AS total_mb,
-  count(*) AS documents, sum(page_count)::BIGINT AS pages,
-  round(avg(processing_time_seconds), 6) AS avg_seconds
-FROM markdown""",
+  count(*) FILTER (file_extension = '.pdf') AS pdf_files FROM markdown""",
 )
 def row_counts(spark, sf):
-    """Counts, total size and viewer tiles side by side (one row each)."""
-    rows = markdown(spark, sf)
-    tiles = reports.markdown_tiles(rows).select("documents", "pages", "avg_seconds")
-    counts = reports.row_counts(
-        rows, successful=F.col("extraction_success"), pdf_files=F.col("file_extension") == ".pdf"
+    return reports.row_counts(
+        markdown(spark, sf), successful=F.col("extraction_success"), pdf_files=F.col("file_extension") == ".pdf"
     )
-    one = F.lit(1).alias("_one")
-    return (
-        counts.select(one, "*")
-        .join(reports.total_size(rows).select(one, "*"), "_one")
-        .join(tiles.select(one, "*"), "_one")
-        .drop("_one")
+
+
+@query(
+    "total_size",
+    STORE
+    + """SELECT coalesce(sum(file_size_bytes), 0)::BIGINT AS total_bytes,
+  round(coalesce(sum(file_size_bytes), 0) / 1048576.0::DOUBLE, 2) AS total_mb FROM store""",
+)
+def total_size(spark, sf):
+    return reports.total_size(store(spark, sf))
+
+
+@query(
+    "markdown_tiles",
+    MARKDOWN
+    + """SELECT count(*) AS documents, count(*) FILTER (extraction_success) AS successful,
+  sum(page_count)::BIGINT AS pages, round(avg(processing_time_seconds), 6) AS avg_seconds FROM markdown""",
+)
+def markdown_tiles(spark, sf):
+    return reports.markdown_tiles(markdown(spark, sf))
+
+
+@query(
+    "point_lookup",
+    STORE + "SELECT doc_id, file_name, file_size_bytes FROM store WHERE file_name = 'doc_5.pdf'",
+)
+def point_lookup(spark, sf):
+    """A named parameter in SQL text over a view of the store."""
+    store(spark, sf).createOrReplaceTempView("quire_store")
+    sql = "SELECT doc_id, file_name, file_size_bytes FROM quire_store WHERE file_name = :name"
+    return sql_query(spark, sql, name="doc_5.pdf")
+
+
+@query(
+    "document_ids",
+    STORE
+    + """SELECT file_name, sha256(volume_path || '|' || coalesce(sha256(binary_content), '')) AS doc_key,
+  'doc_' || sha256(file_name || '|' || source) AS row_key FROM store""",
+)
+def document_ids(spark, sf):
+    return store(spark, sf).select(
+        "file_name",
+        document_id("volume_path", "binary_content").alias("doc_key"),
+        row_key("file_name", "source").alias("row_key"),
+    )
+
+
+@query(
+    "normalised_paths",
+    STORE
+    + """SELECT file_name, '/volumes' || volume_path AS from_scheme, '/volumes/' || file_name AS from_bare,
+  '/volumes/' || file_name AS from_rooted, format('{:,}', file_size_bytes) AS size_text FROM store""",
+)
+def normalised_paths(spark, sf):
+    def normal(path):
+        return normalise_path(path, "store:", "/volumes")
+
+    return store(spark, sf).select(
+        "file_name",
+        normal(F.concat(F.lit("store:"), "volume_path")).alias("from_scheme"),
+        normal(F.col("file_name")).alias("from_bare"),
+        normal(F.concat(F.lit("/volumes/"), "file_name")).alias("from_rooted"),
+        thousands("file_size_bytes").alias("size_text"),
+    )
+
+
+@query(
+    "event_times",
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso, strftime(ts, '%Y%m%d_%H%M%S') AS stamp,
+  strftime(date_trunc('milliseconds', ts), '%Y-%m-%dT%H:%M:%S.%f') AS from_millis FROM events""",
+)
+def event_times(spark, sf):
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    return read_parquet(spark, sf, "events").select(
+        "event_id",
+        iso_text("ts").alias("iso"),
+        stamp_text("ts").alias("stamp"),
+        iso_text(millis_to_timestamp(millis)).alias("from_millis"),
     )
 
 

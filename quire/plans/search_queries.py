@@ -36,8 +36,7 @@ def document_hits(spark: SparkSession, sf: str, k: int = HITS_K) -> DataFrame:
     """Best documents per question with file name and score (k rows each)."""
     index = document_index(spark, sf)
     hits = checkpoint(similarity.top_k(index, questions(spark, sf), k))
-    return similarity.with_columns(hits, store(spark, sf).withColumnRenamed("doc_id", "id"), "id",
-                                   ["file_name", "volume_path", "text"])
+    return similarity.with_columns(hits, store(spark, sf), "doc_id", ["file_name", "volume_path", "text"])
 
 
 HITS_TABLES = {
@@ -98,9 +97,24 @@ def knn_in_label(spark, sf):
 @query("knn_lsh")
 def knn_lsh(spark, sf):
     """Approximate: only rows sharing a hash bucket with the question."""
-    index = similarity.centroids(read_parquet(spark, sf, "embeddings"), "vec_id", "embedding")
-    asked = centroid_questions(spark, sf)
-    return similarity.approximate_top_k(index, asked, 5, "vec_id", bucket_length=1.0)
+    index = read_parquet(spark, sf, "embeddings").withColumn("vector", F.col("embedding").cast("array<double>"))
+    return similarity.approximate_top_k(index, centroid_questions(spark, sf), 5, "vec_id", bucket_length=1.0)
+
+
+@query(
+    "knn_recall",
+    CENTROIDS
+    + f"""SELECT label AS question_id, count(*) AS expected, round(avg(CASE WHEN h.id IS NULL THEN 0 ELSE 1 END), 6) AS recall
+FROM embeddings e LEFT JOIN (SELECT * FROM (SELECT q.question_id, d.vec_id AS id,
+  row_number() OVER (PARTITION BY q.question_id ORDER BY {SCORE} DESC, d.vec_id) AS rank
+FROM asked q, docs d) WHERE rank <= 20) h ON h.question_id = e.label AND h.id = e.vec_id GROUP BY label""",
+)
+def knn_recall(spark, sf):
+    """How many of a label's vectors its centroid finds among the best 20."""
+    index = read_parquet(spark, sf, "embeddings")
+    hits = similarity.top_k(index, centroid_questions(spark, sf), 20, "vec_id", "embedding")
+    expected = index.select(F.col("label").alias("question_id"), F.col("vec_id").alias("id"))
+    return evaluate.recall_at_k(hits, expected, ["question_id", "id"])
 
 
 @query("tfidf_embed_search")
@@ -287,7 +301,8 @@ def csv_export(spark, sf):
 FROM hits h LEFT JOIN labels l ON l.doc_id = h.id GROUP BY question_id""",
 )
 def flag_rate(spark, sf):
-    hits = document_hits(spark, sf).select("question_id", F.col("id").alias("doc_id"))
+    hits = similarity.top_k(document_index(spark, sf), questions(spark, sf), HITS_K)
+    hits = checkpoint(hits.select("question_id", F.col("id").alias("doc_id")))
     return evaluate.flag_rate(hits, read_parquet(spark, sf, "labels"), "doc_id")
 
 

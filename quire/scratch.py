@@ -11,10 +11,13 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Bounds on what a plan may hold on the driver and broadcast to the tasks.
 MAX_BROADCAST_ROWS = 16_384
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows of a narrow frame (keys, a score, a rank) that may be broadcast.
+MAX_NARROW_ROWS = 500_000
 
 _fallback: dict[str, str] = {}
 
@@ -51,3 +54,12 @@ def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list | None:
     """
     rows = df.limit(limit + 1).collect()
     return None if len(rows) > limit else rows
+
+
+def broadcast_if_small(df: DataFrame, limit: int = MAX_NARROW_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``limit`` rows.
+
+    For narrow frames that are cheap to read, such as checkpointed ones. A
+    larger frame comes back unmarked and joins by shuffle.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

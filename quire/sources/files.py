@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from quire.contracts import DOCUMENT_STORE
 from quire.functions.text import base_name, extension, parent_dir
+from quire.scratch import checkpoint
 
 DOCUMENT_EXTENSIONS = (".pdf", ".doc", ".docx")
 # A task hands its files on in Arrow batches of about this size.
 BODY_BATCH_BYTES = 64 * 1024 * 1024
+LISTING_BATCH = 10_000
 LISTING = "path string, size long, modified timestamp"
 
 
@@ -35,22 +37,13 @@ def scan_binary(
 def list_volume(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: path, size, modified.
 
-    The driver lists one level; each folder found there is walked by a task. A
-    folder that cannot be read is skipped, and zero-length files are kept
-    (the binary file reader would drop them).
+    The tree is listed level by level, every folder by a task of its own, so a
+    deep branch does not end in one task. A folder that cannot be read is
+    skipped, and zero-length files are kept (the binary file reader would drop
+    them).
     """
     from pyarrow import fs
 
-    store, top = fs.FileSystem.from_uri(root)
-    entries = store.get_file_info(fs.FileSelector(top, recursive=False))
-    folders = [(e.path,) for e in entries if e.type == fs.FileType.Directory]
-    files = [
-        (e.path, e.size, e.mtime) for e in entries if e.type == fs.FileType.File
-    ]
-    here = spark.createDataFrame(files, LISTING)
-    if not folders:
-        return here
-
     def walk(batches):
         import pandas as pd
         from pyarrow import fs
@@ -58,29 +51,31 @@ def list_volume(spark: SparkSession, root: str) -> DataFrame:
         store, _ = fs.FileSystem.from_uri(root)
         for pdf in batches:
             for folder in pdf["folder"]:
-                pending = [folder]
-                while pending:
-                    try:
-                        found = store.get_file_info(fs.FileSelector(pending.pop(), recursive=False))
-                    except OSError:
-                        continue
-                    pending += [e.path for e in found if e.type == fs.FileType.Directory]
-                    files = [e for e in found if e.type == fs.FileType.File]
+                try:
+                    found = store.get_file_info(fs.FileSelector(folder, recursive=False))
+                except OSError:
+                    continue
+                for lo in range(0, len(found), LISTING_BATCH):
+                    part = found[lo : lo + LISTING_BATCH]
                     yield pd.DataFrame(
                         {
-                            "path": [e.path for e in files],
-                            "size": pd.Series([e.size for e in files], dtype="int64"),
-                            "modified": pd.to_datetime([e.mtime for e in files], utc=True),
+                            "path": [e.path for e in part],
+                            "size": pd.Series([e.size for e in part], dtype="Int64"),
+                            "modified": pd.to_datetime([e.mtime for e in part], utc=True),
+                            "is_folder": [e.type == fs.FileType.Directory for e in part],
                         }
                     )
 
-    parts = min(len(folders), 4 * spark.sparkContext.defaultParallelism)
-    below = (
-        spark.createDataFrame(folders, "folder string")
-        .repartition(parts)
-        .mapInPandas(walk, LISTING)
-    )
-    return here.unionByName(below)
+    level = spark.createDataFrame([(fs.FileSystem.from_uri(root)[1],)], "folder string")
+    parts = 4 * spark.sparkContext.defaultParallelism
+    listed = None
+    while not level.isEmpty():
+        spread = level.repartition(parts, "folder")
+        found = checkpoint(spread.mapInPandas(walk, LISTING + ", is_folder boolean"))
+        files = found.filter(~F.col("is_folder")).drop("is_folder")
+        listed = files if listed is None else listed.unionByName(files)
+        level = found.filter("is_folder").select(F.col("path").alias("folder"))
+    return listed
 
 
 def inventory(

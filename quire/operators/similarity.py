@@ -117,6 +117,7 @@ def _fits(rows: list) -> bool:
 def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -> DataFrame:
     spark = index.sparkSession
     name = question_field.name
+    rows = [r for r in rows if any(r["_vector"])]  # an all-zero vector has no direction
     keys = [r[0] for r in rows]
     fields = [question_field]
     if group is not None:
@@ -131,7 +132,7 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
         return empty.withColumn("rank", F.lit(None).cast("long"))
 
     matrix = np.array([r["_vector"] for r in rows], dtype="float64")
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
 
     columns = [F.col(id_col).alias("_id"), F.col(vector).alias("_vec")]
     if group is not None:

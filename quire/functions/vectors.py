@@ -29,12 +29,16 @@ def with_hashed_counts(df: DataFrame, text: str, out: str) -> DataFrame:
     A bucket's count is how often its digit occurs, so a row is handled where
     it lies and in linear time.
     """
-    size = F.length("_digits")
-    counts = [(size - F.length(F.replace("_digits", F.lit(c), F.lit("")))).cast("double") for c in ALPHABET]
+
+    def count(digit):
+        others = F.replace("_digits", digit, F.lit(""))
+        return (F.octet_length("_digits") - F.octet_length(others)).cast("double")
+
+    alphabet = F.array(*[F.lit(c) for c in ALPHABET])
     return (
         df.filter(F.col(text).rlike(r"\S"))
         .withColumn("_digits", word_digits(text))
-        .withColumn(out, F.array(*counts))
+        .withColumn(out, F.transform(alphabet, count))
         .drop("_digits")
     )
 

@@ -59,7 +59,7 @@ def request_health(
             "piece", F.spark_partition_id()
         )
     )
-    carried = _carried(placed)
+    carried = checkpoint(_carried(placed))
 
     # A continued piece starts with the response times carried into it.
     before = carried.select(

@@ -37,14 +37,17 @@ def split_text_pages(
     """One row per page: the document's columns, page_number, total_pages, text.
 
     A narrow operation: each document expands where it lies. Rows without
-    text give no page.
+    text give no page. (The outer explode keeps the optimizer from splitting
+    every text once more in a filter for empty arrays; the last filter does
+    its work.)
     """
     kept = [c for c in docs.columns if c != text]
     array = fixed_size_pages(text) if pages is None else pages
     return (
         docs.filter(has_text(text))
         .select(*kept, array.alias("_pages"))
-        .select(*kept, F.size("_pages").alias("total_pages"), F.posexplode("_pages").alias("_pos", out))
+        .select(*kept, F.size("_pages").alias("total_pages"), F.posexplode_outer("_pages").alias("_pos", out))
+        .filter(F.col("_pos").isNotNull())
         .select(*kept, (F.col("_pos") + 1).cast("int").alias("page_number"), "total_pages", out)
     )
 

@@ -23,7 +23,7 @@ def refinement_terms(hit_texts: DataFrame, questions: DataFrame) -> DataFrame:
     """
     per = W.partitionBy("question_id").orderBy(F.desc("frequency"), "term")
     counted = (
-        hit_texts.select("question_id", F.explode(words("text")).alias("term"))
+        hit_texts.select("question_id", F.explode_outer(words("text")).alias("term"))
         .filter(is_term("term"))
         .groupBy("question_id", "term")
         .agg(F.count("*").alias("frequency"))

@@ -97,6 +97,7 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
     ``with_search_plan``. A question without files gets the best pages of the
     whole index instead (mode ``fallback``).
     """
+    questions = checkpoint(questions)  # read by every step below
     files = first_stage(summaries, questions)
     plan = questions.select("question_id", "max_files", "chunk_k", "max_chunks")
     scoped = (
@@ -132,7 +133,10 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
         "max_chunks",
     ).filter(F.col("position") <= F.col("max_chunks"))
 
+    found = detailed.drop("max_chunks")
     rest = questions.join(files, "question_id", "left_anti")
+    if rest.isEmpty():
+        return found
     wide = checkpoint(top_k(pages, rest, FALLBACK_K))
     unscoped = (
         with_columns(wide, pages.withColumnRenamed("source_filename", "file_name"), "id", ["file_name"])
@@ -148,7 +152,7 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
         )
         .filter(F.col("position") <= FALLBACK_SHOWN)
     )
-    return detailed.drop("max_chunks").unionByName(unscoped)
+    return found.unionByName(unscoped)
 
 
 def render_hits(questions: DataFrame, hits: DataFrame, texts: DataFrame) -> DataFrame:

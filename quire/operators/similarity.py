@@ -33,6 +33,7 @@ from quire.scratch import (
     MAX_BROADCAST_ROWS,
     bounded_rows,
     broadcast_if_small,
+    checkpoint,
     scratch_path,
 )
 
@@ -93,6 +94,7 @@ def top_k(
     if rows is not None and _fits(rows):
         return _top_k_block(index, asked.schema[question], rows, k, id_col, vector, scope, group)
 
+    asked = checkpoint(asked)  # read once per block
     blocks = 2 * math.ceil(asked.count() / block_rows) if rows is None else 2
     path = scratch_path(index.sparkSession, "hits")
     while True:

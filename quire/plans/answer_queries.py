@@ -134,7 +134,7 @@ def context_prompt(spark, sf):
     "chat_payload",
     """SELECT page_id, 'model' AS model, 'user' AS role,
   'data:image/jpeg;base64,' || to_base64(encode(html)) AS image_url, url AS prompt, 4096 AS max_tokens,
-  0.0 AS temperature FROM pages""",
+  0.0::DOUBLE AS temperature FROM pages""",
 )
 def payloads(spark, sf):
     """Payload built as JSON, then its fields read back."""

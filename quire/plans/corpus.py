@@ -78,7 +78,7 @@ def analysis(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     return with_provenance(answered, "text").drop("prompt", "markdown_content")
 
 
-def pagetext(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+def pagetext(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
     """Page texts of 2000 characters."""
     docs = store(spark, sf, spread).select(
         F.col("doc_id").cast("string").alias("doc_id"),
@@ -151,7 +151,7 @@ _CTES = {
     "pagetext": (
         ("store",),
         """SELECT CAST(doc_id AS VARCHAR) AS doc_id, file_name AS source_filename, file_size_bytes,
-    modification_time, page_number, total_pages,
+    modification_time, page_number::INTEGER AS page_number, total_pages::INTEGER AS total_pages,
     substr(text, (page_number - 1) * 2000 + 1, 2000) AS ocr_text
   FROM (SELECT *, CAST(ceil(length(text) / 2000.0) AS BIGINT) AS total_pages FROM store WHERE text <> '') s,
     unnest(range(1, total_pages + 1)) AS u(page_number)""",

@@ -29,7 +29,7 @@ def split_pages(spark, sf):
 
 @query(
     "break_pages",
-    """SELECT doc_id, CAST(i AS BIGINT) AS page_number, len(parts) AS total_pages, parts[i] AS content
+    """SELECT doc_id, CAST(i AS INTEGER) AS page_number, len(parts)::INTEGER AS total_pages, parts[i] AS content
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text <> '') d,
   unnest(range(1, len(parts) + 1)) AS u(i)""",
 )
@@ -42,8 +42,8 @@ def break_pages(spark, sf):
     "page_validation",
     PAGES
     + """SELECT count(DISTINCT doc_id) AS unique_documents, count(*) AS total_pages,
-  round(avg(total_pages), 6) AS avg_pages_per_doc, min(page_number) AS min_page_num,
-  max(page_number) AS max_page_num, round(avg(octet_length(encode(ocr_text))), 6) AS avg_body_bytes
+  round(avg(total_pages), 6) AS avg_pages_per_doc, min(page_number)::BIGINT AS min_page_num,
+  max(page_number)::BIGINT AS max_page_num, round(avg(octet_length(encode(ocr_text))), 6) AS avg_body_bytes
 FROM pagetext""",
 )
 def page_validation(spark, sf):
@@ -69,14 +69,14 @@ def page_monitor(spark, sf):
 @query(
     "dataset_stats",
     PAGES
-    + """SELECT count(*) AS total_rows, max(page_number) AS max_page, count(DISTINCT doc_id) AS total_docs
+    + """SELECT count(*) AS total_rows, max(page_number)::BIGINT AS max_page, count(DISTINCT doc_id) AS total_docs
 FROM pagetext""",
 )
 def dataset_stats(spark, sf):
     return reports.dataset_stats(pagetext(spark, sf))
 
 
-DOCUMENT_LIST = """SELECT source_filename, max(total_pages) AS total_pages,
+DOCUMENT_LIST = """SELECT source_filename, max(total_pages)::BIGINT AS total_pages,
   max(file_size_bytes) AS file_size_bytes,
   max(strftime(modification_time, '%Y-%m-%d %H:%M:%S')) AS processing_timestamp
 FROM pagetext GROUP BY source_filename"""
@@ -184,7 +184,7 @@ def _html_sql() -> str:
 
 @query("html_to_markdown", _html_sql())
 def html_markdown(spark, sf):
-    return read_parquet(spark, sf, "pages").select(
+    return read_parquet(spark, sf, "pages", spread=True).select(
         "page_id", html_to_markdown("html").alias("markdown")
     )
 

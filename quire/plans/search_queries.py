@@ -20,7 +20,7 @@ from quire.plans.corpus import (
     with_tables,
 )
 from quire.plans.registry import query
-from quire.scratch import checkpoint, scratch_path
+from quire.scratch import checkpoint, materialise, scratch_path
 from quire.sources.sinks import export_csv
 from quire.sources.tables import read_parquet
 
@@ -145,20 +145,22 @@ def embed_text(spark, sf):
 
 # Two-stage search: summaries are the flattened answers, chunks the page texts.
 def summary_index(spark, sf) -> DataFrame:
+    """The summary index as a written table."""
     rows = flatten_answers(analysis(spark, sf, spread=True)).select("id", "file_name", "analysis_result")
-    return similarity.embed(rows, "analysis_result")
+    return materialise(similarity.embed(rows, "analysis_result").drop("analysis_result"), "summary-index")
 
 
 def page_index(spark, sf) -> DataFrame:
-    rows = vector_ready(pagetext(spark, sf, spread=True)).select("id", "source_filename", "ocr_text")
-    return similarity.embed(rows, "ocr_text")
+    """The page index as a written table."""
+    rows = vector_ready(pagetext(spark, sf)).select("id", "source_filename", "ocr_text")
+    return materialise(similarity.embed(rows, "ocr_text"), "page-index")
 
 
 _KEYWORDS = " OR ".join(f"contains(lower(question_text), '{w}')" for w in search.TEMPORAL_KEYWORDS)
 
 
 def _by_kind(name: str) -> str:
-    return f"CASE WHEN has_temporal THEN {search.TEMPORAL[name]} ELSE {search.PLAIN[name]} END"
+    return f"CASE WHEN has_temporal THEN {search.TEMPORAL[name]} ELSE {search.PLAIN[name]} END::BIGINT"
 
 
 PLAN_SQL = ", ".join(f"{_by_kind(n)} AS {n}" for n in search.PLAIN)
@@ -193,18 +195,13 @@ TWO_STAGE_TABLES = {
 TWO_STAGE = with_tables("analysis", "pagetext", **TWO_STAGE_TABLES)
 
 
-def _found(spark, sf) -> tuple[DataFrame, DataFrame]:
-    asked = search.with_search_plan(questions(spark, sf))
-    hits = search.two_stage_search(summary_index(spark, sf), page_index(spark, sf), asked)
-    return asked, hits
-
-
 @query(
     "two_stage_search",
     TWO_STAGE + "SELECT question_id, mode, position, file_name, id, score, n_chunks, n_files FROM found",
 )
 def two_stage_search(spark, sf):
-    return _found(spark, sf)[1]
+    asked = search.with_search_plan(questions(spark, sf))
+    return search.two_stage_search(summary_index(spark, sf), page_index(spark, sf), asked)
 
 
 @query(
@@ -218,9 +215,10 @@ def two_stage_search(spark, sf):
 FROM found GROUP BY question_id""",
 )
 def search_block(spark, sf):
-    asked, hits = _found(spark, sf)
-    texts = vector_ready(pagetext(spark, sf)).select("id", F.col("ocr_text").alias("chunk_text"))
-    return search.render_hits(asked, checkpoint(hits), texts)
+    asked = search.with_search_plan(questions(spark, sf))
+    pages = page_index(spark, sf)
+    hits = checkpoint(search.two_stage_search(summary_index(spark, sf), pages, asked))
+    return search.render_hits(asked, hits, pages.select("id", F.col("ocr_text").alias("chunk_text")))
 
 
 @query(

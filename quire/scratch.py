@@ -46,6 +46,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as parquet in the shared folder and read it back.
+
+    For tables that several later steps scan, such as a search index: unlike a
+    checkpoint it keeps column pruning and filter push-down.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list | None:
     """Rows of ``df``, or None when there are more than ``limit`` of them.
 

@@ -16,13 +16,15 @@ def prepare_messages(messages: DataFrame, system_text: Column) -> DataFrame:
     their turns. The opening rows are found by a pre-aggregated minimum and
     removed by a join on (conversation, turn), so no conversation is gathered.
     """
+    system_turn = F.when(F.col("role") == "system", F.col("turn"))
     opening = messages.groupBy("conv_id").agg(
-        F.min("turn").alias("turn"), F.min_by("role", "turn").alias("role")
+        F.min("turn").alias("turn"),
+        F.coalesce(F.min("turn") == F.min(system_turn), F.lit(False)).alias("has_system"),
     )
-    replaced = opening.filter(F.col("role") == "system").select("conv_id", "turn")
+    replaced = opening.filter("has_system").select("conv_id", "turn")
     fresh = opening.select(
         "conv_id",
-        F.when(F.col("role") == "system", F.col("turn")).otherwise(F.col("turn") - 1).alias("turn"),
+        F.when(F.col("has_system"), F.col("turn")).otherwise(F.col("turn") - 1).alias("turn"),
         F.lit("system").alias("role"),
         system_text.alias("text"),
     )

@@ -40,6 +40,8 @@ from quire.scratch import (
 SCORE_DIGITS = 6
 # Scores computed at once by a task.
 CELLS = 4_000_000
+# (key, question) pairs that may be broadcast to scope a search.
+MAX_SCOPE_ROWS = 200_000
 
 
 def embed(df: DataFrame, text: str, out: str = "vector") -> DataFrame:
@@ -154,7 +156,8 @@ def _with_scope(index, question_field, keys, scope) -> DataFrame:
     """Index rows some question may see, with the positions of these questions.
 
     A key maps to one list, so a row stays one row however many questions name
-    its key. The lists are checked to be few and then spare the index a shuffle.
+    its key. While the (key, question) pairs are few, which is checked, the
+    lists are broadcast and the index is not shuffled.
     """
     spark, name = index.sparkSession, question_field.name
     placed = spark.createDataFrame(
@@ -163,15 +166,18 @@ def _with_scope(index, question_field, keys, scope) -> DataFrame:
     )
     lists = []
     for n, (pairs, column) in enumerate(scope):
-        seen = (
-            pairs.select(F.col(name), F.col(pairs.columns[1]).alias("_key"))
-            .join(F.broadcast(placed), name)
-            .groupBy("_key")
-            .agg(F.collect_set("_at").alias(f"_seen_{n}"))
-        )
-        rows = bounded_rows(seen)
-        if rows is not None:
-            seen = F.broadcast(spark.createDataFrame(rows, seen.schema))
+        named = pairs.select(F.col(name), F.col(pairs.columns[1]).alias("_key"))
+        here = named.join(F.broadcast(placed), name).select("_key", "_at").distinct()
+        field = T.StructField("_key", here.schema["_key"].dataType)
+        rows = bounded_rows(here, MAX_SCOPE_ROWS)
+        if rows is None:
+            seen = here.groupBy("_key").agg(F.collect_list("_at").alias(f"_seen_{n}"))
+        else:
+            held: dict = {}
+            for key, at in rows:
+                held.setdefault(key, []).append(at)
+            kind = T.StructType([field, T.StructField(f"_seen_{n}", T.ArrayType(T.IntegerType()))])
+            seen = F.broadcast(spark.createDataFrame(list(held.items()), kind))
         how = "inner" if len(scope) == 1 else "left"
         index = index.join(seen, index[column] == seen["_key"], how).drop("_key")
         lists.append(F.coalesce(F.col(f"_seen_{n}"), F.array().cast("array<int>")))
@@ -312,7 +318,7 @@ def approximate_top_k(
     """
     asked = questions.select(question, F.col(vector))
     scaled = with_unit(index.select(id_col, vector), vector, vector)
-    asked = with_unit(asked, vector, vector)
+    asked = checkpoint(with_unit(asked, vector, vector))
     add = lsh_buckets(scaled, vector, bucket_length, tables, seed)
     hashed, probes = add(scaled), add(asked)
     scope = [(probes.select(question, f"bucket_{i}"), f"bucket_{i}") for i in range(tables)]
@@ -338,6 +344,7 @@ def within(
     **names,
 ) -> DataFrame:
     """Top-k inside the document (or label) each question names."""
+    questions = checkpoint(questions)
     pairs = questions.select(question, question_key)
     return top_k(index, questions, k, question=question, scope=[(pairs, key)], **names)
 

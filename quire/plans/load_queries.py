@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.contracts import PAPER_MANIFEST
 from quire.functions.markup import html_title
 from quire.functions.predicates import in_categories
 from quire.functions.sizes import megabytes
@@ -23,7 +24,7 @@ from quire.plans.registry import query
 from quire.scratch import scratch_path
 from quire.sources.files import inventory, list_volume, scan_binary
 from quire.sources.sinks import append_evolving, write_observed
-from quire.sources.tables import read_evolving, read_parquet, read_run_metadata
+from quire.sources.tables import read_evolving, read_manifest, read_parquet, read_run_metadata
 
 LANDING = "/landing"
 # A file of at least this size counts as loaded (the test bodies are small).
@@ -74,6 +75,20 @@ def manifest_plan(spark, sf):
     return planned(spark, sf).select("item_id", "category", "target_dir", "file_name", "target_path")
 
 
+@query(
+    "manifest_json",
+    "WITH "
+    + PAPERS
+    + """SELECT title, CASE WHEN category <> 'fr' THEN authors END AS authors, year, url, category, item_id FROM papers""",
+)
+def manifest_json(spark, sf):
+    """Manifest written as JSON records, some without authors, and read back."""
+    path = scratch_path(spark, "manifest")
+    authors = F.when(F.col("category") != "fr", F.col("authors"))
+    papers(spark, sf).withColumn("authors", authors).drop("body_bytes").write.json(path)
+    return read_manifest(spark, path, PAPER_MANIFEST, view="quire_papers")
+
+
 @query(
     "manifest_dedupe",
     "WITH " + PAPERS + """, hosts AS (SELECT *, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host FROM papers)

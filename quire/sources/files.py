@@ -34,6 +34,19 @@ def scan_binary(
     )
 
 
+def _roots(spark: SparkSession, root: str) -> tuple[str, str, str]:
+    """Root as given, its URI, and its path inside the file system."""
+    from pyarrow import fs
+
+    root = root.rstrip("/")
+    uri = root
+    if "://" not in root and not root.startswith("file:"):
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+        if default and not default.startswith("file:"):
+            uri = default.rstrip("/") + root
+    return root, uri, fs.FileSystem.from_uri(uri)[1]
+
+
 def list_volume(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: path, size, modified.
 
@@ -42,31 +55,32 @@ def list_volume(spark: SparkSession, root: str) -> DataFrame:
     skipped, and zero-length files are kept (the binary file reader would drop
     them).
     """
-    from pyarrow import fs
+    root, uri, top = _roots(spark, root)
 
     def walk(batches):
         import pandas as pd
         from pyarrow import fs
 
-        store, _ = fs.FileSystem.from_uri(root)
+        store, _ = fs.FileSystem.from_uri(uri)
         for pdf in batches:
             for folder in pdf["folder"]:
                 try:
-                    found = store.get_file_info(fs.FileSelector(folder, recursive=False))
+                    inside = top + folder[len(root) :]
+                    found = store.get_file_info(fs.FileSelector(inside, recursive=False))
                 except OSError:
                     continue
                 for lo in range(0, len(found), LISTING_BATCH):
                     part = found[lo : lo + LISTING_BATCH]
                     yield pd.DataFrame(
                         {
-                            "path": [e.path for e in part],
+                            "path": [root + e.path[len(top) :] for e in part],
                             "size": pd.Series([e.size for e in part], dtype="Int64"),
                             "modified": pd.to_datetime([e.mtime for e in part], utc=True),
                             "is_folder": [e.type == fs.FileType.Directory for e in part],
                         }
                     )
 
-    level = spark.createDataFrame([(fs.FileSystem.from_uri(root)[1],)], "folder string")
+    level = spark.createDataFrame([(root,)], "folder string")
     parts = 4 * spark.sparkContext.defaultParallelism
     listed = None
     while not level.isEmpty():
@@ -89,6 +103,7 @@ def inventory(
     Only paths are shuffled; a body is read once, by the task that owns its
     path. A body that cannot be read becomes NULL and keeps its metadata.
     """
+    root, uri, top = _roots(spark, root)
     listed = list_volume(spark, root).filter(extension("path").isin(*extensions))
     spread = partitions or 4 * spark.sparkContext.defaultParallelism
     budget = BODY_BATCH_BYTES
@@ -97,12 +112,12 @@ def inventory(
         import pandas as pd
         from pyarrow import fs
 
-        store, _ = fs.FileSystem.from_uri(root)
+        store, _ = fs.FileSystem.from_uri(uri)
         for pdf in batches:
             bodies, start, held = [], 0, 0
             for i, path in enumerate(pdf["path"]):
                 try:
-                    with store.open_input_stream(path) as stream:
+                    with store.open_input_stream(top + path[len(root) :]) as stream:
                         body = stream.read()
                 except OSError:
                     body = None

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.ids import content_hash
+from quire.scratch import broadcast_if_small, checkpoint
 
 TRIGGERED = "TRIGGERED"
 CONTINUOUS = "CONTINUOUS"
@@ -22,7 +23,7 @@ CONTINUOUS = "CONTINUOUS"
 def start_sync(
     source: DataFrame,
     path: str,
-    checkpoint: str,
+    state: str,
     key: str,
     content: str,
     version: str,
@@ -46,7 +47,7 @@ def start_sync(
         )
         latest.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    writer = source.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(upsert).option("checkpointLocation", state)
     if mode == TRIGGERED:
         writer = writer.trigger(availableNow=True)
     elif mode == CONTINUOUS:
@@ -62,15 +63,20 @@ def index_versions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current_index(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Latest version per key, without deleted keys."""
+    """Latest version per key, without deleted keys.
+
+    Outdated versions are found from key and epoch alone. While they are few,
+    the texts are scanned once and not shuffled.
+    """
     versions = index_versions(spark, path)
-    others = [c for c in versions.columns if c not in (key, "epoch")]
+    known = versions.select(key, "epoch")
+    newest = known.groupBy(key).agg(F.max("epoch").alias("_newest"), F.count("*").alias("_n"))
+    again = newest.filter(F.col("_n") > 1).drop("_n")
+    old = checkpoint(known.join(again, key).filter(F.col("epoch") < F.col("_newest")).drop("_newest"))
     return (
-        versions.groupBy(key)
-        .agg(F.max_by(F.struct(*others), "epoch").alias("_row"))
-        .select(key, "_row.*")
-        .filter(~F.col("deleted"))
-        .drop("deleted")
+        versions.filter(~F.col("deleted"))
+        .join(broadcast_if_small(old), [key, "epoch"], "left_anti")
+        .drop("deleted", "epoch")
     )
 
 

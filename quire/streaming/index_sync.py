@@ -5,10 +5,15 @@ repeated batch overwrites, so each change counts once. The current index is
 the latest version per key. Deletes do not show in a stream of rows: a batch
 ``sync_diff`` against the source finds them, and ``append_deletes`` records
 them as versions without content.
+
+The change folder and the state folder of the stream belong together: a stream
+started anew needs a new change folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,11 +34,13 @@ def start_sync(
     version: str,
     mode: str = TRIGGERED,
     interval: str = "30 seconds",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Follow a streaming source into the change folder of an index.
 
-    ``version`` orders several rows of one key within a batch. TRIGGERED
-    handles what is there and stops; CONTINUOUS keeps running.
+    ``version`` orders several rows of one key within a batch. ``prepare`` adds
+    columns to the changed rows only, such as their vectors. TRIGGERED handles
+    what is there and stops; CONTINUOUS keeps running.
     """
     others = [c for c in source.columns if c != key]
 
@@ -45,7 +52,8 @@ def start_sync(
             .withColumn("content_hash", content_hash(content))
             .withColumn("deleted", F.lit(False))
         )
-        latest.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        rows = latest if prepare is None else prepare(latest)
+        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     writer = source.writeStream.foreachBatch(upsert).option("checkpointLocation", state)
     if mode == TRIGGERED:
@@ -68,30 +76,35 @@ def current_index(spark: SparkSession, path: str, key: str) -> DataFrame:
     Outdated versions are found from key and epoch alone. While they are few,
     the texts are scanned once and not shuffled.
     """
-    versions = index_versions(spark, path)
-    known = versions.select(key, "epoch")
-    newest = known.groupBy(key).agg(F.max("epoch").alias("_newest"), F.count("*").alias("_n"))
+    # A delete counts after the rows of its epoch and before those of the next.
+    order = (F.col("epoch") * 2 + F.col("deleted").cast("int")).alias("_version")
+    versions = index_versions(spark, path).select("*", order)
+    known = versions.select(key, "_version")
+    newest = known.groupBy(key).agg(F.max("_version").alias("_newest"), F.count("*").alias("_n"))
     again = newest.filter(F.col("_n") > 1).drop("_n")
-    old = checkpoint(known.join(again, key).filter(F.col("epoch") < F.col("_newest")).drop("_newest"))
+    old = checkpoint(
+        known.join(again, key).filter(F.col("_version") < F.col("_newest")).drop("_newest").distinct()
+    )
     return (
         versions.filter(~F.col("deleted"))
-        .join(broadcast_if_small(old), [key, "epoch"], "left_anti")
-        .drop("deleted", "epoch")
+        .join(broadcast_if_small(old), [key, "_version"], "left_anti")
+        .drop("deleted", "epoch", "_version")
     )
 
 
-def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str, epoch: int) -> None:
-    """Record keys as deleted under an epoch later than those of the stream."""
-    columns = index_versions(spark, path).drop("epoch").schema
+def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str) -> None:
+    """Record keys as deleted, as of the latest epoch."""
+    versions = index_versions(spark, path)
+    epoch = versions.agg(F.max("epoch")).first()[0]
     row = keys.select(
         *[
             F.col(key)
             if f.name == key
             else (F.lit(True) if f.name == "deleted" else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in columns.fields
+            for f in versions.drop("epoch").schema.fields
         ]
     )
-    row.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+    row.write.mode("append").parquet(f"{path}/epoch={epoch}")
 
 
 def compact(spark: SparkSession, path: str, target: str, key: str) -> None:

@@ -38,7 +38,7 @@ def test_safe_file_name(spark):
 
 
 def test_file_names(spark):
-    row = [("2017", "Vaswani et al.", "1706.1", "Attention: all", "BHP", "BHP Group")]
+    row = [("2017", "Lee et al.", "1706.1", "Rivers: all", "ACM", "Acme Group")]
     got = one(
         spark,
         row,
@@ -46,7 +46,7 @@ def test_file_names(spark):
         text.paper_file_name("y", "a", "i", "t"),
         text.report_file_name("k", "c"),
     )
-    assert got == [("2017_Vaswani_1706.1_Attention__all.pdf", "FY24_BHP_BHP_Group_Annual_Report.pdf")]
+    assert got == [("2017_Lee_1706.1_Rivers__all.pdf", "FY24_ACM_Acme_Group_Annual_Report.pdf")]
 
 
 def test_owner_key(spark):

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import chat, evaluate, health, listing, manifest, refine, sync
+from quire.operators import chat, evaluate, health, listing, manifest, refine, similarity, sync
 from quire.streaming import index_sync
 
 
@@ -42,14 +42,28 @@ def test_stream_in_increments_equals_batch(spark, tmp_path):
     assert add([("a", "1", 1), ("b", "1", 1), ("a", "2", 2)]) == {"a": "2", "b": "1"}
     assert add([("b", "3", 3), ("c", "1", 1)]) == {"a": "2", "b": "3", "c": "1"}
     gone = spark.createDataFrame([("a",)], "key string")
-    index_sync.append_deletes(spark, path, gone, "key", epoch=1_000)
+    index_sync.append_deletes(spark, path, gone, "key")
     current = {r.key: r.text for r in index_sync.current_index(spark, path, "key").collect()}
     assert current == {"b": "3", "c": "1"}
+    assert add([("a", "9", 9)]) == {"a": "9", "b": "3", "c": "1"}
+    current["a"] = "9"
     index_sync.compact(spark, path, str(tmp_path / "compact"), "key")
     packed = index_sync.current_index(spark, str(tmp_path / "compact"), "key")
     assert {r.key: r.text for r in packed.collect()} == current
 
 
+def test_stream_adds_vectors_to_changed_rows(spark, tmp_path):
+    src, path, state = str(tmp_path / "src"), str(tmp_path / "index"), str(tmp_path / "state")
+    schema = "key string, text string, version long"
+    spark.createDataFrame([("a", "one two", 1), ("b", " ", 1)], schema).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    index_sync.start_sync(
+        stream, path, state, "key", "text", "version", prepare=lambda df: similarity.embed(df, "text")
+    ).awaitTermination()
+    rows = index_sync.current_index(spark, path, "key").collect()
+    assert [(r.key, sum(r.vector)) for r in rows] == [("a", 2.0)]
+
+
 def expected_health(rows, hot_seconds, calm_seconds):
     """The rules replayed request by request."""
     out, state = {}, {}

@@ -23,6 +23,8 @@ QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, sf, name):
     df = QUERIES[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     columns = sorted(df.columns)
     got = ordered(df.select(*[f"`{c}`" for c in columns]).collect())
     if name not in ORACLE:

@@ -78,6 +78,21 @@ def same_financial_year(day, today) -> Column:
     return financial_year_end(day) == financial_year_end(today)
 
 
+def in_window(day, today, window: str | None = None) -> Column:
+    """Relative-date condition by name; no window, no condition."""
+    if window is None:
+        return F.lit(True)
+    windows = {
+        "recent": is_recent,
+        "upcoming": is_upcoming,
+        "quarter": same_quarter,
+        "financial_year": same_financial_year,
+    }
+    if window not in windows:
+        raise ValueError(f"unknown window {window!r}")
+    return windows[window](day, today)
+
+
 def filing_due(period_end, period: str) -> Column:
     """Last day a report for the period may be filed."""
     end = as_col(period_end)

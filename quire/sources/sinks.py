@@ -2,36 +2,31 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_table(df: DataFrame, name: str) -> None:
-    """Managed table, replaced as a whole, schema included."""
-    df.write.mode("overwrite").saveAsTable(name)
+def write_table(df: DataFrame, name: str, rebalance: bool = False) -> None:
+    """Managed table, replaced as a whole, schema included.
+
+    ``rebalance`` adds a shuffle that evens out the sizes of the files.
+    """
+    rows = df.hint("rebalance") if rebalance else df
+    rows.write.mode("overwrite").saveAsTable(name)
 
 
-def write_bucketed_folders(
-    df: DataFrame,
-    path: str,
-    key: str = "doc_id",
-    buckets: int = 64,
-    spread_by: str | None = "page_number",
-    files_per_bucket: int = 4,
-) -> None:
+def write_bucketed_folders(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 64) -> None:
     """Parquet folders by a hash bucket of the key.
 
-    The number of folders is fixed, however many documents there are. A
-    bucket's rows go to several tasks by ``spread_by``, so that a document
-    with very many pages does not end in one of them.
+    The number of folders is fixed, however many documents there are. The
+    rebalance hint gathers a bucket in few files of even size, and splits a
+    bucket that a document with very many pages makes large.
     """
-    keyed = df.withColumn("doc_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-    if spread_by is None:
-        placed = keyed.repartition(buckets, F.col("doc_bucket"))
-    else:
-        part = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(files_per_bucket))
-        placed = keyed.repartition(buckets * files_per_bucket, F.col("doc_bucket"), part)
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    placed = df.withColumn("doc_bucket", bucket).hint("rebalance", "doc_bucket")
     placed.write.mode("overwrite").partitionBy("doc_bucket").parquet(path)
 
 
@@ -66,11 +61,18 @@ def write_staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_observed(df: DataFrame, path: str, **metrics: Column) -> dict:
-    """Write parquet and return metrics counted in the same pass."""
+    """Write parquet; returns metrics counted in the same pass and throughput.
+
+    Besides the named metrics: rows_written, elapsed_seconds, rows_per_second.
+    """
     seen = Observation()
+    counted = F.count(F.lit(1)).alias("rows_written")
     named = [m.alias(k) for k, m in metrics.items()]
-    df.observe(seen, *named).write.mode("overwrite").parquet(path)
-    return seen.get
+    began = time.perf_counter()
+    df.observe(seen, counted, *named).write.mode("overwrite").parquet(path)
+    elapsed = time.perf_counter() - began
+    got = dict(seen.get)
+    return {**got, "elapsed_seconds": elapsed, "rows_per_second": got["rows_written"] / elapsed}
 
 
 def scalar_columns(df: DataFrame) -> list[str]:

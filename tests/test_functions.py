@@ -100,6 +100,8 @@ def test_date_windows(spark):
     rows = [(dt.date(2024, 6, 1),), (dt.date(2024, 5, 31),), (dt.date(2024, 8, 30),), (dt.date(2024, 8, 31),)]
     got = one(spark, rows, "d date", dates.is_recent("d", today), dates.is_upcoming("d", today))
     assert got == [(True, False), (False, False), (False, True), (False, False)]
+    inside = one(spark, rows, "d date", dates.in_window("d", today), dates.in_window("d", today, "financial_year"))
+    assert inside == [(True, False), (True, False), (True, True), (True, True)]
     due = one(spark, [(dt.date(2024, 6, 30),)], "d date", *[dates.filing_due("d", p) for p in ("quarter", "half", "year")])
     assert due == [(dt.date(2024, 8, 14), dt.date(2024, 9, 13), dt.date(2024, 10, 30))]
     with pytest.raises(ValueError):

@@ -63,7 +63,7 @@ def test_tables(spark):
     tables.create_schema(spark, "quire_t")
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     sinks.write_table(df, "quire_t.numbers")
-    sinks.write_table(df.withColumn("y", F.lit("new")), "quire_t.numbers")
+    sinks.write_table(df.withColumn("y", F.lit("new")), "quire_t.numbers", rebalance=True)
     assert tables.read_table(spark, "quire_t.numbers").columns == ["id", "x", "y"]
     sinks.create_table_as(spark, "quire_t.big", "SELECT * FROM quire_t.numbers WHERE x > 4")
     sinks.create_table_as(spark, "quire_t.big", "SELECT * FROM quire_t.numbers WHERE x > 2")
@@ -99,8 +99,9 @@ def test_export_keeps_scalars_only(spark, tmp_path):
 
 
 def test_observed_write(spark, tmp_path):
-    seen = sinks.write_observed(spark.range(10), str(tmp_path / "o"), rows=F.count(F.lit(1)), top=F.max("id"))
-    assert seen == {"rows": 10, "top": 9}
+    seen = sinks.write_observed(spark.range(10), str(tmp_path / "o"), top=F.max("id"))
+    assert (seen["rows_written"], seen["top"]) == (10, 9)
+    assert seen["rows_per_second"] == pytest.approx(10 / seen["elapsed_seconds"])
 
 
 def test_contract_check(spark):

@@ -186,9 +186,16 @@ def _with_scope(index, question_field, keys, scope) -> DataFrame:
 
 
 def _kernel(matrix, keys, k, grouped, scoped, schema):
-    """Arrow batch function that keeps the k best rows per question (and group)."""
+    """Arrow batch function that keeps the k best rows per question (and group).
+
+    Scores below the k-th best one seen so far are dropped before any sorting;
+    the first rows are taken in a small step so that there is such a bound.
+    """
     digits, cells = SCORE_DIGITS, CELLS
+    slack = 1.1 * 10.0**-digits  # rounding may lift a score up to the bound
     n_questions, width = matrix.shape
+    kinds = [f.dataType.simpleString() for f in schema.fields]
+    names = schema.fieldNames()
 
     def run(batches):
         import numpy as np
@@ -199,87 +206,87 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
                 return np.array(column.to_pylist(), dtype="U")
             return column.to_numpy(zero_copy_only=False)
 
-        def best(q, g, ids, s):
-            """First k entries of every (question, group), best score first."""
-            order = np.lexsort((ids, -s, g, q)) if grouped else np.lexsort((ids, -s, q))
-            q, g, ids, s = q[order], g[order], ids[order], s[order]
-            new = np.ones(len(q), dtype=bool)
-            new[1:] = q[1:] != q[:-1]
-            if grouped:
-                new[1:] |= g[1:] != g[:-1]
-            starts = np.flatnonzero(new)
-            place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
-            keep = place < k
-            return q[keep], g[keep], ids[keep], s[keep]
-
+        def best(slot, ids, s):
+            """First k entries of every slot, best score first."""
+            order = np.lexsort((ids, -s, slot))
+            slot, ids, s = slot[order], ids[order], s[order]
+            starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+            sizes = np.diff(np.append(starts, len(slot)))
+            keep = np.arange(len(slot)) - np.repeat(starts, sizes) < k
+            full = sizes >= k
+            bounds = slot[starts[full]], s[starts[full] + k - 1]
+            return (slot[keep], ids[keep], s[keep]), bounds
+
+        codes: dict = {}
         held = None
+        # Slots (a question, or a question and group) with k hits, and the k-th score.
+        full, bound = np.empty(0, dtype="int64"), np.empty(0)
         floor = np.full(n_questions, -np.inf)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            vectors = batch.column("_vec")
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64")
-            block = flat.reshape(batch.num_rows, width)
+            flat = batch.column("_vec").flatten().to_numpy(zero_copy_only=False)
+            block = flat.astype("float64").reshape(batch.num_rows, width)
             length = np.linalg.norm(block, axis=1, keepdims=True)
             real = length[:, 0] > 0
             block = block / np.where(length > 0, length, 1.0)
             ids = plain(batch.column("_id"))
-            groups = plain(batch.column("_group")) if grouped else np.zeros(len(ids), dtype="int8")
+            if grouped:
+                here, place = np.unique(plain(batch.column("_group")), return_inverse=True)
+                group = np.array([codes.setdefault(g, len(codes)) for g in here.tolist()], dtype="int64")[place]
             if scoped:
                 lists = batch.column("_scope")
                 sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
                 wanted = lists.flatten().to_numpy(zero_copy_only=False)
                 ends = np.cumsum(sizes)
-            step = max(1, cells // n_questions)
-            for lo in range(0, len(ids), step):
-                hi = min(lo + step, len(ids))
-                scores = np.round(block[lo:hi] @ matrix.T, digits) + 0.0
+            lo = 0
+            while lo < len(ids):
+                step = max(1, cells // n_questions)
+                hi = min(len(ids), lo + (step if held is not None else min(step, 1024)))
+                scores = block[lo:hi] @ matrix.T
                 scores[~real[lo:hi]] = -np.inf
                 if scoped:
-                    first = ends[lo - 1] if lo else 0
                     row = np.repeat(np.arange(hi - lo), sizes[lo:hi])
-                    col = wanted[first : ends[hi - 1]]
+                    col = wanted[ends[lo] - sizes[lo] : ends[hi - 1]]
+                    value = scores[row, col]
                 elif grouped:
-                    row, col = np.divmod(np.arange((hi - lo) * n_questions), n_questions)
+                    row, col = np.divmod(np.arange(scores.size), n_questions)
+                    value = scores.ravel()
                 else:
-                    limit = floor
-                    if hi - lo > k:
-                        limit = np.maximum(floor, -np.partition(-scores, k - 1, axis=0)[k - 1])
-                    row, col = np.nonzero(scores >= limit)
-                value = scores[row, col]
+                    least = floor
+                    if held is None and hi - lo > k:
+                        least = -np.partition(-scores, k - 1, axis=0)[k - 1]
+                    row, col = np.nonzero(scores >= least - slack)
+                    value = scores[row, col]
+                slot = col.astype("int64")
                 good = value > -np.inf
-                row, col, value = row[good], col[good], value[good]
-                found = (col.astype("int64"), groups[lo:hi][row], ids[lo:hi][row], value)
+                if grouped:
+                    slot = (slot << 32) | group[lo:hi][row]
+                    if len(full):
+                        at = np.minimum(np.searchsorted(full, slot), len(full) - 1)
+                        good &= (full[at] != slot) | (value >= bound[at] - slack)
+                else:
+                    good &= value >= floor[col] - slack
+                found = slot[good], ids[lo:hi][row[good]], np.round(value[good], digits) + 0.0
                 if held is not None:
                     found = tuple(np.concatenate(p) for p in zip(held, found))
-                held = best(*found)
+                lo = hi
+                if len(found[0]) == 0:
+                    continue
+                held, (full, bound) = best(*found)
                 if not grouped:
-                    count = np.bincount(held[0], minlength=n_questions)
-                    last = np.cumsum(count) - 1
-                    full = count == k
-                    floor[full] = held[3][last[full]]
-        if held is not None and len(held[0]):
-            q, g, ids, s = held
-            columns = [[keys[i] for i in q]]
-            if grouped:
-                columns.append(g.tolist())
-            columns += [ids.tolist(), s]
-            arrow = [
-                pa.array(c, type=t) for c, t in zip(columns, target(pa))
-            ]
-            yield pa.RecordBatch.from_arrays(arrow, names=names)
-
-    kinds = [f.dataType.simpleString() for f in schema.fields]
-    names = schema.fieldNames()
-
-    def target(pa):
-        known = {
-            "bigint": pa.int64(),
-            "int": pa.int32(),
-            "string": pa.string(),
-            "double": pa.float64(),
-        }
-        return [known[kind] for kind in kinds]
+                    floor[full] = bound
+        if held is None:
+            return
+        slot, ids, s = held
+        columns = [[keys[i] for i in ((slot >> 32) if grouped else slot).tolist()]]
+        if grouped:
+            label = {code: g for g, code in codes.items()}
+            columns.append([label[c] for c in (slot & 0xFFFFFFFF).tolist()])
+        columns += [ids.tolist(), s]
+        types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+        arrays = [pa.array(c, type=types[kind]) for c, kind in zip(columns, kinds)]
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
 

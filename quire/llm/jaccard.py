@@ -30,11 +30,32 @@ HEAVY = 20_000
 SALTS = 16
 # Bits of the filter that finds texts to verify: a fixed 4 MB; false hits only cost time.
 BLOOM_BITS = 25
-SUFFIX_BUCKETS = 64
+# Elements of a set per counter of its suffix summary, at most, and the fewest counters.
+BUCKET_LOAD, LEAST_BUCKETS = 4, 16
 # Partners a row is given per round before the links found so far are merged.
 FAN = 8
 
 
+def bucket_counts(values: np.ndarray) -> bytes:
+    """Elements of a set in equal ranges of the hash, a power of two of them; 255 stands for any larger count."""
+    bits = max(LEAST_BUCKETS.bit_length() - 1, (-(-len(values) // BUCKET_LOAD) - 1).bit_length())
+    held = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    """Upper bound on the overlap of two sets: the smaller count of each range, summed."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    for big, small in ((x, y), (y, x)):
+        if len(big) > len(small):
+            parts = big.reshape(len(small), -1)
+            folded = np.where((parts == 255).any(1), 255, np.minimum(parts.sum(1), 255))
+            x, y = folded, small
+            break
+    least = np.minimum(x, y)
+    return 1 << 40 if (least == 255).any() else int(least.sum())
+
+
 def _slot(values: np.ndarray) -> np.ndarray:
     return (values & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
@@ -50,8 +71,8 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def describe_sets(docs: DataFrame, id_column: str, width: int = WIDTH) -> DataFrame:
     """One row per document: id, text hash ``th``, class ``cid``, ``n_shingles``, ``buckets``.
 
-    The class is a hash of the set. ``buckets`` counts the set's elements in a
-    few hash ranges. Rows with ``piece`` set carry, per task, the counters of
+    The class is a hash of the set. ``buckets`` counts the set's elements in
+    hash ranges. Rows with ``piece`` set carry, per task, the counters of
     the frequency sketch, to which each class adds once a task at most per
     8,192 classes in a row.
     """
@@ -70,8 +91,7 @@ def describe_sets(docs: DataFrame, id_column: str, width: int = WIDTH) -> DataFr
                 if cid is None:
                     rows.append(None)
                     continue
-                held = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=SUFFIX_BUCKETS)
-                rows.append(np.minimum(held, 65535).astype("<u2").tobytes())
+                rows.append(bucket_counts(s))
                 if cid not in seen:
                     seen.add(cid)
                     np.add.at(counters, _slot(s), np.uint32(1))
@@ -132,7 +152,10 @@ def collect_sketch(described: DataFrame) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
-    """``token``, ``salt``, ``cid``, ``n``, ``place``: the rarest shingles of every class, rare first.
+    """``token``, ``cid``, ``meta``: the rarest shingles of every class, rare first.
+
+    ``meta`` packs the size of the set, the place of the token in its order, and
+    whether the token is heavy, so that rows stay small in the shuffle.
 
     A class of n shingles needs n - ceil(percent * n / 100) + 1 of them: two
     classes that are similar enough share at least one.
@@ -153,8 +176,8 @@ def prefix_rows(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
                 order = np.argsort(count[_slot(s)], kind="stable")[:take]
                 tokens.append(s[order])
                 cids.append(np.full(take, cid, np.int64))
-                sizes.append(np.full(take, n, np.int32))
-                places.append(np.arange(take, dtype=np.int32))
+                sizes.append(np.full(take, n, np.int64))
+                places.append(np.arange(take, dtype=np.int64))
             if len(seen) > 65_536:
                 seen.clear()
             if not tokens:
@@ -164,58 +187,69 @@ def prefix_rows(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "token": pa.array(_signed(token)),
-                    "salt": pa.array(np.where(heavy, 1 + cid % SALTS, 0).astype(np.int32)),
                     "cid": pa.array(cid),
-                    "n": pa.array(np.concatenate(sizes)),
-                    "place": pa.array(np.concatenate(places)),
+                    "meta": pa.array(np.concatenate(sizes) << 33 | np.concatenate(places) << 1 | heavy),
                 }
             )
 
-    return docs.select("text").mapInArrow(run, "token long, salt int, cid long, n int, place int")
+    return docs.select("text").mapInArrow(run, "token long, cid long, meta long")
 
 
-def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+SALT = f"IF(meta & 1 = 1, 1 + pmod(cid, {SALTS}), 0)"
+
+
+def _could_link(n1, place1, n2, place2, percent: int):
+    """Length and positional filter of two classes at a shared token; n1 <= n2."""
+    need = -(-percent * (n1 + n2) // (100 + percent))
+    room = np.minimum(n1 - place1, n2 - place2) + np.minimum(place1, place2)
+    return (n1 * 100 >= n2 * percent) & (room >= need)
+
+
+def _shared_runs(percent: int):
     """Of rows sorted by token, salt, size and class: those whose token occurs in several classes.
 
     Each row gets the class before it in its run (``prev``), the link to try
-    first. Rows of salted tokens always stay. A class once a run.
+    first, if the filters let the two pass, and whether it begins a run. Rows of
+    salted tokens always stay. A class stands in a run once.
     """
-    last = None  # the row not yet emitted: it goes if it is alone in its run
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [batch.column(c).to_numpy() for c in ("token", "salt", "cid", "n", "place")]
-        if last is not None:
-            cols = [np.concatenate([a, b]) for a, b in zip(last[0], cols)]
-        t, s, c = cols[:3]
-        same = np.zeros(len(t), bool)
-        same[1:] = (t[1:] == t[:-1]) & (s[1:] == s[:-1])
-        again = same.copy()
-        again[1:] &= c[1:] == c[:-1]
-        if again.any():
-            cols = [x[~again] for x in cols]
-            t, s, c = cols[:3]
-            same = same[~again]
-        if last is not None:
-            same[0] = last[1]
-        prev = np.zeros(len(t), np.int64)
-        prev[1:] = c[:-1]
-        if last is not None:
-            prev[0] = last[2]
-        follow = np.append(same[1:], True)
-        keep = same | follow | (s > 0)
-        keep[-1] = False
-        if keep.any():
-            yield _run_rows(cols, same, prev, keep)
-        last = ([x[-1:] for x in cols], bool(same[-1]), int(prev[-1]))
-    if last is not None and (last[1] or last[0][1][0] > 0):
-        yield _run_rows(last[0], np.array([last[1]]), np.array([last[2]]), np.array([True]))
-
-
-def _run_rows(cols, same, prev, keep) -> pa.RecordBatch:
-    names = ("token", "salt", "cid", "n", "place")
-    out = {k: pa.array(x[keep]) for k, x in zip(names, cols)}
-    out["prev"] = pa.array(prev[keep], mask=~same[keep])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the row not yet emitted: it goes if it is alone in its run
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy() for c in ("token", "salt", "cid", "meta")]
+            if last is not None:
+                cols = [np.concatenate([a, b]) for a, b in zip(last[0], cols)]
+            same = np.zeros(len(cols[0]), bool)
+            same[1:] = (cols[0][1:] == cols[0][:-1]) & (cols[1][1:] == cols[1][:-1])
+            again = same.copy()
+            again[1:] &= cols[2][1:] == cols[2][:-1]
+            if again.any():
+                cols, same = [x[~again] for x in cols], same[~again]
+            if last is not None:
+                same[0] = last[1]
+            prev, ok = np.zeros(len(same), np.int64), np.zeros(len(same), bool)
+            prev[1:] = cols[2][:-1]
+            n, place = cols[3] >> 33, (cols[3] >> 1) & 0xFFFFFFFF
+            ok[1:] = same[1:] & _could_link(n[:-1], place[:-1], n[1:], place[1:], percent)
+            if last is not None:
+                prev[0], ok[0] = last[2], last[3]
+            keep = same | np.append(same[1:], True) | (cols[1] > 0)
+            keep[-1] = False
+            if keep.any():
+                yield _run_rows(cols, same, prev, ok, keep)
+            last = ([x[-1:] for x in cols], bool(same[-1]), int(prev[-1]), bool(ok[-1]))
+        if last is not None and (last[1] or last[0][1][0] > 0):
+            yield _run_rows(last[0], *(np.array([x]) for x in last[1:]), np.array([True]))
+
+    return run
+
+
+def _run_rows(cols, same, prev, ok, keep) -> pa.RecordBatch:
+    out = {k: pa.array(x[keep]) for k, x in zip(("token", "salt", "cid", "meta"), cols)}
+    out["prev"] = pa.array(prev[keep], mask=~ok[keep])
+    out["head"] = pa.array(~same[keep])
     return pa.RecordBatch.from_pydict(out)
 
 
@@ -242,9 +276,7 @@ def _cross_pairs(percent: int, fan: int):
                 other = np.flatnonzero(root[a:i] != root[i]) + a
                 if not len(other):
                     continue
-                need = -(-percent * (n[other] + n[i]) // (100 + percent))
-                room = np.minimum(n[other] - place[other], n[i] - place[i]) + np.minimum(place[other], place[i])
-                other = other[room >= need]
+                other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
                 if fan:
                     other = other[-fan:]
                 if len(other):
@@ -254,7 +286,10 @@ def _cross_pairs(percent: int, fan: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("cid", "root", "n", "place")], 1)
+            meta = batch.column("meta").to_numpy()
+            rows = np.stack(
+                [batch.column("cid").to_numpy(), batch.column("root").to_numpy(), meta >> 33, (meta >> 1) & 0xFFFFFFFF], 1
+            )
             t = batch.column("token").to_numpy()
             edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
@@ -306,8 +341,13 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 )
 
     made = _with_hash(docs, None).mapInArrow(run, "cid long, th long, shingles array<long>")
+    # by class alone, so that the same shuffle serves the join and what drops repeats
+    named = wanted.select(F.col("cid").alias("_c"), F.col("th").alias("_t")).hint("merge")
     return (
-        made.join(wanted.hint("merge"), ["cid", "th"], "left_semi").select("cid", "shingles").dropDuplicates(["cid"])
+        made.join(named, made["cid"] == named["_c"])
+        .where(F.col("th") == F.col("_t"))
+        .select("cid", "shingles")
+        .dropDuplicates(["cid"])
     )
 
 
@@ -324,13 +364,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, SUFFIX_BUCKETS).astype(np.int64)
-                for c in ("buckets_a", "buckets_b")
-            )
-            # a count of 65535 stands for any larger one
-            most = np.where(np.minimum(x, y) == 65535, 1 << 40, np.minimum(x, y)).sum(1)
-            ok = pa.array(most >= batch.column("need").to_numpy())
+            pairs = zip(*(batch.column(c).to_pylist() for c in ("buckets_a", "buckets_b", "need")))
+            ok = pa.array([most_shared(x, y) >= need for x, y, need in pairs])
             yield batch.filter(ok).select(["a", "b", "th_a", "th_b", "need"])
 
     kept = materialise(
@@ -385,14 +420,15 @@ def near_copies(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     prefixes = prefix_rows(docs, sketch, width, percent)
     runs = materialise(
-        prefixes.repartition(parts, "token", "salt")
-        .sortWithinPartitions("token", "salt", "n", "cid")
-        .mapInArrow(_shared_runs, "token long, salt int, cid long, n int, place int, prev long"),
+        prefixes.repartition(parts, "token", F.expr(SALT))
+        .select("token", F.expr(SALT).cast("int").alias("salt"), "cid", "meta")
+        .sortWithinPartitions("token", "salt", "meta", "cid")
+        .mapInArrow(_shared_runs(percent), "token long, salt int, cid long, meta long, prev long, head boolean"),
         "runs",
     )
     chain = runs.where("prev IS NOT NULL").select(F.least("prev", "cid").alias("a"), F.greatest("prev", "cid").alias("b"))
     # the parts of a salted run are chained by their smallest classes
-    heads = runs.where("salt > 0 AND prev IS NULL").groupBy("token").agg(F.sort_array(F.collect_set("cid")).alias("h"))
+    heads = runs.where("salt > 0 AND head").groupBy("token").agg(F.sort_array(F.collect_set("cid")).alias("h"))
     steps = F.expr("transform(sequence(1, size(h) - 1), i -> struct(h[i - 1] AS a, h[i] AS b))")
     across = heads.where("size(h) > 1").select(F.explode(steps).alias("p")).select("p.a", "p.b")
     pairs = chain.union(across).distinct()
@@ -401,14 +437,14 @@ def near_copies(
     for fan in (FAN, 0):
         # shingles that still join several components
         roots = found.select(F.col("id").alias("cid"), "root")
-        placed = runs.select("token", "cid", "n", "place").join(roots, "cid", "left").withColumn(
+        placed = runs.select("token", "cid", "meta").join(roots, "cid", "left").withColumn(
             "root", F.coalesce("root", "cid")
         )
         mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
         open_runs = placed.join(mixed.select("token"), "token", "left_semi")
         more = (
             open_runs.repartition(parts, "token")
-            .sortWithinPartitions("token", "n", "cid")
+            .sortWithinPartitions("token", "meta", "cid")
             .mapInArrow(_cross_pairs(percent, fan), "a long, b long")
             .distinct()
         )

@@ -264,8 +264,17 @@ def _cross_pairs(percent: int, fan: int):
         held: list[np.ndarray] = []
         token = None
 
-        def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            rows = np.concatenate(parts)
+        found: list[np.ndarray] = []
+        size = 0
+
+        def keep(x: np.ndarray, y: np.ndarray) -> None:
+            nonlocal size
+            if len(x):
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+                size += len(x)
+
+        def settle(rows: np.ndarray) -> None:
+            """All pairs of one token's rows."""
             if len(rows) < 2 or (rows[:, 1] == rows[0, 1]).all():
                 return
             cid, root, n, place = rows.T
@@ -274,14 +283,18 @@ def _cross_pairs(percent: int, fan: int):
             for i in range(1, len(rows)):
                 a = int(low[i])
                 other = np.flatnonzero(root[a:i] != root[i]) + a
-                if not len(other):
-                    continue
-                other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
-                if fan:
-                    other = other[-fan:]
                 if len(other):
-                    x, y = cid[other], np.full(len(other), cid[i])
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+                    other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
+                    if fan:
+                        other = other[-fan:]
+                    keep(cid[other], np.full(len(other), cid[i]))
+
+        def drain() -> pa.RecordBatch:
+            nonlocal size
+            a, b = np.concatenate(found, axis=1)
+            found.clear()
+            size = 0
+            return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches:
             if not batch.num_rows:
@@ -292,14 +305,29 @@ def _cross_pairs(percent: int, fan: int):
             )
             t = batch.column("token").to_numpy()
             edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            # most runs that lie inside the batch have two rows: all of those at once
+            inner = np.flatnonzero(np.diff(edges) == 2)
+            inner = inner[(inner > 0) & (inner < len(edges) - 2)]
+            x, y = rows[edges[inner]], rows[edges[inner] + 1]
+            near = (x[:, 1] != y[:, 1]) & _could_link(x[:, 2], x[:, 3], y[:, 2], y[:, 3], percent)
+            keep(x[near, 0], y[near, 0])
+            settled = np.zeros(len(edges), bool)
+            settled[inner] = True
+            for k in np.flatnonzero(~settled[:-1]).tolist():
+                a, b = int(edges[k]), int(edges[k + 1])
                 if held and int(t[a]) != token:
-                    yield from flush(held)
+                    settle(np.concatenate(held))
                     held = []
                 token = int(t[a])
                 held.append(rows[a:b])
+                if size > 100_000:
+                    yield drain()
+            if size:
+                yield drain()
         if held:
-            yield from flush(held)
+            settle(np.concatenate(held))
+        if size:
+            yield drain()
 
     return run
 
@@ -432,7 +460,8 @@ def near_copies(
     steps = F.expr("transform(sequence(1, size(h) - 1), i -> struct(h[i - 1] AS a, h[i] AS b))")
     across = heads.where("size(h) > 1").select(F.explode(steps).alias("p")).select("p.a", "p.b")
     pairs = chain.union(across).distinct()
-    links = materialise(_verified(docs, classes, pairs, width, percent), "verified")
+    tried = materialise(pairs, "tried")
+    links = materialise(_verified(docs, classes, tried, width, percent), "verified")
     found = components(links)
     for fan in (FAN, 0):
         # shingles that still join several components
@@ -448,9 +477,10 @@ def near_copies(
             .mapInArrow(_cross_pairs(percent, fan), "a long, b long")
             .distinct()
         )
-        more = materialise(more.join(links, ["a", "b"], "left_anti"), "pairs")
+        more = materialise(more.join(tried, ["a", "b"], "left_anti"), "tried")
         if not _any(more):
             break
+        tried = tried.union(more)
         links = materialise(links.union(_verified(docs, classes, more, width, percent)), "verified")
         found = components(links)
     named = classes.join(found.select(F.col("id").alias("cid"), "root"), "cid", "left").select(

@@ -154,8 +154,8 @@ def collect_sketch(described: DataFrame) -> np.ndarray:
 def prefix_rows(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
     """``token``, ``cid``, ``meta``: the rarest shingles of every class, rare first.
 
-    ``meta`` packs the size of the set, the place of the token in its order, and
-    whether the token is heavy, so that rows stay small in the shuffle.
+    ``meta`` packs the place of the token in the set's order, the size of the
+    set, and whether the token is heavy, so that rows stay small in the shuffle.
 
     A class of n shingles needs n - ceil(percent * n / 100) + 1 of them: two
     classes that are similar enough share at least one.
@@ -188,7 +188,7 @@ def prefix_rows(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
                 {
                     "token": pa.array(_signed(token)),
                     "cid": pa.array(cid),
-                    "meta": pa.array(np.concatenate(sizes) << 33 | np.concatenate(places) << 1 | heavy),
+                    "meta": pa.array(np.concatenate(places) << 33 | np.concatenate(sizes) << 1 | heavy),
                 }
             )
 
@@ -198,19 +198,26 @@ def prefix_rows(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
 SALT = f"IF(meta & 1 = 1, 1 + pmod(cid, {SALTS}), 0)"
 
 
+def _unpack(meta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Size of the set and place of the token."""
+    return (meta >> 1) & 0xFFFFFFFF, meta >> 33
+
+
 def _could_link(n1, place1, n2, place2, percent: int):
-    """Length and positional filter of two classes at a shared token; n1 <= n2."""
+    """Length and positional filter of two classes at a shared token."""
     need = -(-percent * (n1 + n2) // (100 + percent))
     room = np.minimum(n1 - place1, n2 - place2) + np.minimum(place1, place2)
-    return (n1 * 100 >= n2 * percent) & (room >= need)
+    return (np.minimum(n1, n2) * 100 >= np.maximum(n1, n2) * percent) & (room >= need)
 
 
 def _shared_runs(percent: int):
-    """Of rows sorted by token, salt, size and class: those whose token occurs in several classes.
+    """Of rows sorted by token, salt, place and class: those whose token occurs in several classes.
 
-    Each row gets the class before it in its run (``prev``), the link to try
-    first, if the filters let the two pass, and whether it begins a run. Rows of
-    salted tokens always stay. A class stands in a run once.
+    Each row gets the links to try first, if the filters let them pass: the
+    class before it in its run (``prev``) and the first of the run (``hub``).
+    The first has the fewest rarer shingles: of edited copies of a text, that is
+    the text, to which all of them are closer than to each other. ``head`` marks
+    the first. Rows of salted tokens always stay. A class stands in a run once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,37 +234,46 @@ def _shared_runs(percent: int):
             again[1:] &= cols[2][1:] == cols[2][:-1]
             if again.any():
                 cols, same = [x[~again] for x in cols], same[~again]
-            if last is not None:
-                same[0] = last[1]
+            # the first row of each row's run, which may lie before this batch
+            begun = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+            hub, hub_meta = cols[2][begun], cols[3][begun]
+            if last is not None and last[1]:
+                same[0] = True
+                earlier = begun == 0
+                hub[earlier], hub_meta[earlier] = last[2], last[3]
+            n, place = _unpack(cols[3])
             prev, ok = np.zeros(len(same), np.int64), np.zeros(len(same), bool)
             prev[1:] = cols[2][:-1]
-            n, place = cols[3] >> 33, (cols[3] >> 1) & 0xFFFFFFFF
             ok[1:] = same[1:] & _could_link(n[:-1], place[:-1], n[1:], place[1:], percent)
             if last is not None:
-                prev[0], ok[0] = last[2], last[3]
+                prev[0], ok[0] = last[4], last[5]
+            near = same & _could_link(*_unpack(hub_meta), n, place, percent)
             keep = same | np.append(same[1:], True) | (cols[1] > 0)
             keep[-1] = False
+            out = (same, prev, ok, hub, near)
             if keep.any():
-                yield _run_rows(cols, same, prev, ok, keep)
-            last = ([x[-1:] for x in cols], bool(same[-1]), int(prev[-1]), bool(ok[-1]))
+                yield _run_rows([x[keep] for x in cols], *(x[keep] for x in out))
+            last = ([x[-1:] for x in cols], bool(same[-1]), int(hub[-1]), int(hub_meta[-1]), int(prev[-1]), bool(ok[-1]))
+            rest = [x[-1:] for x in out]
         if last is not None and (last[1] or last[0][1][0] > 0):
-            yield _run_rows(last[0], *(np.array([x]) for x in last[1:]), np.array([True]))
+            yield _run_rows(last[0], *rest)
 
     return run
 
 
-def _run_rows(cols, same, prev, ok, keep) -> pa.RecordBatch:
-    out = {k: pa.array(x[keep]) for k, x in zip(("token", "salt", "cid", "meta"), cols)}
-    out["prev"] = pa.array(prev[keep], mask=~ok[keep])
-    out["head"] = pa.array(~same[keep])
+def _run_rows(cols, same, prev, ok, hub, near) -> pa.RecordBatch:
+    out = {k: pa.array(x) for k, x in zip(("token", "salt", "cid", "meta"), cols)}
+    out["prev"] = pa.array(prev, mask=~ok)
+    out["hub"] = pa.array(hub, mask=~near)
+    out["head"] = pa.array(~same)
     return pa.RecordBatch.from_pydict(out)
 
 
 def _cross_pairs(percent: int, fan: int):
     """Pairs of one token in different components, by length and positional filter.
 
-    Rows come sorted by token, size and class. ``fan`` bounds the partners a row
-    is given in this round; 0 gives all of them.
+    Rows come sorted by token, place and class. ``fan`` bounds the partners a
+    row is given in this round, the first of the run; 0 gives all of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,15 +294,12 @@ def _cross_pairs(percent: int, fan: int):
             if len(rows) < 2 or (rows[:, 1] == rows[0, 1]).all():
                 return
             cid, root, n, place = rows.T
-            # sizes ascend: the partners of a row lie between the first long enough one and itself
-            low = np.searchsorted(n * 100, n * percent)
             for i in range(1, len(rows)):
-                a = int(low[i])
-                other = np.flatnonzero(root[a:i] != root[i]) + a
+                other = np.flatnonzero(root[:i] != root[i])
                 if len(other):
                     other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
                     if fan:
-                        other = other[-fan:]
+                        other = other[:fan]
                     keep(cid[other], np.full(len(other), cid[i]))
 
         def drain() -> pa.RecordBatch:
@@ -300,9 +313,7 @@ def _cross_pairs(percent: int, fan: int):
             if not batch.num_rows:
                 continue
             meta = batch.column("meta").to_numpy()
-            rows = np.stack(
-                [batch.column("cid").to_numpy(), batch.column("root").to_numpy(), meta >> 33, (meta >> 1) & 0xFFFFFFFF], 1
-            )
+            rows = np.stack([batch.column("cid").to_numpy(), batch.column("root").to_numpy(), *_unpack(meta)], 1)
             t = batch.column("token").to_numpy()
             edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
             # most runs that lie inside the batch have two rows: all of those at once
@@ -426,7 +437,7 @@ def near_copies(
 
     No link is lost and not every pair is tried: pairs within a component that
     is already known are left out. First each class is tried with its
-    predecessor in every prefix shingle's run, then with a few others, then with
+    predecessor and the first class in every prefix shingle's run, then with a few others, then with
     all that are still in other components and pass the filters. Shingles and
     classes are 64-bit hashes.
     """
@@ -451,10 +462,11 @@ def near_copies(
         prefixes.repartition(parts, "token", F.expr(SALT))
         .select("token", F.expr(SALT).cast("int").alias("salt"), "cid", "meta")
         .sortWithinPartitions("token", "salt", "meta", "cid")
-        .mapInArrow(_shared_runs(percent), "token long, salt int, cid long, meta long, prev long, head boolean"),
+        .mapInArrow(_shared_runs(percent), "token long, salt int, cid long, meta long, prev long, hub long, head boolean"),
         "runs",
     )
-    chain = runs.where("prev IS NOT NULL").select(F.least("prev", "cid").alias("a"), F.greatest("prev", "cid").alias("b"))
+    tries = runs.select(F.explode(F.array("prev", "hub")).alias("other"), "cid").where("other <> cid")
+    chain = tries.select(F.least("other", "cid").alias("a"), F.greatest("other", "cid").alias("b"))
     # the parts of a salted run are chained by their smallest classes
     heads = runs.where("salt > 0 AND head").groupBy("token").agg(F.sort_array(F.collect_set("cid")).alias("h"))
     steps = F.expr("transform(sequence(1, size(h) - 1), i -> struct(h[i - 1] AS a, h[i] AS b))")

@@ -14,7 +14,11 @@ from quire.functions.columns import as_col
 # (pattern, replacement) in order of application.
 HTML_RULES = [
     (r"(?is)<!--.*?-->", ""),
-    (r"(?is)<(script|style|head|template|noscript)\b.*?</(script|style|head|template|noscript)\s*>", ""),
+    (r"(?is)<script\b.*?</script\s*>", ""),
+    (r"(?is)<style\b.*?</style\s*>", ""),
+    (r"(?is)<template\b.*?</template\s*>", ""),
+    (r"(?is)<noscript\b.*?</noscript\s*>", ""),
+    (r"(?is)<head\b.*?</head\s*>", ""),
     (r"(?is)<h1\b[^>]*>", "\n\n# "),
     (r"(?is)<h2\b[^>]*>", "\n\n## "),
     (r"(?is)<h3\b[^>]*>", "\n\n### "),
@@ -33,21 +37,29 @@ HTML_RULES = [
     (r"&gt;", ">"),
     (r"&quot;", '"'),
     (r"&#39;", "'"),
+    (r"&apos;", "'"),
     (r"&amp;", "&"),
     (r"[ \t]+", " "),
     (r" ?\n ?", "\n"),
     (r"\n\n+", "\n\n"),
 ]
+# How many of the rules remove hidden parts, before links are read. Scripts go first: they may hold any tag.
+HIDDEN_RULES = 6
 # Links keep target and label; the replacement syntax differs between engines.
-LINK_PATTERN = r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a\s*>'
+LINK_PATTERNS = [
+    r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a\s*>',
+    r"(?is)<a\b[^>]*\bhref='([^']*)'[^>]*>(.*?)</a\s*>",
+]
 
 
 def html_to_markdown(html) -> Column:
     """Markdown of an HTML text: headings, lists, emphasis, links, entities."""
-    text = F.regexp_replace(as_col(html), HTML_RULES[0][0], HTML_RULES[0][1])
-    text = F.regexp_replace(text, HTML_RULES[1][0], HTML_RULES[1][1])
-    text = F.regexp_replace(text, LINK_PATTERN, "[$2]($1)")
-    for pattern, replacement in HTML_RULES[2:]:
+    text = as_col(html)
+    for pattern, replacement in HTML_RULES[:HIDDEN_RULES]:
+        text = F.regexp_replace(text, pattern, replacement)
+    for pattern in LINK_PATTERNS:
+        text = F.regexp_replace(text, pattern, "[$2]($1)")
+    for pattern, replacement in HTML_RULES[HIDDEN_RULES:]:
         text = F.regexp_replace(text, pattern, replacement)
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 

@@ -14,16 +14,17 @@ from quire.functions.sizes import estimated_pages
 # Status messages.
 NO_BODY = "No binary data provided"
 UNSUPPORTED = "Unsupported file type: "
+NO_TEXT = "Body is not valid UTF-8 text"
 
 
 def plain_text(content: Column) -> Column:
-    """Body decoded as UTF-8."""
-    return F.decode(content, "UTF-8")
+    """Body as text, NULL where it is not valid UTF-8."""
+    return F.try_validate_utf8(content.cast("string"))
 
 
 def html_text(content: Column) -> Column:
-    """Body decoded as UTF-8 HTML and turned into markdown."""
-    return html_to_markdown(F.decode(content, "UTF-8"))
+    """HTML body turned into markdown, NULL where it is not valid UTF-8."""
+    return html_to_markdown(plain_text(content))
 
 
 def extract(
@@ -34,20 +35,24 @@ def extract(
 ) -> DataFrame:
     """Markdown table from JVM expressions; errors become data.
 
+    A NULL or unknown extension, a NULL body, and a body of which the extractor
+    makes NULL are rows that did not succeed, each with its message.
+
     The text is a column of its own before the figures are taken from it, so
     the extractor runs once per row.
     """
     body, ext = F.col("binary_content"), F.col("file_extension")
-    known = F.lower(ext).isin(*supported)
-    good = known & body.isNotNull()
-    staged = store.withColumn("_text", F.when(good, extractor(body)))
+    known = F.coalesce(F.lower(ext).isin(*supported), F.lit(False))
+    staged = store.withColumn("_text", F.when(known & body.isNotNull(), extractor(body)))
+    good = F.col("_text").isNotNull()
     length = F.coalesce(F.length("_text"), F.lit(0)).cast("long")
     return staged.select(
         *[c for c in DOCUMENT_STORE.fieldNames() if c != "binary_content"],
         good.alias("extraction_success"),
         F.col("_text").alias("markdown_content"),
-        F.when(~known, F.concat(F.lit(UNSUPPORTED), ext))
+        F.when(~known, F.concat(F.lit(UNSUPPORTED), F.coalesce(ext, F.lit(""))))
         .when(body.isNull(), F.lit(NO_BODY))
+        .when(~good, F.lit(NO_TEXT))
         .alias("error_message"),
         (F.lit(0.0) if seconds is None else seconds).cast("double").alias("processing_time_seconds"),
         length.alias("character_count"),

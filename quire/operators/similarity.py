@@ -10,11 +10,8 @@ block, each block's hits written to the shared scratch folder.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.ml.feature import (
-    IDF,
     IDF,
     BucketedRandomProjectionLSH,
     HashingTF,
@@ -25,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quire.functions.text import words
 from quire.functions.vectors import with_hashed_counts, with_unit
@@ -83,7 +81,9 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` best index rows per question (per question and group) by cosine.
 
-    Returns question, [group,] id, score, rank. Equal scores are ranked by id.
+    Returns question, [group,] id, score, rank. Equal scores are ranked by id,
+    null ids first. Each question row is a question of its own, also where its
+    id is null or repeated.
 
     ``scope`` lists pairs of a frame (question, key) and the index column the
     key belongs to: a question then sees only the rows with one of its keys in
@@ -96,22 +96,23 @@ def top_k(
     if rows is not None and _fits(rows):
         return _top_k_block(index, asked.schema[question], rows, k, id_col, vector, scope, group)
 
-    asked = checkpoint(asked)  # read once per block
-    blocks = 2 * math.ceil(asked.count() / block_rows) if rows is None else 2
     path = scratch_path(index.sparkSession, "hits")
-    while True:
-        number = F.pmod(F.xxhash64(question), F.lit(blocks))
-        parts = (bounded_rows(asked.filter(number == b), block_rows) for b in range(blocks))
-        done = 0
-        for b, part in enumerate(parts):
-            if part is None or not _fits(part):
-                break
-            hits = _top_k_block(index, asked.schema[question], part, k, id_col, vector, scope, group)
-            hits.write.mode("overwrite").parquet(f"{path}/of={blocks}/block={b}")
-            done += 1
-        if done == blocks:
-            return index.sparkSession.read.parquet(f"{path}/of={blocks}").drop("block")
-        blocks *= 2
+    for b, part in enumerate(_blocks(checkpoint(asked), block_rows)):
+        hits = _top_k_block(index, asked.schema[question], part, k, id_col, vector, scope, group)
+        hits.write.parquet(f"{path}/block={b}")
+    return index.sparkSession.read.parquet(path).drop("block")
+
+
+def _blocks(asked: DataFrame, block_rows: int):
+    """Questions in the order they are stored, cut by rows and bytes; one partition is on the driver at a time."""
+    block: list = []
+    for row in asked.toLocalIterator():
+        if block and (len(block) >= block_rows or not _fits([*block, row])):
+            yield block
+            block = []
+        block.append(row)
+    if block:
+        yield block
 
 
 def _fits(rows: list) -> bool:
@@ -131,6 +132,7 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
         T.StructField("score", T.DoubleType()),
     ]
     schema = T.StructType(fields)
+    placed = T.StructType([T.StructField("_at", T.LongType()), *fields])
     if not rows:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("rank", F.lit(None).cast("long"))
@@ -145,11 +147,11 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
         index = _with_scope(index, question_field, keys, scope)
         columns.append(F.col("_scope"))
 
-    kernel = _kernel(matrix, keys, k, group is not None, scope is not None, schema)
-    local = index.filter(F.col(vector).isNotNull()).select(*columns).mapInArrow(kernel, schema)
-    per = [name] if group is None else [name, group]
+    kernel = _kernel(matrix, keys, k, group is not None, scope is not None, placed)
+    local = index.filter(F.col(vector).isNotNull()).select(*columns).mapInArrow(kernel, placed)
+    per = ["_at"] if group is None else ["_at", group]
     order = W.partitionBy(*per).orderBy(F.desc("score"), F.asc("id"))
-    return local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k)
+    return local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k).drop("_at")
 
 
 def _with_scope(index, question_field, keys, scope) -> DataFrame:
@@ -194,28 +196,34 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
     digits, cells = SCORE_DIGITS, CELLS
     slack = 1.1 * 10.0**-digits  # rounding may lift a score up to the bound
     n_questions, width = matrix.shape
-    kinds = [f.dataType.simpleString() for f in schema.fields]
     names = schema.fieldNames()
+    key_type = to_arrow_type(schema.fields[1].dataType)
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         def plain(column):
-            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-                return np.array(column.to_pylist(), dtype="U")
-            return column.to_numpy(zero_copy_only=False)
-
-        def best(slot, ids, s):
+            """Values and which of them are there; whole numbers stay whole numbers."""
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            if pa.types.is_integer(column.type):
+                return column.fill_null(0).to_numpy(zero_copy_only=False), there
+            values = np.empty(len(column), dtype=object)
+            values[:] = column.to_pylist()
+            if not there.all():
+                values[~there] = values[there][0] if there.any() else ""
+            return values, there
+
+        def best(slot, ids, there, s):
             """First k entries of every slot, best score first."""
-            order = np.lexsort((ids, -s, slot))
-            slot, ids, s = slot[order], ids[order], s[order]
+            order = np.lexsort((ids, there, -s, slot))
+            slot, ids, there, s = slot[order], ids[order], there[order], s[order]
             starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
             sizes = np.diff(np.append(starts, len(slot)))
             keep = np.arange(len(slot)) - np.repeat(starts, sizes) < k
             full = sizes >= k
             bounds = slot[starts[full]], s[starts[full] + k - 1]
-            return (slot[keep], ids[keep], s[keep]), bounds
+            return (slot[keep], ids[keep], there[keep], s[keep]), bounds
 
         codes: dict = {}
         held = None
@@ -230,10 +238,13 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
             length = np.linalg.norm(block, axis=1, keepdims=True)
             real = length[:, 0] > 0
             block = block / np.where(length > 0, length, 1.0)
-            ids = plain(batch.column("_id"))
+            ids, there = plain(batch.column("_id"))
+            id_type = batch.schema.field("_id").type
             if grouped:
-                here, place = np.unique(plain(batch.column("_group")), return_inverse=True)
-                group = np.array([codes.setdefault(g, len(codes)) for g in here.tolist()], dtype="int64")[place]
+                coded = batch.column("_group").dictionary_encode(null_encoding="encode")
+                group_type = batch.schema.field("_group").type
+                here = [codes.setdefault(g, len(codes)) for g in coded.dictionary.to_pylist()]
+                group = np.array(here, dtype="int64")[coded.indices.to_numpy()]
             if scoped:
                 lists = batch.column("_scope")
                 sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -267,7 +278,8 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
                         good &= (full[at] != slot) | (value >= bound[at] - slack)
                 else:
                     good &= value >= floor[col] - slack
-                found = slot[good], ids[lo:hi][row[good]], np.round(value[good], digits) + 0.0
+                score = np.round(value[good], digits) + 0.0
+                found = slot[good], ids[lo:hi][row[good]], there[lo:hi][row[good]], score
                 if held is not None:
                     found = tuple(np.concatenate(p) for p in zip(held, found))
                 lo = hi
@@ -278,14 +290,14 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
                     floor[full] = bound
         if held is None:
             return
-        slot, ids, s = held
-        columns = [[keys[i] for i in ((slot >> 32) if grouped else slot).tolist()]]
+        slot, ids, there, s = held
+        at = ((slot >> 32) if grouped else slot).tolist()
+        arrays = [pa.array(at, type=pa.int64()), pa.array([keys[i] for i in at], type=key_type)]
         if grouped:
             label = {code: g for g, code in codes.items()}
-            columns.append([label[c] for c in (slot & 0xFFFFFFFF).tolist()])
-        columns += [ids.tolist(), s]
-        types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
-        arrays = [pa.array(c, type=types[kind]) for c, kind in zip(columns, kinds)]
+            arrays.append(pa.array([label[c] for c in (slot & 0xFFFFFFFF).tolist()], type=group_type))
+        named = [v if ok else None for v, ok in zip(ids.tolist(), there.tolist())]
+        arrays += [pa.array(named, type=id_type), pa.array(s, type=pa.float64())]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run

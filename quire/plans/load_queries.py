@@ -65,14 +65,18 @@ planned AS (SELECT *, target_dir || '/' || file_name AS target_path FROM named)
 )
 
 
-def planned(spark: SparkSession, sf: str) -> DataFrame:
+# All categories: the choice of some is the feature of manifest_plan alone
+PLANNED_ALL = PLANNED.replace("WHERE category IN ('en', 'fr', 'es')", "")
+
+
+def planned(spark: SparkSession, sf: str, wanted: list[str] | None = None) -> DataFrame:
     name = paper_file_name("year", "authors", "item_id", "title")
-    return manifest.plan_loads(papers(spark, sf), LANDING, name, wanted=WANTED)
+    return manifest.plan_loads(papers(spark, sf), LANDING, name, wanted=wanted or ["all"])
 
 
 @query("manifest_plan", PLANNED + "SELECT item_id, category, target_dir, file_name, target_path FROM planned")
 def manifest_plan(spark, sf):
-    return planned(spark, sf).select("item_id", "category", "target_dir", "file_name", "target_path")
+    return planned(spark, sf, WANTED).select("item_id", "category", "target_dir", "file_name", "target_path")
 
 
 @query(
@@ -104,7 +108,7 @@ def manifest_dedupe(spark, sf):
 
 @query(
     "skip_existing",
-    PLANNED
+    PLANNED_ALL
     + f"""SELECT item_id, target_path FROM planned WHERE target_path NOT IN (
   SELECT target_path FROM planned WHERE body_bytes / 1048576.0::DOUBLE > {DONE_MB})""",
 )
@@ -114,7 +118,7 @@ def skip_existing(spark, sf):
     return joins.skip_existing(plan, there, DONE_MB).select("item_id", "target_path")
 
 
-LOG = PLANNED + f""", log AS (SELECT item_id, category, file_name,
+LOG = PLANNED_ALL + f""", log AS (SELECT item_id, category, file_name,
   body_bytes / 1048576.0::DOUBLE > {DONE_MB} AS success,
   CASE WHEN body_bytes / 1048576.0::DOUBLE > {DONE_MB} THEN body_bytes / 1048576.0::DOUBLE ELSE 0 END AS size_mb,
   CASE WHEN body_bytes / 1048576.0::DOUBLE > {DONE_MB} THEN target_path END AS stored_path,

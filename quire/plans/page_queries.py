@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.markup import HTML_RULES, LINK_PATTERN, html_title, html_to_markdown
+from quire.functions.markup import HTML_RULES, HIDDEN_RULES, LINK_PATTERNS, html_title, html_to_markdown
 from quire.functions.payloads import decode_metadata, page_metadata
 from quire.operators import joins, pages, reports
 from quire.plans.corpus import pagetext, store, with_tables
@@ -155,12 +155,11 @@ def join_results(spark, sf):
     "page_lookup",
     PAGES
     + """SELECT a.doc_id, a.page_number, length(a.ocr_text) AS n, b.total_pages AS other_pages
-FROM pagetext a JOIN (SELECT doc_id AS document, page_number AS page, total_pages FROM pagetext
-  WHERE source_filename LIKE '%.pdf') b ON a.doc_id = b.document AND a.page_number = b.page""",
+FROM pagetext a JOIN (SELECT doc_id AS document, page_number AS page, total_pages FROM pagetext) b ON a.doc_id = b.document AND a.page_number = b.page""",
 )
 def page_lookup(spark, sf):
     rows = pagetext(spark, sf)
-    other = rows.filter(F.col("source_filename").endswith(".pdf")).select(
+    other = rows.select(
         F.col("doc_id").alias("document"),
         F.col("page_number").alias("page"),
         F.col("total_pages").alias("other_pages"),
@@ -176,7 +175,7 @@ def _html_sql() -> str:
         return "'" + value.replace("'", "''") + "'"
 
     out = "html"
-    steps = HTML_RULES[:2] + [(LINK_PATTERN, r"[\2](\1)")] + HTML_RULES[2:] + [(r"^\s+|\s+$", "")]
+    steps = HTML_RULES[:HIDDEN_RULES] + [(p, r"[\2](\1)") for p in LINK_PATTERNS] + HTML_RULES[HIDDEN_RULES:] + [(r"^\s+|\s+$", "")]
     for pattern, replacement in steps:
         out = f"regexp_replace({out}, {text(pattern)}, {text(replacement)}, 'g')"
     return f"SELECT page_id, {out} AS markdown FROM pages"

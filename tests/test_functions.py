@@ -182,3 +182,25 @@ def test_metadata_is_json(spark):
     made = df.select(payloads.page_metadata(title="t", subject="s").alias("m"))
     assert made.first()[0] == '{"title":"a\\"b"}'
     assert made.select(payloads.decode_metadata("m")["title"]).first()[0] == 'a"b'
+
+
+def test_bad_bytes_are_rows(spark):
+    """A body that is no text, a missing body and a missing extension are failed rows with a message."""
+    from quire.contracts import DOCUMENT_STORE
+    from quire.operators.extract import extract
+
+    rows = [(".pdf", b"\xff\xfe"), (".pdf", b"fine"), (".pdf", None), (None, b"fine"), (".zip", b"fine")]
+    store = spark.createDataFrame(rows, "file_extension string, binary_content binary")
+    for field in DOCUMENT_STORE.fields:
+        if field.name not in store.columns:
+            store = store.withColumn(field.name, F.lit(None).cast(field.dataType))
+    got = [(r.extraction_success, r.markdown_content, r.error_message) for r in extract(store).collect()]
+    assert [g[0] for g in got] == [False, True, False, False, False]
+    assert got[1][1] == "fine" and all(g[2] for g in got if not g[0])
+
+
+def test_markup_head_links_and_entities(spark):
+    from quire.functions.markup import html_to_markdown
+
+    page = "<head><script>x</script><title>T</title></head><body>hi <a href='/u'>l</a> it&apos;s</body>"
+    assert spark.createDataFrame([(page,)], "h string").select(html_to_markdown("h")).first()[0] == "hi [l](/u) it's"

@@ -172,3 +172,28 @@ def test_field_roles(spark):
 def test_numbered_breaks_ties_by_key(spark):
     df = spark.createDataFrame([(1, "b", 0.5), (1, "a", 0.5), (1, "c", 0.9)], "q int, id string, score double")
     assert {r.id: r["rank"] for r in search.numbered(df, ["q"]).collect()} == {"c": 1, "a": 2, "b": 3}
+
+
+def test_repeated_null_and_large_ids(spark):
+    """Each question row is answered by itself, in blocks or not; ids come back as they were."""
+    big = 2**53 + 1
+    index = spark.createDataFrame(
+        [(None, [1.0, 0.0]), (big, [0.9, 0.1]), (3, [0.0, 1.0])], "id long, vector array<double>"
+    )
+    asked = spark.createDataFrame(
+        [("q", [1.0, 0.0]), ("q", [1.0, 0.0]), ("q", [0.0, 1.0]), (None, [1.0, 0.0])],
+        "question_id string, vector array<double>",
+    )
+    got = {}
+    for rows in (2, 100):
+        hits = similarity.top_k(index, asked, 2, block_rows=rows).collect()
+        got[rows] = sorted((str(r.question_id), str(r.id), r.score, r["rank"]) for r in hits)
+        assert len(hits) == 8
+    assert got[2] == got[100]
+    assert {r[1] for r in got[2]} == {"None", str(big), "3"}
+
+
+def test_string_ids_stay_null(spark):
+    index = spark.createDataFrame([(None, [1.0, 0.0]), ("a", [0.5, 0.5])], "id string, vector array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "question_id long, vector array<double>")
+    assert [r.id for r in similarity.top_k(index, asked, 2).orderBy("rank").collect()] == [None, "a"]

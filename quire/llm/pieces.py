@@ -8,6 +8,7 @@ each distinct chunk of a slice is searched once.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,8 @@ from quire.llm.arrow import slices, spread, texts_of
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 500_000
+DECODED_ROWS = 512
 # Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -183,7 +185,7 @@ class PieceEncoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary, self.lattice = vocabulary, Lattice(vocabulary)
-        self.known: dict[bytes, tuple[np.ndarray, float]] = {}
+        self._forget()
         space = SPACE.encode()
         self.table = []
         for piece, kind in zip(vocabulary.pieces, vocabulary.types):
@@ -196,14 +198,26 @@ class PieceEncoder:
             else:
                 self.table.append(piece.encode().replace(space, b" "))
 
-    def _chunk(self, chunk: bytes) -> tuple[np.ndarray, float]:
-        got = self.known.get(chunk)
-        if got is None:
-            if len(self.known) >= CACHED_CHUNKS:
-                self.known.clear()
-            ids, score = self.lattice.best(chunk.decode().replace(" ", SPACE))
-            got = self.known[chunk] = (np.array(ids, np.int32), score)
-        return got
+    def _forget(self) -> None:
+        """Chunks met so far by number; their ids lie one after another, so that a chunk costs few bytes."""
+        self.known: dict[bytes, int] = {}
+        self.ids, self.ends, self.scores = array("i"), array("q", [0]), array("d")
+
+    def _numbers(self, chunks: list[bytes]) -> np.ndarray:
+        """Numbers of distinct chunks; new ones are searched."""
+        if len(self.known) + len(chunks) > CACHED_CHUNKS:
+            self._forget()
+        known, out = self.known, []
+        for chunk in chunks:
+            number = known.get(chunk)
+            if number is None:
+                number = known[chunk] = len(known)
+                ids, score = self.lattice.best(chunk.decode().replace(" ", SPACE))
+                self.ids.extend(ids)
+                self.ends.append(len(self.ids))
+                self.scores.append(score)
+            out.append(number)
+        return np.array(out, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Offsets per text, all ids, and the score of each text."""
@@ -229,11 +243,10 @@ class PieceEncoder:
         chunks = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(marks), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        got = [self._chunk(c) for c in chunks.dictionary.to_pylist()]
-        size = np.array([len(g[0]) for g in got], np.int64)
-        which = chunks.indices.to_numpy().astype(np.int64)
-        ends, ids = spread(which, np.cumsum(size) - size, size, np.concatenate([g[0] for g in got]))
-        scores = np.concatenate([[0.0], np.cumsum(np.array([g[1] for g in got])[which])])
+        which = self._numbers(chunks.dictionary.to_pylist())[chunks.indices.to_numpy()]
+        bounds = np.array(self.ends, np.int64)
+        ends, ids = spread(which, bounds[:-1], np.diff(bounds), np.array(self.ids, np.int32))
+        scores = np.concatenate([[0.0], np.cumsum(np.array(self.scores)[which])])
         owner = np.searchsorted(starts, begins)
         return np.concatenate([[0], ends])[owner], ids, np.diff(scores[owner])
 
@@ -274,7 +287,8 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(Vocabulary.load(model))
-        for batch in batches:
+        parts = (b.slice(k, DECODED_ROWS) for b in batches for k in range(0, b.num_rows, DECODED_ROWS))
+        for batch in parts:
             texts = [None if ids is None else encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 

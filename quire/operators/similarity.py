@@ -35,7 +35,10 @@ from quire.scratch import (
     scratch_path,
 )
 
+# Digits of the score that is returned, and of the one that hits are ranked by: the latter only takes away the
+# noise of floating-point sums, so that equal vectors tie.
 SCORE_DIGITS = 6
+RANK_DIGITS = 12
 # Scores computed at once by a task.
 CELLS = 4_000_000
 # (key, question) pairs that may be broadcast to scope a search.
@@ -81,8 +84,8 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` best index rows per question (per question and group) by cosine.
 
-    Returns question, [group,] id, score, rank. Equal scores are ranked by id,
-    null ids first. Each question row is a question of its own, also where its
+    Returns question, [group,] id, score, rank. Hits are ranked by the full
+    score, the column is rounded. Equal scores are ranked by id, null ids first. Each question row is a question of its own, also where its
     id is null or repeated.
 
     ``scope`` lists pairs of a frame (question, key) and the index column the
@@ -151,7 +154,8 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
     local = index.filter(F.col(vector).isNotNull()).select(*columns).mapInArrow(kernel, placed)
     per = ["_at"] if group is None else ["_at", group]
     order = W.partitionBy(*per).orderBy(F.desc("score"), F.asc("id"))
-    return local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k).drop("_at")
+    ranked = local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k).drop("_at")
+    return ranked.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
 def _with_scope(index, question_field, keys, scope) -> DataFrame:
@@ -193,7 +197,7 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
     Scores below the k-th best one seen so far are dropped before any sorting;
     the first rows are taken in a small step so that there is such a bound.
     """
-    digits, cells = SCORE_DIGITS, CELLS
+    digits, cells = RANK_DIGITS, CELLS
     slack = 1.1 * 10.0**-digits  # rounding may lift a score up to the bound
     n_questions, width = matrix.shape
     names = schema.fieldNames()

@@ -27,14 +27,14 @@ LIMITS = {"token_threshold": 500, "size_threshold": 3000}
 BRIEF_CHARS = 2500
 
 
-def store(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+def store(spark: SparkSession, sf: str) -> DataFrame:
     """Document store, plus the document's number, source and text."""
     ext = F.when(F.col("lang") == "de", ".doc").when(F.col("lang") == "fr", ".docx").otherwise(".pdf")
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.col("file_extension"))
     folder = F.concat(F.lit(ROOT + "/"), F.col("source"))
     size = F.octet_length("text").cast("long")
     return (
-        read_parquet(spark, sf, "documents", spread)
+        read_parquet(spark, sf, "documents")
         .withColumn("file_extension", ext)
         .withColumn("file_name", name)
         .withColumn("directory", folder)
@@ -54,33 +54,33 @@ def store(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     )
 
 
-def markdown(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+def markdown(spark: SparkSession, sf: str) -> DataFrame:
     """Extraction results; the recorded time is the text length by a constant."""
-    files = store(spark, sf, spread)
+    files = store(spark, sf)
     seconds = F.length("text") / F.lit(100_000.0)
     return extract(files, seconds=seconds)
 
 
-def routed(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+def routed(spark: SparkSession, sf: str) -> DataFrame:
     """Documents to analyse with their prompts."""
     return route_documents(
-        markdown(spark, sf, spread), keep=["markdown_content"], brief_chars=BRIEF_CHARS, **LIMITS
+        markdown(spark, sf), keep=["markdown_content"], brief_chars=BRIEF_CHARS, **LIMITS
     )
 
 
-def analysis(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+def analysis(spark: SparkSession, sf: str) -> DataFrame:
     """Answers: the whole text; one source failed, one came back empty."""
     source = F.substring_index(F.substring_index("file_path", "/", -2), "/", 1)
     failed = source == FAILED_SOURCE
     result = F.when(source == EMPTY_SOURCE, F.lit("")).when(~failed, F.col("markdown_content"))
     error = F.when(failed, F.lit("request timed out"))
-    answered = routed(spark, sf, spread).withColumn("analysis_result", answer_struct(result, error))
+    answered = routed(spark, sf).withColumn("analysis_result", answer_struct(result, error))
     return with_provenance(answered, "text").drop("prompt", "markdown_content")
 
 
-def pagetext(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+def pagetext(spark: SparkSession, sf: str) -> DataFrame:
     """Page texts of 2000 characters."""
-    docs = store(spark, sf, spread).select(
+    docs = store(spark, sf).select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("file_name").alias("source_filename"),
         "file_size_bytes",
@@ -103,7 +103,7 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_index(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with vectors: id, file_name, vector."""
-    docs = store(spark, sf, spread=True).select(F.col("doc_id").alias("id"), "file_name", "text")
+    docs = store(spark, sf).select(F.col("doc_id").alias("id"), "file_name", "text")
     return embed(docs, "text")
 
 
@@ -192,3 +192,5 @@ def vectors_sql(table: str, text: str) -> str:
 
 
 SCORE = "round(list_cosine_similarity(q.v, d.v), 6) + 0.0"
+# What hits are ranked by: finer than the printed score, coarser than floating-point noise.
+CLOSENESS = "round(list_cosine_similarity(q.v, d.v), 12)"

@@ -209,11 +209,7 @@ def safe_names(spark, sf):
 
 
 def landed(spark: SparkSession, sf: str) -> str:
-    """Documents written as files, at most 200 per file, one folder per source.
-
-    Rows are spread by document before the write, so a large source fills
-    many bounded files from several tasks.
-    """
+    """Documents written as files, at most 200 per file, one folder per source."""
     path = scratch_path(spark, "landing")
     docs = read_parquet(spark, sf, "documents").select("source", F.col("text").alias("value"))
     docs.write.option("maxRecordsPerFile", 200).partitionBy("source").text(path)

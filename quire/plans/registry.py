@@ -36,4 +36,5 @@ def load_all() -> None:
         report_queries,
         search_queries,
         stream_queries,
+        table_queries,
     )

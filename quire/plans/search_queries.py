@@ -10,6 +10,7 @@ from quire.operators import evaluate, refine, search, similarity
 from quire.operators.answers import flatten_answers
 from quire.operators.pages import vector_ready
 from quire.plans.corpus import (
+    CLOSENESS,
     SCORE,
     analysis,
     document_index,
@@ -44,7 +45,7 @@ HITS_TABLES = {
     "docs": _embedded("store", "text"),
     "hits": f"""SELECT * FROM (SELECT q.question_id, q.question_text, d.doc_id AS id, d.file_name,
     d.volume_path, d.text, {SCORE} AS score,
-    row_number() OVER (PARTITION BY q.question_id ORDER BY {SCORE} DESC, d.doc_id) AS rank
+    row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.doc_id) AS rank
   FROM asked q, docs d) WHERE rank <= {HITS_K}""",
 }
 HITS = with_tables("store", **HITS_TABLES)
@@ -73,7 +74,7 @@ def centroid_questions(spark, sf) -> DataFrame:
     "knn_topk",
     CENTROIDS
     + f"""SELECT * FROM (SELECT q.question_id, d.vec_id AS id, {SCORE} AS score,
-  row_number() OVER (PARTITION BY q.question_id ORDER BY {SCORE} DESC, d.vec_id) AS rank
+  row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.vec_id) AS rank
 FROM asked q, docs d) WHERE rank <= 5""",
 )
 def knn_topk(spark, sf):
@@ -85,7 +86,7 @@ def knn_topk(spark, sf):
     "knn_in_label",
     CENTROIDS
     + f"""SELECT * FROM (SELECT q.question_id, d.vec_id AS id, {SCORE} AS score,
-  row_number() OVER (PARTITION BY q.question_id ORDER BY {SCORE} DESC, d.vec_id) AS rank
+  row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.vec_id) AS rank
 FROM asked q JOIN docs d ON d.label = q.question_id) WHERE rank <= 3""",
 )
 def knn_in_label(spark, sf):
@@ -106,7 +107,7 @@ def knn_lsh(spark, sf):
     CENTROIDS
     + f"""SELECT label AS question_id, count(*) AS expected, round(avg(CASE WHEN h.id IS NULL THEN 0 ELSE 1 END), 6) AS recall
 FROM embeddings e LEFT JOIN (SELECT * FROM (SELECT q.question_id, d.vec_id AS id,
-  row_number() OVER (PARTITION BY q.question_id ORDER BY {SCORE} DESC, d.vec_id) AS rank
+  row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.vec_id) AS rank
 FROM asked q, docs d) WHERE rank <= 20) h ON h.question_id = e.label AND h.id = e.vec_id GROUP BY label""",
 )
 def knn_recall(spark, sf):
@@ -120,7 +121,7 @@ def knn_recall(spark, sf):
 @query("tfidf_embed_search")
 def tfidf_embed_search(spark, sf):
     """Hashed TF-IDF vectors fitted on the documents, then exact search."""
-    docs = read_parquet(spark, sf, "documents", spread=True).select(F.col("doc_id").alias("id"), "text")
+    docs = read_parquet(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     asked = read_parquet(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), "text")
     model = similarity.tfidf_model(docs, "text", dimensions=512)
     return similarity.top_k(model(docs, "text"), model(asked, "text"), 5)
@@ -133,7 +134,7 @@ def tfidf_embed_search(spark, sf):
     " v[64]::BIGINT AS last_bucket, list_sum(v)::BIGINT AS words FROM d",
 )
 def embed_text(spark, sf):
-    docs = with_hashed_counts(read_parquet(spark, sf, "documents", spread=True), "text", "v").select("doc_id", "v")
+    docs = with_hashed_counts(read_parquet(spark, sf, "documents"), "text", "v").select("doc_id", "v")
     return docs.select(
         "doc_id",
         F.round(norm("v"), 6).alias("norm"),
@@ -146,7 +147,7 @@ def embed_text(spark, sf):
 # Two-stage search: summaries are the flattened answers, chunks the page texts.
 def summary_index(spark, sf) -> DataFrame:
     """The summary index as a written table."""
-    rows = flatten_answers(analysis(spark, sf, spread=True)).select("id", "file_name", "analysis_result")
+    rows = flatten_answers(analysis(spark, sf)).select("id", "file_name", "analysis_result")
     return materialise(similarity.embed(rows, "analysis_result").drop("analysis_result"), "summary-index")
 
 
@@ -178,13 +179,13 @@ TWO_STAGE_TABLES = {
     ),
     "stage1": f"""SELECT question_id, file_name, max(score) AS file_score FROM (
     SELECT q.question_id, q.search_k, d.file_name, {SCORE} AS score,
-      row_number() OVER (PARTITION BY q.question_id ORDER BY {SCORE} DESC, d.id) AS r
+      row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.id) AS r
     FROM asked q, summaries d) WHERE r <= search_k GROUP BY question_id, file_name""",
     "files": """SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY file_score DESC, file_name) AS file_rank,
     count(*) OVER (PARTITION BY question_id) AS n_files FROM stage1""",
     "stage2": f"""SELECT q.question_id, q.question_text, q.has_temporal, q.chunk_k, q.max_chunks, f.file_name,
       f.file_rank, f.n_files, d.id, d.ocr_text, {SCORE} AS score,
-      row_number() OVER (PARTITION BY q.question_id, f.file_name ORDER BY {SCORE} DESC, d.id) AS chunk_rank
+      row_number() OVER (PARTITION BY q.question_id, f.file_name ORDER BY {CLOSENESS} DESC, d.id) AS chunk_rank
     FROM asked q JOIN files f ON f.question_id = q.question_id AND f.file_rank <= q.max_files
     JOIN chunks d ON d.source_filename = f.file_name""",
     "found": """SELECT * FROM (SELECT question_id, question_text, has_temporal, 'detailed' AS mode,

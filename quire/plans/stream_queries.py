@@ -10,7 +10,7 @@ from quire.plans.load_queries import LANDED, landed
 from quire.plans.registry import query
 from quire.scratch import scratch_path
 from quire.sources.tables import read_parquet
-from quire.streaming.index_sync import current_index, start_sync
+from quire.streaming.index_sync import append_deletes, compact, current_index, start_sync
 from quire.streaming.ingest import ingest, stream_files
 
 
@@ -72,6 +72,34 @@ def stream_sync(spark, sf):
     return current_index(spark, path, "doc_id")
 
 
+@query(
+    "stream_late_rows",
+    """SELECT d.doc_id, d.text, 2::BIGINT AS edition, sha256(d.text) AS content_hash FROM documents d
+LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE coalesce(l.toxic, 0) = 0""",
+)
+def stream_late_rows(spark, sf):
+    """The second edition arrives before the first, toxic documents are deleted, more late rows come, all is compacted."""
+    landing, path, state, packed = (scratch_path(spark, n) for n in ("editions", "index", "state", "packed"))
+    docs = read_parquet(spark, sf, "documents").select("doc_id", "text")
+    schema = "doc_id long, text string, edition long"
+
+    def arrive(prefix: str, edition: int) -> None:
+        text = F.concat(F.lit(prefix), "text")
+        docs.select("doc_id", text.alias("text"), F.lit(edition).cast("long").alias("edition")).write.mode(
+            "append"
+        ).parquet(landing)
+        rows = spark.readStream.schema(schema).parquet(landing)
+        start_sync(rows, path, state, "doc_id", "text", "edition").awaitTermination()
+
+    arrive("", 2)
+    arrive("first edition: ", 1)
+    toxic = read_parquet(spark, sf, "labels").filter("toxic = 1").select("doc_id")
+    append_deletes(spark, path, toxic, "doc_id", call="toxic")
+    arrive("draft: ", 0)
+    compact(spark, path, packed, "doc_id")
+    return current_index(spark, packed, "doc_id")
+
+
 @query("stream_ingest", LANDED)
 def stream_ingest(spark, sf):
     """Landed files ingested as a stream; the rerun finds nothing new."""

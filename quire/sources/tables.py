@@ -13,18 +13,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_parquet(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
-    """One parquet table below a folder.
-
-    ``spread`` is for costly steps right after the scan: a table of fewer
-    splits than cores is then dealt out to all of them. A large table already
-    has more splits than that and is not shuffled.
-    """
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One parquet table below a folder; the reader's settings alone decide its splits."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:

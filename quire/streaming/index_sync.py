@@ -1,10 +1,15 @@
 """Index that follows its source through Structured Streaming.
 
-Every micro-batch appends its changed rows under its own epoch folder, which a
+Every micro-batch writes its changed rows to a folder of its own, which a
 repeated batch overwrites, so each change counts once. The current index is
-the latest version per key. Deletes do not show in a stream of rows: a batch
-``sync_diff`` against the source finds them, and ``append_deletes`` records
-them as versions without content.
+the highest version per key, whatever the order in which versions arrive; of
+equal versions the later batch counts, and a null version is the lowest.
+
+Deletes do not show in a stream of rows: a batch ``sync_diff`` against the
+source finds them, and ``append_deletes`` records them in folders that no batch
+writes to. A delete stands for the highest version known when it is recorded:
+late rows up to that version stay deleted, a higher version brings the key
+back, and so does the same version in a later batch.
 
 The change folder and the state folder of the stream belong together: a stream
 started anew needs a new change folder.
@@ -12,6 +17,7 @@ started anew needs a new change folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +29,8 @@ from quire.scratch import broadcast_if_small, checkpoint
 
 TRIGGERED = "TRIGGERED"
 CONTINUOUS = "CONTINUOUS"
+# Columns of the change folder that are not part of the index.
+INTERNAL = ("deleted", "row_version", "epoch", "call")
 
 
 def start_sync(
@@ -38,22 +46,24 @@ def start_sync(
 ) -> StreamingQuery:
     """Follow a streaming source into the change folder of an index.
 
-    ``version`` orders several rows of one key within a batch. ``prepare`` adds
-    columns to the changed rows only, such as their vectors. TRIGGERED handles
-    what is there and stops; CONTINUOUS keeps running.
+    ``version`` orders the rows of one key, within a batch and across batches;
+    of equal versions within a batch the one with the largest content hash
+    counts. ``prepare`` adds columns to the changed rows only, such as their
+    vectors. TRIGGERED handles what is there and stops; CONTINUOUS keeps running.
     """
     others = [c for c in source.columns if c != key]
 
     def upsert(batch: DataFrame, epoch: int) -> None:
         latest = (
             batch.groupBy(key)
-            .agg(F.max_by(F.struct(*others), version).alias("_row"))
+            .agg(F.max_by(F.struct(*others), F.struct(F.col(version), content_hash(content))).alias("_row"))
             .select(key, "_row.*")
             .withColumn("content_hash", content_hash(content))
             .withColumn("deleted", F.lit(False))
+            .withColumn("row_version", F.col(version))
         )
         rows = latest if prepare is None else prepare(latest)
-        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}/call=rows")
 
     writer = source.writeStream.foreachBatch(upsert).option("checkpointLocation", state)
     if mode == TRIGGERED:
@@ -66,48 +76,66 @@ def start_sync(
 
 
 def index_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every version of every key, with its epoch."""
+    """Every version of every key, deletes included, with its epoch."""
     return spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
 
 
-def current_index(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Latest version per key, without deleted keys.
+def latest_versions(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The version of every key that counts, deletes included.
 
-    Outdated versions are found from key and epoch alone. While they are few,
-    the texts are scanned once and not shuffled.
+    Outdated versions are found from key, version and epoch alone. While they
+    are few, the texts are scanned once and not shuffled.
     """
-    # A delete counts after the rows of its epoch and before those of the next.
-    order = (F.col("epoch") * 2 + F.col("deleted").cast("int")).alias("_version")
-    versions = index_versions(spark, path).select("*", order)
-    known = versions.select(key, "_version")
-    newest = known.groupBy(key).agg(F.max("_version").alias("_newest"), F.count("*").alias("_n"))
-    again = newest.filter(F.col("_n") > 1).drop("_n")
+    versions = index_versions(spark, path)
+    # a delete counts after the rows of its epoch and before those of the next
+    place = F.struct("row_version", "epoch", "deleted")
+    known = versions.select(F.col(key).alias("_key"), F.col("epoch").alias("_epoch"), F.col("call").alias("_call"), place.alias("_place"))
+    newest = known.groupBy(F.col("_key").alias("_same")).agg(F.max("_place").alias("_newest"), F.count("*").alias("_n"))
+    again = newest.filter(F.col("_n") > 1)
     old = checkpoint(
-        known.join(again, key).filter(F.col("_version") < F.col("_newest")).drop("_newest").distinct()
+        known.join(again, F.col("_key").eqNullSafe(F.col("_same")))
+        .filter(F.col("_place") < F.col("_newest"))
+        .select("_key", "_epoch", "_call")
     )
-    return (
-        versions.filter(~F.col("deleted"))
-        .join(broadcast_if_small(old), [key, "_version"], "left_anti")
-        .drop("deleted", "epoch", "_version")
+    same = (
+        versions[key].eqNullSafe(old["_key"])
+        & (versions["epoch"] == old["_epoch"])
+        & (versions["call"] == old["_call"])
     )
+    return versions.join(broadcast_if_small(old), same, "left_anti")
+
+
+def current_index(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Highest version per key, without deleted keys."""
+    return latest_versions(spark, path, key).filter(~F.col("deleted")).drop(*INTERNAL)
+
 
+def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str, call: str | None = None) -> None:
+    """Record keys as deleted, as of the latest epoch and the highest version known of each.
 
-def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str) -> None:
-    """Record keys as deleted, as of the latest epoch."""
+    A call repeated under the same name before the next batch replaces itself.
+    A key that the index does not have changes nothing.
+    """
     versions = index_versions(spark, path)
     epoch = versions.agg(F.max("epoch")).first()[0]
-    row = keys.select(
+    gone = keys.select(F.col(key).alias("_gone")).distinct()
+    known = versions.select(key, "row_version").join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_semi")
+    highest = known.groupBy(key).agg(F.max("row_version").alias("row_version"))
+    rows = highest.select(
         *[
-            F.col(key)
-            if f.name == key
+            F.col(f.name)
+            if f.name in (key, "row_version")
             else (F.lit(True) if f.name == "deleted" else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in versions.drop("epoch").schema.fields
+            for f in versions.drop("epoch", "call").schema.fields
         ]
     )
-    row.write.mode("append").parquet(f"{path}/epoch={epoch}")
+    rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}/call=delete-{call or uuid.uuid4().hex}")
 
 
 def compact(spark: SparkSession, path: str, target: str, key: str) -> None:
-    """Write the current index as one epoch of a new folder."""
-    current = current_index(spark, path, key).withColumn("deleted", F.lit(False))
-    current.write.mode("overwrite").parquet(f"{target}/epoch=0")
+    """Write the version of every key that counts to a new folder, as one epoch before all others.
+
+    Deletes stay, without content, so that late rows do not bring keys back.
+    """
+    kept = latest_versions(spark, path, key).drop("epoch", "call").dropDuplicates([key])
+    kept.write.mode("overwrite").parquet(f"{target}/epoch=-1/call=compacted")

@@ -52,6 +52,30 @@ def test_stream_in_increments_equals_batch(spark, tmp_path):
     assert {r.key: r.text for r in packed.collect()} == current
 
 
+def test_late_rows_replayed_batches_and_deletes(spark, tmp_path):
+    src, path = str(tmp_path / "src"), str(tmp_path / "index")
+    schema = "key string, text string, version long"
+
+    def add(rows, state="state"):
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        index_sync.start_sync(stream, path, str(tmp_path / state), "key", "text", "version").awaitTermination()
+        return {r.key: r.text for r in index_sync.current_index(spark, path, "key").collect()}
+
+    assert add([("a", "2", 2), ("b", "2", 2), ("n", "null", None)]) == {"a": "2", "b": "2", "n": "null"}
+    gone = spark.createDataFrame([("b",), ("unknown",)], "key string")
+    index_sync.append_deletes(spark, path, gone, "key", call="one")
+    index_sync.append_deletes(spark, path, gone, "key", call="one")
+    # a stream without its state reads all again: the first batch is written over
+    assert add([], "again") == {"a": "2", "n": "null"}
+    assert add([("a", "1", 1), ("b", "1", 1)]) == {"a": "2", "n": "null"}
+    packed = str(tmp_path / "packed")
+    index_sync.compact(spark, path, packed, "key")
+    assert {r.key for r in index_sync.current_index(spark, packed, "key").collect()} == {"a", "n"}
+    assert add([("b", "3", 3), ("n", "0", 0)]) == {"a": "2", "b": "3", "n": "0"}
+
+
 def test_stream_adds_vectors_to_changed_rows(spark, tmp_path):
     src, path, state = str(tmp_path / "src"), str(tmp_path / "index"), str(tmp_path / "state")
     schema = "key string, text string, version long"

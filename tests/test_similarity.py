@@ -18,12 +18,12 @@ def brute(matrix, ids, asked, qids, k, allowed=lambda q, i: True):
         n = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(n > 0, n, 1)
 
-    scores = np.round(unit(asked) @ unit(matrix).T, 6) + 0.0
+    scores = np.round(unit(asked) @ unit(matrix).T, 12) + 0.0
     out = set()
     for qi, q in enumerate(qids):
         hits = [(-scores[qi, i], d) for i, d in enumerate(ids) if allowed(q, i) and np.any(matrix[i])]
         for rank, (s, d) in enumerate(sorted(hits)[:k], 1):
-            out.add((q, d, float(-s) + 0.0, rank))
+            out.add((q, d, round(float(-s), 6) + 0.0, rank))
     return out
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -184,7 +185,7 @@ class PieceEncoder:
     """Ids of many texts, and texts of ids."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary, self.lattice = vocabulary, Lattice(vocabulary)
+        self.vocabulary = vocabulary
         self._forget()
         space = SPACE.encode()
         self.table = []
@@ -198,6 +199,11 @@ class PieceEncoder:
             else:
                 self.table.append(piece.encode().replace(space, b" "))
 
+    @cached_property
+    def lattice(self) -> Lattice:
+        """Made when first asked for: decoding needs none."""
+        return Lattice(self.vocabulary)
+
     def _forget(self) -> None:
         """Chunks met so far by number; their ids lie one after another, so that a chunk costs few bytes."""
         self.known: dict[bytes, int] = {}
@@ -258,6 +264,12 @@ class PieceEncoder:
         return raw.decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: str) -> PieceEncoder:
+    """The encoder of a model file, which a worker process keeps from task to task with the chunks it has met."""
+    return PieceEncoder(Vocabulary.load(model))
+
+
 def encode_documents(docs: DataFrame, model: str, id_column: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: the id) plus ``ids`` and ``score`` of every text.
 
@@ -270,7 +282,7 @@ def encode_documents(docs: DataFrame, model: str, id_column: str = "doc_id", kee
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(Vocabulary.load(model))
+        encoder = encoder_of(model)
         for batch in slices(batches, "text"):
             offsets, ids, scores = encoder.encode(texts_of(batch, "text"))
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
@@ -286,7 +298,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(Vocabulary.load(model))
+        encoder = encoder_of(model)
         parts = (b.slice(k, DECODED_ROWS) for b in batches for k in range(0, b.num_rows, DECODED_ROWS))
         for batch in parts:
             texts = [None if ids is None else encoder.decode(ids) for ids in batch.column("ids").to_pylist()]

@@ -34,6 +34,8 @@ BLOOM_BITS = 25
 BUCKET_LOAD, LEAST_BUCKETS = 4, 16
 # Partners a row is given per round before the links found so far are merged.
 FAN = 8
+# Rows of a shingle in one block: a task compares two blocks at a time, however many classes share the shingle.
+BLOCK_ROWS = 4_096
 
 
 def bucket_counts(values: np.ndarray) -> bytes:
@@ -43,17 +45,34 @@ def bucket_counts(values: np.ndarray) -> bytes:
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
-def most_shared(a: bytes, b: bytes) -> int:
-    """Upper bound on the overlap of two sets: the smaller count of each range, summed."""
-    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
-    for big, small in ((x, y), (y, x)):
-        if len(big) > len(small):
-            parts = big.reshape(len(small), -1)
-            folded = np.where((parts == 255).any(1), 255, np.minimum(parts.sum(1), 255))
-            x, y = folded, small
-            break
-    least = np.minimum(x, y)
-    return 1 << 40 if (least == 255).any() else int(least.sum())
+def _fold(counts: np.ndarray, width: int) -> np.ndarray:
+    """The counters of every row for fewer ranges."""
+    parts = counts.reshape(len(counts), width, -1)
+    if parts.shape[2] == 1:
+        return counts
+    return np.where((parts == 255).any(2), 255, np.minimum(parts.sum(2, dtype=np.int64), 255)).astype(np.uint8)
+
+
+def _bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bound on the overlap of the sets of two rows of counters: the smaller count of each range, summed."""
+    width = min(x.shape[1], y.shape[1])
+    least = np.minimum(_fold(x, width), _fold(y, width))
+    return np.where((least == 255).any(1), 1 << 40, least.sum(1, dtype=np.int64))
+
+
+def most_shared(a: np.ndarray, b: np.ndarray, step: int = 4_096) -> np.ndarray:
+    """Suffix filter of pairs: an upper bound on the overlap of a[k] and b[k], arrays of ``bucket_counts``."""
+    out = np.empty(len(a), np.int64)
+    if not len(a):
+        return out
+    widths = np.stack([np.fromiter(map(len, v), np.int64, len(v)) for v in (a, b)], 1)
+    for wide in np.unique(widths, axis=0):
+        same = np.flatnonzero((widths == wide).all(1))
+        for at in range(0, len(same), step):
+            part = same[at : at + step]
+            x, y = (np.frombuffer(b"".join(v[part]), np.uint8).reshape(len(part), -1) for v in (a, b))
+            out[part] = _bound(x, y)
+    return out
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
@@ -205,7 +224,7 @@ def _unpack(meta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _could_link(n1, place1, n2, place2, percent: int):
     """Length and positional filter of two classes at a shared token."""
-    need = -(-percent * (n1 + n2) // (100 + percent))
+    need = _need(n1, n2, percent)
     room = np.minimum(n1 - place1, n2 - place2) + np.minimum(place1, place2)
     return (np.minimum(n1, n2) * 100 >= np.maximum(n1, n2) * percent) & (room >= need)
 
@@ -269,17 +288,23 @@ def _run_rows(cols, same, prev, ok, hub, near) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(out)
 
 
+def _need(n1, n2, percent: int):
+    """Overlap that two sets of these sizes need to link."""
+    return -(-percent * (n1 + n2) // (100 + percent))
+
+
 def _cross_pairs(percent: int, fan: int):
-    """Pairs of one token in different components, by length and positional filter.
+    """Pairs of one cell in different components that pass the length, positional and suffix filters.
 
-    Rows come sorted by token, place and class. ``fan`` bounds the partners a
-    row is given in this round, the first of the run; 0 gives all of them.
+    Rows come sorted by token, cell, place and class. A cell (``lo``, ``hi``)
+    of a token pairs its blocks lo and hi, or one block with itself. ``fan``
+    bounds the partners a row is given in this round, the first of the run; 0
+    gives all of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        token = None
-
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        cell = None
         found: list[np.ndarray] = []
         size = 0
 
@@ -289,18 +314,42 @@ def _cross_pairs(percent: int, fan: int):
                 found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
                 size += len(x)
 
-        def settle(rows: np.ndarray) -> None:
-            """All pairs of one token's rows."""
+        def settle() -> Iterator[pa.RecordBatch]:
+            """All pairs of one cell, of at most two blocks."""
+            rows = np.concatenate([r for r, _ in held])
             if len(rows) < 2 or (rows[:, 1] == rows[0, 1]).all():
                 return
-            cid, root, n, place = rows.T
+            buckets = np.concatenate([b for _, b in held])
+            cid, root, n, place, own, lo, hi = rows.T
+            within = lo[0] == hi[0]
+            width = np.fromiter(map(len, buckets), np.int64, len(buckets))
+            spot = np.empty(len(rows), np.int64)
+            counts = {}
+            for w in np.unique(width).tolist():
+                members = np.flatnonzero(width == w)
+                spot[members] = np.arange(len(members))
+                counts[w] = np.frombuffer(b"".join(buckets[members]), np.uint8).reshape(len(members), w)
             for i in range(1, len(rows)):
-                other = np.flatnonzero(root[:i] != root[i])
-                if len(other):
-                    other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
-                    if fan:
-                        other = other[:fan]
-                    keep(cid[other], np.full(len(other), cid[i]))
+                open_ = root[:i] != root[i]
+                if not within:
+                    open_ &= own[:i] != own[i]
+                other = np.flatnonzero(open_)
+                other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
+                if not len(other):
+                    continue
+                mine = counts[int(width[i])][spot[i]][None]
+                passed = np.zeros(len(other), bool)
+                for w, table in counts.items():
+                    at = np.flatnonzero(width[other] == w)
+                    if len(at):
+                        need = _need(n[other[at]], n[i], percent)
+                        passed[at] = _bound(table[spot[other[at]]], mine) >= need
+                other = other[passed]
+                if fan:
+                    other = other[:fan]
+                keep(cid[other], np.full(len(other), cid[i]))
+                if size > 100_000:
+                    yield drain()
 
         def drain() -> pa.RecordBatch:
             nonlocal size
@@ -312,31 +361,34 @@ def _cross_pairs(percent: int, fan: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            meta = batch.column("meta").to_numpy()
-            rows = np.stack([batch.column("cid").to_numpy(), batch.column("root").to_numpy(), *_unpack(meta)], 1)
-            t = batch.column("token").to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
-            # most runs that lie inside the batch have two rows: all of those at once
+            cols = {c: batch.column(c).to_numpy() for c in ("token", "cid", "root", "meta", "own", "lo", "hi")}
+            n, place = _unpack(cols["meta"])
+            rows = np.stack([cols["cid"], cols["root"], n, place, cols["own"], cols["lo"], cols["hi"]], 1)
+            buckets = np.array(batch.column("buckets").to_pylist(), object)
+            key = np.stack([cols["token"], cols["lo"], cols["hi"]], 1)
+            edges = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(key)]])
+            # most cells that lie inside the batch have two rows: all of those at once
             inner = np.flatnonzero(np.diff(edges) == 2)
             inner = inner[(inner > 0) & (inner < len(edges) - 2)]
-            x, y = rows[edges[inner]], rows[edges[inner] + 1]
-            near = (x[:, 1] != y[:, 1]) & _could_link(x[:, 2], x[:, 3], y[:, 2], y[:, 3], percent)
-            keep(x[near, 0], y[near, 0])
+            i, j = edges[inner], edges[inner] + 1
+            near = (cols["root"][i] != cols["root"][j]) & _could_link(n[i], place[i], n[j], place[j], percent)
+            near &= (cols["lo"][i] == cols["hi"][i]) | (cols["own"][i] != cols["own"][j])
+            i, j = i[near], j[near]
+            near = most_shared(buckets[i], buckets[j]) >= _need(n[i], n[j], percent)
+            keep(cols["cid"][i[near]], cols["cid"][j[near]])
             settled = np.zeros(len(edges), bool)
             settled[inner] = True
             for k in np.flatnonzero(~settled[:-1]).tolist():
                 a, b = int(edges[k]), int(edges[k + 1])
-                if held and int(t[a]) != token:
-                    settle(np.concatenate(held))
-                    held = []
-                token = int(t[a])
-                held.append(rows[a:b])
-                if size > 100_000:
-                    yield drain()
+                if held and tuple(key[a]) != cell:
+                    yield from settle()
+                    held.clear()
+                cell = tuple(key[a])
+                held.append((rows[a:b], buckets[a:b]))
             if size:
                 yield drain()
         if held:
-            settle(np.concatenate(held))
+            yield from settle()
         if size:
             yield drain()
 
@@ -403,8 +455,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pairs = zip(*(batch.column(c).to_pylist() for c in ("buckets_a", "buckets_b", "need")))
-            ok = pa.array([most_shared(x, y) >= need for x, y, need in pairs])
+            x, y = (np.array(batch.column(c).to_pylist(), object) for c in ("buckets_a", "buckets_b"))
+            ok = pa.array(most_shared(x, y) >= batch.column("need").to_numpy())
             yield batch.filter(ok).select(["a", "b", "th_a", "th_b", "need"])
 
     kept = materialise(
@@ -481,11 +533,21 @@ def near_copies(
         placed = runs.select("token", "cid", "meta").join(roots, "cid", "left").withColumn(
             "root", F.coalesce("root", "cid")
         )
-        mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        open_runs = placed.join(mixed.select("token"), "token", "left_semi")
+        mixed = (
+            placed.groupBy("token")
+            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
+            .where("lo < hi")
+            .select("token", F.ceil(F.col("c") / BLOCK_ROWS).cast("int").alias("blocks"))
+        )
+        blocked = placed.join(mixed, "token").withColumn("own", F.expr("cast(pmod(xxhash64(cid), blocks) AS int)"))
+        other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("k")
+        cells = blocked.select("token", "cid", "meta", "root", "own", other).select(
+            "token", "cid", "meta", "root", "own", F.least("own", "k").alias("lo"), F.greatest("own", "k").alias("hi")
+        )
         more = (
-            open_runs.repartition(parts, "token")
-            .sortWithinPartitions("token", "meta", "cid")
+            cells.join(classes.select("cid", "buckets"), "cid")
+            .repartition(parts, "token", "lo", "hi")
+            .sortWithinPartitions("token", "lo", "hi", "meta", "cid")
             .mapInArrow(_cross_pairs(percent, fan), "a long, b long")
             .distinct()
         )

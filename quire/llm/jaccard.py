@@ -30,38 +30,34 @@ HEAVY = 20_000
 SALTS = 16
 # Bits of the filter that finds texts to verify: a fixed 4 MB; false hits only cost time.
 BLOOM_BITS = 25
-# Elements of a set per counter of its suffix summary, at most, and the fewest counters.
-BUCKET_LOAD, LEAST_BUCKETS = 4, 16
+# Parts of the hash space per element of a set in its suffix summary, at least, and the fewest parts.
+PARTS_PER_ELEMENT, LEAST_PARTS = 2, 64
 # Partners a row is given per round before the links found so far are merged.
 FAN = 8
 # Rows of a shingle in one block: a task compares two blocks at a time, however many classes share the shingle.
 BLOCK_ROWS = 4_096
 
 
-def bucket_counts(values: np.ndarray) -> bytes:
-    """Elements of a set in equal ranges of the hash, a power of two of them; 255 stands for any larger count."""
-    bits = max(LEAST_BUCKETS.bit_length() - 1, (-(-len(values) // BUCKET_LOAD) - 1).bit_length())
-    held = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(held, 255).astype(np.uint8).tobytes()
+def parities(values: np.ndarray) -> bytes:
+    """One bit per part of the hash space: whether the set holds an odd number of its hashes. The parts are a power of two."""
+    bits = max(LEAST_PARTS.bit_length() - 1, (PARTS_PER_ELEMENT * len(values) - 1).bit_length())
+    held = np.bincount((values & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _fold(counts: np.ndarray, width: int) -> np.ndarray:
-    """The counters of every row for fewer ranges."""
-    parts = counts.reshape(len(counts), width, -1)
-    if parts.shape[2] == 1:
-        return counts
-    return np.where((parts == 255).any(2), 255, np.minimum(parts.sum(2, dtype=np.int64), 255)).astype(np.uint8)
+def _fold(rows: np.ndarray, width: int) -> np.ndarray:
+    """The same with fewer parts: those with equal low bits become one."""
+    return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), axis=1)
 
 
-def _bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Upper bound on the overlap of the sets of two rows of counters: the smaller count of each range, summed."""
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Parts of unequal parity, row by row: each holds an element of one set alone."""
     width = min(x.shape[1], y.shape[1])
-    least = np.minimum(_fold(x, width), _fold(y, width))
-    return np.where((least == 255).any(1), 1 << 40, least.sum(1, dtype=np.int64))
+    return np.bitwise_count(_fold(x, width) ^ _fold(y, width)).sum(1, dtype=np.int64)
 
 
-def most_shared(a: np.ndarray, b: np.ndarray, step: int = 4_096) -> np.ndarray:
-    """Suffix filter of pairs: an upper bound on the overlap of a[k] and b[k], arrays of ``bucket_counts``."""
+def least_difference(a: np.ndarray, b: np.ndarray, step: int = 4_096) -> np.ndarray:
+    """Suffix filter of pairs: how many elements the sets behind a[k] and b[k] surely do not share."""
     out = np.empty(len(a), np.int64)
     if not len(a):
         return out
@@ -71,7 +67,7 @@ def most_shared(a: np.ndarray, b: np.ndarray, step: int = 4_096) -> np.ndarray:
         for at in range(0, len(same), step):
             part = same[at : at + step]
             x, y = (np.frombuffer(b"".join(v[part]), np.uint8).reshape(len(part), -1) for v in (a, b))
-            out[part] = _bound(x, y)
+            out[part] = _differing(x, y)
     return out
 
 
@@ -88,10 +84,10 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def describe_sets(docs: DataFrame, id_column: str, width: int = WIDTH) -> DataFrame:
-    """One row per document: id, text hash ``th``, class ``cid``, ``n_shingles``, ``buckets``.
+    """One row per document: id, text hash ``th``, class ``cid``, ``n_shingles``, ``parities``.
 
-    The class is a hash of the set. ``buckets`` counts the set's elements in
-    hash ranges. Rows with ``piece`` set carry, per task, the counters of
+    The class is a hash of the set. ``parities`` sums the set up
+    for the suffix filter. Rows with ``piece`` set carry, per task, the counters of
     the frequency sketch, to which each class adds once a task at most per
     8,192 classes in a row.
     """
@@ -110,7 +106,7 @@ def describe_sets(docs: DataFrame, id_column: str, width: int = WIDTH) -> DataFr
                 if cid is None:
                     rows.append(None)
                     continue
-                rows.append(bucket_counts(s))
+                rows.append(parities(s))
                 if cid not in seen:
                     seen.add(cid)
                     np.add.at(counters, _slot(s), np.uint32(1))
@@ -123,7 +119,7 @@ def describe_sets(docs: DataFrame, id_column: str, width: int = WIDTH) -> DataFr
                     "th": batch.column("th"),
                     "cid": pa.array(cids, pa.int64()),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "buckets": pa.array(rows, pa.binary()),
+                    "parities": pa.array(rows, pa.binary()),
                     "piece": pa.nulls(n, pa.int32()),
                     "counters": pa.nulls(n, pa.binary()),
                 }
@@ -137,13 +133,13 @@ def describe_sets(docs: DataFrame, id_column: str, width: int = WIDTH) -> DataFr
                     "th": pa.nulls(n, pa.int64()),
                     "cid": pa.nulls(n, pa.int64()),
                     "n_shingles": pa.nulls(n, pa.int64()),
-                    "buckets": pa.nulls(n, pa.binary()),
+                    "parities": pa.nulls(n, pa.binary()),
                     "piece": pa.array([p for p, _ in made], pa.int32()),
                     "counters": pa.array([c for _, c in made], pa.binary()),
                 }
             )
 
-    schema = f"`{id_column}` {kind}, th long, cid long, n_shingles long, buckets binary, piece int, counters binary"
+    schema = f"`{id_column}` {kind}, th long, cid long, n_shingles long, parities binary, piece int, counters binary"
     return _with_hash(docs, id_column).mapInArrow(run, schema)
 
 
@@ -293,6 +289,11 @@ def _need(n1, n2, percent: int):
     return -(-percent * (n1 + n2) // (100 + percent))
 
 
+def _apart(n1, n2, percent: int):
+    """Elements that two linked sets of these sizes leave unshared, at most."""
+    return n1 + n2 - 2 * _need(n1, n2, percent)
+
+
 def _cross_pairs(percent: int, fan: int):
     """Pairs of one cell in different components that pass the length, positional and suffix filters.
 
@@ -319,16 +320,16 @@ def _cross_pairs(percent: int, fan: int):
             rows = np.concatenate([r for r, _ in held])
             if len(rows) < 2 or (rows[:, 1] == rows[0, 1]).all():
                 return
-            buckets = np.concatenate([b for _, b in held])
+            odd = np.concatenate([b for _, b in held])
             cid, root, n, place, own, lo, hi = rows.T
             within = lo[0] == hi[0]
-            width = np.fromiter(map(len, buckets), np.int64, len(buckets))
+            width = np.fromiter(map(len, odd), np.int64, len(odd))
             spot = np.empty(len(rows), np.int64)
-            counts = {}
+            tables = {}
             for w in np.unique(width).tolist():
                 members = np.flatnonzero(width == w)
                 spot[members] = np.arange(len(members))
-                counts[w] = np.frombuffer(b"".join(buckets[members]), np.uint8).reshape(len(members), w)
+                tables[w] = np.frombuffer(b"".join(odd[members]), np.uint8).reshape(len(members), w)
             for i in range(1, len(rows)):
                 open_ = root[:i] != root[i]
                 if not within:
@@ -337,13 +338,12 @@ def _cross_pairs(percent: int, fan: int):
                 other = other[_could_link(n[other], place[other], n[i], place[i], percent)]
                 if not len(other):
                     continue
-                mine = counts[int(width[i])][spot[i]][None]
+                mine = tables[int(width[i])][spot[i]][None]
                 passed = np.zeros(len(other), bool)
-                for w, table in counts.items():
+                for w, table in tables.items():
                     at = np.flatnonzero(width[other] == w)
                     if len(at):
-                        need = _need(n[other[at]], n[i], percent)
-                        passed[at] = _bound(table[spot[other[at]]], mine) >= need
+                        passed[at] = _differing(table[spot[other[at]]], mine) <= _apart(n[other[at]], n[i], percent)
                 other = other[passed]
                 if fan:
                     other = other[:fan]
@@ -364,7 +364,7 @@ def _cross_pairs(percent: int, fan: int):
             cols = {c: batch.column(c).to_numpy() for c in ("token", "cid", "root", "meta", "own", "lo", "hi")}
             n, place = _unpack(cols["meta"])
             rows = np.stack([cols["cid"], cols["root"], n, place, cols["own"], cols["lo"], cols["hi"]], 1)
-            buckets = np.array(batch.column("buckets").to_pylist(), object)
+            odd = np.array(batch.column("parities").to_pylist(), object)
             key = np.stack([cols["token"], cols["lo"], cols["hi"]], 1)
             edges = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(key)]])
             # most cells that lie inside the batch have two rows: all of those at once
@@ -374,7 +374,7 @@ def _cross_pairs(percent: int, fan: int):
             near = (cols["root"][i] != cols["root"][j]) & _could_link(n[i], place[i], n[j], place[j], percent)
             near &= (cols["lo"][i] == cols["hi"][i]) | (cols["own"][i] != cols["own"][j])
             i, j = i[near], j[near]
-            near = most_shared(buckets[i], buckets[j]) >= _need(n[i], n[j], percent)
+            near = least_difference(odd[i], odd[j]) <= _apart(n[i], n[j], percent)
             keep(cols["cid"][i[near]], cols["cid"][j[near]])
             settled = np.zeros(len(edges), bool)
             settled[inner] = True
@@ -384,7 +384,7 @@ def _cross_pairs(percent: int, fan: int):
                     yield from settle()
                     held.clear()
                 cell = tuple(key[a])
-                held.append((rows[a:b], buckets[a:b]))
+                held.append((rows[a:b], odd[a:b]))
             if size:
                 yield drain()
         if held:
@@ -444,23 +444,25 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * overlap >= percent * union; the suffix filter first, then the sets."""
-    side = classes.select("cid", "th", "n_shingles", "buckets")
+    side = classes.select("cid", "th", "n_shingles", "parities")
     left = side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns])
     right = side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns])
     both = pairs.join(left, F.col("a") == F.col("cid_a")).join(right, F.col("b") == F.col("cid_b"))
-    need = F.ceil(F.lit(percent) * (F.col("n_shingles_a") + F.col("n_shingles_b")) / F.lit(100 + percent))
+    sizes = F.col("n_shingles_a") + F.col("n_shingles_b")
+    need = F.ceil(F.lit(percent) * sizes / F.lit(100 + percent)).cast("long")
+    apart = sizes - 2 * need
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Suffix filter: the sum of the smaller bucket counts bounds the overlap from above."""
+        """Suffix filter, before any set is fetched."""
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.array(batch.column(c).to_pylist(), object) for c in ("buckets_a", "buckets_b"))
-            ok = pa.array(most_shared(x, y) >= batch.column("need").to_numpy())
+            x, y = (np.array(batch.column(c).to_pylist(), object) for c in ("parities_a", "parities_b"))
+            ok = pa.array(least_difference(x, y) <= batch.column("apart").to_numpy())
             yield batch.filter(ok).select(["a", "b", "th_a", "th_b", "need"])
 
     kept = materialise(
-        both.select("a", "b", "th_a", "th_b", "buckets_a", "buckets_b", need.cast("long").alias("need")).mapInArrow(
+        both.select("a", "b", "th_a", "th_b", "parities_a", "parities_b", need.alias("need"), apart.alias("apart")).mapInArrow(
             bounded, "a long, b long, th_a long, th_b long, need long"
         ),
         "pairs",
@@ -495,14 +497,14 @@ def near_copies(
     """
     spark = docs.sparkSession
     described = materialise(describe_sets(docs, id_column, width), "described")
-    rows = described.where("piece IS NULL").select(id_column, "th", "cid", "n_shingles", "buckets")
+    rows = described.where("piece IS NULL").select(id_column, "th", "cid", "n_shingles", "parities")
     classes = materialise(
         rows.where("cid IS NOT NULL")
         .groupBy("cid")
         .agg(
             F.min("th").alias("th"),
             F.first("n_shingles").alias("n_shingles"),
-            F.first("buckets").alias("buckets"),
+            F.first("parities").alias("parities"),
             F.min(id_column).alias("least"),
         ),
         "classes",
@@ -545,7 +547,7 @@ def near_copies(
             "token", "cid", "meta", "root", "own", F.least("own", "k").alias("lo"), F.greatest("own", "k").alias("hi")
         )
         more = (
-            cells.join(classes.select("cid", "buckets"), "cid")
+            cells.join(classes.select("cid", "parities"), "cid")
             .repartition(parts, "token", "lo", "hi")
             .sortWithinPartitions("token", "lo", "hi", "meta", "cid")
             .mapInArrow(_cross_pairs(percent, fan), "a long, b long")

@@ -87,13 +87,14 @@ def test_near_copies_brute_force(spark, monkeypatch, block_rows):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_bucket_bound():
+def test_suffix_bound():
     rng = np.random.default_rng(3)
     for n in (3, 40, 500, 5000):
         a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
         b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 1 << 63, n).astype(np.uint64)]))
-        pair = [np.array([jaccard.bucket_counts(v)], object) for v in (a, b)]
-        assert jaccard.most_shared(*pair)[0] >= len(np.intersect1d(a, b))
+        pair = [np.array([jaccard.parities(v)], object) for v in (a, b)]
+        assert jaccard.least_difference(*pair)[0] <= len(np.setxor1d(a, b))
+        assert jaccard.least_difference(pair[0], pair[0])[0] == 0
 
 
 def test_vectors(spark):

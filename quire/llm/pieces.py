@@ -23,8 +23,9 @@ from quire.llm.arrow import slices, spread, texts_of
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 400_000
 DECODED_ROWS = 512
+DECODED_IDS = 1 << 20
 # Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -199,6 +200,10 @@ class PieceEncoder:
             else:
                 self.table.append(piece.encode().replace(space, b" "))
 
+        self.sizes = np.fromiter(map(len, self.table), np.int64, len(self.table))
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.raw = np.frombuffer(b"".join(self.table), np.uint8)
+
     @cached_property
     def lattice(self) -> Lattice:
         """Made when first asked for: decoding needs none."""
@@ -211,7 +216,7 @@ class PieceEncoder:
 
     def _numbers(self, chunks: list[bytes]) -> np.ndarray:
         """Numbers of distinct chunks; new ones are searched."""
-        if len(self.known) + len(chunks) > CACHED_CHUNKS:
+        if len(self.known) > CACHED_CHUNKS:
             self._forget()
         known, out = self.known, []
         for chunk in chunks:
@@ -263,6 +268,30 @@ class PieceEncoder:
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
 
+    def decode_all(self, lists: pa.Array) -> pa.Array:
+        """``decode`` of every list of ids; a null list gives a null."""
+        ids = lists.flatten().to_numpy()
+        marks = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+        cuts = [ids[k : k + DECODED_IDS] for k in range(0, len(ids), DECODED_IDS)]
+        parts = [spread(cut, self.firsts, self.sizes, self.raw)[1] for cut in cuts]
+        data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        bounds = np.concatenate([[0], np.cumsum(self.sizes[ids])])[marks]
+        if self.vocabulary.dummy_prefix:
+            filled = np.flatnonzero(bounds[1:] > bounds[:-1])
+            blank = filled[data[bounds[filled]] == 32]
+            data = np.delete(data, bounds[blank])
+            cut = np.zeros(len(bounds), np.int64)
+            cut[blank + 1] = 1
+            bounds = bounds - np.cumsum(cut)
+        offsets, raw = pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))
+        texts = pa.LargeStringArray.from_buffers(len(lists), offsets, raw)
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            rows = texts.cast(pa.large_binary()).to_pylist()
+            texts = pa.array([r.decode("utf-8", "replace") for r in rows], pa.large_string())
+        return pc.if_else(lists.is_null(), pa.scalar(None, texts.type), texts).cast(pa.string())
+
 
 @lru_cache(maxsize=1)
 def encoder_of(model: str) -> PieceEncoder:
@@ -301,7 +330,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
         encoder = encoder_of(model)
         parts = (b.slice(k, DECODED_ROWS) for b in batches for k in range(0, b.num_rows, DECODED_ROWS))
         for batch in parts:
-            texts = [None if ids is None else encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+            texts = encoder.decode_all(batch.column("ids"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*names, "decoded"])
 
     return encoded.mapInArrow(run, kinds + ", decoded string")

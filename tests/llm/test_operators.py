@@ -303,3 +303,18 @@ def test_bin_completion():
         assert len(bins) <= len(packing.best_fit(counts, 2048))
     # best fit needs three bins here, completion finds two
     assert len(packing.bin_completion([6, 5, 4, 3, 2], 10)) == 2
+
+
+def test_decoding_of_many_equals_decoding_of_one():
+    path, _ = model_files()
+    encoder = pieces.PieceEncoder(pieces.Vocabulary.load(path("piece_bpe_32k.model")))
+    rng = random.Random(8)
+    rows = [[rng.randrange(len(encoder.table)) for _ in range(rng.randrange(9))] for _ in range(600)]
+    rows += [[], None, [k for k, b in enumerate(encoder.table) if b == b" "][:1]]
+    for part in (rows, rows[300:], [[]], [None], []):
+        got = encoder.decode_all(pa.array(part, pa.list_(pa.int32()))).to_pylist()
+        assert got == [None if ids is None else encoder.decode(ids) for ids in part]
+    valid = encoder.encode(pa.array(["a word", " b", "", "é漢字 x"]))
+    lists = pa.ListArray.from_arrays(pa.array(valid[0].astype(np.int32)), pa.array(valid[1]))
+    assert encoder.decode_all(lists).to_pylist() == ["a word", " b", "", "é漢字 x"]
+    assert encoder.decode_all(lists[1:]).to_pylist() == [" b", "", "é漢字 x"]

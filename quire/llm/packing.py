@@ -12,6 +12,7 @@ import base64
 import bisect
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ CELL_PIECES = 20_000
 TOKEN_SLICE = 16 << 20
 # Search steps a cell may take beyond its first best-fit packing.
 SEARCH_STEPS = 20_000
+# Bins whose untried fillings are held; those of earlier bins are made again when the search comes back.
+OPEN_LEVELS = 64
 
 
 def load_encoder(path: str, pattern: str):
@@ -190,87 +193,166 @@ def best_fit(counts: dict[int, int], limit: int) -> list[list[int]]:
     return bins
 
 
-def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 3, keep: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` with at most ``most`` pieces, least waste first.
-
-    ``sizes``: the lengths left, ascending. A filling is dominated if another
-    piece still fits next to it, or if one of its pieces can be exchanged for a
-    longer one that fits; only the longest partner of each start survives.
+def _sums(counts: dict[int, int], sizes: list[int], room: int) -> list[int]:
+    """Bits of the sums up to ``room`` that the first 0, 1, 2, ... of ``sizes`` (ascending) can make."""
+    mask, out = (1 << (room + 1)) - 1, [1]
+    for size in sizes:
+        if size > room:
+            break
+        bits, n, step = out[-1], min(counts[size], room // size), 1
+        while n:
+            step = min(step, n)
+            bits |= bits << (size * step) & mask
+            n -= step
+            step *= 2
+        out.append(bits)
+    return out
+
+
+def _below(bits: int, width: int) -> int:
+    """Bits t for which a set bit lies in t .. t + width."""
+    done = 0
+    while done < width:
+        step = min(done + 1, width - done)
+        bits |= bits >> step
+        done += step
+    return bits
+
+
+def fillings(
+    counts: dict[int, int], sizes: list[int], room: int, most_waste: int, steps: list[int]
+) -> Iterator[tuple[int, ...]]:
+    """Every undominated filling of ``room`` that wastes at most ``most_waste``, least waste first.
+
+    ``sizes``: the lengths left, ascending. A filling is dominated if a piece
+    left out fits into its waste, or into the place of some of its pieces and
+    its waste, unless it is as long as a single one. Pieces are chosen longest
+    first, so what was chosen longer than the last one stays as it is, and a
+    part that is dominated ends its branch. Every such end takes one of ``steps``.
     """
-    found: dict[tuple[int, ...], int] = {}
-
-    def extend(chosen: tuple[int, ...], left: int, top: int, depth: int) -> None:
-        at = bisect.bisect_right(sizes, min(left, top)) - 1
-        tried = 0
-        while at >= 0 and tried < (6 if depth else 1):
-            size = sizes[at]
-            at -= 1
-            if counts[size] <= chosen.count(size):
-                continue
-            tried += 1
-            now = chosen + (size,)
-            rest = left - size
-            if depth == 0 or rest < sizes[0]:
-                found[now] = rest
-                if rest == 0:
-                    return
-            else:
-                extend(now, rest, size, depth - 1)
-            if len(found) >= 64:
+    if counts.get(room):
+        yield (room,)
+        return
+    if not sizes or sizes[0] > room:
+        if room <= most_waste:
+            yield ()
+        return
+    reach = _sums(counts, sizes, room)
+    whole = sum(1 << s for s in sizes[: len(reach) - 1])
+
+    def extend(top: int, rest: int, others: int, sums: int, waste: int) -> Iterator[tuple[int, ...]]:
+        if not rest:
+            if not others & ((1 << (waste + 1)) - 1):
+                yield ()
+            return
+        for k in range(min(top, bisect.bisect_right(sizes, rest, 0, top)) - 1, -1, -1):
+            if not reach[k + 1] >> rest & 1:
                 return
-
-    if not sizes or room < sizes[0]:
-        return [()]
-    extend((), room, room, most - 1)
-    return [f for f, _ in sorted(found.items(), key=lambda x: (x[1], len(x[0]), [-s for s in x[0]]))[:keep]] or [()]
+            size = sizes[k]
+            for n in range(min(counts[size], rest // size), 0, -1):
+                if not reach[k] >> (rest - n * size) & 1:
+                    continue
+                if steps[0] <= 0:
+                    return
+                spare = others & ~(1 << size) if n == counts[size] else others
+                near = _below(spare, waste)
+                dominated = waste and _below(spare >> 1, waste - 1) >> size & 1
+                made = sums
+                for _ in range(n):
+                    more = made << size
+                    if dominated or more & near:
+                        dominated = True
+                        break
+                    made |= more | 1 << size
+                if dominated:
+                    steps[0] -= 1
+                    continue
+                for tail in extend(k, rest - n * size, spare, made, waste):
+                    yield (size,) * n + tail
+
+    for waste in range(min(room, most_waste) + 1):
+        if reach[-1] >> (room - waste) & 1:
+            yield from extend(len(reach) - 1, room - waste, whole, 0, waste)
+
+
+def search_bins(lengths: list[int], limit: int, steps: int = SEARCH_STEPS) -> tuple[list[list[int]], str]:
+    """Bins of ``bin_completion`` and what ended the search: ``bound``, ``searched`` (all of it) or ``steps``."""
+    counts: dict[int, int] = {}
+    for n in lengths:
+        counts[n] = counts.get(n, 0) + 1
+    empty = [0] * counts.pop(0, 0)
+    total = sum(lengths)
+    bound = -(-total // limit)
+    best = best_fit(counts, limit)
+    left, sizes, left_steps = dict(counts), sorted(counts), [steps]
+    spare, waste = (len(best) - 1) * limit - total, 0
+    # Largest piece, fillings taken so far, those to come, the filling that stands
+    levels: list[list] = []
+
+    def take(n: int) -> None:
+        left[n] -= 1
+        if not left[n]:
+            sizes.pop(bisect.bisect_left(sizes, n))
+
+    def put(n: int) -> None:
+        if not left[n]:
+            bisect.insort(sizes, n)
+        left[n] += 1
+
+    down, ended = True, "bound"
+    while len(best) > bound:
+        if down and not sizes:
+            best = [[level[0], *level[3]] for level in levels]
+            spare, down = (len(best) - 1) * limit - total, False
+            continue
+        if left_steps[0] <= 0:
+            ended = "steps"
+            break
+        left_steps[0] -= 1
+        if down:
+            levels.append([sizes[-1], 0, None, None])
+            take(sizes[-1])
+            if len(levels) > OPEN_LEVELS:
+                levels[-OPEN_LEVELS - 1][2] = None
+        elif not levels:
+            ended = "searched"
+            break
+        level = levels[-1]
+        first, taken, options, pick = level
+        if pick is not None:
+            waste -= limit - first - sum(pick)
+            for n in pick:
+                put(n)
+        if options is None:
+            # closed above to bound memory: the same fillings come again in the same order
+            options = islice(fillings(left, sizes, limit - first, spare - waste, left_steps), taken, None)
+        pick = next(options, None)
+        down = pick is not None and waste + limit - first - sum(pick) <= spare
+        if down:
+            waste += limit - first - sum(pick)
+            for n in pick:
+                take(n)
+            level[1:] = [taken + 1, options, pick]
+        else:
+            put(first)
+            levels.pop()
+    if empty:
+        best = [best[0] + empty, *best[1:]] if best else [empty]
+    return best, ended
 
 
 def bin_completion(lengths: list[int], limit: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
     """Bins of at most ``limit``, as few as the search finds.
 
-    Branch and bound on whole bins: a bin is the longest piece left with one of
-    the undominated fillings around it. The waste summed so far, and the free
-    room that the bound ceil(total / limit) leaves, prune a branch; the best-fit
-    packing is the first incumbent and an incumbent that meets the bound ends
-    the search. After ``steps`` bins the incumbent stands.
+    Depth-first branch and bound on whole bins: a bin is the longest piece left
+    with one of the undominated fillings around it, each of which is tried in
+    turn. A branch ends where the waste summed so far passes what a packing of
+    one bin fewer than the incumbent may waste; the search then goes back to
+    the last bin with a filling left. The best-fit packing is the first
+    incumbent, and one that meets the bound ceil(total / limit) ends the
+    search. After ``steps`` bins and dominated fillings the incumbent stands.
     """
-    counts: dict[int, int] = {}
-    for n in lengths:
-        counts[n] = counts.get(n, 0) + 1
-    bound = -(-sum(lengths) // limit)
-    best = best_fit(counts, limit)
-    total, left_steps = sum(lengths), [steps]
-    if len(best) <= bound:
-        return best
-
-    def dive(skip: int) -> list[list[int]] | None:
-        """One descent; at ``skip`` the second filling is taken instead of the first."""
-        left, sizes, made, waste = dict(counts), sorted(counts), [], 0
-        spare = (len(best) - 1) * limit - total
-        while sizes:
-            left_steps[0] -= 1
-            first = sizes[-1]
-            left[first] -= 1
-            if not left[first]:
-                sizes.pop()
-            options = fillings(left, sizes, limit - first)
-            pick = options[1] if len(made) == skip and len(options) > 1 else options[0]
-            for size in pick:
-                left[size] -= 1
-                if not left[size]:
-                    sizes.pop(bisect.bisect_left(sizes, size))
-            waste += limit - first - sum(pick)
-            made.append([first, *pick])
-            if waste > spare or left_steps[0] <= 0:
-                return None
-        return made
-
-    skip = -1
-    while left_steps[0] > 0 and len(best) > bound and skip < len(best):
-        if (made := dive(skip)) and len(made) < len(best):
-            best = made
-        skip += 1
-    return best
+    return search_bins(lengths, limit, steps)[0]
 
 
 def pack(pieces: DataFrame, limit: int = LIMIT, cell_pieces: int = CELL_PIECES, steps: int = SEARCH_STEPS) -> DataFrame:

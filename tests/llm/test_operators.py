@@ -318,3 +318,29 @@ def test_decoding_of_many_equals_decoding_of_one():
     lists = pa.ListArray.from_arrays(pa.array(valid[0].astype(np.int32)), pa.array(valid[1]))
     assert encoder.decode_all(lists).to_pylist() == ["a word", " b", "", "é漢字 x"]
     assert encoder.decode_all(lists[1:]).to_pylist() == [" b", "", "é漢字 x"]
+
+
+def test_bin_completion_goes_back():
+    """Bins of many pieces, and the fewest bins that exist where best fit misses them."""
+    rng = random.Random(3)
+    lengths = [rng.randint(300, 500) for _ in range(200)]
+    counts = {x: lengths.count(x) for x in lengths}
+    bins, ended = packing.search_bins(lengths, 2048)
+    assert sorted(sum(bins, [])) == sorted(lengths) and max(map(sum, bins)) <= 2048
+    assert len(bins) == -(-sum(lengths) // 2048) < len(packing.best_fit(counts, 2048)) and ended == "bound"
+
+    def fewest(left: list[int], rooms: tuple[int, ...]) -> int:
+        if not left:
+            return len(rooms)
+        fits = {r for r in rooms if r >= left[0]}
+        options = [tuple(sorted([*rooms[: (k := rooms.index(r))], *rooms[k + 1 :], r - left[0]])) for r in fits]
+        return min(fewest(left[1:], o) for o in [*options, tuple(sorted([*rooms, 24 - left[0]]))])
+
+    better = 0
+    for _ in range(150):
+        lengths = [rng.randint(2, 13) for _ in range(8)]
+        bins, ended = packing.search_bins(lengths, 24)
+        assert ended != "steps" and sorted(sum(bins, [])) == sorted(lengths) and max(map(sum, bins)) <= 24
+        assert len(bins) == fewest(sorted(lengths, reverse=True), ())
+        better += len(bins) < len(packing.best_fit({x: lengths.count(x) for x in lengths}, 24))
+    assert better

@@ -1,4 +1,4 @@
-"""Main text of pages by differencing each page with its nearest neighbour by URL.
+"""Main text of pages by differencing each page with its nearest different neighbour by URL.
 
 Pages of a host are sorted by path; a page's lines are aligned with those of its
 neighbour by longest common subsequence, and shared lines are taken for the
@@ -53,7 +53,7 @@ CLOSED_BY = {
     "option": frozenset(["select", "optgroup"]),
 }
 MAIN, PLAIN, DROPPED = 0, 1, 2
-# Share of a page's plain lines in a neighbour's from which the two are copies rather than one template.
+# Share of the plain lines of two pages from which they may be copies rather than pages of one template.
 COPY_SHARE = 0.9
 
 
@@ -188,17 +188,35 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return matched
 
 
-def main_text(page: Page, neighbour: Page | None) -> tuple[str, int]:
-    """Main text of a page and the number of its lines that the neighbour shares."""
-    shared = common_lines(page.lines, neighbour.lines) if neighbour else set()
-    if MAIN in page.zones:
-        # the page says itself what its article is
-        kept = [line for line, zone in zip(page.lines, page.zones) if zone == MAIN]
-    else:
-        plain = [k for k, zone in enumerate(page.zones) if zone == PLAIN]
-        gone = [k for k in plain if k in shared]
-        copy = len(gone) >= COPY_SHARE * len(plain)
-        kept = [page.lines[k] for k in plain if copy or k not in shared]
+def _near_copy(page: Page, other: Page, shared: set[int]) -> bool:
+    """Nearly all plain lines of either page stand in the other, so that text may be shared, not only the template."""
+    own = [k for k, zone in enumerate(page.zones) if zone == PLAIN]
+    common = sum(k in shared for k in own)
+    return common >= COPY_SHARE * max(len(own), other.zones.count(PLAIN))
+
+
+def main_text(page: Page, neighbour: Page | None, other: Page | None = None) -> tuple[str, int]:
+    """Main text of a page and the number of its lines that the neighbour shares.
+
+    The neighbour's lines are deleted first; those of ``other``, the page on the
+    other side, if the neighbour is nearly a copy and ``other`` is not. Of what
+    is left, boilerplate by its markup goes, and article lines come back.
+    Without a different page to compare with, the markup alone decides.
+    """
+    near = [p for p in (neighbour, other) if p and p.lines != page.lines]
+    shares = [common_lines(page.lines, p.lines) for p in near[:1]]
+    if len(near) > 1 and _near_copy(page, near[0], shares[0]):
+        shares.append(common_lines(page.lines, near[1].lines))
+        if not _near_copy(page, near[1], shares[1]):
+            shares.reverse()
+    shared = shares[0] if shares else set()
+    # lines beside an article are only text if a template was found and they are not of it
+    outside = bool(shared) or MAIN not in page.zones
+    kept = [
+        line
+        for k, (line, zone) in enumerate(zip(page.lines, page.zones))
+        if zone == MAIN or zone == PLAIN and outside and k not in shared
+    ]
     return "\n".join(kept), len(shared)
 
 
@@ -211,39 +229,139 @@ def _shared_prefix(a: str, b: str) -> int:
     return n
 
 
+@dataclass
+class Run:
+    """Consecutive pages of a host with the same lines."""
+
+    host: str
+    page: Page
+    first: str
+    last: str
+    rows: list[tuple]
+
+    def text(self, before: Run | None, after: Run | None) -> tuple[str, int]:
+        """Main text by the nearer of two runs, the one after if both are as near."""
+        found = [(_shared_prefix(self.last, after.first), 1, after.page)] if after else []
+        found += [(_shared_prefix(before.last, self.first), 0, before.page)] if before else []
+        return main_text(self.page, *[p for _, _, p in sorted(found, key=lambda x: x[:2], reverse=True)] or [None])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
+    run = None
+    for batch in batches:
+        for page_id, url, host, path, text in zip(
+            *(batch.column(c).to_pylist() for c in ("_id", "url", "_host", "_path", "_html"))
+        ):
+            page = parse(text)
+            if run and run.host == host and run.page == page:
+                run.last = path
+                run.rows.append((page_id, url))
+                continue
+            if run:
+                yield run
+            run = Run(host, page, path, path, [(page_id, url)])
+    if run:
+        yield run
+
+
+def _border_key(run: Run, side: int) -> str:
+    """Name of the first (0) or last (1) run of a range; rows of equal host, path and id are in one range."""
+    return repr((side, run.host, run.first, run.rows[0][0]))
+
+
 def _difference(id_type: pa.DataType, url_type: pa.DataType):
-    """Pages of one range of (host, path), in order; three of them are held at a time."""
+    """Pages of one range of (host, path), in order, but for its first and last run; three runs are held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = current = None
         out: list[tuple] = []
-
-        def settle(after) -> None:
-            near = [p for p in (after, before) if p and p[2] == current[2]]
-            best = max(near, key=lambda p: _shared_prefix(p[3], current[3]), default=None)
-            text, shared = main_text(current[4], best[4] if best else None)
-            out.append((current[0], current[1], text, len(text), shared))
-
-        for batch in batches:
-            cols = [batch.column(c) for c in ("_id", "url", "_host", "_path", "_html")]
-            for k in range(batch.num_rows):
-                row = [c[k].as_py() for c in cols]
-                row[4] = parse(row[4])
-                if current is not None:
-                    settle(row)
-                    before = current
-                current = row
-                if len(out) >= 512:
-                    yield _page_rows(out, id_type, url_type)
-                    out.clear()
-        if current is not None:
-            settle(None)
+        for after in _runs(batches):
+            if before:
+                text, shared = current.text(*(r if r.host == current.host else None for r in (before, after)))
+                for page_id, url in current.rows:
+                    out.append((page_id, url, text, len(text), shared))
+                    if len(out) >= 512:
+                        yield _page_rows(out, id_type, url_type)
+                        out.clear()
+            before, current = current, after
         if out:
             yield _page_rows(out, id_type, url_type)
 
     return run
 
 
+def _ends(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[int, Run]], int]:
+    """The first two and last two runs of a range with their places, and the number of runs."""
+    kept: list[tuple[int, Run]] = []
+    n = 0
+    for run in _runs(batches):
+        if len(kept) == 4:
+            kept.pop(2)
+        kept.append((n, run))
+        n += 1
+    return kept, n
+
+
+def _border_rows(id_type: pa.DataType):
+    """Rows of a range's first and last run, with the key of the run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n = _ends(batches)
+        for k, r in kept:
+            if k in (0, n - 1):
+                key = _border_key(r, int(k > 0))
+                for at in range(0, len(r.rows), 4096):
+                    ids, urls = zip(*r.rows[at : at + 4096])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key] * len(ids)), pa.array(ids, id_type), pa.array(urls, pa.string())],
+                        names=["_run", "page_id", "url"],
+                    )
+
+    return run
+
+
+BORDER = "_run string, _host string, _id {}, _place long, _first string, _last string, _lines array<string>, _zones array<int>"
+
+
+def _border_runs(id_type: pa.DataType):
+    """A range's first and last run, with a key, and the runs next to them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n = _ends(batches)
+        for k, r in kept:
+            key = _border_key(r, int(k > 0)) if k in (0, n - 1) else None
+            row = (key, r.host, r.rows[0][0], k, r.first, r.last, r.page.lines, r.page.zones)
+            kinds = (pa.string(), pa.string(), id_type, pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], kind) for v, kind in zip(row, kinds)],
+                names=["_run", "_host", "_id", "_place", "_first", "_last", "_lines", "_zones"],
+            )
+
+    return run
+
+
+def _border_texts(table: pa.Table) -> pa.Table:
+    """Texts of the border runs of one host, by the nearest different runs in any range."""
+    rows = sorted(table.to_pylist(), key=lambda r: (r["_first"], r["_id"] is not None, r["_id"], r["_place"]))
+    groups: list[tuple[Run, list[str]]] = []
+    for r in rows:
+        page = Page(r["_lines"], r["_zones"])
+        if groups and groups[-1][0].page == page:
+            groups[-1][0].last = r["_last"]
+        else:
+            groups.append((Run(r["_host"], page, r["_first"], r["_last"], []), []))
+        if r["_run"] is not None:
+            groups[-1][1].append(r["_run"])
+    out = []
+    for k, (run, keys) in enumerate(groups):
+        if keys:
+            text, shared = run.text(groups[k - 1][0] if k else None, groups[k + 1][0] if k + 1 < len(groups) else None)
+            out += [(key, text, len(text), shared) for key in keys]
+    cols = list(zip(*out)) or [()] * 4
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=["_run", "text", "n_chars", "n_shared"])
+
+
 def _page_rows(out: list[tuple], id_type: pa.DataType, url_type: pa.DataType) -> pa.RecordBatch:
     cols = list(zip(*out))
     kinds = (id_type, url_type, pa.string(), pa.int64(), pa.int64())
@@ -264,13 +382,14 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id") -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars``, ``n_shared`` of every row of ``pages`` (url, html).
 
     ``text``: the blocks of the main text in page order, white space within a
-    block as one blank, character references decoded, joined by a newline. A
-    page with an article element gives what stands in it; another one its lines
-    outside of boilerplate that the nearest page of the host does not share.
-    ``n_shared``: lines shared with that page, of any zone. The nearest page is
-    the one before or after by path with the longer common path; at the border
-    of a task's range only one of them is at hand. Copies (nearly all lines
-    shared) are not taken for templates. A null or empty html gives an empty
+    block as one blank, character references decoded, joined by a newline: the
+    lines outside of boilerplate that the nearest page of the host does not
+    share, and all lines of an article element. ``n_shared``: lines shared with
+    that page, of any zone. The nearest page is the one before or after by path
+    with the longer common path, whatever task's range holds it; pages with the
+    same lines are passed over, and nearly equal ones if the page on the other
+    side is none. A page without such a neighbour gives its article or, without
+    one, all lines outside of boilerplate. A null or empty html gives an empty
     text, a null url belongs to the host of no name; repeated rows stay, and
     other columns are ignored. An empty table gives an empty one.
     """
@@ -283,11 +402,17 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id") -> DataFrame:
         path_of(F.col("url")).alias("_path"),
         F.coalesce("html", F.lit("")).alias("_html"),
     )
-    sorted_ = rows.repartitionByRange(n, "_host", "_path", "_id").sortWithinPartitions("_host", "_path", "_id")
+    keys = ["_host", "_path", "_id"]
+    sorted_ = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys, F.xxhash64("_html"))
     from pyspark.sql.pandas.types import to_arrow_type
 
-    run = _difference(to_arrow_type(kind), pa.string())
-    found = sorted_.mapInArrow(
-        run, f"page_id {kind.simpleString()}, url string, text string, n_chars long, n_shared long"
+    id_type, name = to_arrow_type(kind), kind.simpleString()
+    inner = sorted_.mapInArrow(
+        _difference(id_type, pa.string()), f"page_id {name}, url string, text string, n_chars long, n_shared long"
     )
+    # the same exchange is read three times; what is joined here has few rows a range, all others pass it by
+    border = sorted_.mapInArrow(_border_runs(id_type), BORDER.format(name))
+    texts = border.groupBy("_host").applyInArrow(_border_texts, "_run string, text string, n_chars long, n_shared long")
+    open_ = sorted_.mapInArrow(_border_rows(id_type), f"_run string, page_id {name}, url string")
+    found = inner.unionByName(open_.join(texts, "_run").drop("_run"))
     return found if id_column == "page_id" else found.withColumnRenamed("page_id", id_column)

@@ -344,3 +344,45 @@ def test_bin_completion_goes_back():
         assert len(bins) == fewest(sorted(lengths, reverse=True), ())
         better += len(bins) < len(packing.best_fit({x: lengths.count(x) for x in lengths}, 24))
     assert better
+
+
+def test_difference_decides():
+    def page(own, n=20, template="line"):
+        return html_diff.parse("".join(f"<p>{template} {k}</p>" for k in range(n)) + own)
+
+    # a short page under a long template
+    assert html_diff.main_text(page("<p>one</p>"), page("<p>two</p>"))[0] == "one"
+    # beside an article the difference keeps what is not of the template, and article lines come back
+    a = page("<article><p>shared</p><p>mine</p></article><p>more of it</p>")
+    b = page("<article><p>shared</p><p>yours</p></article>")
+    assert html_diff.main_text(a, b)[0] == "shared\nmine\nmore of it"
+    # nearly a copy on one side, only the template on the other
+    text = "".join(f"<p>text {k}</p>" for k in range(60))
+    a, b = page(text + "<p>x</p>", 3), page(text + "<p>y</p>", 3)
+    assert html_diff.main_text(a, b, page("<p>other</p>", 3))[0].split("\n")[0] == "text 0"
+
+
+def test_difference_looks_past_copies_and_borders(spark):
+    """Each page has one line of its own under the template of its host, whatever range holds its neighbour."""
+
+    def html_of(host, k):
+        return "".join(f"<p>{host} line {i}</p>" for i in range(12)) + f"<p>body {k}</p>"
+
+    rows, want = [], []
+    for host in ("a.example", "b.example"):
+        for k in range(40):
+            # every tenth page has 30 copies under the next addresses, more than a range holds
+            for copy in range(31 if k % 10 == 0 else 1):
+                rows.append((len(rows), f"https://{host}/p/{k:03d}/{copy:02d}", html_of(host, k)))
+                want.append(f"body {k}")
+    rows += [(len(rows), "https://c.example/only", "<p>alone</p>"), (len(rows) + 1, None, None)]
+    want += ["alone", ""]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        got = {r.page_id: r for r in html_diff.extract_pages(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [got[k].text for k in range(len(rows))] == want
+    assert all(got[k].n_shared == 12 for k in range(len(rows) - 2))

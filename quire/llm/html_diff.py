@@ -42,6 +42,14 @@ CHROME_WORDS = frozenset(
     "notices notification pagination pager popup promo promotion related reply respond search share sharing sidebar "
     "signup site-header page-header site-footer skip-link social sponsor sponsored subscribe toolbar widget".split()
 )
+# Inside an article: elements that may be boilerplate by their class, words that make a compound class no more than
+# its other words say, and elements whose text belongs to the article.
+CONTAINERS = frozenset("div section ul ol dl table details fieldset header center".split())
+LAYOUT_WORDS = frozenset(
+    "area bar block box button buttons container count form icon icons inner left link links list outer panel post posts "
+    "right row site top bottom thread wrap wrapper".split()
+)
+KEPT_IN_ARTICLE = frozenset("math svg object".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CLOSED_BY = {
     "li": frozenset(["ul", "ol", "menu", "dir"]),
@@ -63,14 +71,24 @@ class Page:
     zones: list[int]
 
 
+def _chrome_class(token: str) -> bool:
+    """A class that names boilerplate by itself: ``share``, ``share-buttons``, but not ``share-of-votes``."""
+    parts = re.split(r"[-_]+", token.strip("-_"))
+    return token in CHROME_WORDS or not CHROME_WORDS.isdisjoint(parts) and CHROME_WORDS | LAYOUT_WORDS >= set(parts)
+
+
 def _boilerplate(name: str, rest: str, in_main: bool) -> bool:
-    if name in CHROME or name == "header" and not in_main:
+    if name in CHROME and not (in_main and name in KEPT_IN_ARTICLE) or name == "header" and not in_main:
         return True
     if not rest or name in ("html", "body"):
         return False
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id"):
+        if in_main and key in ("class", "id"):
+            # ids are made from titles, and single words of a class say little about a part of the text
+            if key == "class" and name in CONTAINERS and any(map(_chrome_class, value.split())):
+                return True
+        elif key in ("class", "id"):
             words = value.split()
             if any(w in CHROME_WORDS or any(p in CHROME_WORDS for p in re.split(r"[-_]+", w)) for w in words):
                 return True
@@ -86,7 +104,9 @@ def parse(text: str) -> Page:
 
     ``MAIN``: in an article (without any, in a main element); ``PLAIN``:
     elsewhere in the body; ``DROPPED``: in boilerplate by its markup. Scripts,
-    styles, comments and the head give no line.
+    styles, comments and the head give no line. Inside an article or main
+    element only a container with a class for boilerplate, an element that is
+    none of the text, a role or a hidden state drops text, never an id.
     """
     lines: list[str] = []
     spots: list[tuple[bool, bool, bool]] = []
@@ -102,6 +122,10 @@ def parse(text: str) -> Page:
                 spots.append((dropped, article, main))
             buffer.clear()
 
+    def inline(name: str) -> bool:
+        """Formulas of an article stand in its sentences."""
+        return name == "math" and (article or main) and not dropped
+
     while at < end:
         token = TOKEN.match(text, at)
         if token is None:  # cannot happen: the last alternative takes any character
@@ -115,8 +139,10 @@ def parse(text: str) -> Page:
             continue
         name = name.lower()
         if token["close"]:
-            if name in BLOCKS or name in CHROME:
+            if name in BLOCKS or name in CHROME and not inline(name):
                 flush()
+            elif name == "text":
+                buffer.append(" ")
             if any(s[0] == name for s in stack):
                 while (popped := stack.pop())[0] != name:
                     pass
@@ -129,7 +155,7 @@ def parse(text: str) -> Page:
         if name == "br":
             buffer.append(" ")
             continue
-        if name in BLOCKS or name in CHROME:
+        if name in BLOCKS or name in CHROME and not inline(name):
             flush()
             if stack and stack[-1][0] == "p":
                 dropped, article, main = stack.pop()[1:]

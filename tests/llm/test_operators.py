@@ -386,3 +386,17 @@ def test_difference_looks_past_copies_and_borders(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert [got[k].text for k in range(len(rows))] == want
     assert all(got[k].n_shared == 12 for k in range(len(rows) - 2))
+
+
+def test_article_parts_are_kept():
+    """Ids and class words made from titles drop nothing; containers that are boilerplate still go."""
+    page = html_diff.parse(
+        "<article><h2 id='search-algorithms'>Search</h2><section id='related-work'><p>Before us</p></section>"
+        "<p id='share-of-votes' class='notice'>Votes</p><div class='social-history'>History</div>"
+        "<section id='notice-periods' class='notice-periods'>Periods</section>"
+        "<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><svg width='9'><text x='1'>axis</text><text>label</text></svg>"
+        "<object data='a.pdf'>A plan</object><div class='share-buttons'>bad</div><div class='x related-posts'>bad</div>"
+        "<ul class=share><li>bad</ul><nav>bad</nav><p hidden>bad</p></article><div id='search-box'>bad</div><math>bad</math>"
+    )
+    want = "Search\nBefore us\nVotes\nHistory\nPeriods\nLet x=1 be\naxis label\nA plan"
+    assert html_diff.main_text(page, None)[0] == want

@@ -236,3 +236,29 @@ def binary_pages(spark, sf):
     return found.filter(F.col("error_message").isNull()).select(
         "doc_id", "page_number", "total_pages", F.octet_length("page_image_png").cast("long").alias("page_bytes")
     )
+
+
+@query(
+    "binary_store_pages",
+    with_tables("pagetext")
+    + """SELECT p.doc_id, page_number, total_pages, octet_length(encode(ocr_text)) AS page_bytes,
+  CAST(NULL AS VARCHAR) AS error_message
+FROM pagetext p JOIN store s ON CAST(s.doc_id AS VARCHAR) = p.doc_id WHERE s.binary_content IS NOT NULL
+UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, NULL, NULL, 'TypeError: cannot convert ''NoneType'' object to bytes'
+FROM store WHERE binary_content IS NULL""",
+)
+def binary_store_pages(spark, sf):
+    """The store's bodies of every extension as pages; a body that cannot be read gives its error row."""
+
+    def cut(body: bytes):
+        text = body.decode("utf-8")
+        return [text[i : i + 2000].encode("utf-8") for i in range(0, len(text), 2000)]
+
+    docs = store(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "binary_content")
+    return pages.split_binary_pages(docs, cut, carry=["doc_id"]).select(
+        "doc_id",
+        "page_number",
+        "total_pages",
+        F.octet_length("page_image_png").cast("long").alias("page_bytes"),
+        "error_message",
+    )

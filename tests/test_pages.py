@@ -152,3 +152,15 @@ def test_page_monitor_counts_documents_with_a_missing_page(spark):
     df = spark.createDataFrame(rows, "doc_id string, page_number int, total_pages int, ocr_text string")
     row = reports.page_monitor(df).first()
     assert (row.total_documents, row.total_pages, row.documents_with_failures) == (2, 3, 1)
+
+
+def test_binary_store_pages_hold_every_document(spark, sf):
+    """Documents of every extension, and an error row for each body that cannot be read."""
+    from quire.plans.corpus import store
+    from quire.plans.page_queries import binary_store_pages
+
+    bodies = {str(r.doc_id): r.binary_content for r in store(spark, sf).select("doc_id", "binary_content").collect()}
+    rows = binary_store_pages(spark, sf).collect()
+    assert {r.doc_id for r in rows} == {k for k, v in bodies.items() if v is None or len(v)}
+    failed = [r.doc_id for r in rows if r.error_message is not None]
+    assert failed and sorted(failed) == sorted(k for k, v in bodies.items() if v is None)

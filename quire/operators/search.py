@@ -89,16 +89,19 @@ def first_stage(summaries: DataFrame, questions: DataFrame) -> DataFrame:
     return checkpoint(relevant_files(named.filter(has_text("file_name"))))
 
 
-def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFrame) -> DataFrame:
+def two_stage_search(
+    summaries: DataFrame, pages: DataFrame, questions: DataFrame, files: DataFrame | None = None
+) -> DataFrame:
     """Best page chunks within the files that the summaries point to.
 
     ``summaries``: id, file_name, vector. ``pages``: id, source_filename,
     vector. ``questions``: question_id, vector and the columns of
     ``with_search_plan``. A question without files gets the best pages of the
-    whole index instead (mode ``fallback``).
+    whole index instead (mode ``fallback``). ``files``: the result of
+    ``first_stage``, if at hand.
     """
     questions = checkpoint(questions)  # read by every step below
-    files = first_stage(summaries, questions)
+    files = first_stage(summaries, questions) if files is None else files
     plan = questions.select("question_id", "max_files", "chunk_k", "max_chunks")
     scoped = (
         files.join(plan, "question_id")
@@ -155,11 +158,14 @@ def two_stage_search(summaries: DataFrame, pages: DataFrame, questions: DataFram
     return found.unionByName(unscoped)
 
 
-def render_hits(questions: DataFrame, hits: DataFrame, texts: DataFrame) -> DataFrame:
+def render_hits(
+    questions: DataFrame, hits: DataFrame, texts: DataFrame, files: DataFrame | None = None
+) -> DataFrame:
     """One text block per question: header, file list, numbered chunks.
 
     ``hits`` is a materialised result, ``texts`` has id and chunk_text. A question has at most ten chunks, so the
-    lists stay short. A question without chunks gets a message.
+    lists stay short. A question without chunks gets a message. With ``files``, the result of ``first_stage``, the
+    list names all files that the header counts; without, those of the chunks shown.
     """
     size = F.when(F.col("mode") == "fallback", F.lit(FALLBACK_PREVIEW)).otherwise(F.lit(CHUNK_PREVIEW))
     line = F.concat(
@@ -183,6 +189,9 @@ def render_hits(questions: DataFrame, hits: DataFrame, texts: DataFrame) -> Data
             F.array_sort(F.collect_set("file_name")).alias("files"),
         )
     )
+    if files is not None:
+        named = files.groupBy("question_id").agg(F.array_sort(F.collect_set("file_name")).alias("files"))
+        blocks = blocks.drop("files").join(named, "question_id", "left")
     count = F.col("n_chunks").cast("string")
     header = F.when(
         F.col("mode") == "fallback", F.concat(F.lit("Found "), count, F.lit(" chunks in all files."))

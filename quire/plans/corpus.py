@@ -93,12 +93,16 @@ def pagetext(spark: SparkSession, sf: str) -> DataFrame:
     return split_text_pages(docs, "_text")
 
 
-def questions(spark: SparkSession, sf: str) -> DataFrame:
-    """Search questions with their vectors."""
-    asked = read_parquet(spark, sf, "benchmark").select(
+def asked_questions(spark: SparkSession, sf: str) -> DataFrame:
+    """All questions, also those without words, which have no vector."""
+    return read_parquet(spark, sf, "benchmark").select(
         F.col("item_id").alias("question_id"), F.col("text").alias("question_text")
     )
-    return embed(asked, "question_text")
+
+
+def questions(spark: SparkSession, sf: str) -> DataFrame:
+    """Search questions with their vectors."""
+    return embed(asked_questions(spark, sf), "question_text")
 
 
 def document_index(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,7 @@ from quire.plans.corpus import (
     CLOSENESS,
     SCORE,
     analysis,
+    asked_questions,
     document_index,
     pagetext,
     questions,
@@ -216,10 +217,34 @@ def two_stage_search(spark, sf):
 FROM found GROUP BY question_id""",
 )
 def search_block(spark, sf):
+    """A block for every question; the file list names the files of the chunks shown, as the SQL has it."""
     asked = search.with_search_plan(questions(spark, sf))
     pages = page_index(spark, sf)
     hits = checkpoint(search.two_stage_search(summary_index(spark, sf), pages, asked))
-    return search.render_hits(asked, hits, pages.select("id", F.col("ocr_text").alias("chunk_text")))
+    every = search.with_search_plan(asked_questions(spark, sf))
+    return search.render_hits(every, hits, pages.select("id", F.col("ocr_text").alias("chunk_text")))
+
+
+@query(
+    "search_block_files",
+    TWO_STAGE
+    + """, blocks AS (SELECT question_id, min(n_chunks) AS n_chunks, min(n_files) AS n_files, bool_or(has_temporal) AS recent,
+    string_agg('Chunk ' || position || ' (from ' || file_name || '): ' || left(ocr_text, 400) || '...', chr(10)
+      ORDER BY position) AS body FROM found GROUP BY question_id),
+named AS (SELECT question_id, array_to_string(list_sort(list(file_name)), ', ') AS names FROM files GROUP BY question_id)
+SELECT a.item_id AS question_id, CASE WHEN b.question_id IS NULL THEN 'No content found for the files of this question.'
+  ELSE 'Found ' || n_chunks || ' chunks from ' || n_files || ' files' || CASE WHEN recent THEN ' (recent first)' ELSE '' END
+    || '.' || chr(10) || 'Files: ' || names || chr(10) || chr(10) || body END AS block
+FROM benchmark a LEFT JOIN blocks b ON b.question_id = a.item_id LEFT JOIN named n ON n.question_id = a.item_id""",
+)
+def search_block_files(spark, sf):
+    """A block for every question, naming all files that stage one found."""
+    asked = checkpoint(search.with_search_plan(questions(spark, sf)))
+    summaries, pages = summary_index(spark, sf), page_index(spark, sf)
+    files = search.first_stage(summaries, asked)
+    hits = checkpoint(search.two_stage_search(summaries, pages, asked, files))
+    every = search.with_search_plan(asked_questions(spark, sf))
+    return search.render_hits(every, hits, pages.select("id", F.col("ocr_text").alias("chunk_text")), files)
 
 
 @query(
@@ -241,7 +266,7 @@ def search_plan(spark, sf):
   printf('%.3f', avg(score)) AS avg_relevance FROM hits GROUP BY question_id""",
 )
 def search_summary(spark, sf):
-    return search.search_summary(document_hits(spark, sf), questions(spark, sf), "volume_path")
+    return search.search_summary(document_hits(spark, sf), asked_questions(spark, sf), "volume_path")
 
 
 @query(
@@ -261,7 +286,7 @@ SELECT question_id, position, term, frequency, question_text || ' ' || term AS r
 )
 def refine_terms(spark, sf):
     hits = document_hits(spark, sf).select("question_id", "text")
-    return refine.refinement_terms(hits, questions(spark, sf))
+    return refine.refinement_terms(hits, asked_questions(spark, sf))
 
 
 @query(
@@ -326,5 +351,5 @@ def eval_overlap(spark, sf):
         F.max(F.when(rank == 1, F.col("text"))).alias("answer_text"),
         F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("context_text"),
     )
-    answers = gathered.join(questions(spark, sf).select("question_id", "question_text"), "question_id")
+    answers = asked_questions(spark, sf).join(gathered, "question_id", "left")
     return evaluate.answer_overlap(answers, ["question_id"])

@@ -197,3 +197,31 @@ def test_string_ids_stay_null(spark):
     index = spark.createDataFrame([(None, [1.0, 0.0]), ("a", [0.5, 0.5])], "id string, vector array<double>")
     asked = spark.createDataFrame([(1, [1.0, 0.0])], "question_id long, vector array<double>")
     assert [r.id for r in similarity.top_k(index, asked, 2).orderBy("rank").collect()] == [None, "a"]
+
+
+def test_questions_without_words_have_answers(spark, sf, tmp_path):
+    """Blank and null questions have a row in each report, and a block names every file its header counts."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from quire.plans import search_queries as plans
+
+    for name in ("documents", "benchmark"):
+        table = pq.read_table(f"{sf}/{name}.parquet")
+        if name == "benchmark":
+            more = {"item_id": pa.array([9001, 9002]).cast(table.schema.field("item_id").type), "text": ["  ", None]}
+            table = pa.concat_tables([table, pa.table(more, schema=table.schema.remove_metadata())])
+        pq.write_table(table, tmp_path / f"{name}.parquet")
+    folder = str(tmp_path)
+    blocks = {r.question_id: r.block for r in plans.search_block_files(spark, folder).collect()}
+    for found in (blocks, {r.question_id: r.block for r in plans.search_block(spark, folder).collect()}):
+        assert len(found) == len(table)
+        assert found[9001] == found[9002] == "No content found for the files of this question."
+    for block in blocks.values():
+        if "Files: " in block:
+            head, names = block.split("\n")[:2]
+            assert int(head.split(" files")[0].split()[-1]) == len(names.removeprefix("Files: ").split(", "))
+    summary = {r.question_id: r for r in plans.search_summary(spark, folder).collect()}
+    assert len(summary) == len(table) and summary[9001].total_results == 0 and summary[9002].avg_relevance == "N/A"
+    overlap = {r.question_id: r for r in plans.eval_overlap(spark, folder).collect()}
+    assert len(overlap) == len(table) and overlap[9001].groundedness == overlap[9002].query_relevance == 0

@@ -555,7 +555,7 @@ def near_copies(
         )
         more = materialise(more.join(tried, ["a", "b"], "left_anti"), "tried")
         if not _any(more):
-            break
+            continue  # a capped round without a new pair leaves partners beyond the cap
         tried = tried.union(more)
         links = materialise(links.union(_verified(docs, classes, more, width, percent)), "verified")
         found = components(links)

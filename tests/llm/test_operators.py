@@ -400,3 +400,26 @@ def test_article_parts_are_kept():
     )
     want = "Search\nBefore us\nVotes\nHistory\nPeriods\nLet x=1 be\naxis label\nA plan"
     assert html_diff.main_text(page, None)[0] == want
+
+
+def test_near_copies_goes_on_after_a_capped_round(spark, monkeypatch):
+    """A capped round without a new pair does not end the search: the exact round finds the rest."""
+    rng = random.Random(5)
+    base = [rng.choice("abcdefghij") + rng.choice("klmnop") for _ in range(60)]
+    rows = []
+    for k in range(60):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(len(own))] = rng.choice(["x", "y", "z"])
+        rows.append((k, " ".join(own)))
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, jaccard.near_copies(df).collect()))
+    fans, pairs = [], jaccard._cross_pairs
+
+    def nothing_new(percent, fan):
+        fans.append(fan)
+        return (lambda batches: (b.select(["a", "b"]) for b in ())) if fan else pairs(percent, fan)
+
+    monkeypatch.setattr(jaccard, "_cross_pairs", nothing_new)
+    assert sorted(map(tuple, jaccard.near_copies(df).collect())) == want
+    assert fans[-1] == 0

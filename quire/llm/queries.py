@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import (
+    conversations,
     embed_dedup,
     html_diff,
     jaccard,
@@ -18,8 +19,11 @@ from quire.llm import (
     pieces,
     quality,
     sharding,
+    token_orc,
     toxicity,
+    word_runs,
 )
+from quire.scratch import scratch_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -110,6 +114,35 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(token_pieces(_table(spark, sf, "documents")))
 
 
+def op11_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    out = scratch_path(spark, "orc")
+    token_orc.write_tokens(_table(spark, sf, "documents"), out, _tokenizer_file("word_bpe_49k.json"))
+    return token_orc.starts(token_orc.read_tokens(spark, out)).select(
+        "doc_id", "start", "n_tokens", token_orc.ids_crc32(F.col("ids")).alias("ids_crc32")
+    )
+
+
+def op12_word_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    found = word_runs.longest_run(word_runs.collapse_runs(docs, damage=True, digest=True))
+    run = F.col("longest")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        run["start"].alias("start"),
+        run["length"].alias("length"),
+        run["period"].alias("period"),
+        F.floor(1000 * run["length"] / run["period"]).cast("long").alias("exponent_milli"),
+        F.sha2("runs_text", 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    damaged = conversations.damage(_table(spark, sf, "conversations"))
+    return conversations.digest(conversations.repair(damaged)).withColumnRenamed("conv", "conv_id")
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -129,6 +162,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_line_dedup,
         op10_best_fit_packing,
+        op11_orc_tokens,
+        op12_word_runs,
+        op13_conversation_repair,
         pipeline,
     )
 }

@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -29,35 +30,46 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 FALSE_POSITIVES = 0.01
 # Bytes of text encoded together; more of them share more words.
-TOKEN_SLICE = 12 << 20
+TOKEN_SLICE = 6 << 20
 # Encoded runs a task keeps; beyond, it begins anew.
 CACHE_BYTES = 64 << 20
-# Marks at the end of a run, after an ASCII letter or digit.
-MARKS = r"([0-9A-Za-z])([.,;:!?]+(?:[\x20\x09-\x0D]|$))"
+# Latin letters; normal forms and lower case make no combining marks of them.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+# Marks at the end of a run, after a Latin letter or digit.
+MARKS = rf"([0-9{LETTERS}])([.,;:!?]+(?:[\x20\x09-\x0D]|$))"
+PLAIN = re.compile(f"[{LETTERS}]+")
+# Plain runs encoded as one text.
+TOGETHER = 500
 OWN = ("file_no", "ids_before", "n_tokens", "ids")
 
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    """The tokenizer, and which of its ids end a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
     found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    suffix = getattr(found.model, "end_of_word_suffix", None)
+    ends = np.zeros(found.get_vocab_size(), bool)
+    if suffix:
+        ends[[i for token, i in found.get_vocab().items() if token.endswith(suffix)]] = True
+    return found, ends
 
 
 class WordEncoder:
     """Ids of texts under a ``tokenizers`` file that drops white space and case.
 
     Such a tokenizer treats each run without ASCII white space by itself, and
-    apart from it the marks that end a run after an ASCII letter or digit. Every
+    apart from it the marks that end a run after a Latin letter or digit. Every
     distinct run is encoded once and kept, up to ``CACHE_BYTES`` of runs; the ids
-    of the texts are gathered by index.
+    of the texts are gathered by index. Runs of nothing but letters are one word
+    each: many are encoded as one text and told apart by the ids that end words.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.ends = _tokenizer(path)
         self._forget()
 
     def _forget(self) -> None:
@@ -65,16 +77,27 @@ class WordEncoder:
         self.held = 0
         self.ids, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each text has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _keep(self, runs: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.slots.update(zip(runs, range(len(self.size), len(self.size) + len(runs))))
+        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
+        self.held += sum(map(len, runs)) + 200 * len(runs)
+
     def _slots_of(self, runs: list[str]) -> np.ndarray:
         """The place of each run in ``ids`` and ``size``, after encoding the new ones."""
         new = [r for r in runs if r not in self.slots]
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.slots.update(zip(new, range(len(self.size), len(self.size) + len(new))))
-            self.size = np.concatenate([self.size, np.fromiter(map(len, found), np.int64, len(found))])
-            flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-            self.ids = np.concatenate([self.ids, flat])
-            self.held += sum(map(len, new)) + 100 * len(new)
+        plain = [r for r in new if PLAIN.fullmatch(r)] if self.ends.any() else []
+        ids, _ = self._encoded([" ".join(plain[k : k + TOGETHER]) for k in range(0, len(plain), TOGETHER)])
+        size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(size) == len(plain) and not (len(ids) and not self.ends[ids[-1]]):
+            self._keep(plain, ids, size)
+        rest = [r for r in new if r not in self.slots]
+        self._keep(rest, *self._encoded(rest))
         return np.fromiter(map(self.slots.__getitem__, runs), np.int64, len(runs))
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:

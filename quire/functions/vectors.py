@@ -1,46 +1,66 @@
-"""Vector columns from text, without a shuffle and without Python.
-
-The steps are separate columns on purpose: an expression used many times is
-computed once per row when it is a column of its own.
-"""
+"""Vector columns from text, without a shuffle."""
 
 from __future__ import annotations
 
+import functools
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.columns import as_col
-from quire.functions.text import words
 
 # Fixed value: the base64 alphabet; a word's hash digit selects the dimension.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 DIMENSIONS = len(ALPHABET)
-
-
-def word_digits(text) -> Column:
-    """One base64 digit per word, taken from the word's MD5."""
-    digit = F.transform(words(text), lambda w: F.left(F.base64(F.unhex(F.md5(w))), F.lit(1)))
-    return F.array_join(digit, "")
+# Bytes of text whose words a task holds at once, and words whose digit it keeps.
+SLICE_BYTES = 8 << 20
+KNOWN_WORDS = 1 << 18
+
+
+@functools.lru_cache(maxsize=KNOWN_WORDS)
+def word_digit(word: str) -> int:
+    """Place in the alphabet of the first base64 digit of the word's MD5."""
+    return hashlib.md5(word.encode(), usedforsecurity=False).digest()[0] >> 2
+
+
+def hashed_counts(text) -> Column:
+    """Words of a text counted in 64 hash buckets; each distinct word of a batch is hashed once."""
+
+    @F.arrow_udf("array<double>")
+    def counted(texts):  # noqa: ANN001, ANN202
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype("int64"))
+        parts, lo = [], 0
+        while lo < len(texts):
+            before = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            lists = pc.ascii_split_whitespace(texts.slice(lo, hi - lo))
+            words = lists.flatten()
+            row = np.repeat(np.arange(hi - lo), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            coded = words.dictionary_encode()
+            digits = np.array([word_digit(w) for w in coded.dictionary.to_pylist()], dtype="int64")
+            there = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+            if len(words):
+                cell = (row * DIMENSIONS + digits[coded.indices.to_numpy(zero_copy_only=False)])[there]
+            else:
+                cell = np.empty(0, dtype="int64")
+            parts.append(np.bincount(cell, minlength=(hi - lo) * DIMENSIONS).astype("float64"))
+            lo = hi
+        flat = np.concatenate([*parts, np.empty(0)])
+        bounds = np.arange(len(texts) + 1, dtype="int32") * DIMENSIONS
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+
+    return counted(F.lower(as_col(text)))
 
 
 def with_hashed_counts(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Words counted in 64 hash buckets; rows without words are left out.
-
-    A bucket's count is how often its digit occurs, so a row is handled where
-    it lies and in linear time.
-    """
-
-    def count(digit):
-        others = F.replace("_digits", digit, F.lit(""))
-        return (F.octet_length("_digits") - F.octet_length(others)).cast("double")
-
-    alphabet = F.array(*[F.lit(c) for c in ALPHABET])
-    return (
-        df.filter(F.col(text).rlike(r"\S"))
-        .withColumn("_digits", word_digits(text))
-        .withColumn(out, F.transform(alphabet, count))
-        .drop("_digits")
-    )
+    """Words counted in 64 hash buckets; rows without words are left out."""
+    return df.filter(F.col(text).rlike(r"\S")).withColumn(out, hashed_counts(text))
 
 
 def with_unit(df: DataFrame, vector: str, out: str) -> DataFrame:

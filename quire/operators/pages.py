@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quire.contracts import VECTOR_READY
 from quire.functions.ids import page_key
 from quire.functions.predicates import has_text
 from quire.functions.sizes import CHARS_PER_PAGE
 
-PAGE_BATCH_BYTES = 64 * 1024 * 1024
+PAGE_BATCH_BYTES = 8 * 1024 * 1024
 
 
 def fixed_size_pages(text, size: int = CHARS_PER_PAGE) -> Column:
@@ -59,15 +60,22 @@ def split_binary_pages(
     content: str = "binary_content",
     page_column: str = "page_image_png",
     page_type: T.DataType = T.BinaryType(),
+    batch_bytes: int = PAGE_BATCH_BYTES,
 ) -> DataFrame:
     """Expand bodies into pages with a caller's function, without a shuffle.
 
-    ``pages_of(body)`` yields the pages in order; a page given as an exception
-    is skipped and its number stays unused. A body the function cannot open
-    gives one row with ``error_message`` and no page.
+    ``pages_of(body)`` gives the pages in order, best as they are made: each is
+    passed on once ``batch_bytes`` of them are held, so a task holds one body and
+    that many bytes of pages, not a document. ``total_pages`` is the result's
+    length where it has one, else NULL. A page given as an exception is skipped
+    and its number stays unused. Where the function stops with an exception, the
+    pages before it stay, and a row with the number of the page that could not
+    be made and ``error_message`` follows; the number is NULL for a body that
+    could not be opened at all.
     """
+    fields = [docs.schema[c] for c in carry]
     schema = T.StructType(
-        [docs.schema[c] for c in carry]
+        fields
         + [
             T.StructField("page_number", T.IntegerType()),
             T.StructField("total_pages", T.IntegerType()),
@@ -75,40 +83,44 @@ def split_binary_pages(
             T.StructField("error_message", T.StringType()),
         ]
     )
-    budget = PAGE_BATCH_BYTES
+    names, kind = schema.fieldNames(), to_arrow_type(page_type)
+
+    def rows_of(body):
+        """Number, total, page and error of each page, and its size."""
+        total, number = None, None
+        try:
+            found = pages_of(bytes(body))
+            total, number = (len(found) if hasattr(found, "__len__") else None), 0
+            for number, page in enumerate(found, 1):
+                if not isinstance(page, Exception):
+                    yield number, total, page, None
+        except Exception as e:  # noqa: BLE001 - errors are data here
+            yield (None if number is None else number + 1), total, None, f"{type(e).__name__}: {e}"
 
     def expand(batches):
-        import pandas as pd
-
-        names = [*carry, "page_number", "total_pages", page_column, "error_message"]
-        for pdf in batches:
-            rows, held = [], 0
-            for row in pdf.itertuples(index=False):
-                values = row._asdict()
-                own = tuple(values[c] for c in carry)
-                try:
-                    found = list(pages_of(bytes(values[content])))
-                except Exception as e:  # noqa: BLE001 - errors are data here
-                    rows.append((*own, None, None, None, f"{type(e).__name__}: {e}"))
-                    continue
-                for number, page in enumerate(found, 1):
-                    if isinstance(page, Exception):
-                        continue
-                    rows.append((*own, number, len(found), page, None))
-                    held += len(page)
-                if held >= budget:
-                    yield frame(pd, rows, names)
-                    rows, held = [], 0
-            if rows:
-                yield frame(pd, rows, names)
-
-    def frame(pd, rows, names):
-        out = pd.DataFrame(rows, columns=names)
-        for c in ("page_number", "total_pages"):
-            out[c] = out[c].astype("Int32")
-        return out
-
-    return docs.select(*carry, content).mapInPandas(expand, schema)
+        import pyarrow as pa
+
+        def flush(batch, source, made):
+            own = batch.select(carry).take(pa.array(source, pa.int64()))
+            kinds = (pa.int32(), pa.int32(), kind, pa.string())
+            return pa.RecordBatch.from_arrays(
+                [*own.columns, *(pa.array(c, t) for c, t in zip(zip(*made), kinds))], names=names
+            )
+
+        for batch in batches:
+            source, made, held = [], [], 0
+            for at, body in enumerate(batch.column(content)):
+                for row in rows_of(body.as_py()):
+                    source.append(at)
+                    made.append(row)
+                    held += len(row[2] or "") + 64
+                    if held >= batch_bytes:
+                        yield flush(batch, source, made)
+                        source, made, held = [], [], 0
+            if made:
+                yield flush(batch, source, made)
+
+    return docs.select(*carry, content).mapInArrow(expand, schema)
 
 
 def vector_ready(pages: DataFrame) -> DataFrame:

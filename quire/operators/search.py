@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from quire.functions.columns import as_col
 from quire.functions.predicates import has_text
-from quire.functions.text import base_name, contains_any, words
-from quire.operators.similarity import top_k, with_columns
+from quire.functions.text import base_name, contains_any, first_filled, words
+from quire.operators.similarity import RANK_DIGITS, top_k, with_columns
 from quire.scratch import checkpoint
 
 # Words that make a question temporal, and the search parameters
@@ -32,6 +32,9 @@ FALLBACK_SHOWN = 5
 CHUNK_PREVIEW = 400
 FALLBACK_PREVIEW = 300
 
+# Fields that may name the file of a summary, the first filled one counts.
+FILE_FIELDS = ["file_name", "filename", "source"]
+
 # Name parts that tell the role of a hit's field, in test order.
 FIELD_ROLES = {
     "content": ["content", "text", "chunk", "body", "markdown", "analysis_result"],
@@ -74,18 +77,20 @@ def relevant_files(hits: DataFrame) -> DataFrame:
 def first_stage(summaries: DataFrame, questions: DataFrame) -> DataFrame:
     """Files found through the summaries: question_id, file_name, file_rank, n_files.
 
-    ``summaries`` has id, file_name and vector. The result holds at most
-    ``search_k`` rows per question and is kept in the shared folder, because
-    the second stage and the fallback both read it.
+    ``summaries`` has id, vector and some of ``FILE_FIELDS``, the first filled of
+    which names the file. The result holds at most ``search_k`` rows per question
+    and is kept in the shared folder, because the second stage and the fallback
+    both read it. Files are ordered by the full score of their best hit.
     """
     most = max(PLAIN["search_k"], TEMPORAL["search_k"])
     hits = checkpoint(
-        top_k(summaries, questions, most)
+        top_k(summaries, questions, most, digits=RANK_DIGITS)
         .join(questions.select("question_id", "search_k"), "question_id")
         .filter(F.col("rank") <= F.col("search_k"))
         .select("question_id", "id", "score")
     )
-    named = with_columns(hits, summaries, "id", ["file_name"])
+    name = first_filled(*[c for c in FILE_FIELDS if c in summaries.columns])
+    named = with_columns(hits, summaries.select("id", name.alias("file_name")), "id", ["file_name"])
     return checkpoint(relevant_files(named.filter(has_text("file_name"))))
 
 
@@ -94,8 +99,8 @@ def two_stage_search(
 ) -> DataFrame:
     """Best page chunks within the files that the summaries point to.
 
-    ``summaries``: id, file_name, vector. ``pages``: id, source_filename,
-    vector. ``questions``: question_id, vector and the columns of
+    ``summaries``: id, file_name (or another of ``FILE_FIELDS``), vector. ``pages``: id, source_filename,
+    vector; written in key folders (``similarity.write_keyed_index``), only the folders of the files found are read. ``questions``: question_id, vector and the columns of
     ``with_search_plan``. A question without files gets the best pages of the
     whole index instead (mode ``fallback``). ``files``: the result of
     ``first_stage``, if at hand.
@@ -158,14 +163,12 @@ def two_stage_search(
     return found.unionByName(unscoped)
 
 
-def render_hits(
-    questions: DataFrame, hits: DataFrame, texts: DataFrame, files: DataFrame | None = None
-) -> DataFrame:
+def render_hits(questions: DataFrame, hits: DataFrame, texts: DataFrame, files: DataFrame) -> DataFrame:
     """One text block per question: header, file list, numbered chunks.
 
     ``hits`` is a materialised result, ``texts`` has id and chunk_text. A question has at most ten chunks, so the
-    lists stay short. A question without chunks gets a message. With ``files``, the result of ``first_stage``, the
-    list names all files that the header counts; without, those of the chunks shown.
+    lists stay short. A question without chunks gets a message. ``files`` is the result of ``first_stage``: the
+    list names all files that the header counts.
     """
     size = F.when(F.col("mode") == "fallback", F.lit(FALLBACK_PREVIEW)).otherwise(F.lit(CHUNK_PREVIEW))
     line = F.concat(
@@ -186,12 +189,10 @@ def render_hits(
             F.first("n_chunks").alias("n_chunks"),
             F.first("n_files").alias("n_files"),
             F.array_sort(F.collect_list(F.struct("position", "line"))).alias("lines"),
-            F.array_sort(F.collect_set("file_name")).alias("files"),
         )
     )
-    if files is not None:
-        named = files.groupBy("question_id").agg(F.array_sort(F.collect_set("file_name")).alias("files"))
-        blocks = blocks.drop("files").join(named, "question_id", "left")
+    named = files.groupBy("question_id").agg(F.array_sort(F.collect_set("file_name")).alias("files"))
+    blocks = blocks.join(named, "question_id", "left")
     count = F.col("n_chunks").cast("string")
     header = F.when(
         F.col("mode") == "fallback", F.concat(F.lit("Found "), count, F.lit(" chunks in all files."))

@@ -1,22 +1,19 @@
-"""Exact and approximate top-k similarity search.
+"""Exact top-k similarity search.
 
 Questions are the small side and the index the large one. A block of questions
 whose size has been checked goes to every task; a task scores its index rows
 as a matrix product and passes on only its own ``k`` best rows per question.
 What is shuffled is then ``k`` rows per question and task, never the product
-of the two sides. More questions than one block holds are answered block by
-block, each block's hits written to the shared scratch folder.
+of the two sides. A search within files or documents scores only the pairs of a
+row and a question that may see it. More questions than one block holds are
+answered block by block, each block's hits written to the shared scratch folder.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.ml.feature import (
-    IDF,
-    BucketedRandomProjectionLSH,
-    HashingTF,
-    Normalizer,
-)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -24,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quire.functions.text import words
-from quire.functions.vectors import with_hashed_counts, with_unit
+from quire.functions.vectors import with_hashed_counts
 from quire.scratch import (
     MAX_BROADCAST_BYTES,
     MAX_BROADCAST_ROWS,
@@ -41,8 +37,13 @@ SCORE_DIGITS = 6
 RANK_DIGITS = 12
 # Scores computed at once by a task.
 CELLS = 4_000_000
-# (key, question) pairs that may be broadcast to scope a search.
+# (key, question) pairs that may be sent to the tasks to scope a search.
 MAX_SCOPE_ROWS = 200_000
+# Keys that a filter may list for the reader.
+MAX_LISTED = 1_000
+# Folders of an index in key folders, and the column that tells them.
+KEY_FOLDERS = 64
+KEY_FOLDER = "key_folder"
 
 
 def embed(df: DataFrame, text: str, out: str = "vector") -> DataFrame:
@@ -50,26 +51,6 @@ def embed(df: DataFrame, text: str, out: str = "vector") -> DataFrame:
     return with_hashed_counts(df, text, out)
 
 
-def tfidf_model(corpus: DataFrame, text: str, dimensions: int = 1024):
-    """Hashed TF-IDF weights fitted on a corpus; returns an embedding function."""
-    terms = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions)
-    idf = IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=1)
-    scale = Normalizer(inputCol="_tfidf", outputCol="_unit")
-
-    def counted(df, column):
-        return terms.transform(df.withColumn("_words", words(column)).filter(F.size("_words") > 0))
-
-    model = idf.fit(counted(corpus, text).select("_tf"))
-
-    def apply(df: DataFrame, column: str, out: str = "vector") -> DataFrame:
-        weighted = scale.transform(model.transform(counted(df, column)))
-        return weighted.withColumn(out, vector_to_array("_unit")).drop(
-            "_words", "_tf", "_tfidf", "_unit"
-        )
-
-    return apply
-
-
 def top_k(
     index: DataFrame,
     questions: DataFrame,
@@ -80,51 +61,70 @@ def top_k(
     question_vector: str = "vector",
     scope: list[tuple[DataFrame, str]] | None = None,
     group: str | None = None,
+    own: tuple[str, str] | None = None,
     block_rows: int = MAX_BROADCAST_ROWS,
+    digits: int = SCORE_DIGITS,
 ) -> DataFrame:
     """The ``k`` best index rows per question (per question and group) by cosine.
 
     Returns question, [group,] id, score, rank. Hits are ranked by the full
-    score, the column is rounded. Equal scores are ranked by id, null ids first. Each question row is a question of its own, also where its
+    score, the column is rounded to ``digits``. Equal scores are ranked by id, null ids first. Each question row is a question of its own, also where its
     id is null or repeated.
 
     ``scope`` lists pairs of a frame (question, key) and the index column the
     key belongs to: a question then sees only the rows with one of its keys in
-    one of these columns.
+    one of these columns. ``own`` names an index column and the question column
+    that holds the one key the question may see. An index in key folders
+    (``write_keyed_index``) is read only where these keys lie.
     """
-    asked = questions.select(question, F.col(question_vector).alias("_vector")).filter(
-        F.col("_vector").isNotNull()
-    )
+    columns = [question, F.col(question_vector).alias("_vector")]
+    if own is not None:
+        columns.append(F.col(own[1]).alias("_own"))
+    asked = questions.select(*columns).filter(F.col("_vector").isNotNull())
+    search = (k, id_col, vector, scope, group, own and own[0], digits)
     rows = bounded_rows(asked, block_rows)
-    if rows is not None and _fits(rows):
-        return _top_k_block(index, asked.schema[question], rows, k, id_col, vector, scope, group)
+    if rows is not None and (not rows or len(rows) * len(rows[0]["_vector"]) * 8 <= MAX_BROADCAST_BYTES):
+        return _top_k_block(index, asked.schema[question], rows, *search)
 
     path = scratch_path(index.sparkSession, "hits")
-    for b, part in enumerate(_blocks(checkpoint(asked), block_rows)):
-        hits = _top_k_block(index, asked.schema[question], part, k, id_col, vector, scope, group)
+    blocked, blocks = _blocks(asked, block_rows)
+    for b in range(blocks):
+        part = blocked.filter(F.col("_block") == b).drop("_block").collect()
+        hits = _top_k_block(index, asked.schema[question], part, *search)
         hits.write.parquet(f"{path}/block={b}")
     return index.sparkSession.read.parquet(path).drop("block")
 
 
-def _blocks(asked: DataFrame, block_rows: int):
-    """Questions in the order they are stored, cut by rows and bytes; one partition is on the driver at a time."""
-    block: list = []
-    for row in asked.toLocalIterator():
-        if block and (len(block) >= block_rows or not _fits([*block, row])):
-            yield block
-            block = []
-        block.append(row)
-    if block:
-        yield block
+def _blocks(asked: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
+    """Questions dealt into blocks, each of which was counted to hold as many rows and bytes as a task may be sent."""
+    numbered = checkpoint(asked.withColumn("_uid", F.monotonically_increasing_id()))
+    total, width = numbered.agg(F.count("_uid"), F.max(F.size("_vector"))).first()
+    most = max(1, min(block_rows, MAX_BROADCAST_BYTES // (8 * max(1, width or 1))))
+    blocks = max(1, math.ceil(1.2 * total / most))
+    while True:
+        block = F.pmod(F.xxhash64("_uid"), F.lit(blocks)).cast("int")
+        dealt = numbered.withColumn("_block", block)
+        largest = dealt.groupBy("_block").count().agg(F.max("count")).first()[0] or 0
+        if largest <= most:
+            return dealt.drop("_uid"), blocks
+        blocks = math.ceil(1.5 * blocks)
 
 
-def _fits(rows: list) -> bool:
-    return not rows or len(rows) * len(rows[0]["_vector"]) * 8 <= MAX_BROADCAST_BYTES
+def write_keyed_index(index: DataFrame, key: str, path: str) -> DataFrame:
+    """Writes an index in folders by a hash of ``key`` and returns it as read back, with the column ``key_folder``.
+
+    Rows of a folder are sorted by key. A folder of more than one task's share is
+    split by adaptive execution, so a key with a third of all rows is written and
+    read by many tasks.
+    """
+    folder = F.pmod(F.hash(key), F.lit(KEY_FOLDERS)).alias(KEY_FOLDER)
+    rows = index.select("*", folder).hint("rebalance", KEY_FOLDER).sortWithinPartitions(KEY_FOLDER, key)
+    rows.write.partitionBy(KEY_FOLDER).parquet(path)
+    return index.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -> DataFrame:
+def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group, own, digits) -> DataFrame:
     spark = index.sparkSession
-    name = question_field.name
     rows = [r for r in rows if any(r["_vector"])]  # an all-zero vector has no direction
     keys = [r[0] for r in rows]
     fields = [question_field]
@@ -146,54 +146,105 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group) -
     columns = [F.col(id_col).alias("_id"), F.col(vector).alias("_vec")]
     if group is not None:
         columns.append(F.col(group).alias("_group"))
-    if scope is not None:
-        index = _with_scope(index, question_field, keys, scope)
-        columns.append(F.col("_scope"))
-
-    kernel = _kernel(matrix, keys, k, group is not None, scope is not None, placed)
+    lookup = None
+    if own is not None:
+        held: dict = {}
+        for at, row in enumerate(rows):
+            if row["_own"] is not None:
+                held.setdefault(row["_own"], []).append(at)
+        lookup = [(own, held)]
+    elif scope is not None:
+        named = _named_keys(spark, question_field, keys, scope)
+        lookup = _lookup(named)
+        if lookup is None:
+            index = _with_scope(index, named)
+            columns.append(F.col("_scope"))
+    if lookup is not None:
+        index = _seen_rows(index, lookup)
+        columns += [F.col(column).alias(f"_key_{n}") for n, (column, _) in enumerate(lookup)]
+
+    seen = None if lookup is None else [h for _, h in lookup]
+    scoped = lookup is not None or scope is not None
+    kernel = _kernel(matrix, keys, k, group is not None, scoped, seen, placed)
     local = index.filter(F.col(vector).isNotNull()).select(*columns).mapInArrow(kernel, placed)
     per = ["_at"] if group is None else ["_at", group]
     order = W.partitionBy(*per).orderBy(F.desc("score"), F.asc("id"))
     ranked = local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k).drop("_at")
-    return ranked.withColumn("score", F.round("score", SCORE_DIGITS))
-
+    return ranked.withColumn("score", F.round("score", digits))
 
-def _with_scope(index, question_field, keys, scope) -> DataFrame:
-    """Index rows some question may see, with the positions of these questions.
 
-    A key maps to one list, so a row stays one row however many questions name
-    its key. While the (key, question) pairs are few, which is checked, the
-    lists are broadcast and the index is not shuffled.
-    """
-    spark, name = index.sparkSession, question_field.name
+def _named_keys(spark, question_field, keys, scope) -> list[tuple[DataFrame, str]]:
+    """Per scope the keys with the place of each question that names them, and the index column."""
+    name = question_field.name
     placed = spark.createDataFrame(
         [(key, i) for i, key in enumerate(keys)],
         T.StructType([question_field, T.StructField("_at", T.IntegerType())]),
     )
-    lists = []
-    for n, (pairs, column) in enumerate(scope):
+    out = []
+    for pairs, column in scope:
         named = pairs.select(F.col(name), F.col(pairs.columns[1]).alias("_key"))
-        here = named.join(F.broadcast(placed), name).select("_key", "_at").distinct()
-        field = T.StructField("_key", here.schema["_key"].dataType)
-        rows = bounded_rows(here, MAX_SCOPE_ROWS)
+        out.append((named.join(F.broadcast(placed), name).select("_key", "_at").distinct(), column))
+    return out
+
+
+def _lookup(named: list[tuple[DataFrame, str]]) -> list[tuple[str, dict]] | None:
+    """Per scope the index column and the questions of each key, or None if the pairs are too many to be sent."""
+    out = []
+    for pairs, column in named:
+        rows = bounded_rows(pairs, MAX_SCOPE_ROWS)
         if rows is None:
-            seen = here.groupBy("_key").agg(F.collect_list("_at").alias(f"_seen_{n}"))
-        else:
-            held: dict = {}
-            for key, at in rows:
+            return None
+        held: dict = {}
+        for key, at in rows:
+            if key is not None:
                 held.setdefault(key, []).append(at)
-            kind = T.StructType([field, T.StructField(f"_seen_{n}", T.ArrayType(T.IntegerType()))])
-            seen = F.broadcast(spark.createDataFrame(list(held.items()), kind))
-        how = "inner" if len(scope) == 1 else "left"
+        out.append((column, held))
+    return out
+
+
+def _seen_rows(index: DataFrame, lookup: list[tuple[str, dict]]) -> DataFrame:
+    """Rows with one of the keys; of an index in key folders, those folders only."""
+    spark = index.sparkSession
+    wanted = F.lit(False)
+    folders: set[int] = set()
+    for column, held in lookup:
+        values = list(held)
+        if not values:
+            continue
+        if len(values) > MAX_LISTED:  # the kernel leaves the other rows out
+            wanted = wanted | F.col(column).isNotNull()
+        else:
+            wanted = wanted | F.col(column).isin(values)
+        if KEY_FOLDER in index.columns:
+            kind = T.StructType([T.StructField("k", index.schema[column].dataType)])
+            parts = spark.createDataFrame([(v,) for v in values], kind)
+            folders |= {r[0] for r in parts.select(F.pmod(F.hash("k"), F.lit(KEY_FOLDERS))).distinct().collect()}
+    index = index.filter(wanted)
+    return index.filter(F.col(KEY_FOLDER).isin(sorted(folders))) if folders else index
+
+
+def _with_scope(index, named) -> DataFrame:
+    """Index rows some question may see, with the positions of these questions, for more pairs than can be sent.
+
+    A key maps to one list, so a row stays one row however many questions name
+    its key.
+    """
+    lists = []
+    for n, (pairs, column) in enumerate(named):
+        seen = pairs.groupBy("_key").agg(F.collect_list("_at").alias(f"_seen_{n}"))
+        how = "inner" if len(named) == 1 else "left"
         index = index.join(seen, index[column] == seen["_key"], how).drop("_key")
         lists.append(F.coalesce(F.col(f"_seen_{n}"), F.array().cast("array<int>")))
     every = lists[0] if len(lists) == 1 else F.array_distinct(F.concat(*lists))
     return index.withColumn("_scope", every).filter(F.size("_scope") > 0)
 
 
-def _kernel(matrix, keys, k, grouped, scoped, schema):
+def _kernel(matrix, keys, k, grouped, scoped, seen, schema):
     """Arrow batch function that keeps the k best rows per question (and group).
 
+    A scoped row is scored with the questions that may see it, those of its
+    keys in ``seen`` or of its own list, and with no others.
+
     Scores below the k-th best one seen so far are dropped before any sorting;
     the first rows are taken in a small step so that there is such a bound.
     """
@@ -229,6 +280,38 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
             bounds = slot[starts[full]], s[starts[full] + k - 1]
             return (slot[keep], ids[keep], there[keep], s[keep]), bounds
 
+        def listed(batch):
+            """Questions that may see each row: how many, and their places one after another."""
+            if seen is None:
+                lists = batch.column("_scope")
+                return lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy(zero_copy_only=False)
+            rows, places = [], []
+            for n, own in enumerate(seen):
+                coded = batch.column(f"_key_{n}").dictionary_encode(null_encoding="encode")
+                lists = [np.array(own.get(key, ()), dtype="int64") for key in coded.dictionary.to_pylist()]
+                code = coded.indices.to_numpy(zero_copy_only=False)
+                size = np.array([len(x) for x in lists], dtype="int64")
+                first = np.cumsum(size) - size
+                counts = size[code]
+                ends = np.cumsum(counts)
+                row = np.repeat(np.arange(len(code)), counts)
+                at = np.arange(len(row)) - np.repeat(ends - counts, counts) + np.repeat(first[code], counts)
+                rows.append(row)
+                places.append(np.concatenate([*lists, np.empty(0, "int64")])[at])
+            row, place = np.concatenate(rows), np.concatenate(places)
+            if len(seen) > 1:
+                row, place = np.divmod(np.unique(row * n_questions + place), n_questions)
+            return np.bincount(row, minlength=batch.num_rows), place
+
+        def pair_scores(block, row, col):
+            """Products of the listed pairs alone, a bounded number at a time."""
+            value = np.empty(len(row))
+            step = max(1, cells // width)
+            for lo in range(0, len(row), step):
+                part = slice(lo, lo + step)
+                value[part] = np.einsum("ij,ij->i", block[row[part]], matrix[col[part]])
+            return value
+
         codes: dict = {}
         held = None
         # Slots (a question, or a question and group) with k hits, and the k-th score.
@@ -250,20 +333,24 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
                 here = [codes.setdefault(g, len(codes)) for g in coded.dictionary.to_pylist()]
                 group = np.array(here, dtype="int64")[coded.indices.to_numpy()]
             if scoped:
-                lists = batch.column("_scope")
-                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-                wanted = lists.flatten().to_numpy(zero_copy_only=False)
+                sizes, wanted = listed(batch)
                 ends = np.cumsum(sizes)
             lo = 0
             while lo < len(ids):
-                step = max(1, cells // n_questions)
-                hi = min(len(ids), lo + (step if held is not None else min(step, 1024)))
-                scores = block[lo:hi] @ matrix.T
-                scores[~real[lo:hi]] = -np.inf
                 if scoped:
+                    # as many rows as list a bounded number of questions
+                    before = ends[lo] - sizes[lo]
+                    hi = max(lo + 1, int(np.searchsorted(ends, before + cells, side="right")))
                     row = np.repeat(np.arange(hi - lo), sizes[lo:hi])
-                    col = wanted[ends[lo] - sizes[lo] : ends[hi - 1]]
-                    value = scores[row, col]
+                    col = wanted[before : ends[hi - 1]]
+                    value = np.where(real[lo:hi][row], pair_scores(block[lo:hi], row, col), -np.inf)
+                else:
+                    step = max(1, cells // n_questions)
+                    hi = min(len(ids), lo + (step if held is not None else min(step, 1024)))
+                    scores = block[lo:hi] @ matrix.T
+                    scores[~real[lo:hi]] = -np.inf
+                if scoped:
+                    pass
                 elif grouped:
                     row, col = np.divmod(np.arange(scores.size), n_questions)
                     value = scores.ravel()
@@ -307,47 +394,6 @@ def _kernel(matrix, keys, k, grouped, scoped, schema):
     return run
 
 
-def lsh_buckets(vectors: DataFrame, vector: str, bucket_length: float, tables: int, seed: int = 42):
-    """A function adding one bucket column per hash table to a frame."""
-    sample = vectors.select(array_to_vector(F.col(vector)).alias("_v"))
-    model = BucketedRandomProjectionLSH(
-        inputCol="_v", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    ).fit(sample)
-
-    def apply(df: DataFrame) -> DataFrame:
-        hashed = model.transform(df.withColumn("_v", array_to_vector(F.col(vector))))
-        for i in range(tables):
-            hashed = hashed.withColumn(f"bucket_{i}", vector_to_array(F.col("_hashes")[i])[0].cast("long"))
-        return hashed.drop("_v", "_hashes")
-
-    return apply
-
-
-def approximate_top_k(
-    index: DataFrame,
-    questions: DataFrame,
-    k: int,
-    id_col: str = "id",
-    vector: str = "vector",
-    question: str = "question_id",
-    bucket_length: float = 0.5,
-    tables: int = 4,
-    seed: int = 42,
-) -> DataFrame:
-    """Top-k among the rows that share a hash bucket with the question.
-
-    A row meets the questions of its buckets as one list, so a bucket holding
-    many rows adds no rows, and all hash tables are probed in one pass.
-    """
-    asked = questions.select(question, F.col(vector))
-    scaled = with_unit(index.select(id_col, vector), vector, vector)
-    asked = checkpoint(with_unit(asked, vector, vector))
-    add = lsh_buckets(scaled, vector, bucket_length, tables, seed)
-    hashed, probes = add(scaled), add(asked)
-    scope = [(probes.select(question, f"bucket_{i}"), f"bucket_{i}") for i in range(tables)]
-    return top_k(hashed, asked, k, id_col, vector, question, vector, scope=scope)
-
-
 def with_columns(hits: DataFrame, index: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     """Materialised hits with further index columns.
 
@@ -367,9 +413,7 @@ def within(
     **names,
 ) -> DataFrame:
     """Top-k inside the document (or label) each question names."""
-    questions = checkpoint(questions)
-    pairs = questions.select(question, question_key)
-    return top_k(index, questions, k, question=question, scope=[(pairs, key)], **names)
+    return top_k(index, questions, k, question=question, own=(key, question_key), **names)
 
 
 def centroids(vectors: DataFrame, by: str, vector: str, out: str = "vector") -> DataFrame:

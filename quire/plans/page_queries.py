@@ -216,46 +216,39 @@ def bucketed_pages(spark, sf):
     return read_bucketed(spark, path, "doc_id", "11", buckets=16).select("doc_id", "page_number", "ocr_text")
 
 
-@query(
-    "binary_pages",
-    with_tables("pagetext")
-    + """SELECT doc_id, page_number, total_pages, octet_length(encode(ocr_text)) AS page_bytes FROM pagetext
-WHERE source_filename LIKE '%.pdf'""",
-)
-def binary_pages(spark, sf):
-    """Bodies expanded into pages by a caller's function on Arrow batches."""
+class TextPages:
+    """Pages of a body as they are decoded; one that begins with a line break cannot be made."""
 
-    def cut(body: bytes):
-        text = body.decode("utf-8")
-        return [text[i : i + 2000].encode("utf-8") for i in range(0, len(text), 2000)]
+    def __init__(self, body: bytes, size: int = 2000) -> None:
+        self.text, self.size = body.decode("utf-8"), size
 
-    docs = store(spark, sf).filter(F.col("file_extension") == ".pdf").select(
-        F.col("doc_id").cast("string").alias("doc_id"), F.encode("text", "UTF-8").alias("binary_content")
-    )
-    found = pages.split_binary_pages(docs, cut, carry=["doc_id"])
-    return found.filter(F.col("error_message").isNull()).select(
-        "doc_id", "page_number", "total_pages", F.octet_length("page_image_png").cast("long").alias("page_bytes")
-    )
+    def __len__(self) -> int:
+        return -(-len(self.text) // self.size)
+
+    def __iter__(self):
+        for start in range(0, len(self.text), self.size):
+            page = self.text[start : start + self.size]
+            if page[0] == "\n":
+                raise ValueError("the page begins with a line break")
+            yield page.encode("utf-8")
 
 
 @query(
-    "binary_store_pages",
+    "binary_pages",
     with_tables("pagetext")
-    + """SELECT p.doc_id, page_number, total_pages, octet_length(encode(ocr_text)) AS page_bytes,
-  CAST(NULL AS VARCHAR) AS error_message
-FROM pagetext p JOIN store s ON CAST(s.doc_id AS VARCHAR) = p.doc_id WHERE s.binary_content IS NOT NULL
+    + """, readable AS (SELECT p.*, min(CASE WHEN left(ocr_text, 1) = chr(10) THEN page_number END)
+    OVER (PARTITION BY p.doc_id) AS stop
+  FROM pagetext p JOIN store s ON CAST(s.doc_id AS VARCHAR) = p.doc_id WHERE s.binary_content IS NOT NULL)
+SELECT doc_id, page_number, total_pages, CASE WHEN page_number = stop THEN NULL ELSE octet_length(encode(ocr_text)) END AS page_bytes,
+  CASE WHEN page_number = stop THEN 'ValueError: the page begins with a line break' END AS error_message
+FROM readable WHERE page_number <= coalesce(stop, page_number)
 UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, NULL, NULL, 'TypeError: cannot convert ''NoneType'' object to bytes'
 FROM store WHERE binary_content IS NULL""",
 )
-def binary_store_pages(spark, sf):
-    """The store's bodies of every extension as pages; a body that cannot be read gives its error row."""
-
-    def cut(body: bytes):
-        text = body.decode("utf-8")
-        return [text[i : i + 2000].encode("utf-8") for i in range(0, len(text), 2000)]
-
+def binary_pages(spark, sf):
+    """The store's bodies of every extension as pages; a body that breaks keeps its earlier pages and gives an error row."""
     docs = store(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "binary_content")
-    return pages.split_binary_pages(docs, cut, carry=["doc_id"]).select(
+    return pages.split_binary_pages(docs, TextPages, carry=["doc_id"]).select(
         "doc_id",
         "page_number",
         "total_pages",

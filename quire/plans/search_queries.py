@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.vectors import norm, with_hashed_counts
-from quire.operators import evaluate, refine, search, similarity
+from quire.functions.vectors import norm, with_hashed_counts, with_unit
+from quire.operators import approximate, evaluate, refine, search, similarity, terms
 from quire.operators.answers import flatten_answers
 from quire.operators.pages import vector_ready
 from quire.plans.corpus import (
     CLOSENESS,
+    LIMITS,
     SCORE,
     analysis,
     asked_questions,
@@ -96,11 +97,60 @@ def knn_in_label(spark, sf):
     return similarity.within(index, asked, 3, "label", "own", id_col="vec_id", vector="embedding")
 
 
-@query("knn_lsh")
+# The key of each table as SQL: one bit per plane, the planes drawn by the same rule; as many bits as rows ask for.
+_SIGN = f"1 - 2 * ((x * x % {approximate.PRIME}) * {approximate.SECOND} % {approximate.PRIME} % 2)"
+LSH_TABLES = f"""n AS (SELECT count(*) AS rows, len(any_value(v)) AS width FROM docs),
+b AS (SELECT greatest({approximate.LEAST_BITS}, ceil(log2(rows::DOUBLE / {approximate.KEY_ROWS})))::BIGINT AS bits, width FROM n),
+planes AS (SELECT t, j, list({_SIGN} ORDER BY i)::DOUBLE[] AS p FROM (
+    SELECT t, j, i, ((t * bits + j) * width + i + 1) * {approximate.FIRST} % {approximate.PRIME} AS x
+    FROM b, range({approximate.TABLES}) AS a(t), range(bits) AS c(j), range(width) AS d(i)) GROUP BY t, j),
+index_keys AS (SELECT vec_id, t, sum(CASE WHEN list_dot_product(v, p) >= 0 THEN 1::BIGINT << j ELSE 0 END) AS key
+  FROM docs, planes GROUP BY vec_id, t),
+asked_keys AS (SELECT question_id, t, sum(CASE WHEN list_dot_product(v, p) >= 0 THEN 1::BIGINT << j ELSE 0 END) AS key
+  FROM asked, planes GROUP BY question_id, t),
+met AS (SELECT DISTINCT question_id, vec_id FROM asked_keys JOIN index_keys USING (t, key)),
+"""
+LSH_HITS = f"""near AS (SELECT * FROM (SELECT q.question_id, d.vec_id AS id, {SCORE} AS score,
+  row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.vec_id) AS rank
+FROM met m JOIN asked q ON q.question_id = m.question_id JOIN docs d ON d.vec_id = m.vec_id) WHERE rank <= 5)
+"""
+
+
+@query("knn_lsh", CENTROIDS + ", " + LSH_TABLES + LSH_HITS + "SELECT * FROM near")
 def knn_lsh(spark, sf):
-    """Approximate: only rows sharing a hash bucket with the question."""
-    index = read_parquet(spark, sf, "embeddings").withColumn("vector", F.col("embedding").cast("array<double>"))
-    return similarity.approximate_top_k(index, centroid_questions(spark, sf), 5, "vec_id", bucket_length=1.0)
+    """Approximate: only rows sharing a key with the question are scored, each exactly."""
+    index = read_parquet(spark, sf, "embeddings")
+    return approximate.approximate_top_k(index, centroid_questions(spark, sf), 5, "vec_id", "embedding")
+
+
+def planted_questions(spark, sf) -> DataFrame:
+    """A question near every hundredth vector: every other number is a fifth larger, the others a fifth smaller."""
+    index = read_parquet(spark, sf, "embeddings").filter(F.col("vec_id") % 100 == 0)
+    moved = F.transform("embedding", lambda x, i: x.cast("double") * F.when(i % 2 == 0, F.lit(1.2)).otherwise(F.lit(0.8)))
+    return index.select(F.col("vec_id").alias("question_id"), moved.alias("vector"))
+
+
+@query(
+    "knn_planted",
+    "WITH docs AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),\n"
+    "asked AS (SELECT vec_id AS question_id, list_transform(v, lambda x, i: x * CASE WHEN i % 2 = 1 THEN 1.2 ELSE 0.8 END) "
+    "AS v FROM docs WHERE vec_id % 100 = 0),\n"
+    + LSH_TABLES
+    + LSH_HITS
+    + """SELECT question_id, n.id, score, rank, (SELECT count(*) FROM met m WHERE m.question_id = n.question_id) AS scored
+FROM near n""",
+)
+def knn_planted(spark, sf):
+    """Approximate hits of questions whose nearest vector is known, and how many rows were scored for each."""
+    index = read_parquet(spark, sf, "embeddings")
+    asked = checkpoint(planted_questions(spark, sf))
+    written = approximate.write_index(index, scratch_path(spark, "lsh"), "vec_id", "embedding")
+    hits = approximate.search_index(written, asked, 5)
+    numbered = with_unit(asked.withColumn("asked", F.col("question_id")), "vector", "vector")
+    scored = approximate.candidates(written, numbered.select("asked", "vector")).groupBy("asked").count()
+    return hits.join(scored, hits["question_id"] == scored["asked"]).select(
+        "question_id", "id", "score", "rank", F.col("count").alias("scored")
+    )
 
 
 @query(
@@ -119,13 +169,26 @@ def knn_recall(spark, sf):
     return evaluate.recall_at_k(hits, expected, ["question_id", "id"])
 
 
-@query("tfidf_embed_search")
+_TERMS = "list_filter(string_split_regex(lower({0}), '\\s+'), lambda w: w <> '')"
+TFIDF = f"""WITH counts AS (SELECT doc_id AS id, term, count(*) AS tf FROM (
+  SELECT doc_id, unnest({_TERMS.format("text")}) AS term FROM documents) GROUP BY doc_id, term),
+rarity AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)) AS idf FROM counts GROUP BY term),
+postings AS (SELECT id, term, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY id)) AS weight
+  FROM counts JOIN rarity USING (term) WHERE idf > 0),
+asked AS (SELECT question_id, term, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY question_id)) AS own
+  FROM (SELECT question_id, term, count(*) AS tf FROM (
+    SELECT item_id AS question_id, unnest({_TERMS.format("text")}) AS term FROM benchmark) GROUP BY question_id, term)
+  JOIN rarity USING (term) WHERE idf > 0),
+scored AS (SELECT question_id, id, round(sum(weight * own), 12) AS s FROM postings JOIN asked USING (term) GROUP BY question_id, id)
+SELECT question_id, id, round(s, 6) + 0.0 AS score, rank FROM (SELECT *,
+  row_number() OVER (PARTITION BY question_id ORDER BY s DESC, id) AS rank FROM scored) WHERE rank <= 5"""
+
+
+@query("tfidf_embed_search", TFIDF)
 def tfidf_embed_search(spark, sf):
-    """Hashed TF-IDF vectors fitted on the documents, then exact search."""
-    docs = read_parquet(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    asked = read_parquet(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), "text")
-    model = similarity.tfidf_model(docs, "text", dimensions=512)
-    return similarity.top_k(model(docs, "text"), model(asked, "text"), 5)
+    """Best documents by weighted words, through an inverted index."""
+    docs = read_parquet(spark, sf, "documents").select("doc_id", "text")
+    return terms.search_terms(terms.term_index(docs, "doc_id", "text"), asked_questions(spark, sf), 5)
 
 
 @query(
@@ -147,15 +210,26 @@ def embed_text(spark, sf):
 
 # Two-stage search: summaries are the flattened answers, chunks the page texts.
 def summary_index(spark, sf) -> DataFrame:
-    """The summary index as a written table."""
-    rows = flatten_answers(analysis(spark, sf)).select("id", "file_name", "analysis_result")
-    return materialise(similarity.embed(rows, "analysis_result").drop("analysis_result"), "summary-index")
+    """The summary index as a written table. Large documents have their name in another field, the largest as source."""
+    rows = flatten_answers(analysis(spark, sf))
+    small = F.col("processing_category") == "SMALL_DOC"
+    large = F.col("estimated_tokens") >= 2 * LIMITS["token_threshold"]
+    named = rows.select(
+        "id",
+        F.when(small, F.col("file_name")).alias("file_name"),
+        F.when(~small, F.when(large, F.lit("")).otherwise(F.col("file_name"))).alias("filename"),
+        F.col("file_name").alias("source"),
+        "analysis_result",
+    )
+    return materialise(similarity.embed(named, "analysis_result").drop("analysis_result"), "summary-index")
 
 
 def page_index(spark, sf) -> DataFrame:
-    """The page index as a written table."""
+    """The page index, written in folders by file."""
     rows = vector_ready(pagetext(spark, sf)).select("id", "source_filename", "ocr_text")
-    return materialise(similarity.embed(rows, "ocr_text"), "page-index")
+    return similarity.write_keyed_index(
+        similarity.embed(rows, "ocr_text"), "source_filename", scratch_path(spark, "page-index")
+    )
 
 
 _KEYWORDS = " OR ".join(f"contains(lower(question_text), '{w}')" for w in search.TEMPORAL_KEYWORDS)
@@ -170,7 +244,10 @@ TWO_STAGE_TABLES = {
     "asked": f"SELECT *, {PLAN_SQL} FROM (SELECT *, {_KEYWORDS} AS has_temporal FROM "
     f"({_embedded('(' + QUESTIONS + ')', 'question_text')}))",
     "summaries": _embedded(
-        "(SELECT 'doc_' || sha256(file_path || '|' || result) AS id, file_name, result FROM analysis "
+        "(SELECT 'doc_' || sha256(file_path || '|' || result) AS id, coalesce(nullif(CASE WHEN small THEN file_name END, ''), "
+        "nullif(CASE WHEN NOT small THEN CASE WHEN large THEN '' ELSE file_name END END, ''), file_name) AS file_name, result "
+        "FROM (SELECT *, processing_category = 'SMALL_DOC' AS small, "
+        f"estimated_tokens >= {2 * LIMITS['token_threshold']} AS large FROM analysis) "
         "WHERE result IS NOT NULL AND result <> '')",
         "result",
     ),
@@ -179,7 +256,7 @@ TWO_STAGE_TABLES = {
         "ocr_text",
     ),
     "stage1": f"""SELECT question_id, file_name, max(score) AS file_score FROM (
-    SELECT q.question_id, q.search_k, d.file_name, {SCORE} AS score,
+    SELECT q.question_id, q.search_k, d.file_name, {CLOSENESS} AS score,
       row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.id) AS r
     FROM asked q, summaries d) WHERE r <= search_k GROUP BY question_id, file_name""",
     "files": """SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY file_score DESC, file_name) AS file_rank,
@@ -209,25 +286,6 @@ def two_stage_search(spark, sf):
 @query(
     "search_block",
     TWO_STAGE
-    + """SELECT question_id, 'Found ' || min(n_chunks) || ' chunks from ' || min(n_files) || ' files'
-    || CASE WHEN bool_or(has_temporal) THEN ' (recent first)' ELSE '' END
-    || '.' || chr(10) || 'Files: ' || array_to_string(list_sort(list(DISTINCT file_name)), ', ')
-    || chr(10) || chr(10) || string_agg('Chunk ' || position || ' (from ' || file_name || '): '
-      || left(ocr_text, 400) || '...', chr(10) ORDER BY position) AS block
-FROM found GROUP BY question_id""",
-)
-def search_block(spark, sf):
-    """A block for every question; the file list names the files of the chunks shown, as the SQL has it."""
-    asked = search.with_search_plan(questions(spark, sf))
-    pages = page_index(spark, sf)
-    hits = checkpoint(search.two_stage_search(summary_index(spark, sf), pages, asked))
-    every = search.with_search_plan(asked_questions(spark, sf))
-    return search.render_hits(every, hits, pages.select("id", F.col("ocr_text").alias("chunk_text")))
-
-
-@query(
-    "search_block_files",
-    TWO_STAGE
     + """, blocks AS (SELECT question_id, min(n_chunks) AS n_chunks, min(n_files) AS n_files, bool_or(has_temporal) AS recent,
     string_agg('Chunk ' || position || ' (from ' || file_name || '): ' || left(ocr_text, 400) || '...', chr(10)
       ORDER BY position) AS body FROM found GROUP BY question_id),
@@ -237,7 +295,7 @@ SELECT a.item_id AS question_id, CASE WHEN b.question_id IS NULL THEN 'No conten
     || '.' || chr(10) || 'Files: ' || names || chr(10) || chr(10) || body END AS block
 FROM benchmark a LEFT JOIN blocks b ON b.question_id = a.item_id LEFT JOIN named n ON n.question_id = a.item_id""",
 )
-def search_block_files(spark, sf):
+def search_block(spark, sf):
     """A block for every question, naming all files that stage one found."""
     asked = checkpoint(search.with_search_plan(questions(spark, sf)))
     summaries, pages = summary_index(spark, sf), page_index(spark, sf)

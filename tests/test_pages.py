@@ -154,13 +154,33 @@ def test_page_monitor_counts_documents_with_a_missing_page(spark):
     assert (row.total_documents, row.total_pages, row.documents_with_failures) == (2, 3, 1)
 
 
-def test_binary_store_pages_hold_every_document(spark, sf):
+def test_binary_pages_hold_every_document(spark, sf):
     """Documents of every extension, and an error row for each body that cannot be read."""
     from quire.plans.corpus import store
-    from quire.plans.page_queries import binary_store_pages
+    from quire.plans.page_queries import binary_pages
 
     bodies = {str(r.doc_id): r.binary_content for r in store(spark, sf).select("doc_id", "binary_content").collect()}
-    rows = binary_store_pages(spark, sf).collect()
+    rows = binary_pages(spark, sf).collect()
     assert {r.doc_id for r in rows} == {k for k, v in bodies.items() if v is None or len(v)}
     failed = [r.doc_id for r in rows if r.error_message is not None]
-    assert failed and sorted(failed) == sorted(k for k, v in bodies.items() if v is None)
+    broken = {k for k, v in bodies.items() if v and any(v.decode()[i] == "\n" for i in range(0, len(v.decode()), 2000))}
+    assert failed and sorted(failed) == sorted({k for k, v in bodies.items() if v is None} | broken)
+
+
+def test_pages_before_an_error_stay(spark):
+    """Pages come one by one: those before a break, the number of the failing one, and no more bytes held than asked for."""
+
+    def lazily(body):
+        for k in range(4):
+            if body == b"bad" and k == 2:
+                raise ValueError("torn")
+            yield ValueError("skipped") if body == b"gap" and k == 1 else body * 10
+
+    df = spark.createDataFrame([("a", b"bad"), ("b", b"gap"), ("c", None), ("d", b"ok")], "doc_id string, binary_content binary")
+    for size in (1, 1 << 20):
+        got = {}
+        for r in pages.split_binary_pages(df, lazily, ["doc_id"], batch_bytes=size).collect():
+            got.setdefault(r.doc_id, []).append((r.page_number, r.total_pages, r.page_image_png, r.error_message))
+        assert got["a"] == [(1, None, b"bad" * 10, None), (2, None, b"bad" * 10, None), (3, None, None, "ValueError: torn")]
+        assert [r[0] for r in got["b"]] == [1, 3, 4] and [r[0] for r in got["d"]] == [1, 2, 3, 4]
+        assert got["c"] == [(None, None, None, "TypeError: cannot convert 'NoneType' object to bytes")]

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions.vectors import with_unit
-from quire.operators import search, similarity
+from quire.operators import approximate, search, similarity, terms
 
 
 def frame(spark, matrix, ids, name="id", **extra):
@@ -66,6 +66,37 @@ def test_search_within_a_document(spark, data):
     assert as_set(got) == brute(matrix, list(range(400)), asked, qids, 3, lambda q, i: docs[i] == own[q])
 
 
+@pytest.mark.parametrize("most", [200_000, 10])
+def test_scopes_sent_or_joined(spark, data, monkeypatch, most):
+    """Two scopes at once, as lists sent to the tasks and, beyond their bound, by a join; blocks of questions too."""
+    monkeypatch.setattr(similarity, "MAX_SCOPE_ROWS", most)
+    matrix, asked = data
+    docs, tags = [f"f{i % 7}" for i in range(400)], [f"t{i % 5}" for i in range(400)]
+    qids = list(range(30))
+    index = frame(spark, matrix, list(range(400)), doc=docs, tag=tags).repartition(5)
+    questions = frame(spark, asked, qids, "question_id")
+    files = spark.createDataFrame([(q, f"f{(q + j) % 7}") for q in qids for j in range(2)] + [(0, None)], "question_id long, doc string")
+    marks = spark.createDataFrame([(q, f"t{q % 5}") for q in qids if q % 2], "question_id long, tag string")
+
+    def allowed(q, i):
+        return docs[i] in (f"f{q % 7}", f"f{(q + 1) % 7}") or (q % 2 and tags[i] == f"t{q % 5}")
+
+    for rows in (16_384, 7):
+        got = similarity.top_k(index, questions, 3, scope=[(files, "doc"), (marks, "tag")], block_rows=rows)
+        assert as_set(got) == brute(matrix, list(range(400)), asked, qids, 3, allowed)
+
+
+def test_keyed_index_reads_the_folders_of_its_keys(spark, data, tmp_path):
+    matrix, asked = data
+    docs = [f"f{i % 40}" for i in range(400)]
+    index = similarity.write_keyed_index(frame(spark, matrix, list(range(400)), doc=docs), "doc", str(tmp_path / "keyed"))
+    questions = frame(spark, asked[:2], [0, 1], "question_id", own=["f3", "none"])
+    got = similarity.within(index, questions, 3, "doc", "own")
+    plan = got._jdf.queryExecution().toString()
+    assert "PartitionFilters: [key_folder" in plan and "PushedFilters: [" in plan and "doc" in plan
+    assert as_set(got) == brute(matrix, list(range(400)), asked[:2], [0, 1], 3, lambda q, i: q == 0 and docs[i] == "f3")
+
+
 def test_top_k_per_group(spark, data):
     matrix, asked = data
     docs = [f"f{i % 4}" for i in range(400)]
@@ -84,14 +115,47 @@ def test_no_questions_gives_no_rows(spark, data):
     assert similarity.top_k(frame(spark, matrix, list(range(400))), questions, 3).count() == 0
 
 
-def test_lsh_finds_most_near_neighbours(spark):
+def near_data(rows=1200):
+    """Vectors in groups, and a question near each group's first vector."""
     rng = np.random.default_rng(3)
-    centers = rng.normal(size=(10, 16))
-    matrix = np.repeat(centers, 40, axis=0) + rng.normal(scale=0.1, size=(400, 16))
-    index, asked = frame(spark, matrix, list(range(400))), frame(spark, centers, list(range(10)), "question_id")
-    near = {(q, d) for q, d, _, _ in as_set(similarity.approximate_top_k(index, asked, 10, bucket_length=0.5))}
-    want = {(q, d) for q, d, _, _ in brute(matrix, list(range(400)), centers, list(range(10)), 10)}
-    assert len(near & want) / len(want) > 0.8
+    matrix = np.repeat(rng.normal(size=(rows // 12, 24)), 12, axis=0) + rng.normal(scale=0.12, size=(rows, 24))
+    return matrix, matrix[::12] + rng.normal(scale=0.05, size=(rows // 12, 24))
+
+
+@pytest.mark.parametrize("hot_rows", [approximate.HOT_ROWS, 3])
+def test_approximate_search(spark, tmp_path, hot_rows):
+    """Exact scores, the planted neighbour in nine of ten, few rows scored; hot keys over several salts give the same."""
+    matrix, near = near_data()
+    index, asked = frame(spark, matrix, list(range(1200))), frame(spark, near, list(range(100)), "question_id")
+    written = approximate.write_index(index, str(tmp_path / "lsh"), bits=6, hot_rows=hot_rows)
+    assert (written.hot.count() > 0) == (hot_rows == 3)
+    hits = as_set(approximate.search_index(written, asked, 5))
+    exact = {(q, d): s for q, d, s, _ in brute(matrix, list(range(1200)), near, list(range(100)), 1200)}
+    assert all(exact[q, d] == s for q, d, s, _ in hits)
+    assert len({q for q, d, _, r in hits if d == 12 * q and r == 1}) >= 90
+    want = {(q, d) for q, d, _, _ in brute(matrix, list(range(1200)), near, list(range(100)), 5)}
+    assert len({(q, d) for q, d, _, _ in hits} & want) >= 0.9 * len(want)
+    numbered = with_unit(asked.withColumn("asked", F.col("question_id")), "vector", "vector")
+    assert approximate.candidates(written, numbered).count() < 0.2 * 1200 * 100
+
+
+def test_approximate_search_reads_few_folders(spark, tmp_path):
+    matrix, near = near_data()
+    written = approximate.write_index(frame(spark, matrix, list(range(1200))), str(tmp_path / "lsh"))
+    asked = frame(spark, near[:1], [7], "question_id")
+    plan = approximate.candidates(written, asked.select(F.lit(1).alias("asked"), "vector"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(folder" in plan or "PartitionFilters: [folder" in plan
+    assert written.postings.select("folder").distinct().count() > 8
+
+
+def test_approximate_edge_rows(spark, tmp_path):
+    """Repeated and null ids, rows without a direction, questions without one, an empty index."""
+    rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None)]
+    index = spark.createDataFrame(rows, "id long, vector array<double>")
+    asked = spark.createDataFrame([("q", [2.0, 0.0]), ("q", [2.0, 0.0]), (None, [0.0, 0.0])], "question_id string, vector array<double>")
+    hits = approximate.approximate_top_k(index, asked, 2).collect()
+    assert sorted((r.question_id, str(r.id), r.score, r["rank"]) for r in hits) == [("q", "1", 1.0, 2)] * 2 + [("q", "None", 1.0, 1)] * 2
+    assert approximate.approximate_top_k(index.filter("false"), asked, 2).count() == 0
 
 
 def test_unit_vectors(spark):
@@ -106,11 +170,34 @@ def test_hashed_vectors_count_every_word(spark):
     assert [r.id for r in rows] == [1] and sum(rows[0].vector) == 12_000
 
 
-def test_tfidf_prefers_the_document_with_the_rare_word(spark):
-    docs = spark.createDataFrame([(i, f"common words here {'zebra' if i == 3 else 'lion'}") for i in range(8)], "id long, t string")
-    asked = spark.createDataFrame([(1, "zebra common")], "question_id long, t string")
-    model = similarity.tfidf_model(docs, "t", 256)
-    assert similarity.top_k(model(docs, "t"), model(asked, "t"), 1).first().id == 3
+def test_term_weights_against_plain_python(spark):
+    """Scores of all documents that share a weighing word; a word of every document weighs nothing."""
+    import math
+
+    rng = np.random.default_rng(2)
+    texts = {i: " ".join(["the", *(f"w{x}" for x in rng.zipf(1.6, 12) if x < 40)]) for i in range(120)}
+    asked = {1: "The w1 w2 w2", 2: "w7", 3: "the", 4: "", 5: "unknown w1"}
+    df = {}
+    for t in texts.values():
+        for w in set(t.split()):
+            df[w] = df.get(w, 0) + 1
+
+    def weights(t):
+        ws = t.lower().split()
+        raw = {w: ws.count(w) * math.log((1 + len(texts)) / (1 + df[w])) for w in set(ws) if w in df}
+        raw = {w: x for w, x in raw.items() if x > 0}
+        size = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / size for w, x in raw.items()}
+
+    want = set()
+    for q, t in asked.items():
+        own = weights(t)
+        scores = {d: round(sum(x * own[w] for w, x in weights(b).items() if w in own), 12) for d, b in texts.items() if set(own) & set(weights(b))}
+        for rank, (d, s) in enumerate(sorted(scores.items(), key=lambda p: (-p[1], p[0]))[:4], 1):
+            want.add((q, d, round(s, 6), rank))
+    docs = spark.createDataFrame(list(texts.items()), "id long, t string")
+    questions = spark.createDataFrame(list(asked.items()), "question_id long, question_text string")
+    assert as_set(terms.search_terms(terms.term_index(docs, "id", "t"), questions, 4)) == want
 
 
 def indexes(spark):
@@ -151,9 +238,10 @@ def test_without_files_the_whole_index_is_searched(spark):
 def test_blocks(spark):
     summaries, pages = indexes(spark)
     questions = asked(spark, [(1, "plain", [1.0, 0.1]), (9, "none", [0.0, 0.0])])
-    hits = search.two_stage_search(summaries, pages, questions)
+    files = search.first_stage(summaries, questions)
+    hits = search.two_stage_search(summaries, pages, questions, files)
     texts = pages.select("id", F.concat(F.lit("text of "), "id").alias("chunk_text"))
-    blocks = {r.question_id: r.block for r in search.render_hits(questions, hits, texts).collect()}
+    blocks = {r.question_id: r.block for r in search.render_hits(questions, hits, texts, files).collect()}
     assert blocks[1].startswith("Found 6 chunks from 2 files.\nFiles: a.pdf, b.pdf\n\nChunk 1 (from a.pdf): text of p0")
     assert blocks[9].startswith("No content found")
 
@@ -213,10 +301,9 @@ def test_questions_without_words_have_answers(spark, sf, tmp_path):
             table = pa.concat_tables([table, pa.table(more, schema=table.schema.remove_metadata())])
         pq.write_table(table, tmp_path / f"{name}.parquet")
     folder = str(tmp_path)
-    blocks = {r.question_id: r.block for r in plans.search_block_files(spark, folder).collect()}
-    for found in (blocks, {r.question_id: r.block for r in plans.search_block(spark, folder).collect()}):
-        assert len(found) == len(table)
-        assert found[9001] == found[9002] == "No content found for the files of this question."
+    blocks = {r.question_id: r.block for r in plans.search_block(spark, folder).collect()}
+    assert len(blocks) == len(table)
+    assert blocks[9001] == blocks[9002] == "No content found for the files of this question."
     for block in blocks.values():
         if "Files: " in block:
             head, names = block.split("\n")[:2]

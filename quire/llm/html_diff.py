@@ -18,6 +18,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from quire.scratch import materialise
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -290,110 +293,149 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
         yield run
 
 
-def _border_key(run: Run, side: int) -> str:
-    """Name of the first (0) or last (1) run of a range; rows of equal host, path and id are in one range."""
-    return repr((side, run.host, run.first, run.rows[0][0]))
+# What one pass over a range gives: finished pages, pages whose run may go on in another range, and runs at the ends.
+DONE, OPEN, BORDER = range(3)
+_MADE = (
+    "kind int, page_id {}, url string, text string, n_chars long, n_shared long, part int, place long, edge boolean, "
+    "host string, first string, last string, lines array<string>, zones array<int>"
+)
+_RUN = ("part", "place")
+
+
+def _difference(id_type: pa.DataType):
+    """One pass over the pages of one range of (host, path), in order; a few runs are held at a time.
 
+    Runs between two others are decided here. The pages of the first and the
+    last run are passed on ``OPEN``, with the run's place in the range; these two
+    runs and the ones next to them are passed on as ``BORDER`` with their lines.
+    """
+    kinds = [pa.int32(), id_type, pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+    kinds += [pa.string()] * 3 + [pa.list_(pa.string()), pa.list_(pa.int32())]
+    names = [part.split()[0] for part in _MADE.format("x").split(", ")]
 
-def _difference(id_type: pa.DataType, url_type: pa.DataType):
-    """Pages of one range of (host, path), in order, but for its first and last run; three runs are held at a time."""
+    def rows(made: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = current = None
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        held: dict[int, Run] = {}  # the runs at the beginning, and the last two so far
         out: list[tuple] = []
-        for after in _runs(batches):
-            if before:
-                text, shared = current.text(*(r if r.host == current.host else None for r in (before, after)))
-                for page_id, url in current.rows:
-                    out.append((page_id, url, text, len(text), shared))
-                    if len(out) >= 512:
-                        yield _page_rows(out, id_type, url_type)
-                        out.clear()
-            before, current = current, after
+        n = 0
+
+        def pages(place: int, text: str | None = None, shared: int | None = None) -> Iterator[pa.RecordBatch]:
+            kind, size = (OPEN, None) if text is None else (DONE, len(text))
+            for page_id, url in held[place].rows:
+                out.append((kind, page_id, url, text, size, shared, part, place, *[None] * 6))
+                if len(out) >= 512:
+                    yield rows(out)
+                    out.clear()
+            held[place].rows = []
+
+        for found in _runs(batches):
+            held[n] = found
+            if n == 1:
+                yield from pages(0)
+            if n > 1:
+                sides = (held[k] if held[k].host == held[n - 1].host else None for k in (n - 2, n))
+                yield from pages(n - 1, *held[n - 1].text(*sides))
+            if n > 3:
+                del held[n - 2]
+            n += 1
+        if n:
+            yield from pages(n - 1)
+        for place, r in held.items():
+            edge = place in (0, n - 1)
+            own = (r.host, r.first, r.last, r.page.lines, r.page.zones)
+            out.append((BORDER, *[None] * 5, part, place, edge, *own))
         if out:
-            yield _page_rows(out, id_type, url_type)
+            yield rows(out)
 
     return run
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[int, Run]], int]:
-    """The first two and last two runs of a range with their places, and the number of runs."""
-    kept: list[tuple[int, Run]] = []
-    n = 0
-    for run in _runs(batches):
-        if len(kept) == 4:
-            kept.pop(2)
-        kept.append((n, run))
-        n += 1
-    return kept, n
-
+_LINK = (
+    "part int, place long, host string, first string, last string, before_part int, before_place long, before_last string, "
+    "after_part int, after_place long, after_first string"
+)
 
-def _border_rows(id_type: pa.DataType):
-    """Rows of a range's first and last run, with the key of the run."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, n = _ends(batches)
-        for k, r in kept:
-            if k in (0, n - 1):
-                key = _border_key(r, int(k > 0))
-                for at in range(0, len(r.rows), 4096):
-                    ids, urls = zip(*r.rows[at : at + 4096])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(ids)), pa.array(ids, id_type), pa.array(urls, pa.string())],
-                        names=["_run", "page_id", "url"],
-                    )
-
-    return run
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each run at an end of a range, in order: its extent over ranges, and the different runs before and after it.
 
+    Reads at most four narrow rows a range; equal neighbours of a host are one run.
+    """
+    group: dict | None = None
+    before: dict | None = None
 
-BORDER = "_run string, _host string, _id {}, _place long, _first string, _last string, _lines array<string>, _zones array<int>"
+    def close(after: dict | None) -> list[tuple]:
+        prev = before if before and before["host"] == group["host"] else None
+        nxt = after if after and after["host"] == group["host"] else None
+        sides = (*prev["at"], prev["last"]) if prev else (None,) * 3
+        sides += (*nxt["at"], nxt["first"]) if nxt else (None,) * 3
+        return [(*at, group["host"], group["first"], group["last"], *sides) for at in group["edges"]]
 
+    def rows(made: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.int64()] + [pa.string()] * 3 + [pa.int32(), pa.int64(), pa.string()] * 2
+        names = [part.split()[0] for part in _LINK.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
 
-def _border_runs(id_type: pa.DataType):
-    """A range's first and last run, with a key, and the runs next to them."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            at = (r["part"], r["place"])
+            if group and (group["host"], group["same"]) == (r["host"], r["same"]):
+                group["last"] = r["last"]
+            else:
+                new = dict(host=r["host"], same=r["same"], first=r["first"], last=r["last"], at=at, edges=[])
+                if group:
+                    if made := close(new):
+                        yield rows(made)
+                    before = group
+                group = new
+            if r["edge"]:
+                group["edges"].append(at)
+    if group and (made := close(None)):
+        yield rows(made)
+
+
+def _border_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the linked runs."""
+
+    def side(r: dict, name: str) -> Run | None:
+        if r[f"{name}_lines"] is None:
+            return None
+        page = Page(r[f"{name}_lines"], r[f"{name}_zones"])
+        return Run(r["host"], page, r.get(f"{name}_first") or "", r.get(f"{name}_last") or "", [])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, n = _ends(batches)
-        for k, r in kept:
-            key = _border_key(r, int(k > 0)) if k in (0, n - 1) else None
-            row = (key, r.host, r.rows[0][0], k, r.first, r.last, r.page.lines, r.page.zones)
-            kinds = (pa.string(), pa.string(), id_type, pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()))
+    for batch in batches:
+        for at in range(batch.num_rows):
+            r = batch.slice(at, 1).to_pylist()[0]
+            own = Run(r["host"], Page(r["lines"], r["zones"]), r["first"], r["last"], [])
+            text, shared = own.text(side(r, "before"), side(r, "after"))
+            made = (r["part"], r["place"], text, len(text), shared)
+            kinds = (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v], kind) for v, kind in zip(row, kinds)],
-                names=["_run", "_host", "_id", "_place", "_first", "_last", "_lines", "_zones"],
+                [pa.array([v], k) for v, k in zip(made, kinds)], names=[*_RUN, "text", "n_chars", "n_shared"]
             )
 
-    return run
 
+def border_texts(border: DataFrame) -> DataFrame:
+    """``part``, ``place``, ``text``, ``n_chars``, ``n_shared`` of the runs at the ends of ranges.
 
-def _border_texts(table: pa.Table) -> pa.Table:
-    """Texts of the border runs of one host, by the nearest different runs in any range."""
-    rows = sorted(table.to_pylist(), key=lambda r: (r["_first"], r["_id"] is not None, r["_id"], r["_place"]))
-    groups: list[tuple[Run, list[str]]] = []
-    for r in rows:
-        page = Page(r["_lines"], r["_zones"])
-        if groups and groups[-1][0].page == page:
-            groups[-1][0].last = r["_last"]
-        else:
-            groups.append((Run(r["_host"], page, r["_first"], r["_last"], []), []))
-        if r["_run"] is not None:
-            groups[-1][1].append(r["_run"])
-    out = []
-    for k, (run, keys) in enumerate(groups):
-        if keys:
-            text, shared = run.text(groups[k - 1][0] if k else None, groups[k + 1][0] if k + 1 < len(groups) else None)
-            out += [(key, text, len(text), shared) for key in keys]
-    cols = list(zip(*out)) or [()] * 4
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=["_run", "text", "n_chars", "n_shared"])
-
-
-def _page_rows(out: list[tuple], id_type: pa.DataType, url_type: pa.DataType) -> pa.RecordBatch:
-    cols = list(zip(*out))
-    kinds = (id_type, url_type, pa.string(), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(cols, kinds)], names=["page_id", "url", "text", "n_chars", "n_shared"]
-    )
+    Which runs are neighbours is found on narrow rows, a few per range; lines
+    are fetched by range and place, so no host gathers them in one task.
+    """
+    same = F.xxhash64("lines", "zones")
+    narrow = border.select(*_RUN, "edge", "host", "first", "last", same.alias("same"))
+    links = narrow.repartition(1).sortWithinPartitions(*_RUN).mapInArrow(_linked, _LINK)
+    for name in ("", "before_", "after_"):
+        theirs = border.select(
+            *[F.col(c).alias(f"_{c}") for c in _RUN], F.col("lines").alias(f"{name}lines"), F.col("zones").alias(f"{name}zones")
+        )
+        on = [F.col(f"{name}{c}") == F.col(f"_{c}") for c in _RUN]
+        links = links.join(theirs, on, "left").drop(*[f"_{c}" for c in _RUN])
+    return links.mapInArrow(_border_texts, "part int, place long, text string, n_chars long, n_shared long")
 
 
 def host_of(url: Column) -> Column:
@@ -430,15 +472,12 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id") -> DataFrame:
     )
     keys = ["_host", "_path", "_id"]
     sorted_ = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys, F.xxhash64("_html"))
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type, name = to_arrow_type(kind), kind.simpleString()
-    inner = sorted_.mapInArrow(
-        _difference(id_type, pa.string()), f"page_id {name}, url string, text string, n_chars long, n_shared long"
+    # one pass over the sorted pages, written once: what follows does not depend on how they fall into ranges
+    made = materialise(
+        sorted_.mapInArrow(_difference(to_arrow_type(kind)), _MADE.format(kind.simpleString())), "extracted"
     )
-    # the same exchange is read three times; what is joined here has few rows a range, all others pass it by
-    border = sorted_.mapInArrow(_border_runs(id_type), BORDER.format(name))
-    texts = border.groupBy("_host").applyInArrow(_border_texts, "_run string, text string, n_chars long, n_shared long")
-    open_ = sorted_.mapInArrow(_border_rows(id_type), f"_run string, page_id {name}, url string")
-    found = inner.unionByName(open_.join(texts, "_run").drop("_run"))
+    result = ["page_id", "url", "text", "n_chars", "n_shared"]
+    texts = border_texts(made.where(F.col("kind") == BORDER))
+    left = made.where(F.col("kind") == OPEN).select("page_id", "url", *_RUN)
+    found = made.where(F.col("kind") == DONE).select(*result).unionByName(left.join(texts, list(_RUN)).select(*result))
     return found if id_column == "page_id" else found.withColumnRenamed("page_id", id_column)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.license_rules import CONFIDENCE, Signature, signatures
@@ -25,6 +25,9 @@ PHRASES = [
     ("cc by nc", "cc-by-nc"),
 ]
 BASE_SCORE = 0.9
+# Marks around a detection, characters of no word; detections of a rule that are placed by walking.
+BEGIN, END = "\x01", "\x02"
+WALKED = 16
 
 
 def spaced_words(text: Column) -> Column:
@@ -63,13 +66,18 @@ def places(padded: Column, phrase: str, n_words: Column) -> Column:
 
 
 def spans(padded: Column, rule: Column) -> Column:
-    """Detections of one rule: word intervals [start, end)."""
+    """Detections of one rule: word intervals [start, end).
+
+    A few detections are placed by walking along the pieces between them. More
+    are marked in the text, whose words are then counted once, as every step of
+    a walk copies what was found so far.
+    """
     pieces = F.split(padded, rule["pattern"], -1)
     found = F.regexp_extract_all(padded, rule["pattern"], F.lit(0))
+    empty = F.array().cast("array<struct<start:int,end:int>>")
 
-    def gather(p: Column, m: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,end:int>>")
-        walked = F.aggregate(
+    def walked(p: Column, m: Column) -> Column:
+        return F.aggregate(
             F.sequence(F.lit(0), F.size(m) - 1),
             F.struct(F.lit(0).alias("at"), empty.alias("out")),
             lambda acc, k: let(
@@ -82,10 +90,25 @@ def spans(padded: Column, rule: Column) -> Column:
                     ),
                 ),
             ),
+        )["out"]
+
+    def marked() -> Column:
+        text = F.regexp_replace(padded, F.concat(F.lit("("), rule["pattern"], F.lit(")")), F.lit(f"{BEGIN}$1{END}"))
+        return let(
+            F.split(text, " "),
+            lambda words: F.zip_with(
+                F.array_compact(F.transform(words, lambda w, i: F.when(w.startswith(BEGIN), i - 1))),
+                F.array_compact(F.transform(words, lambda w, i: F.when(w.endswith(END), i))),
+                lambda start, end: F.struct(start.alias("start"), end.alias("end")),
+            ),
         )
-        return F.when(F.size(m) == 0, empty).otherwise(walked["out"])
 
-    return let(pieces, lambda p: let(found, lambda m: gather(p, m)))
+    return let(
+        found,
+        lambda m: F.when(F.size(m) == 0, empty)
+        .when(F.size(m) <= WALKED, let(pieces, lambda p: walked(p, m)))
+        .otherwise(marked()),
+    )
 
 
 def _rule_table(rules: list[Signature]) -> Column:
@@ -116,42 +139,60 @@ def gate(rules: list[Signature]) -> str:
 
 
 def detections(padded: Column, rules: list[Signature]) -> Column:
-    """All detections of the rules whose keyword occurs at the start of a word."""
+    """All detections of the rules whose keyword occurs at the start of a word, by start, the longer first.
+
+    Fields are named and signed so that their order is that of the array: of
+    equal intervals the higher priority and then the earlier rule comes first.
+    """
     passed = F.filter(_rule_table(rules), lambda r: F.contains(padded, r["keyword"]))
-    return F.flatten(
-        F.transform(
-            passed,
-            lambda r: F.transform(
-                spans(padded, r),
-                lambda s: F.struct(
-                    s["start"].alias("start"),
-                    s["end"].alias("end"),
-                    r["priority"].alias("priority"),
-                    r["rule"].alias("rule"),
-                    r["label"].alias("label"),
+    return F.sort_array(
+        F.flatten(
+            F.transform(
+                passed,
+                lambda r: F.transform(
+                    spans(padded, r),
+                    lambda s: F.struct(
+                        s["start"].alias("start"),
+                        (-s["end"]).alias("minus_end"),
+                        (-r["priority"]).alias("minus_priority"),
+                        r["rule"].alias("rule"),
+                        r["label"].alias("label"),
+                    ),
                 ),
-            ),
+            )
         )
     )
 
 
-def surviving(found: DataFrame, key: str) -> DataFrame:
-    """Detections not contained in another of the same or higher priority of the same ``key``.
+def surviving(found: Column) -> Column:
+    """Labels and highest priority of the sorted detections not contained in another of the same or higher priority.
 
-    Rows come in the order of their starts, the longer first, so a detection is
-    contained in an earlier one of enough priority exactly if the furthest end
-    of those is not before its own. Of equal intervals the higher priority and
-    then the earlier rule stays. Rows without a detection (null start) stay.
+    A detection is contained in an earlier one of enough priority exactly if the
+    furthest end of those is not before its own, so one pass over a text's
+    detections decides, keeping one end per priority.
     """
-    order = Window.partitionBy(key).orderBy("start", F.desc("end"), F.desc("priority"), "rule")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.lit(None).cast("int")
-    for level in sorted(CONFIDENCE):
-        own = F.max(F.when(F.col("priority") >= level, F.col("end"))).over(before)
-        reach = F.when(F.col("priority") == level, own).otherwise(reach)
-    return found.withColumn("_reach", reach).where(
-        F.col("start").isNull() | F.col("_reach").isNull() | (F.col("_reach") < F.col("end"))
-    ).drop("_reach")
+    levels = sorted(CONFIDENCE)
+    none = F.array().cast("array<string>")
+
+    def step(acc: Column, d: Column) -> Column:
+        end, level = -d["minus_end"], -d["minus_priority"]
+        reach = F.lit(None).cast("int")
+        for known in levels:
+            reach = F.when(level == known, acc[f"reach{known}"]).otherwise(reach)
+        stays = reach < end
+        return F.struct(
+            *[
+                F.when(level >= known, F.greatest(acc[f"reach{known}"], end)).otherwise(acc[f"reach{known}"]).alias(f"reach{known}")
+                for known in levels
+            ],
+            F.when(stays, F.array_union(acc["labels"], F.array(d["label"]))).otherwise(acc["labels"]).alias("labels"),
+            F.when(stays, F.greatest(acc["level"], level)).otherwise(acc["level"]).alias("level"),
+        )
+
+    begin = F.struct(
+        *[F.lit(-1).alias(f"reach{known}") for known in levels], none.alias("labels"), F.lit(-1).alias("level")
+    )
+    return F.aggregate(found, begin, step)
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", rules: list[Signature] | None = None) -> DataFrame:
@@ -161,7 +202,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", rules: list[Signature] | No
     labels mark phrases that stand word by word in the text; ``n_base`` counts
     their places, ``first_word`` and ``last_word`` are the least and greatest
     start. ``labels`` adds those of the surviving detections. ``score`` is the
-    confidence of the surest one, 0 without any. A null or empty text has no
+    confidence of the surest one, 0 without any. Every row is scanned where it
+    lies. A null or empty text has no
     words and no labels (empty strings); repeated rows are scanned each; an
     empty table gives an empty one; other columns are ignored.
     """
@@ -177,46 +219,33 @@ def scan(docs: DataFrame, id_column: str = "doc_id", rules: list[Signature] | No
     )
     n = F.col("n_words")
     base = F.array(*[places(F.col("_padded"), p, n) for p, _ in PHRASES])
+    gated_in = F.col("_padded").isNotNull()
     scanned = gated.select(
-        F.monotonically_increasing_id().alias("_uid"),
         "_id",
         "n_words",
-        F.when(F.col("_padded").isNotNull(), base).alias("_base"),
-        F.when(F.col("_padded").isNotNull(), detections(F.col("_padded"), rules)).alias("_found"),
-    )
-    rows = scanned.select("_uid", "_id", "n_words", "_base", F.explode_outer("_found").alias("_d")).select(
-        "_uid", "_id", "n_words", "_base", "_d.*"
+        F.when(gated_in, base).alias("_base"),
+        F.when(gated_in, surviving(detections(F.col("_padded"), rules))).alias("_told"),
     )
     confidence = F.lit(0.0)
     for level, value in CONFIDENCE.items():
-        confidence = F.when(F.col("priority") == level, F.lit(value)).otherwise(confidence)
-    told = (
-        surviving(rows, "_uid")
-        .groupBy("_uid")
-        .agg(
-            F.first("_id").alias("_id"),
-            F.first("n_words").alias("n_words"),
-            F.first("_base").alias("_base"),
-            F.collect_set("label").alias("_labels"),
-            F.max(confidence).alias("_sure"),
-        )
-    )
+        confidence = F.when(F.col("_told.level") == level, F.lit(value)).otherwise(confidence)
     held = F.filter("_base", lambda b: b.isNotNull())
     names = F.array(*[F.lit(label) for _, label in PHRASES])
     base_labels = F.filter(
         F.transform("_base", lambda b, k: F.when(b.isNotNull(), F.get(names, k))), lambda x: x.isNotNull()
     )
     none = F.array().cast("array<string>")
-    return told.select(
+    labels = F.coalesce("_told.labels", none)
+    return scanned.select(
         F.col("_id").alias(id_column),
         "n_words",
         F.coalesce(F.aggregate(held, F.lit(0).cast("long"), lambda t, b: t + b["n"]), F.lit(0)).alias("n_base"),
         F.array_min(F.transform(held, lambda b: b["first"])).alias("first_word"),
         F.array_max(F.transform(held, lambda b: b["last"])).alias("last_word"),
         F.array_join(F.sort_array(F.coalesce(base_labels, none)), ",").alias("base_labels"),
-        F.array_join(F.sort_array(F.array_union(F.coalesce(base_labels, none), "_labels")), ",").alias("labels"),
+        F.array_join(F.sort_array(F.array_union(F.coalesce(base_labels, none), labels)), ",").alias("labels"),
         F.greatest(
             F.when(F.size(F.coalesce(base_labels, none)) > 0, F.lit(BASE_SCORE)).otherwise(F.lit(0.0)),
-            F.coalesce("_sure", F.lit(0.0)),
+            confidence,
         ).alias("score"),
     )

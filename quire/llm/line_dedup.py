@@ -32,7 +32,7 @@ def line_keys(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def document_hash(key: list[str]) -> Column:
-    """A document is its key columns and its text."""
+    """What rows with equal results share: key columns and text."""
     return F.xxhash64(*key, F.coalesce("text", F.lit("")))
 
 
@@ -71,7 +71,7 @@ def _stream(min_docs: int, keep_first: bool):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = {"hash": None, "docs": 0, "doc": None, "held": [], "first": True, "begun": False}
+        state = {"hash": None, "docs": 0, "doc": None, "at": None, "began": None, "held": [], "first": True}
         out: list[tuple] = []
 
         def close(last: bool) -> None:
@@ -95,16 +95,19 @@ def _stream(min_docs: int, keep_first: bool):
                 at = (int(cols[0][a]), int(cols[1][a]))
                 if at != state["hash"]:
                     close(False)
-                    state.update(hash=at, docs=0, doc=None, held=[], begun=False)
+                    state.update(hash=at, docs=0, doc=None, held=[], began=(int(cols[2][a]), int(cols[3][a])))
                 docs, pos = cols[2][a:b], cols[3][a:b]
-                fresh = int(np.count_nonzero(docs[1:] != docs[:-1])) + (state["doc"] is None or state["doc"] != int(docs[0]))
-                state["docs"] += fresh
-                state["doc"] = int(docs[-1])
+                # a document's rows with its first position here: one per row of the table with that id and text
+                begins = np.append(True, docs[1:] != docs[:-1])
+                first = pos[np.maximum.accumulate(np.where(begins, np.arange(len(docs)), 0))]
+                if state["doc"] == int(docs[0]):
+                    first[: int(np.argmin(docs == docs[0])) or len(docs)] = state["at"]
+                state["docs"] += int(np.count_nonzero(pos == first))
+                state.update(doc=int(docs[-1]), at=int(first[-1]))
                 state["held"].extend(zip(docs.tolist(), pos.tolist()))
                 if not state["first"] and state["docs"] >= min_docs:
-                    rows = state["held"][1:] if keep_first and not state["begun"] else state["held"]
-                    out.extend((*at, d, -1, p) for d, p in rows)
-                    state.update(held=[], begun=True)
+                    out.extend((*at, d, -1, p) for d, p in state["held"] if not (keep_first and (d, p) == state["began"]))
+                    state.update(held=[])
                 elif state["first"] and len(state["held"]) > 20_000:
                     out.extend((*at, d, None, p) for d, p in state["held"])
                     state["held"] = []
@@ -147,24 +150,53 @@ def shared_lines(lines: DataFrame, min_docs: int, keep_first: bool = False) -> D
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "passed")
     )
-    edge = open_rows.join(F.broadcast(wide), ["h1", "h2"])
+    edge = open_rows.join(wide, ["h1", "h2"])
     if keep_first:
         firsts = edge.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"))
-        edge = edge.join(F.broadcast(firsts), ["h1", "h2"]).where("passed = 1 OR struct(doc, pos) <> first")
+        edge = edge.join(firsts, ["h1", "h2"]).where("passed = 1 OR struct(doc, pos) <> first")
     return sure.union(edge.select("doc", "pos"))
 
 
-def bitmaps(dropped: DataFrame) -> DataFrame:
-    """``doc``, ``drop_bitmap``: deflated bit per line, up to the last dropped one."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bitmap per document of rows sorted by document and position."""
+    doc, held, out = None, [], []
 
-    def run(table: pa.Table) -> pa.Table:
-        pos = np.unique(table.column("pos").to_numpy())
+    def close() -> tuple[int, bytes]:
+        pos = np.unique(np.concatenate(held))
         bits = np.zeros(int(pos[-1]) + 1, bool)
         bits[pos] = True
-        packed = zlib.compress(np.packbits(bits).tobytes(), 1)
-        return pa.table({"doc": table.column("doc")[:1], "drop_bitmap": pa.array([packed], pa.binary())})
+        return doc, zlib.compress(np.packbits(bits).tobytes(), 1)
+
+    def rows() -> pa.RecordBatch:
+        docs, maps = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(maps, pa.binary())], ["doc", "drop_bitmap"])
+
+    for batch in batches:
+        docs, pos = batch.column("doc").to_numpy(), batch.column("pos").to_numpy()
+        edges = np.concatenate([[0], np.flatnonzero(docs[1:] != docs[:-1]) + 1, [len(docs)]]) if len(docs) else [0]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if held and doc != int(docs[a]):
+                out.append(close())
+                held = []
+            doc = int(docs[a])
+            held.append(pos[a:b])
+        if len(out) > 4_000:
+            yield rows()
+            out = []
+    if held:
+        out.append(close())
+    if out:
+        yield rows()
+
 
-    return dropped.groupBy("doc").applyInArrow(run, "doc long, drop_bitmap binary")
+def bitmaps(dropped: DataFrame) -> DataFrame:
+    """``doc``, ``drop_bitmap``: deflated bit per line, up to the last dropped one.
+
+    Positions are dealt by document and sorted; a task streams them.
+    """
+    n = int(dropped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dropped.select("doc", "pos").repartition(n, "doc").sortWithinPartitions("doc", "pos")
+    return dealt.mapInArrow(_packed, "doc long, drop_bitmap binary")
 
 
 def drop_shared_lines(
@@ -179,8 +211,10 @@ def drop_shared_lines(
     A line's key is the line without ASCII white space at its ends, with A-Z in
     lower case. Keys of at least ``min_chars`` code points that occur in
     ``min_docs`` documents lose all their lines everywhere (``keep_first``: all
-    but the first); the other lines are joined by a newline. A document is told by ``key`` and text, so repeated
-    rows count as one document and each gets the same result. A null text
+    but the first); the other lines are joined by a newline. Every row counts as a document,
+    repeated ones and those without an id too; rows with the same ``key`` and
+    text get the same result (``keep_first``: all of them keep a line that they
+    hold first). A null text
     counts as one empty line, a null id is a value like any other, an empty
     table gives an empty one. Other columns pass through.
     """

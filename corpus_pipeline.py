@@ -1,8 +1,8 @@
 """Training-data pipeline: documents to packed token sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept,
-and returns a DataFrame; all but the last return the columns of documents. Rows
-are told by ``doc_id``; rows that repeat one count as copies of it.
+and returns a DataFrame; all but the last return the columns of documents. Ids
+may repeat or be null; only the near-copy stage leaves out rows that repeat.
 """
 
 from __future__ import annotations
@@ -42,15 +42,21 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies.
+    """The document with the smallest id of every group of near copies, one without an id only if the group has no other.
 
-    A row without an id gets one beyond all others, made from its text.
+    Documents are told by id and text, so unrelated texts under one id all stay.
     """
-    made = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 61)
-    named = docs.select(F.coalesce("doc_id", made).alias("_id"), *COLUMNS)
-    groups = jaccard.near_copies(named.select("_id", "text"), "_id")
-    first = groups.where(F.col("_id") == F.col("component_id")).select("_id").distinct()
-    return named.join(first.hint("merge"), "_id", "left_semi").dropDuplicates(["_id"]).select(*COLUMNS)
+    named = docs.select(F.xxhash64("doc_id", "text").alias("_id"), *COLUMNS)
+    groups = jaccard.near_copies(named.select("_id", "text"), "_id").select("_id", "component_id").distinct()
+    ids = named.select(F.col("_id").alias("_own"), "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_id")
+    first = (
+        groups.join(ids.hint("merge"), F.col("_id") == F.col("_own"))
+        .groupBy("component_id")
+        .agg(F.min_by("_id", order).alias("_first"))
+    )
+    kept = named.join(first.hint("merge"), F.col("_id") == F.col("_first"), "left_semi")
+    return kept.dropDuplicates(["_id"]).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

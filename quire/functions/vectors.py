@@ -39,7 +39,7 @@ def hashed_counts(text) -> Column:
         while lo < len(texts):
             before = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
-            lists = pc.ascii_split_whitespace(texts.slice(lo, hi - lo))
+            lists = pc.ascii_split_whitespace(pa.concat_arrays([texts.slice(lo, hi - lo)]))
             words = lists.flatten()
             row = np.repeat(np.arange(hi - lo), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             coded = words.dictionary_encode()

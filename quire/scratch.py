@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_NARROW_ROWS = 500_000
 
 _fallback: dict[str, str] = {}
+# Tables written by `materialise`, by the frame that reads them.
+_written: dict[int, tuple] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -49,15 +52,41 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Spark's setting that lets a finished SQL execution delete its own shuffle files.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as parquet in the shared folder and read it back.
 
     For tables that several later steps scan, such as a search index: unlike a
-    checkpoint it keeps column pruning and filter push-down.
+    checkpoint it keeps column pruning and filter push-down. The shuffles that
+    made the table go when it is written; the table itself stays until its owner
+    calls ``release``.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.parquet(path)
+    _written[id(out)] = weakref.ref(out, lambda _, key=id(out): _written.pop(key, None)), path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete tables that ``materialise`` returned and that no frame still to be computed reads."""
+    for df in frames:
+        held = _written.pop(id(df), None)
+        if held is not None and held[0]() is df:
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(held[1])
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list | None:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quire.llm.arrow import slices
 from quire.scratch import materialise
 
 TOKEN = re.compile(
@@ -278,10 +279,10 @@ class Run:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
     run = None
     for batch in batches:
-        for page_id, url, host, path, text in zip(
-            *(batch.column(c).to_pylist() for c in ("_id", "url", "_host", "_path", "_html"))
+        for page_id, url, host, path, text, zones in zip(
+            *(batch.column(c).to_pylist() for c in ("_id", "url", "_host", "_path", "_lines", "_zones"))
         ):
-            page = parse(text)
+            page = Page(text.split("\n") if zones else [], [int(z) for z in zones])
             if run and run.host == host and run.page == page:
                 run.last = path
                 run.rows.append((page_id, url))
@@ -471,7 +472,19 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id") -> DataFrame:
         F.coalesce("html", F.lit("")).alias("_html"),
     )
     keys = ["_host", "_path", "_id"]
-    sorted_ = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys, F.xxhash64("_html"))
+    columns = ["_id", "url", "_host", "_path"]
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_html"):
+            found = [parse(text) for text in batch.column("_html").to_pylist()]
+            made = [pa.array("\n".join(p.lines) for p in found), pa.array("".join(map(str, p.zones)) for p in found)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], [*columns, "_lines", "_zones"])
+
+    # lines without markup are what is dealt out
+    parsed = rows.mapInArrow(
+        lines, f"_id {kind.simpleString()}, url string, _host string, _path string, _lines string, _zones string"
+    )
+    sorted_ = parsed.repartitionByRange(n, *keys).sortWithinPartitions(*keys, F.xxhash64("_lines", "_zones"))
     # one pass over the sorted pages, written once: what follows does not depend on how they fall into ranges
     made = materialise(
         sorted_.mapInArrow(_difference(to_arrow_type(kind)), _MADE.format(kind.simpleString())), "extracted"

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.arrow import slices, texts_of
-from quire.scratch import materialise
+from quire.scratch import broadcast_if_small, materialise
 
 SPACE = " \t\n\x0b\x0c\r"
 _LINE = "h1 long, h2 long, doc long, pos int"
@@ -150,10 +150,10 @@ def shared_lines(lines: DataFrame, min_docs: int, keep_first: bool = False) -> D
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "passed")
     )
-    edge = open_rows.join(wide, ["h1", "h2"])
+    edge = open_rows.join(broadcast_if_small(wide), ["h1", "h2"])
     if keep_first:
         firsts = edge.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"))
-        edge = edge.join(firsts, ["h1", "h2"]).where("passed = 1 OR struct(doc, pos) <> first")
+        edge = edge.join(broadcast_if_small(firsts), ["h1", "h2"]).where("passed = 1 OR struct(doc, pos) <> first")
     return sure.union(edge.select("doc", "pos"))
 
 

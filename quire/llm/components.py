@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.scratch import materialise
+from quire.scratch import materialise, release
 
 
 class Forest:
@@ -92,4 +92,5 @@ def components(links: DataFrame) -> DataFrame:
             )
         seen = mark
         starred = _large_star(edges).distinct()
-        edges = materialise(_small_star(starred).distinct(), "links")
+        before, edges = edges, materialise(_small_star(starred).distinct(), "links")
+        release(before)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.arrow import set_hash, shingle_sets, slices, texts_of
 from quire.llm.components import components
-from quire.scratch import materialise
+from quire.scratch import materialise, release
 
 WIDTH = 5
 PERCENT = 75
@@ -468,11 +468,15 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
         "pairs",
     )
     wanted = kept.select(F.col("a").alias("cid"), F.col("th_a").alias("th")).union(kept.select("b", "th_b")).distinct()
-    sets = materialise(_sets_of(docs, materialise(wanted, "wanted"), width), "sets")
+    wanted = materialise(wanted, "wanted")
+    sets = materialise(_sets_of(docs, wanted, width), "sets")
     one = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    return kept.join(one.hint("merge"), "a").join(two.hint("merge"), "b").where(shared >= F.col("need")).select("a", "b")
+    both = kept.join(one.hint("merge"), "a").join(two.hint("merge"), "b").where(shared >= F.col("need")).select("a", "b")
+    found = materialise(both, "verified")
+    release(kept, wanted, sets)
+    return found
 
 
 def near_copies(
@@ -497,9 +501,10 @@ def near_copies(
     """
     spark = docs.sparkSession
     described = materialise(describe_sets(docs, id_column, width), "described")
-    rows = described.where("piece IS NULL").select(id_column, "th", "cid", "n_shingles", "parities")
+    of_docs = described.where("piece IS NULL")
+    rows = materialise(of_docs.select(id_column, "cid", "n_shingles"), "described")
     classes = materialise(
-        rows.where("cid IS NOT NULL")
+        of_docs.where("cid IS NOT NULL")
         .groupBy("cid")
         .agg(
             F.min("th").alias("th"),
@@ -510,6 +515,7 @@ def near_copies(
         "classes",
     )
     sketch = spark.sparkContext.broadcast(collect_sketch(described))
+    release(described)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     prefixes = prefix_rows(docs, sketch, width, percent)
     runs = materialise(
@@ -527,7 +533,7 @@ def near_copies(
     across = heads.where("size(h) > 1").select(F.explode(steps).alias("p")).select("p.a", "p.b")
     pairs = chain.union(across).distinct()
     tried = materialise(pairs, "tried")
-    links = materialise(_verified(docs, classes, tried, width, percent), "verified")
+    links = _verified(docs, classes, tried, width, percent)
     found = components(links)
     for fan in (FAN, 0):
         # shingles that still join several components
@@ -557,8 +563,9 @@ def near_copies(
         if not _any(more):
             continue  # a capped round without a new pair leaves partners beyond the cap
         tried = tried.union(more)
-        links = materialise(links.union(_verified(docs, classes, more, width, percent)), "verified")
+        links = links.union(_verified(docs, classes, more, width, percent))
         found = components(links)
+    release(runs)
     named = classes.join(found.select(F.col("id").alias("cid"), "root"), "cid", "left").select(
         "cid", "least", F.coalesce("root", "cid").alias("root")
     )

@@ -78,19 +78,26 @@ def same_financial_year(day, today) -> Column:
     return financial_year_end(day) == financial_year_end(today)
 
 
+def window_days(today, window: str) -> tuple[Column, Column]:
+    """First and last day of a relative-date window."""
+    if window == "recent":
+        return F.date_sub(today, RECENT_DAYS), today
+    if window == "upcoming":
+        return today, F.date_add(today, UPCOMING_DAYS)
+    if window == "quarter":
+        first = F.trunc(today, "quarter")
+        return first, F.date_sub(F.add_months(first, 3), 1)
+    if window == "financial_year":
+        year = financial_year_end(today)
+        return F.make_date(year - 1, F.lit(7), F.lit(1)), F.make_date(year, F.lit(6), F.lit(30))
+    raise ValueError(f"unknown window {window!r}")
+
+
 def in_window(day, today, window: str | None = None) -> Column:
     """Relative-date condition by name; no window, no condition."""
     if window is None:
         return F.lit(True)
-    windows = {
-        "recent": is_recent,
-        "upcoming": is_upcoming,
-        "quarter": same_quarter,
-        "financial_year": same_financial_year,
-    }
-    if window not in windows:
-        raise ValueError(f"unknown window {window!r}")
-    return windows[window](day, today)
+    return as_col(day).between(*window_days(today, window))
 
 
 def filing_due(period_end, period: str) -> Column:

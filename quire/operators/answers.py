@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ from quire.functions.sizes import (
 
 # Fixed value: characters of a large document that go into its prompt.
 BRIEF_CHARS = 300_000
+# Prompts a client is asked for at once.
+CLIENT_ROWS = 32
 
 # Own wording; callers pass their own templates.
 FULL_HEAD = "Summarise the document below.\n\n"
@@ -109,19 +111,59 @@ def with_provenance(df: DataFrame, model: str, **constants) -> DataFrame:
 
 def call_model(df: DataFrame, fn: Callable[[str], str], prompt: str = "prompt", out: str = "analysis_result") -> DataFrame:
     """Answer column from a caller's function; a failing row keeps its error."""
+    return call_client(df, lambda: lambda texts: [fn(t) for t in texts], prompt, out, batch_rows=1)
 
-    def run(prompts):
+
+def call_client(
+    df: DataFrame,
+    connect: Callable[[], Callable[[list[str]], list[str | Exception]]],
+    prompt: str = "prompt",
+    out: str = "analysis_result",
+    batch_rows: int = CLIENT_ROWS,
+) -> DataFrame:
+    """Answer column from a caller's client, set up once per task and asked for ``batch_rows`` prompts at a time.
+
+    ``connect()`` returns the client: a function from prompts to as many
+    answers, where an exception in place of an answer fails that row alone. If a
+    call itself fails or gives another number of answers, its prompts are asked
+    again one by one, so one bad prompt costs its neighbours no answer. A row
+    without a prompt is not sent and has neither answer nor error. Rows keep
+    their order; a task holds one Arrow batch of prompts and their answers.
+    """
+
+    def ask(client, texts: list[str]) -> list[tuple[str | None, str | None]]:
+        try:
+            found = list(client(texts))
+            if len(found) != len(texts):
+                raise ValueError(f"{len(found)} answers to {len(texts)} prompts")
+        except Exception as e:  # noqa: BLE001 - errors are data here
+            if len(texts) == 1:
+                return [(None, f"{type(e).__name__}: {e}")]
+            return [ask(client, [t])[0] for t in texts]
+        return [(None, f"{type(x).__name__}: {x}") if isinstance(x, Exception) else (x, None) for x in found]
+
+    def run(batches):
         import pandas as pd
 
-        rows = []
-        for text in prompts:
-            try:
-                rows.append((None if text is None else fn(text), None))
-            except Exception as e:  # noqa: BLE001 - errors are data here
-                rows.append((None, f"{type(e).__name__}: {e}"))
-        return pd.DataFrame(rows, columns=["result", "errorMessage"])
+        client = connect()
+        for prompts in batches:
+            rows: list[tuple[str | None, str | None]] = [(None, None)] * len(prompts)
+            sent = [i for i, text in enumerate(prompts) if text is not None]
+            for lo in range(0, len(sent), batch_rows):
+                part = sent[lo : lo + batch_rows]
+                for i, answer in zip(part, ask(client, [prompts.iloc[i] for i in part])):
+                    rows[i] = answer
+            yield pd.DataFrame(rows, columns=["result", "errorMessage"])
+
+    return df.withColumn(out, _iterator_udf(run)(F.col(prompt)))
+
+
+def _iterator_udf(run):
+    """A pandas UDF over the batches of a task."""
+    import pandas as pd
 
-    return df.withColumn(out, F.pandas_udf(run, ANSWER)(F.col(prompt)))
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, ANSWER)
 
 
 def map_rows(df: DataFrame, before: Callable[[dict], dict], after: Callable[[dict], dict], schema: T.StructType) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions.columns import as_col
+from quire.functions.dates import in_window, window_days
 from quire.functions.predicates import has_text
 from quire.functions.text import base_name, contains_any, first_filled, words
 from quire.operators.similarity import RANK_DIGITS, top_k, with_columns
@@ -31,6 +32,8 @@ FALLBACK_K = 10
 FALLBACK_SHOWN = 5
 CHUNK_PREVIEW = 400
 FALLBACK_PREVIEW = 300
+# Column that tells the folders of an index in months.
+MONTH = "index_month"
 
 # Fields that may name the file of a summary, the first filled one counts.
 FILE_FIELDS = ["file_name", "filename", "source"]
@@ -62,6 +65,28 @@ def with_search_plan(questions: DataFrame, text: str = "question_text", whole_wo
     return questions.withColumn("has_temporal", flag).select("*", *chosen)
 
 
+def write_dated_index(index: DataFrame, day: str, path: str) -> DataFrame:
+    """Writes an index in folders by the month of a date column and returns it as read back, with ``index_month``."""
+    rows = index.withColumn(MONTH, F.trunc(day, "month")).hint("rebalance", MONTH)
+    rows.write.partitionBy(MONTH).parquet(path)
+    return index.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def dated(index: DataFrame, day: str, today: Column, window: str | None) -> DataFrame:
+    """Rows of a relative-date window (``dates.in_window``), before any of them is scored; without one, all rows.
+
+    Of an index in months (``write_dated_index``) only the window's folders are
+    read. ``today`` is a constant date. A row without a date is in no window.
+    """
+    if window is None:
+        return index
+    rows = index.filter(in_window(day, today, window))
+    if MONTH not in index.columns:
+        return rows
+    first, last = window_days(today, window)
+    return rows.filter(F.col(MONTH).between(F.trunc(first, "month"), F.trunc(last, "month")))
+
+
 def relevant_files(hits: DataFrame) -> DataFrame:
     """Distinct files per question, best score first, then by name."""
     per = W.partitionBy("question_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from quire.functions.dates import (
@@ -119,6 +122,41 @@ def model_answers(spark, sf):
     )
 
 
+class WordClient:
+    """Stands in for a model's client: it knows how often its task set one up, and fails calls with a short text."""
+
+    set_ups: Counter = Counter()
+
+    def __init__(self) -> None:
+        task = TaskContext.get()
+        self.task = (task.stageId(), task.taskAttemptId())
+        self.set_ups[self.task] += 1
+
+    def __call__(self, texts: list[str]) -> list[str | Exception]:
+        if any(len(t) < 100 for t in texts):
+            raise ConnectionError("a text is too short")
+        short = ValueError("too short")
+        return [short if len(t) < 500 else f"words: {len(t.split(' '))}, set-ups: {self.set_ups[self.task]}" for t in texts]
+
+
+@query(
+    "client_answers",
+    ANALYSIS
+    + """SELECT file_name, CASE WHEN character_count >= 500
+    THEN 'words: ' || len(string_split(markdown_content, ' ')) || ', set-ups: 1' END AS result,
+  CASE WHEN character_count < 100 THEN 'ConnectionError: a text is too short'
+    WHEN character_count < 500 THEN 'ValueError: too short' END AS error FROM analysis""",
+)
+def client_answers(spark, sf):
+    """One client a task, asked for many prompts at once; a failing call loses no answer of its other prompts."""
+    rows = routed(spark, sf).drop("prompt")
+    return answers.call_client(rows, WordClient, prompt="markdown_content").select(
+        "file_name",
+        F.col("analysis_result.result").alias("result"),
+        F.col("analysis_result.errorMessage").alias("error"),
+    )
+
+
 @query(
     "context_prompt",
     with_tables("pagetext")

@@ -10,6 +10,7 @@ from quire.functions.markup import html_title
 from quire.functions.predicates import in_categories
 from quire.functions.sizes import megabytes
 from quire.functions.text import (
+    extension,
     UNSAFE_NAME_CHARS,
     owner_key,
     paper_file_name,
@@ -209,38 +210,46 @@ def safe_names(spark, sf):
 
 
 def landed(spark: SparkSession, sf: str) -> str:
-    """Documents written as files, at most 200 per file, one folder per source."""
+    """Documents written as files, one per source and language, in folders of these names."""
     path = scratch_path(spark, "landing")
-    docs = read_parquet(spark, sf, "documents").select("source", F.col("text").alias("value"))
-    docs.write.option("maxRecordsPerFile", 200).partitionBy("source").text(path)
+    docs = read_parquet(spark, sf, "documents").select("source", "lang", "doc_id", F.col("text").alias("value"))
+    dealt = docs.repartition("source", "lang").sortWithinPartitions("source", "lang", "doc_id").drop("doc_id")
+    dealt.write.partitionBy("source", "lang").text(path)
     return path
 
 
-LANDED = """SELECT 'source=' || source AS folder, sum(octet_length(encode(text)) + 1)::BIGINT AS total_bytes
-FROM documents GROUP BY source"""
+# Every file with its folder, size and the checksum of its body.
+LANDED = """SELECT 'source=' || source || '/lang=' || lang AS folder, sum(octet_length(encode(text)) + 1)::BIGINT AS n_bytes"""
+BODY = ", md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS body_md5, '.txt' AS extension"
+FILES = " FROM documents GROUP BY source, lang"
 
 
 def _folder(path: str):
-    return F.regexp_extract(path, r"(source=[^/]*)/[^/]*$", 1).alias("folder")
+    return F.regexp_extract(path, r"(source=[^/]*/lang=[^/]*)/[^/]*$", 1).alias("folder")
 
 
-@query("binary_scan", LANDED)
+@query("binary_scan", LANDED + BODY + FILES)
 def binary_scan(spark, sf):
     files = scan_binary(spark, landed(spark, sf), "*.txt")
-    return files.groupBy(_folder("path")).agg(F.sum("length").alias("total_bytes"))
+    return files.select(
+        _folder("path"), F.col("length").alias("n_bytes"), F.md5("content").alias("body_md5"), extension("path").alias("extension")
+    )
 
 
-@query("volume_listing", LANDED)
+@query("volume_listing", LANDED + FILES)
 def volume_listing(spark, sf):
-    files = list_volume(spark, landed(spark, sf)).filter(F.col("path").endswith(".txt"))
-    return files.groupBy(_folder("path")).agg(F.sum("size").alias("total_bytes"))
+    files = list_volume(spark, landed(spark, sf))
+    return files.filter(extension("path") == ".txt").select(_folder("path"), F.col("size").alias("n_bytes"))
 
 
-@query("file_inventory", LANDED)
+@query("file_inventory", LANDED + BODY + FILES)
 def file_inventory(spark, sf):
     files = inventory(spark, landed(spark, sf), (".txt",))
-    return files.groupBy(_folder("volume_path")).agg(
-        F.sum(F.octet_length("binary_content").cast("long")).alias("total_bytes")
+    return files.select(
+        _folder("volume_path"),
+        F.col("file_size_bytes").alias("n_bytes"),
+        F.md5("binary_content").alias("body_md5"),
+        F.col("file_extension").alias("extension"),
     )
 
 

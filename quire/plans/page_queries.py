@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quire.functions.markup import HTML_RULES, HIDDEN_RULES, LINK_PATTERNS, html_title, html_to_markdown
@@ -10,7 +12,7 @@ from quire.operators import joins, pages, reports
 from quire.plans.corpus import pagetext, store, with_tables
 from quire.plans.registry import query
 from quire.scratch import scratch_path
-from quire.sources.sinks import read_bucketed, write_bucketed_folders
+from quire.sources.sinks import write_bucketed_folders, write_bucketed_table
 from quire.sources.tables import read_parquet
 
 PAGES = with_tables("pagetext")
@@ -208,12 +210,35 @@ def metadata_json(spark, sf):
     return decoded.select("page_id", *[F.col("m")[f].alias(f) for f in fields])
 
 
-@query("bucketed_pages", PAGES + "SELECT doc_id, page_number, ocr_text FROM pagetext WHERE doc_id = '11'")
+@query("bucketed_pages", PAGES + "SELECT doc_id, page_number, ocr_text FROM pagetext")
 def bucketed_pages(spark, sf):
-    """Pages written into hash-bucket folders; one document read back."""
+    """Pages written into hash-bucket folders and read back."""
     path = scratch_path(spark, "pages")
     write_bucketed_folders(pagetext(spark, sf), path, buckets=16)
-    return read_bucketed(spark, path, "doc_id", "11", buckets=16).select("doc_id", "page_number", "ocr_text")
+    return spark.read.parquet(path).select("doc_id", "page_number", "ocr_text")
+
+
+@query(
+    "bucketed_join",
+    PAGES
+    + """SELECT p.doc_id, p.page_number, r.words, b.other_pages FROM pagetext p LEFT JOIN (
+  SELECT doc_id, page_number, len(string_split(ocr_text, ' ')) AS words FROM pagetext
+  WHERE length(ocr_text) >= 50) r ON p.doc_id = r.doc_id AND p.page_number = r.page_number
+JOIN (SELECT doc_id, page_number, total_pages AS other_pages FROM pagetext) b
+  ON p.doc_id = b.doc_id AND p.page_number = b.page_number""",
+)
+def bucketed_join(spark, sf):
+    """Pages, results and a second page table, bucketed by the whole page key and joined without a shuffle."""
+    key = ["doc_id", "page_number"]
+    rows = pagetext(spark, sf)
+    results = rows.filter(F.length("ocr_text") >= 50).select(*key, F.size(F.split("ocr_text", " ")).cast("long").alias("words"))
+    other = rows.select(F.col("doc_id").alias("document"), F.col("page_number").alias("page"), F.col("total_pages").alias("other_pages"))
+    name = f"quire_pages_{uuid.uuid4().hex}"
+    pages_ = write_bucketed_table(rows.select(*key), name, key, buckets=16)
+    results = write_bucketed_table(results, f"{name}_results", key, buckets=16)
+    other = write_bucketed_table(other, f"{name}_other", ["document", "page"], buckets=16)
+    answered = joins.attach_results(pages_, results)
+    return joins.page_lookup(answered, other, {"doc_id": "document", "page_number": "page"}, ["other_pages"])
 
 
 class TextPages:

@@ -58,6 +58,31 @@ def document_search(spark, sf):
     return document_hits(spark, sf).select("question_id", "id", "score", "rank", "file_name")
 
 
+# The day the dated search is asked on.
+ASKED_ON = "2024-02-10"
+
+
+@query(
+    "dated_search",
+    with_tables(
+        "store",
+        asked=HITS_TABLES["asked"],
+        docs=_embedded(
+            f"(SELECT * FROM store WHERE modification_time::DATE BETWEEN DATE '{ASKED_ON}' - 30 AND DATE '{ASKED_ON}')", "text"
+        ),
+    )
+    + f"""SELECT question_id, id, score, rank FROM (SELECT q.question_id, d.doc_id AS id, {SCORE} AS score,
+  row_number() OVER (PARTITION BY q.question_id ORDER BY {CLOSENESS} DESC, d.doc_id) AS rank
+FROM asked q, docs d) WHERE rank <= 5""",
+)
+def dated_search(spark, sf):
+    """Best documents of the last thirty days, from an index in months."""
+    docs = store(spark, sf).select(F.col("doc_id").alias("id"), "text", F.to_date("modification_time").alias("day"))
+    index = search.write_dated_index(similarity.embed(docs, "text").drop("text"), "day", scratch_path(spark, "dated-index"))
+    recent = search.dated(index, "day", F.lit(ASKED_ON).cast("date"), "recent")
+    return similarity.top_k(recent, questions(spark, sf), 5)
+
+
 CENTROIDS = """WITH parts AS (SELECT label, unnest(embedding)::DOUBLE AS x,
     generate_subscripts(embedding, 1) AS i FROM embeddings),
 means AS (SELECT label, i, avg(x) AS m FROM parts GROUP BY label, i),

@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.contracts import DOCUMENT_STORE
 from quire.functions.text import base_name, extension, parent_dir
-from quire.scratch import checkpoint
+from quire.scratch import materialise
 
 DOCUMENT_EXTENSIONS = (".pdf", ".doc", ".docx")
-# A task hands its files on in Arrow batches of about this size.
-BODY_BATCH_BYTES = 64 * 1024 * 1024
-LISTING_BATCH = 10_000
-LISTING = "path string, size long, modified timestamp"
-
-
-def glob_any_case(extensions: tuple[str, ...]) -> str:
-    """Glob that matches the extensions in lower and upper case."""
-    names = [e.lstrip(".") for e in extensions]
-    return "*.{" + ",".join(names + [n.upper() for n in names]) + "}"
 
 
 def scan_binary(
@@ -34,105 +24,50 @@ def scan_binary(
     )
 
 
-def _roots(spark: SparkSession, root: str) -> tuple[str, str, str]:
-    """Root as given, its URI, and its path inside the file system."""
-    from pyarrow import fs
-
-    root = root.rstrip("/")
-    uri = root
-    if "://" not in root and not root.startswith("file:"):
-        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
-        if default and not default.startswith("file:"):
-            uri = default.rstrip("/") + root
-    return root, uri, fs.FileSystem.from_uri(uri)[1]
+def _as_given(spark: SparkSession, root: str, path: str = "path") -> Column:
+    """Paths below ``root`` in the form in which ``root`` was given."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+    return F.concat(F.lit(root.rstrip("/")), F.substring(F.col(path), len(full) + 1, 2**31 - 1)).alias("path")
 
 
 def list_volume(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: path, size, modified.
 
-    The tree is listed level by level, every folder by a task of its own, so a
-    deep branch does not end in one task. A folder that cannot be read is
-    skipped, and zero-length files are kept (the binary file reader would drop
-    them).
+    Spark's own listing, in parallel over folders; bodies are not read. Files
+    without bytes, and names that begin with a dot or an underscore, are left
+    out by Spark's readers.
     """
-    root, uri, top = _roots(spark, root)
-
-    def walk(batches):
-        import pandas as pd
-        from pyarrow import fs
-
-        store, _ = fs.FileSystem.from_uri(uri)
-        for pdf in batches:
-            for folder in pdf["folder"]:
-                try:
-                    inside = top + folder[len(root) :]
-                    found = store.get_file_info(fs.FileSelector(inside, recursive=False))
-                except OSError:
-                    continue
-                for lo in range(0, len(found), LISTING_BATCH):
-                    part = found[lo : lo + LISTING_BATCH]
-                    yield pd.DataFrame(
-                        {
-                            "path": [root + e.path[len(top) :] for e in part],
-                            "size": pd.Series([e.size for e in part], dtype="Int64"),
-                            "modified": pd.to_datetime([e.mtime for e in part], utc=True),
-                            "is_folder": [e.type == fs.FileType.Directory for e in part],
-                        }
-                    )
-
-    level = spark.createDataFrame([(root,)], "folder string")
-    parts = 4 * spark.sparkContext.defaultParallelism
-    listed = None
-    while not level.isEmpty():
-        spread = level.repartition(parts, "folder")
-        found = checkpoint(spread.mapInPandas(walk, LISTING + ", is_folder boolean"))
-        files = found.filter(~F.col("is_folder")).drop("is_folder")
-        listed = files if listed is None else listed.unionByName(files)
-        level = found.filter("is_folder").select(F.col("path").alias("folder"))
-    return listed
+    found = scan_binary(spark, root, "*")
+    return found.select(
+        _as_given(spark, root), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+    )
 
 
 def inventory(
     spark: SparkSession,
     root: str,
     extensions: tuple[str, ...] = DOCUMENT_EXTENSIONS,
-    partitions: int | None = None,
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Document store of the matching files, bodies included.
 
-    Only paths are shuffled; a body is read once, by the task that owns its
-    path. A body that cannot be read becomes NULL and keeps its metadata.
+    Spark's binary file reader reads each body once, in the task that owns the
+    file; bodies are written to the scratch folder and never shuffled. A listed
+    file without a body in there could not be read: it keeps its metadata, with
+    a NULL body. ``listed`` is an earlier result of ``list_volume``, if at hand.
     """
-    root, uri, top = _roots(spark, root)
-    listed = list_volume(spark, root).filter(extension("path").isin(*extensions))
-    spread = partitions or 4 * spark.sparkContext.defaultParallelism
-    budget = BODY_BATCH_BYTES
-
-    def read(batches):
-        import pandas as pd
-        from pyarrow import fs
-
-        store, _ = fs.FileSystem.from_uri(uri)
-        for pdf in batches:
-            bodies, start, held = [], 0, 0
-            for i, path in enumerate(pdf["path"]):
-                try:
-                    with store.open_input_stream(top + path[len(root) :]) as stream:
-                        body = stream.read()
-                except OSError:
-                    body = None
-                bodies.append(body)
-                held += len(body or b"")
-                if held >= budget or i == len(pdf) - 1:
-                    done = pdf.iloc[start : i + 1].copy()
-                    done["content"] = pd.Series(bodies, index=done.index, dtype="object")
-                    yield done
-                    bodies, start, held = [], i + 1, 0
-
-    with_body = listed.repartition(spread, F.col("path")).mapInPandas(
-        read, LISTING + ", content binary"
+    listed = (list_volume(spark, root) if listed is None else listed).filter(extension("path").isin(*extensions))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    bodies = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(root)
+    read = materialise(
+        bodies.filter(extension("path").isin(*extensions)).select(
+            _as_given(spark, root), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content"
+        ),
+        "bodies",
     )
-    return as_document_store(with_body, "path", "size", "modified", "content")
+    lost = listed.join(read.select("path"), "path", "left_anti").withColumn("content", F.lit(None).cast("binary"))
+    return as_document_store(read.unionByName(lost), "path", "size", "modified", "content")
 
 
 def as_document_store(

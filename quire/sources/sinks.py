@@ -30,6 +30,18 @@ def write_bucketed_folders(df: DataFrame, path: str, key: str = "doc_id", bucket
     placed.write.mode("overwrite").partitionBy("doc_bucket").parquet(path)
 
 
+def write_bucketed_table(df: DataFrame, name: str, keys: list[str], buckets: int = 64) -> DataFrame:
+    """Managed table in hash buckets of ``keys``, sorted by them, replaced as a whole and read back.
+
+    Two such tables with the same keys and number of buckets are joined on the
+    keys without a shuffle. Rows are dealt by the keys first, so a bucket is one
+    file; the whole key, such as document and page, spreads a large document.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_bucketed(spark, path: str, key: str, value, buckets: int = 64) -> DataFrame:
     """Rows of one key; only its bucket's folder is read."""
     wanted = F.lit(value)

@@ -124,6 +124,44 @@ def test_answers(spark):
     assert got == {"a": ("Q1", None), "b": (None, "RuntimeError: no"), "c": (None, None)}
 
 
+def test_client_is_set_up_once_a_task(spark):
+    """Calls hold as many prompts as asked for; a failing call is taken apart; answers may be exceptions."""
+    df = spark.createDataFrame([(i, f"q{i}" if i % 10 else None) for i in range(100)], "k long, prompt string").repartition(1)
+
+    def connect():
+        calls = []
+
+        def client(texts):
+            calls.append(len(texts))
+            if "q55" in texts:
+                raise TimeoutError("late")
+            return [KeyError(t) if t == "q7" else f"{t} {len(calls)} {len(texts)}" for t in texts]
+
+        return client
+
+    got = {r.k: tuple(r.analysis_result) for r in answers.call_client(df, connect, batch_rows=16).collect()}
+    assert got[10] == (None, None) and got[55] == (None, "TimeoutError: late") and got[7] == (None, "KeyError: 'q7'")
+    right = {k: v[0].split(" ") for k, v in got.items() if v[0]}
+    assert all(v[0] == f"q{k}" for k, v in right.items()) and len(right) == 88
+    calls = {int(v[1]) for v in right.values()}
+    # 90 prompts in calls of 16, one of them asked again one by one: the client kept its count throughout
+    assert len(calls) == 5 + 15 and max(int(v[2]) for v in right.values()) == 16
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf):
+    from quire.plans.page_queries import bucketed_join
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = bucketed_join(spark, sf)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    assert df.count() > 0
+
+
 def test_flatten_drops_empty_answers(spark):
     rows = [("/1", ("text", None)), ("/2", (None, "err")), ("/3", ("", None))]
     schema = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("analysis_result", contracts.ANSWER)])

@@ -97,6 +97,28 @@ def test_keyed_index_reads_the_folders_of_its_keys(spark, data, tmp_path):
     assert as_set(got) == brute(matrix, list(range(400)), asked[:2], [0, 1], 3, lambda q, i: q == 0 and docs[i] == "f3")
 
 
+@pytest.mark.parametrize("window", ["recent", "upcoming", "quarter", "financial_year"])
+def test_windows_read_the_months_they_touch(spark, tmp_path, window):
+    from quire.functions import dates
+
+    days = spark.sql("SELECT id, date_add(DATE '2022-01-01', cast(id * 3 AS int)) AS day FROM range(500)")
+    days = days.union(spark.sql("SELECT 999L, CAST(NULL AS DATE)"))
+    index = search.write_dated_index(days, "day", str(tmp_path / "dated"))
+    today = F.lit("2024-02-10").cast("date")
+    old = {
+        "recent": dates.is_recent,
+        "upcoming": dates.is_upcoming,
+        "quarter": dates.same_quarter,
+        "financial_year": dates.same_financial_year,
+    }[window]
+    found = search.dated(index, "day", today, window)
+    want = {r.id for r in days.filter(old("day", today)).collect()}
+    assert {r.id for r in found.collect()} == want and want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(index_month" in plan
+    assert search.dated(index, "day", today, None).count() == 501
+
+
 def test_top_k_per_group(spark, data):
     matrix, asked = data
     docs = [f"f{i % 4}" for i in range(400)]

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from quire import contracts
+from quire import contracts, scratch
 from quire.sources import files, sinks, tables
 from quire.streaming import ingest
 
@@ -19,22 +19,25 @@ def make_tree(root):
     return str(root)
 
 
-def test_inventory_keeps_metadata_of_unreadable_and_empty_files(spark, tmp_path):
+def test_inventory_keeps_metadata_of_unreadable_files(spark, tmp_path):
+    """A file that is gone when bodies are read keeps its row; one without bytes is not listed."""
     root = make_tree(tmp_path / "t")
-    df = files.inventory(spark, root)
-    os.remove(os.path.join(root, "top.pdf"))  # listed, but gone when its body is read
+    listed = scratch.materialise(files.list_volume(spark, root), "listed")
+    os.remove(os.path.join(root, "top.pdf"))
+    df = files.inventory(spark, root, listed=listed)
     contracts.assert_contract(df, contracts.DOCUMENT_STORE)
     got = {r.file_name: r for r in df.collect()}
-    assert set(got) == {"top.pdf", "Éa.PDF", "x.docx", "empty.pdf"}
+    assert set(got) == {"top.pdf", "Éa.PDF", "x.docx"}
     assert got["top.pdf"].binary_content is None and got["top.pdf"].file_size_bytes == 8
-    assert got["empty.pdf"].binary_content == b"" and got["empty.pdf"].file_size_bytes == 0
     assert got["Éa.PDF"].file_extension == ".pdf" and got["Éa.PDF"].directory == root + "/a"
+    assert got["Éa.PDF"].binary_content == b"%PDF a" and got["Éa.PDF"].volume_path == root + "/a/Éa.PDF"
     assert got["x.docx"].directory.endswith("/a/deep/er")
+    assert {r.file_name for r in files.inventory(spark, "file:" + root).collect()} == {"Éa.PDF", "x.docx"}
 
 
 def test_listing_and_binary_scan(spark, tmp_path):
     root = make_tree(tmp_path / "t")
-    assert files.list_documents(spark, root).count() == 3
+    assert files.list_documents(spark, root).count() == 2
     scan = files.scan_binary(spark, root)
     assert sorted(r[0] for r in scan.select(F.length("content")).collect()) == [6, 8]
     plan = scan.select("path", "length")._jdf.queryExecution().executedPlan().toString()

@@ -1,67 +1,163 @@
-"""HTML to markdown as one chain of regular-expression replacements.
+"""HTML to markdown in one pass over the tags of a text.
 
-Every pattern runs inside the JVM and avoids look-around and back references,
-so a pass stays linear in the text and other SQL engines read it alike.
+Tags are read one after another with a stack of open lists, links and emphasis.
+Column expressions alone would copy what was written so far at every tag; the
+pass runs on Arrow batches instead, and holds one text and its markdown.
 """
 
 from __future__ import annotations
 
+import html as entities
+import re
+from collections import Counter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire.functions.columns import as_col
 
-# (pattern, replacement) in order of application.
-HTML_RULES = [
-    (r"(?is)<!--.*?-->", ""),
-    (r"(?is)<script\b.*?</script\s*>", ""),
-    (r"(?is)<style\b.*?</style\s*>", ""),
-    (r"(?is)<template\b.*?</template\s*>", ""),
-    (r"(?is)<noscript\b.*?</noscript\s*>", ""),
-    (r"(?is)<head\b.*?</head\s*>", ""),
-    (r"(?is)<h1\b[^>]*>", "\n\n# "),
-    (r"(?is)<h2\b[^>]*>", "\n\n## "),
-    (r"(?is)<h3\b[^>]*>", "\n\n### "),
-    (r"(?is)<h[4-6]\b[^>]*>", "\n\n#### "),
-    (r"(?is)</(h[1-6]|p|div|article|section|ul|ol|table|nav|header|footer|blockquote|pre)\s*>", "\n\n"),
-    (r"(?is)<li\b[^>]*>", "\n- "),
-    (r"(?is)<(br|hr)\b[^>]*>", "\n"),
-    (r"(?is)</tr\s*>", "\n"),
-    (r"(?is)</t[dh]\s*>", " | "),
-    (r"(?is)</?(b|strong)\s*>", "**"),
-    (r"(?is)</?(i|em)\s*>", "_"),
-    (r"(?is)</?code\s*>", "`"),
-    (r"<[^>]*>", ""),
-    (r"&nbsp;", " "),
-    (r"&lt;", "<"),
-    (r"&gt;", ">"),
-    (r"&quot;", '"'),
-    (r"&#39;", "'"),
-    (r"&apos;", "'"),
-    (r"&amp;", "&"),
-    (r"[ \t]+", " "),
-    (r" ?\n ?", "\n"),
-    (r"\n\n+", "\n\n"),
-]
-# How many of the rules remove hidden parts, before links are read. Scripts go first: they may hold any tag.
-HIDDEN_RULES = 6
-# Links keep target and label; the replacement syntax differs between engines.
-LINK_PATTERNS = [
-    r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a\s*>',
-    r"(?is)<a\b[^>]*\bhref='([^']*)'[^>]*>(.*?)</a\s*>",
-]
+# Comments, hidden elements as a whole, tags with quoted attributes, what is cut off at the end, text.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<hidden>script|style|template|noscript|head|title|textarea)\b.*?(?:</(?P=hidden)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<[!?/a-z][^>]*(?:>|\Z)"
+    r"|(?P<text>[^<]+|<)",
+    re.S | re.I,
+)
+HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# Element names by what they stand for in markdown.
+MARKS = {"b": "**", "strong": "**", "i": "_", "em": "_", "code": "`"}
+HEADINGS = {"h1": "# ", "h2": "## ", "h3": "### ", "h4": "#### ", "h5": "#### ", "h6": "#### "}
+BLOCKS = frozenset(
+    "address article aside blockquote body details dialog div dl dd dt fieldset figcaption figure footer form header hgroup "
+    "html legend main nav ol p pre section summary table tbody tfoot thead ul".split()
+)
+
+
+class MarkdownWriter:
+    """Markdown so far, the breaks and the blank still owed, and what is open. Every step is of bounded cost."""
+
+    def __init__(self) -> None:
+        self.out: list[str] = []
+        self.tail = "\n"  # the last character
+        self.written = 0  # pieces that are not empty
+        self.lines = 0  # line breaks owed before the next text
+        self.blank = False
+        self.lists: list[list] = []  # sign or next number of each open list
+        # name, place of its sign, pieces before it and target of what this block opened, and how many of each name
+        self.open: list[tuple[str, int, int, str]] = []
+        self.named: Counter[str] = Counter()
+
+    def write(self, text: str) -> None:
+        self.out.append(text)
+        if text:
+            self.tail = text[-1]
+            self.written += 1
+
+    def put(self, text: str) -> None:
+        if self.written and self.lines:
+            self.write("\n" * self.lines)
+        elif self.blank and not self.tail.isspace():
+            self.write(" ")
+        self.lines, self.blank = 0, False
+        self.write(text)
+
+    def text(self, text: str) -> None:
+        words = entities.unescape(text).split()
+        if text[:1].isspace() or not words:
+            if self.open and self.open[-1][1] == len(self.out) - 1 and not self.tail.isspace():
+                # a blank after a sign goes before it
+                self.out[-2], self.tail = " ", " "
+            else:
+                self.blank = self.blank or bool(text)
+        if words:
+            self.put(" ".join(words))
+            self.blank = text[-1:].isspace()
+
+    def break_lines(self, n: int) -> None:
+        self.lines = max(self.lines, n)
+        if n > 1:
+            self.open.clear()
+            self.named.clear()
+
+    def begin(self, name: str, target: str = "") -> None:
+        """Leaves a place for a sign that is only written if the element ends within its block."""
+        self.put("")
+        self.write("")
+        self.open.append((name, len(self.out) - 1, self.written, target))
+        self.named[name] += 1
+
+    def end(self, name: str) -> None:
+        while self.named[name]:
+            last, place, before, target = self.open.pop()
+            self.named[last] -= 1
+            if last == name:
+                if self.written > before:
+                    self.out[place] = MARKS.get(name, "[")
+                    self.write(MARKS.get(name, f"]({target})"))
+                return
+
+    def item(self) -> None:
+        self.break_lines(1)
+        sign = self.lists[-1][0] if self.lists else "- "
+        if isinstance(sign, int):
+            self.lists[-1][0], sign = sign + 1, f"{sign}. "
+        self.put("  " * max(0, len(self.lists) - 1) + sign)
+
+    def tag(self, name: str, close: bool, rest: str) -> None:
+        if name in MARKS:
+            self.end(name) if close else self.begin(name)
+        elif name == "a":
+            found = HREF.search(rest)
+            if close:
+                self.end(name)
+            elif found:
+                self.begin(name, entities.unescape(next(g for g in found.groups() if g is not None)))
+        elif name in HEADINGS:
+            self.break_lines(2)
+            if not close:
+                self.put(HEADINGS[name])
+        elif name in ("ul", "ol"):
+            if close and self.lists:
+                self.lists.pop()
+            self.break_lines(1 if self.lists else 2)
+            if not close:
+                self.lists.append(["- " if name == "ul" else 1])
+        elif name == "li" and not close:
+            self.item()
+        elif name in ("br", "hr"):
+            self.lines = min(2, self.lines + 1)
+        elif name == "tr":
+            self.break_lines(1)
+        elif name in ("td", "th") and close:
+            self.put(" |")
+            self.blank = True
+        elif name in BLOCKS:
+            self.break_lines(2)
+
+
+def to_markdown(text: str) -> str:
+    """Markdown of one HTML text: headings, nested lists, closed emphasis and links, tables' cells, all entities."""
+    writer = MarkdownWriter()
+    for token in TOKEN.finditer(text):
+        if token["text"]:
+            writer.text(token["text"])
+        elif token["name"]:
+            writer.tag(token["name"].lower(), bool(token["close"]), token["rest"])
+    return "".join(writer.out).strip()
 
 
 def html_to_markdown(html) -> Column:
-    """Markdown of an HTML text: headings, lists, emphasis, links, entities."""
-    text = as_col(html)
-    for pattern, replacement in HTML_RULES[:HIDDEN_RULES]:
-        text = F.regexp_replace(text, pattern, replacement)
-    for pattern in LINK_PATTERNS:
-        text = F.regexp_replace(text, pattern, "[$2]($1)")
-    for pattern, replacement in HTML_RULES[HIDDEN_RULES:]:
-        text = F.regexp_replace(text, pattern, replacement)
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Markdown of an HTML text; NULL stays NULL."""
+
+    @F.arrow_udf("string")
+    def converted(texts):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        return pa.array((None if t is None else to_markdown(t) for t in texts.to_pylist()), pa.string())
+
+    return converted(as_col(html))
 
 
 def html_title(html) -> Column:

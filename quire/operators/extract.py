@@ -33,7 +33,7 @@ def extract(
     supported: tuple[str, ...] = (".pdf",),
     seconds: Column | None = None,
 ) -> DataFrame:
-    """Markdown table from JVM expressions; errors become data.
+    """Markdown table through an extractor of columns; errors become data.
 
     A NULL or unknown extension, a NULL body, and a body of which the extractor
     makes NULL are rows that did not succeed, each with its message.

@@ -169,6 +169,32 @@ def test_html_to_markdown(spark):
     assert got == "## Head & tail\n\nOne **bold** [link](/x)\n\n- a\n- b <c>"
 
 
+MARKDOWN = [
+    ("<ul><li>a<ul><li>b <b>c</b> d</ul><li>e</ul>", "- a\n  - b **c** d\n- e"),
+    ("<ol><li>x<li>y<ol><li>z</ol></ol><p>after", "1. x\n2. y\n  1. z\n\nafter"),
+    ("<p>&#8217;&#x2019;&mdash;&lt;b&gt; &amp;amp; R&amp", "’’—<b> &amp; R&"),
+    ("<a href='/q?a=1&amp;b=2' title=\"x > y\">to <i>it</i></a> <a name=n>no</a>", "[to _it_](/q?a=1&b=2) no"),
+    ("<p><b>open<br>line<p>next</b></p> <i></i>end", "open\nline\n\nnext\n\nend"),
+    ("one <b>two </b>three<b> four</b>", "one **two** three **four**"),
+    ("<h1> A  b </h1>\n<h5>c</h5>text", "# A b\n\n#### c\n\ntext"),
+    ("<table><tr><td>1</td><td>2</td></tr><tr><th>3</th></tr></table>", "1 | 2 |\n3 |"),
+    ("<script>if (a<b) x='</p>'</script><style>p{}</style>a<!-- <p> -->b<scr", "ab"),
+    ("a < b <c", "a < b"),
+    ("<p>1<br><br>2<hr>3", "1\n\n2\n3"),
+    ("", ""),
+]
+
+
+def test_markdown_texts(spark):
+    assert [markup.to_markdown(html) for html, _ in MARKDOWN] == [want for _, want in MARKDOWN]
+    assert one(spark, [(h,) for h, _ in MARKDOWN] + [(None,)], "h string", markup.html_to_markdown("h")) == [
+        *(w for _, w in MARKDOWN),
+        None,
+    ]
+    nested = "<ul><li>" * 5_000 + "<b>" * 5_000 + "x" + "</b>" * 5_000
+    assert len(markup.to_markdown(nested + "&amp;" * 200_000)) > 200_000
+
+
 def test_payload_round_trip(spark):
     df = spark.createDataFrame([("read this", b"\x01" * 100)], "p string, i binary")
     body = df.select(payloads.chat_payload("p", "i").alias("b")).first()[0]

@@ -30,8 +30,8 @@ HEAVY = 20_000
 SALTS = 16
 # Bits of the filter that finds texts to verify: a fixed 4 MB; false hits only cost time.
 BLOOM_BITS = 25
-# Parts of the hash space per element of a set in its suffix summary, at least, and the fewest parts.
-PARTS_PER_ELEMENT, LEAST_PARTS = 2, 64
+# Parts of the hash space in the suffix summary of a set: two per element, and beyond these one, but no fewer than LEAST_PARTS.
+MANY_PARTS, LEAST_PARTS = 2_048, 64
 # Partners a row is given per round before the links found so far are merged.
 FAN = 8
 # Rows of a shingle in one block: a task compares two blocks at a time, however many classes share the shingle.
@@ -40,7 +40,8 @@ BLOCK_ROWS = 4_096
 
 def parities(values: np.ndarray) -> bytes:
     """One bit per part of the hash space: whether the set holds an odd number of its hashes. The parts are a power of two."""
-    bits = max(LEAST_PARTS.bit_length() - 1, (PARTS_PER_ELEMENT * len(values) - 1).bit_length())
+    parts = max(LEAST_PARTS, min(2 * len(values), max(MANY_PARTS, len(values))))
+    bits = (parts - 1).bit_length()
     held = np.bincount((values & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
     return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -225,9 +226,25 @@ def _could_link(n1, place1, n2, place2, percent: int):
     return (np.minimum(n1, n2) * 100 >= np.maximum(n1, n2) * percent) & (room >= need)
 
 
+def _partnered(run: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Rows for which the run could hold a partner: by the nearest sizes, and by the places too in a run of two."""
+    order = np.lexsort((n, run))
+    ok = np.zeros(len(run), bool)
+    near = (run[order][1:] == run[order][:-1]) & (n[order][:-1] * 100 >= n[order][1:] * percent)
+    ok[order[1:]] |= near
+    ok[order[:-1]] |= near
+    begins = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    first = begins[np.diff(np.append(begins, len(run))) == 2]
+    ok[first] = ok[first + 1] = _could_link(n[first], place[first], n[first + 1], place[first + 1], percent)
+    return ok
+
+
 def _shared_runs(percent: int):
     """Of rows sorted by token, salt, place and class: those whose token occurs in several classes.
 
+    A row without a partner of a similar size in its run is left out, where the
+    run lies in one batch.
+
     Each row gets the links to try first, if the filters let them pass: the
     class before it in its run (``prev``) and the first of the run (``hub``).
     The first has the fewest rarer shingles: of edited copies of a text, that is
@@ -264,6 +281,10 @@ def _shared_runs(percent: int):
                 prev[0], ok[0] = last[4], last[5]
             near = same & _could_link(*_unpack(hub_meta), n, place, percent)
             keep = same | np.append(same[1:], True) | (cols[1] > 0)
+            whole = (begun > begun[0]) & (begun < begun[-1]) & (cols[1] == 0)
+            if whole.any():
+                inner = np.flatnonzero(whole)
+                keep[inner] &= _partnered(begun[inner], n[inner], place[inner], percent)
             keep[-1] = False
             out = (same, prev, ok, hub, near)
             if keep.any():

@@ -13,12 +13,12 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.arrow import set_hash, shingle_sets, slices, texts_of
 from quire.llm.components import components
-from quire.scratch import materialise, release
+from quire.scratch import broadcast_if_small, materialise, release
 
 WIDTH = 5
 PERCENT = 75
@@ -32,8 +32,8 @@ SALTS = 16
 BLOOM_BITS = 25
 # Parts of the hash space in the suffix summary of a set: two per element, and beyond these one, but no fewer than LEAST_PARTS.
 MANY_PARTS, LEAST_PARTS = 2_048, 64
-# Partners a row is given per round before the links found so far are merged.
-FAN = 8
+# Partners a row is given, and shingles of a class that are tried, before the links found so far are merged.
+FAN, FAN_TOKENS = 8, 4
 # Rows of a shingle in one block: a task compares two blocks at a time, however many classes share the shingle.
 BLOCK_ROWS = 4_096
 
@@ -559,7 +559,7 @@ def near_copies(
     for fan in (FAN, 0):
         # shingles that still join several components
         roots = found.select(F.col("id").alias("cid"), "root")
-        placed = runs.select("token", "cid", "meta").join(roots, "cid", "left").withColumn(
+        placed = runs.select("token", "cid", "meta").join(broadcast_if_small(roots), "cid", "left").withColumn(
             "root", F.coalesce("root", "cid")
         )
         mixed = (
@@ -569,6 +569,9 @@ def near_copies(
             .select("token", F.ceil(F.col("c") / BLOCK_ROWS).cast("int").alias("blocks"))
         )
         blocked = placed.join(mixed, "token").withColumn("own", F.expr("cast(pmod(xxhash64(cid), blocks) AS int)"))
+        if fan:  # the rarest shingles of each class, which near copies are likeliest to share
+            rank = F.row_number().over(Window.partitionBy("cid").orderBy("meta", "token"))
+            blocked = blocked.withColumn("rank", rank).where(F.col("rank") <= FAN_TOKENS)
         other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("k")
         cells = blocked.select("token", "cid", "meta", "root", "own", other).select(
             "token", "cid", "meta", "root", "own", F.least("own", "k").alias("lo"), F.greatest("own", "k").alias("hi")

@@ -117,9 +117,8 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op11_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "orc")
     token_orc.write_tokens(_table(spark, sf, "documents"), out, _tokenizer_file("word_bpe_49k.json"))
-    return token_orc.starts(token_orc.read_tokens(spark, out)).select(
-        "doc_id", "start", "n_tokens", token_orc.ids_crc32(F.col("ids")).alias("ids_crc32")
-    )
+    read = token_orc.read_tokens(spark, out).withColumn("ids", token_orc.ids_crc32(F.col("ids")))
+    return token_orc.starts(read).select("doc_id", "start", "n_tokens", F.col("ids").alias("ids_crc32"))
 
 
 def op12_word_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,4 +172,6 @@ ORACLES: dict[str, str] = {
     "op4_ngram_jaccard_join": oracles.NEAR_COPIES,
     "op5_embedding_dedup": oracles.NEAR_VECTORS,
     "op9_line_dedup": oracles.LINE_DEDUP,
+    "op12_word_runs": oracles.WORD_RUNS,
+    "op13_conversation_repair": oracles.CONVERSATIONS,
 }

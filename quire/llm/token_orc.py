@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.arrow import slices, spread, texts_of
+from quire.scratch import broadcast_if_small
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
@@ -202,14 +203,16 @@ def starts(rows: DataFrame) -> DataFrame:
     """``rows`` of a written folder with ``start``: ids of all documents before each, over all files.
 
     The ids of the files before come from two columns of the files, added up to
-    one row per file; only that table is summed in order.
+    one row per file; only that table is summed in order, and it goes to the
+    rows, which stay where they are, unless it has more rows than
+    ``broadcast_if_small`` allows.
     """
     totals = rows.groupBy("file_no").agg(F.sum("n_tokens").alias("_n"))
     before = totals.select(
         F.col("file_no").alias("_file"), (F.sum("_n").over(Window.orderBy("file_no")) - F.col("_n")).alias("_before")
     )
     return (
-        rows.join(before, rows["file_no"] == before["_file"])
+        rows.join(broadcast_if_small(before), rows["file_no"] == before["_file"])
         .withColumn("start", F.col("_before") + F.col("ids_before"))
         .drop("_file", "_before")
     )

@@ -28,7 +28,8 @@ KEY_ROWS = 16
 LEAST_BITS, MOST_BITS = 4, 48
 # Rows of one (table, key) that one task joins.
 HOT_ROWS = 4_096
-FOLDERS = 64
+# Most folders of an index, and rows that make one worth while.
+FOLDERS, FOLDER_ROWS = 64, 65_536
 # A prime and two of its multipliers, from which the planes are drawn.
 PRIME, FIRST, SECOND = 2_147_483_647, 48_271, 69_621
 
@@ -70,15 +71,15 @@ def bucket_keys(vector: str, tables: int, bits: int) -> Column:
     return keys(F.col(vector))
 
 
-def _folder(*columns: str) -> Column:
-    return F.pmod(F.hash(*columns), F.lit(FOLDERS))
+def _folder(folders: int, *columns: str) -> Column:
+    return F.pmod(F.hash(*columns), F.lit(folders))
 
 
 class BucketIndex:
     """A written index: its postings, vectors, and the numbers they were made with."""
 
-    def __init__(self, spark: SparkSession, path: str, tables: int, bits: int, id_type: str) -> None:
-        self.tables, self.bits = tables, bits
+    def __init__(self, spark: SparkSession, path: str, tables: int, bits: int, folders: int, id_type: str) -> None:
+        self.tables, self.bits, self.folders = tables, bits, folders
         kinds = {
             "postings": "table int, key long, salt int, row long, folder int",
             "vectors": f"row long, id {id_type}, vector array<double>, folder int",
@@ -94,6 +95,7 @@ def write_index(
     vector: str = "vector",
     tables: int = TABLES,
     bits: int | None = None,
+    folders: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> BucketIndex:
     """Writes the rows of ``index`` that have a direction in key buckets below ``path``.
@@ -108,7 +110,9 @@ def write_index(
     numbered = materialise(
         with_unit(whole, "vector", "vector").withColumn("row", F.monotonically_increasing_id()), "rows"
     )
-    bits = key_bits(numbered.count()) if bits is None else bits
+    rows = numbered.count()
+    bits = key_bits(rows) if bits is None else bits
+    folders = min(FOLDERS, math.ceil(max(rows, 1) / FOLDER_ROWS)) if folders is None else folders
     keyed = numbered.select("row", F.posexplode(bucket_keys("vector", tables, bits)).alias("table", "key"))
     keyed = materialise(keyed, "keys")
     hot = (
@@ -120,7 +124,7 @@ def write_index(
     hot.write.parquet(f"{path}/hot")
     hot = broadcast_if_small(spark.read.parquet(f"{path}/hot"))
     salted = keyed.join(hot, ["table", "key"], "left").select(
-        _folder("table", "key").alias("folder"),
+        _folder(folders, "table", "key").alias("folder"),
         "table",
         "key",
         F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"),
@@ -129,15 +133,15 @@ def write_index(
     salted.repartition("folder", "salt").sortWithinPartitions("folder", "table", "key").write.partitionBy(
         "folder"
     ).parquet(f"{path}/postings")
-    by_row = numbered.select(_folder("row").alias("folder"), "row", "id", "vector")
+    by_row = numbered.select(_folder(folders, "row").alias("folder"), "row", "id", "vector")
     by_row.repartition("folder").sortWithinPartitions("folder", "row").write.partitionBy("folder").parquet(
         f"{path}/vectors"
     )
-    return BucketIndex(spark, path, tables, bits, index.schema[id_col].dataType.simpleString())
+    return BucketIndex(spark, path, tables, bits, folders, index.schema[id_col].dataType.simpleString())
 
 
 def _pruned(table: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``table`` with the folders that ``wanted`` names: a partition filter of at most ``FOLDERS`` numbers."""
+    """``table`` with the folders that ``wanted`` names: a partition filter of at most as many numbers as folders."""
     held = sorted(r[0] for r in wanted.select("folder").distinct().collect())
     return table.filter(F.col("folder").isin(held) if held else F.lit(False))
 
@@ -155,7 +159,7 @@ def candidates(index: BucketIndex, questions: DataFrame) -> DataFrame:
     salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
     probes = checkpoint(
         probes.join(broadcast_if_small(index.hot), ["table", "key"], "left").select(
-            "asked", "table", "key", _folder("table", "key").alias("folder"), salts
+            "asked", "table", "key", _folder(index.folders, "table", "key").alias("folder"), salts
         )
     )
     met = _pruned(index.postings, probes).join(probes.drop("folder"), ["table", "key", "salt"])
@@ -178,7 +182,7 @@ def search_index(
         )
     )
     met = materialise(candidates(index, asked.select("asked", "vector")), "candidates")
-    rows = _pruned(index.vectors, met.select(_folder("row").alias("folder"))).select("row", "id", "vector")
+    rows = _pruned(index.vectors, met.select(_folder(index.folders, "row").alias("folder"))).select("row", "id", "vector")
     named = asked.select("asked", "name", F.col("vector").alias("asked_vector"))
     scored = (
         rows.join(broadcast_if_small(met), "row")

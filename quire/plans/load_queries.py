@@ -10,8 +10,8 @@ from quire.functions.markup import html_title
 from quire.functions.predicates import in_categories
 from quire.functions.sizes import megabytes
 from quire.functions.text import (
-    extension,
     UNSAFE_NAME_CHARS,
+    extension,
     owner_key,
     paper_file_name,
     report_file_name,
@@ -23,7 +23,7 @@ from quire.operators import joins, manifest, reports
 from quire.plans.corpus import ROOT, store, with_tables
 from quire.plans.registry import query
 from quire.scratch import scratch_path
-from quire.sources.files import inventory, list_volume, scan_binary
+from quire.sources.files import describe_volume, inventory, list_volume, scan_binary
 from quire.sources.sinks import append_evolving, write_observed
 from quire.sources.tables import read_evolving, read_manifest, read_parquet, read_run_metadata
 
@@ -242,6 +242,15 @@ def volume_listing(spark, sf):
     return files.filter(extension("path") == ".txt").select(_folder("path"), F.col("size").alias("n_bytes"))
 
 
+@query(
+    "volume_description",
+    f"""SELECT '.txt' AS extension, count(*) AS n_files, count(*) AS n_folders, sum(n_bytes)::BIGINT AS n_bytes,
+  min(n_bytes) AS smallest, max(n_bytes) AS largest FROM ({LANDED}{FILES})""",
+)
+def volume_description(spark, sf):
+    return describe_volume(spark, landed(spark, sf)).filter(F.col("extension") == ".txt")
+
+
 @query("file_inventory", LANDED + BODY + FILES)
 def file_inventory(spark, sf):
     files = inventory(spark, landed(spark, sf), (".txt",))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import sync
-from quire.plans.load_queries import LANDED, landed
+from quire.plans.load_queries import BODY, FILES, LANDED, landed
 from quire.plans.registry import query
 from quire.scratch import scratch_path
 from quire.sources.tables import read_parquet
@@ -94,20 +94,21 @@ def stream_late_rows(spark, sf):
     arrive("", 2)
     arrive("first edition: ", 1)
     toxic = read_parquet(spark, sf, "labels").filter("toxic = 1").select("doc_id")
-    append_deletes(spark, path, toxic, "doc_id", call="toxic")
+    append_deletes(spark, path, toxic, "doc_id")
     arrive("draft: ", 0)
     compact(spark, path, packed, "doc_id")
     return current_index(spark, packed, "doc_id")
 
 
-@query("stream_ingest", LANDED)
+@query("stream_ingest", LANDED + BODY + FILES)
 def stream_ingest(spark, sf):
     """Landed files ingested as a stream; the rerun finds nothing new."""
     root, path, state = landed(spark, sf), scratch_path(spark, "store"), scratch_path(spark, "state")
     for _ in range(2):
         ingest(stream_files(spark, root, "*.txt"), path, state).awaitTermination()
-    return (
-        spark.read.parquet(path)
-        .groupBy(F.regexp_extract("directory", r"(source=[^/]*)$", 1).alias("folder"))
-        .agg(F.sum(F.octet_length("binary_content").cast("long")).alias("total_bytes"))
+    return spark.read.parquet(path).select(
+        F.regexp_extract("directory", r"(source=[^/]*/lang=[^/]*)$", 1).alias("folder"),
+        F.col("file_size_bytes").alias("n_bytes"),
+        F.md5("binary_content").alias("body_md5"),
+        F.col("file_extension").alias("extension"),
     )

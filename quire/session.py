@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -14,6 +16,7 @@ def local_session(name: str = "quire", cpus: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quire-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

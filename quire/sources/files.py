@@ -44,6 +44,21 @@ def list_volume(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def describe_volume(spark: SparkSession, root: str) -> DataFrame:
+    """One row per extension below ``root``: files, folders that hold them, bytes in all, of the smallest and the largest."""
+    return (
+        list_volume(spark, root)
+        .groupBy(extension("path").alias("extension"))
+        .agg(
+            F.count("path").alias("n_files"),
+            F.count_distinct(parent_dir("path")).alias("n_folders"),
+            F.sum("size").alias("n_bytes"),
+            F.min("size").alias("smallest"),
+            F.max("size").alias("largest"),
+        )
+    )
+
+
 def inventory(
     spark: SparkSession,
     root: str,

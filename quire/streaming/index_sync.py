@@ -1,23 +1,27 @@
 """Index that follows its source through Structured Streaming.
 
-Every micro-batch writes its changed rows to a folder of its own, which a
-repeated batch overwrites, so each change counts once. The current index is
-the highest version per key, whatever the order in which versions arrive; of
-equal versions the later batch counts, and a null version is the lowest.
+The index is kept as state by key: rows lie in buckets by a hash of the key, one
+row per key, and a change writes the buckets of its keys anew as one step. A
+reader takes the newest step of every bucket, so it reads each key once, however
+many versions there were.
+
+Of two versions of a key the higher one counts, whatever the order in which they
+arrive; of equal versions the later batch counts, and a null version is the
+lowest. Merging is the greater of two, so a repeated batch changes nothing.
 
 Deletes do not show in a stream of rows: a batch ``sync_diff`` against the
-source finds them, and ``append_deletes`` records them in folders that no batch
-writes to. A delete stands for the highest version known when it is recorded:
-late rows up to that version stay deleted, a higher version brings the key
-back, and so does the same version in a later batch.
+source finds them, and ``append_deletes`` records them between two batches. A
+delete stands for the highest version known when it is recorded: late rows up to
+that version stay deleted, a higher version brings the key back, and so does the
+same version in a later batch.
 
-The change folder and the state folder of the stream belong together: a stream
-started anew needs a new change folder.
+One writer at a time. The index folder and the state folder of the stream belong
+together: a stream started anew needs a new index folder.
 """
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.ids import content_hash
-from quire.scratch import broadcast_if_small, checkpoint
 
 TRIGGERED = "TRIGGERED"
 CONTINUOUS = "CONTINUOUS"
-# Columns of the change folder that are not part of the index.
-INTERNAL = ("deleted", "row_version", "epoch", "call")
+# Buckets of an index. A batch writes those of its keys anew: more buckets suit smaller batches.
+BUCKETS = 64
+# Columns of the state that are not part of the index.
+INTERNAL = ("deleted", "row_version", "epoch", "bucket", "step")
+STEP = re.compile(r"step=(\d+)\.(-?\d+)")
 
 
 def start_sync(
@@ -44,7 +50,7 @@ def start_sync(
     interval: str = "30 seconds",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Follow a streaming source into the change folder of an index.
+    """Follow a streaming source into an index folder.
 
     ``version`` orders the rows of one key, within a batch and across batches;
     of equal versions within a batch the one with the largest content hash
@@ -61,9 +67,9 @@ def start_sync(
             .withColumn("content_hash", content_hash(content))
             .withColumn("deleted", F.lit(False))
             .withColumn("row_version", F.col(version))
+            .withColumn("epoch", F.lit(epoch).cast("long"))
         )
-        rows = latest if prepare is None else prepare(latest)
-        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}/call=rows")
+        _merge(latest if prepare is None else prepare(latest), path, key, epoch)
 
     writer = source.writeStream.foreachBatch(upsert).option("checkpointLocation", state)
     if mode == TRIGGERED:
@@ -75,67 +81,98 @@ def start_sync(
     return writer.start()
 
 
-def index_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every version of every key, deletes included, with its epoch."""
-    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
 
 
-def latest_versions(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The version of every key that counts, deletes included.
+def _steps(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
+    """Number, epoch and folder of every step, in order."""
+    found = [(STEP.fullmatch(name), name) for name in _children(spark, path)]
+    return sorted((int(m[1]), int(m[2]), name) for m, name in found if m)
 
-    Outdated versions are found from key, version and epoch alone. While they
-    are few, the texts are scanned once and not shuffled.
-    """
-    versions = index_versions(spark, path)
-    # a delete counts after the rows of its epoch and before those of the next
-    place = F.struct("row_version", "epoch", "deleted")
-    known = versions.select(F.col(key).alias("_key"), F.col("epoch").alias("_epoch"), F.col("call").alias("_call"), place.alias("_place"))
-    newest = known.groupBy(F.col("_key").alias("_same")).agg(F.max("_place").alias("_newest"), F.count("*").alias("_n"))
-    again = newest.filter(F.col("_n") > 1)
-    old = checkpoint(
-        known.join(again, F.col("_key").eqNullSafe(F.col("_same")))
-        .filter(F.col("_place") < F.col("_newest"))
-        .select("_key", "_epoch", "_call")
-    )
-    same = (
-        versions[key].eqNullSafe(old["_key"])
-        & (versions["epoch"] == old["_epoch"])
-        & (versions["call"] == old["_call"])
-    )
-    return versions.join(broadcast_if_small(old), same, "left_anti")
+
+def newest_buckets(spark: SparkSession, path: str, buckets: list[int] | None = None) -> list[str]:
+    """Folder of the newest finished step of each bucket, or of some buckets."""
+    newest: dict[int, str] = {}
+    for _, _, step in _steps(spark, path):
+        names = _children(spark, f"{path}/{step}")
+        if "_SUCCESS" in names:
+            newest |= {int(n.split("=")[1]): f"{path}/{step}/{n}" for n in names if n.startswith("bucket=")}
+    return [folder for b, folder in sorted(newest.items()) if buckets is None or b in buckets]
+
+
+def index_state(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame | None:
+    """One row per key, deletes included, of all or some buckets; None where nothing was written."""
+    folders = newest_buckets(spark, path, buckets)
+    if not folders:
+        return None
+    reader = spark.read.option("basePath", path).option("mergeSchema", True)
+    return reader.parquet(*folders).drop("step", "bucket")
+
+
+def _bucket(key: str):
+    return F.pmod(F.hash(key), F.lit(BUCKETS)).alias("bucket")
+
+
+def _write_step(rows: DataFrame, path: str, key: str, epoch: int) -> None:
+    steps = _steps(rows.sparkSession, path)
+    number = steps[-1][0] + 1 if steps else 0
+    dealt = rows.select("*", _bucket(key)).repartition("bucket")
+    dealt.write.partitionBy("bucket").parquet(f"{path}/step={number:09d}.{epoch}")
+
+
+def _merge(rows: DataFrame, path: str, key: str, epoch: int) -> None:
+    """Writes the buckets of ``rows`` anew, each key with the greater of its state and its row."""
+    spark = rows.sparkSession
+    rows = rows.persist()
+    touched = [r[0] for r in rows.select(_bucket(key)).distinct().collect()]
+    if touched:
+        held = index_state(spark, path, touched)
+        both = rows if held is None else held.unionByName(rows, allowMissingColumns=True)
+        others = [c for c in both.columns if c != key]
+        # a delete counts after the rows of its epoch and before those of the next
+        place = F.struct("row_version", "epoch", "deleted")
+        best = both.groupBy(key).agg(F.max_by(F.struct(*others), place).alias("_row")).select(key, "_row.*")
+        _write_step(best, path, key, epoch)
+    rows.unpersist()
 
 
 def current_index(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Highest version per key, without deleted keys."""
-    return latest_versions(spark, path, key).filter(~F.col("deleted")).drop(*INTERNAL)
+    """The row of every key, without deleted keys."""
+    return index_state(spark, path).filter(~F.col("deleted")).drop(*INTERNAL)
 
 
-def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str, call: str | None = None) -> None:
+def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str) -> None:
     """Record keys as deleted, as of the latest epoch and the highest version known of each.
 
-    A call repeated under the same name before the next batch replaces itself.
-    A key that the index does not have changes nothing.
+    The buckets of the keys are read and written anew. A call may be repeated;
+    a key that the index does not have changes nothing.
     """
-    versions = index_versions(spark, path)
-    epoch = versions.agg(F.max("epoch")).first()[0]
-    gone = keys.select(F.col(key).alias("_gone")).distinct()
-    known = versions.select(key, "row_version").join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_semi")
-    highest = known.groupBy(key).agg(F.max("row_version").alias("row_version"))
-    rows = highest.select(
+    gone = keys.select(key).distinct()
+    touched = [r[0] for r in gone.select(_bucket(key)).distinct().collect()]
+    held = index_state(spark, path, touched) if touched else None
+    if held is None:
+        return
+    epoch = max(e for _, e, _ in _steps(spark, path))
+    named = gone.select(F.col(key).alias("_gone"))
+    known = held.select(key, "row_version").join(named, F.col(key).eqNullSafe(F.col("_gone")), "left_semi")
+    rows = known.select(
         *[
             F.col(f.name)
             if f.name in (key, "row_version")
-            else (F.lit(True) if f.name == "deleted" else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in versions.drop("epoch", "call").schema.fields
+            else F.lit({"deleted": True, "epoch": epoch}.get(f.name)).cast(f.dataType).alias(f.name)
+            for f in held.schema.fields
         ]
     )
-    rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}/call=delete-{call or uuid.uuid4().hex}")
+    _merge(rows, path, key, epoch)
 
 
 def compact(spark: SparkSession, path: str, target: str, key: str) -> None:
-    """Write the version of every key that counts to a new folder, as one epoch before all others.
+    """Write the row of every key to a new folder, as one step before all others.
 
     Deletes stay, without content, so that late rows do not bring keys back.
     """
-    kept = latest_versions(spark, path, key).drop("epoch", "call").dropDuplicates([key])
-    kept.write.mode("overwrite").parquet(f"{target}/epoch=-1/call=compacted")
+    _write_step(index_state(spark, path).withColumn("epoch", F.lit(-1).cast("long")), target, key, -1)

@@ -163,7 +163,7 @@ def test_approximate_search(spark, tmp_path, hot_rows):
 
 def test_approximate_search_reads_few_folders(spark, tmp_path):
     matrix, near = near_data()
-    written = approximate.write_index(frame(spark, matrix, list(range(1200))), str(tmp_path / "lsh"))
+    written = approximate.write_index(frame(spark, matrix, list(range(1200))), str(tmp_path / "lsh"), folders=64)
     asked = frame(spark, near[:1], [7], "question_id")
     plan = approximate.candidates(written, asked.select(F.lit(1).alias("asked"), "vector"))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(folder" in plan or "PartitionFilters: [folder" in plan

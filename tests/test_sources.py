@@ -127,3 +127,13 @@ def test_stream_ingest_handles_only_new_files(spark, tmp_path):
     (root / "skip.txt").write_bytes(b"x")
     assert run() == 3
     assert run() == 3
+
+
+def test_scratch_tables_go_when_released(spark, tmp_path):
+    """A released table's files are gone; one not released, and a frame that is no table, stay as they are."""
+    made = [scratch.materialise(spark.range(100).groupBy(F.col("id") % 7).count(), "some") for _ in range(2)]
+    places = [f.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:") for f in made]
+    assert all(os.path.isdir(p) for p in places)
+    scratch.release(made[0], made[0], spark.range(3))
+    assert not os.path.exists(places[0]) and made[1].count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.vectors import dot, with_unit
 from quire.operators.similarity import RANK_DIGITS, SCORE_DIGITS
-from quire.scratch import broadcast_if_small, checkpoint, materialise, scratch_path
+from quire.scratch import MAX_NARROW_ROWS, broadcast_if_small, checkpoint, materialise, scratch_path
 
 TABLES = 8
 # Rows that a key has on average.
@@ -76,16 +76,43 @@ def _folder(folders: int, *columns: str) -> Column:
 
 
 class BucketIndex:
-    """A written index: its postings, vectors, and the numbers they were made with."""
+    """A written index, by its folder and the numbers it was made with; tables are opened when they are asked for."""
 
     def __init__(self, spark: SparkSession, path: str, tables: int, bits: int, folders: int, id_type: str) -> None:
         self.tables, self.bits, self.folders = tables, bits, folders
-        kinds = {
-            "postings": "table int, key long, salt int, row long, folder int",
-            "vectors": f"row long, id {id_type}, vector array<double>, folder int",
-            "hot": "table int, key long, salts int",
-        }
-        self.postings, self.vectors, self.hot = (spark.read.schema(k).parquet(f"{path}/{n}") for n, k in kinds.items())
+        self._spark, self._path, self._id_type = spark, path, id_type
+        self._n_hot: int | None = None
+
+    def _table(self, name: str, kind: str) -> DataFrame:
+        return self._spark.read.schema(kind).parquet(f"{self._path}/{name}")
+
+    @property
+    def postings(self) -> DataFrame:
+        return self._table("postings", "table int, key long, salt int, row long, folder int")
+
+    @property
+    def vectors(self) -> DataFrame:
+        return self._table("vectors", f"row long, id {self._id_type}, vector array<double>, folder int")
+
+    @property
+    def hot(self) -> DataFrame:
+        return self._table("hot", "table int, key long, salts int")
+
+    def with_salts(self, keyed: DataFrame) -> DataFrame:
+        """``keyed`` with the salts of its (table, key); a bounded number of hot keys is broadcast."""
+        if self._n_hot is None:
+            self._n_hot = self.hot.count()
+        if not self._n_hot:
+            return keyed.withColumn("salts", F.lit(1))
+        hot = F.broadcast(self.hot) if self._n_hot <= MAX_NARROW_ROWS else self.hot
+        return keyed.join(hot, ["table", "key"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+
+    def in_folders(self, table: DataFrame, wanted: DataFrame) -> DataFrame:
+        """``table`` with the folders that ``wanted`` names: a partition filter of at most as many numbers as folders."""
+        if self.folders == 1:
+            return table
+        held = sorted(r[0] for r in wanted.select("folder").distinct().collect())
+        return table.filter(F.col("folder").isin(held) if held else F.lit(False))
 
 
 def write_index(
@@ -107,43 +134,30 @@ def write_index(
     """
     spark = index.sparkSession
     whole = index.select(F.col(id_col).alias("id"), F.col(vector).alias("vector")).filter(F.col("vector").isNotNull())
-    numbered = materialise(
-        with_unit(whole, "vector", "vector").withColumn("row", F.monotonically_increasing_id()), "rows"
-    )
-    rows = numbered.count()
+    rows = whole.count()
     bits = key_bits(rows) if bits is None else bits
     folders = min(FOLDERS, math.ceil(max(rows, 1) / FOLDER_ROWS)) if folders is None else folders
-    keyed = numbered.select("row", F.posexplode(bucket_keys("vector", tables, bits)).alias("table", "key"))
-    keyed = materialise(keyed, "keys")
-    hot = (
-        keyed.groupBy("table", "key")
-        .agg(F.count("row").alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .select("table", "key", F.ceil(F.col("n") / hot_rows).cast("int").alias("salts"))
+    numbered = with_unit(whole, "vector", "vector").withColumn("row", F.monotonically_increasing_id())
+    by_row = numbered.select("row", "id", "vector", _folder(folders, "row").alias("folder"))
+    by_row.repartition("folder").sortWithinPartitions("folder", "row").write.partitionBy("folder").parquet(
+        f"{path}/vectors"
     )
-    hot.write.parquet(f"{path}/hot")
-    hot = broadcast_if_small(spark.read.parquet(f"{path}/hot"))
-    salted = keyed.join(hot, ["table", "key"], "left").select(
-        _folder(folders, "table", "key").alias("folder"),
+    made = BucketIndex(spark, path, tables, bits, folders, index.schema[id_col].dataType.simpleString())
+    keyed = made.vectors.select("row", F.posexplode(bucket_keys("vector", tables, bits)).alias("table", "key"))
+    keyed.groupBy("table", "key").agg(F.count("row").alias("n")).filter(F.col("n") > hot_rows).select(
+        "table", "key", F.ceil(F.col("n") / hot_rows).cast("int").alias("salts")
+    ).write.parquet(f"{path}/hot")
+    salted = made.with_salts(keyed).select(
         "table",
         "key",
-        F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"),
+        F.pmod(F.xxhash64("row"), "salts").cast("int").alias("salt"),
         "row",
+        _folder(folders, "table", "key").alias("folder"),
     )
     salted.repartition("folder", "salt").sortWithinPartitions("folder", "table", "key").write.partitionBy(
         "folder"
     ).parquet(f"{path}/postings")
-    by_row = numbered.select(_folder(folders, "row").alias("folder"), "row", "id", "vector")
-    by_row.repartition("folder").sortWithinPartitions("folder", "row").write.partitionBy("folder").parquet(
-        f"{path}/vectors"
-    )
-    return BucketIndex(spark, path, tables, bits, folders, index.schema[id_col].dataType.simpleString())
-
-
-def _pruned(table: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``table`` with the folders that ``wanted`` names: a partition filter of at most as many numbers as folders."""
-    held = sorted(r[0] for r in wanted.select("folder").distinct().collect())
-    return table.filter(F.col("folder").isin(held) if held else F.lit(False))
+    return made
 
 
 def candidates(index: BucketIndex, questions: DataFrame) -> DataFrame:
@@ -156,13 +170,13 @@ def candidates(index: BucketIndex, questions: DataFrame) -> DataFrame:
     probes = questions.select(
         "asked", F.posexplode(bucket_keys("vector", index.tables, index.bits)).alias("table", "key")
     )
-    salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     probes = checkpoint(
-        probes.join(broadcast_if_small(index.hot), ["table", "key"], "left").select(
+        index.with_salts(probes).select(
             "asked", "table", "key", _folder(index.folders, "table", "key").alias("folder"), salts
         )
     )
-    met = _pruned(index.postings, probes).join(probes.drop("folder"), ["table", "key", "salt"])
+    met = index.in_folders(index.postings, probes).join(probes.drop("folder"), ["table", "key", "salt"])
     return met.select("asked", "row").distinct()
 
 
@@ -182,7 +196,7 @@ def search_index(
         )
     )
     met = materialise(candidates(index, asked.select("asked", "vector")), "candidates")
-    rows = _pruned(index.vectors, met.select(_folder(index.folders, "row").alias("folder"))).select("row", "id", "vector")
+    rows = index.in_folders(index.vectors, met.select(_folder(index.folders, "row").alias("folder"))).select("row", "id", "vector")
     named = asked.select("asked", "name", F.col("vector").alias("asked_vector"))
     scored = (
         rows.join(broadcast_if_small(met), "row")

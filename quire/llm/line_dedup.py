@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.arrow import slices, texts_of
+from quire.llm.clashes import without
 from quire.scratch import broadcast_if_small, materialise
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -216,8 +217,10 @@ def drop_shared_lines(
     text get the same result (``keep_first``: all of them keep a line that they
     hold first). A null text
     counts as one empty line, a null id is a value like any other, an empty
-    table gives an empty one. Other columns pass through.
+    table gives an empty one. Other columns pass through, but for those named
+    like a result, which it replaces.
     """
+    docs = without(docs, "kept_text", "n_lines", "n_dropped", "drop_bitmap")
     names = list(key)
     wanted = bitmaps(shared_lines(line_rows(docs, names, min_chars), min_docs, keep_first))
     columns = docs.columns

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.arrow import slices, spread, texts_of
+from quire.llm.clashes import without
 from quire.scratch import materialise
 
 LIMIT = 2048
@@ -363,8 +364,9 @@ def pack(pieces: DataFrame, limit: int = LIMIT, cell_pieces: int = CELL_PIECES,
     that number, and each cell is packed by one task; a cell leaves at most a
     few partly filled sequences, so more cells cost next to nothing. Rows of
     any value, repeated ones too, stay separate pieces. An empty table gives an
-    empty one.
+    empty one. Columns named like the two that are added are replaced.
     """
+    pieces = without(pieces, "sequence_id", "offset")
     names = pieces.columns
     frozen = materialise(pieces.withColumn("_uid", F.monotonically_increasing_id()), "pieces")
     # The size of a cell is bounded, not the number of cells

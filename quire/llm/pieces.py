@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quire.llm.arrow import slices, spread, texts_of
+from quire.llm.clashes import without
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -305,9 +306,10 @@ def encode_documents(docs: DataFrame, model: str, id_column: str = "doc_id", kee
     The best path of the unigram lattice over the pieces of ``model`` (a path
     all executors can read). Characters of no piece become bytes, or one unknown
     id a run. Of equal paths the one with longer last pieces wins. A null or empty text has no ids and
-    score 0; repeated rows repeat; an empty table gives an empty one.
+    score 0; repeated rows repeat; an empty table gives an empty one. Kept
+    columns named like a result are replaced.
     """
-    names = keep or [id_column]
+    names = [n for n in keep or [id_column] if n.lower() not in ("ids", "score")]
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +324,8 @@ def encode_documents(docs: DataFrame, model: str, id_column: str = "doc_id", kee
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
-    """``encoded`` plus ``decoded``, the text of its ``ids``; null ids give a null text."""
+    """``encoded`` plus ``decoded``, the text of its ``ids``; null ids give a null text. A column ``decoded`` is replaced."""
+    encoded = without(encoded, "decoded")
     names = encoded.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
 

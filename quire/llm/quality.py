@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.clashes import without
 from quire.scratch import materialise
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -105,8 +106,10 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and shout_words.
 
-    Computed on the whole text; a null text counts as an empty one.
+    Computed on the whole text; a null text counts as an empty one. Columns of
+    these names are replaced.
     """
+    docs = without(docs, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     own = F.coalesce(F.col(text), F.lit(""))
     counted = let(
         words_of(own),
@@ -233,7 +236,8 @@ def quality_filter(
 
     The set of kept rows does not depend on the order. A null or empty text has
     no words and fails; repeated rows get the same verdict; an empty table gives
-    an empty one; other columns pass through.
+    an empty one; other columns pass through, but for a ``failed_rule``, which is
+    replaced.
     """
     rules = rules or text_rules()
     order, measured = measure(docs, rules, sample_rows)

@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.llm.clashes import without
 from quire.scratch import materialise
 
 SHARDS = 16
@@ -70,6 +71,8 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> in
 def shuffle_to_shards(rows: DataFrame, shards: int = SHARDS, seed: int = 17, run_rows: int = RUN_ROWS) -> DataFrame:
     """All columns of ``rows`` plus ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard).
 
+    Columns of these names are replaced.
+
     Shard sizes differ by one row at most. The rows are first written to the
     scratch folder with their partition and a number, so a lost executor cannot
     change what was drawn; pass narrow rows and join wide ones by key. Equal
@@ -77,6 +80,7 @@ def shuffle_to_shards(rows: DataFrame, shards: int = SHARDS, seed: int = 17, run
     empty one. The matrix has one row per partition: it grows with partitions,
     not with rows.
     """
+    rows = without(rows, "shard", "slot")
     frozen = materialise(
         rows.withColumn("_uid", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()), "shards"
     )

@@ -416,9 +416,10 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", keep:
     """``keep`` columns (default: the id) plus ``score`` (0..1) and ``predicted`` (score >= 0.7).
 
     A null or empty text has no hits and gets the score of such texts. Repeated
-    rows get the same score, an empty table gives an empty one.
+    rows get the same score, an empty table gives an empty one. Kept columns
+    named like a result are replaced.
     """
-    names = keep or [id_column]
+    names = [n for n in keep or [id_column] if n.lower() not in ("score", "predicted")]
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

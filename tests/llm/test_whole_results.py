@@ -12,7 +12,19 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm import html_diff, licenses, line_dedup, oracles, quality, queries, sharding, toxicity
+from quire.llm import (
+    html_diff,
+    licenses,
+    line_dedup,
+    oracles,
+    packing,
+    pieces,
+    quality,
+    queries,
+    sharding,
+    toxicity,
+    word_runs,
+)
 
 SCHEMA = "doc_id long, text string"
 SPACE = " \t\n\x0b\x0c\r"
@@ -205,6 +217,36 @@ def test_scores_with_plain_edit_distance(spark, sf, monkeypatch):
         assert abs(got[r.doc_id] - score) < 1e-9
 
 
+# ---- clashing names ----
+
+
+def test_results_replace_columns_of_their_names(spark):
+    """Every operator that passes columns on, over rows that already hold each of its results."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (2, "")], SCHEMA)
+    lexicon = toxicity.Model([toxicity.Term("x", False, 1.0)], [1.0] * 4 + [-2.0])
+    runs = {
+        lambda d: sharding.shuffle_to_shards(d, 2): {"shard", "SLOT"},
+        lambda d: line_dedup.drop_shared_lines(d): {"kept_text", "N_lines", "n_dropped", "drop_bitmap"},
+        lambda d: quality.features(d): {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"},
+        lambda d: quality.quality_filter(d)[0]: {"failed_rule"},
+        lambda d: packing.pack(d.withColumn("length", F.lit(5).cast("long"))): {"sequence_id", "offset"},
+        lambda d: pieces.encode_documents(d, model, keep=d.columns): {"ids", "score"},
+        lambda d: pieces.decode_documents(pieces.encode_documents(d, model, keep=d.columns), model): {"decoded"},
+        lambda d: toxicity.score_texts(d, lexicon, keep=d.columns): {"score", "predicted"},
+        lambda d: word_runs.collapse_runs(d): {"runs", "collapsed"},
+    }
+    for run, results in runs.items():
+        got = run(docs.withColumns({c: F.lit("own") for c in (*results, "note")}))
+        assert len({c.lower() for c in got.columns}) == len(got.columns)
+        assert {r.lower() for r in results} <= {c.lower() for c in got.columns}
+        rows = got.collect()
+        assert len(rows) == 3 and all(r.note == "own" for r in rows)
+        assert all(r[c] != "own" for r in rows for c in got.columns if c.lower() in {x.lower() for x in results})
+
+
 # ---- pipeline ----
 
 

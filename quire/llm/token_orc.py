@@ -32,8 +32,8 @@ INDEX_ROWS = 1_000
 FALSE_POSITIVES = 0.01
 # Bytes of text encoded together; more of them share more words.
 TOKEN_SLICE = 6 << 20
-# Encoded runs a task keeps; beyond, it begins anew.
-CACHE_BYTES = 64 << 20
+# Encoded runs a worker keeps; beyond, it begins anew.
+CACHE_BYTES = 128 << 20
 # Latin letters; normal forms and lower case make no combining marks of them.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 # Marks at the end of a run, after a Latin letter or digit.
@@ -118,6 +118,12 @@ class WordEncoder:
         return np.concatenate([[0], ends])[bounds + np.arange(len(bounds))], ids
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """The encoder of a Python worker, kept with its runs from task to task."""
+    return WordEncoder(path)
+
+
 def encode_sorted(docs: DataFrame, path: str, key: str, end_id: int = END_ID) -> DataFrame:
     """``key``, ``file_no``, ``ids_before``, ``n_tokens``, ``ids`` of documents, ranged and sorted by ``key``.
 
@@ -138,7 +144,7 @@ def encode_sorted(docs: DataFrame, path: str, key: str, end_id: int = END_ID) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, number, before = WordEncoder(path), TaskContext.get().partitionId(), 0
+        encoder, number, before = encoder_of(path), TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text", TOKEN_SLICE):
             offsets, ids = encoder(texts_of(batch, "text"), end_id)
             yield pa.RecordBatch.from_arrays(

@@ -250,6 +250,33 @@ def test_two_stages_use_the_parameters_of_the_question(spark):
     assert [h.file_name for h in ordered] == ["a.pdf"] * 3 + ["b.pdf"] * 3
 
 
+def test_two_stages_over_an_index_in_folders(spark, tmp_path):
+    """The second stage reads the folders of the files found, and finds what it finds in one table."""
+    summaries, pages = indexes(spark)
+    keyed = similarity.write_keyed_index(pages, "source_filename", str(tmp_path / "pages"))
+    questions = asked(spark, [(1, "what is it", [1.0, 0.1]), (2, "the latest report", [0.1, 1.0])])
+    found = [search.two_stage_search(summaries, p, questions) for p in (pages, keyed)]
+    assert [sorted(map(tuple, f.collect())) for f in found][0] == sorted(map(tuple, found[1].collect()))
+    assert "PartitionFilters: [key_folder" in found[1]._jdf.queryExecution().toString()
+
+
+def test_names_fall_back(spark):
+    """The first filled of the fields that may name a file counts; a summary without any names none."""
+    rows = [("s1", None, "", "c.pdf", [1.0, 0.0]), ("s2", "", "b.pdf", "x", [0.9, 0.1]), ("s3", None, None, None, [1.0, 0.0])]
+    kind = "id string, file_name string, filename string, source string, vector array<double>"
+    questions = asked(spark, [(1, "what", [1.0, 0.0])])
+    files = search.first_stage(spark.createDataFrame(rows, kind), questions).orderBy("file_rank").collect()
+    assert [(f.file_name, f.n_files) for f in files] == [("c.pdf", 2), ("b.pdf", 2)]
+
+
+def test_files_are_ordered_by_the_full_score(spark):
+    """Two files whose scores agree in six digits: the better one comes first, whatever its name."""
+    rows = [("s1", "a.pdf", [1.0, 0.0012]), ("s2", "z.pdf", [1.0, 0.0010])]
+    summaries = spark.createDataFrame(rows, "id string, file_name string, vector array<double>")
+    files = search.first_stage(summaries, asked(spark, [(1, "what", [1.0, 0.0])])).orderBy("file_rank").collect()
+    assert [f.file_name for f in files] == ["z.pdf", "a.pdf"]
+
+
 def test_without_files_the_whole_index_is_searched(spark):
     summaries, pages = indexes(spark)
     questions = asked(spark, [(1, "plain", [1.0, 0.1])])

@@ -87,7 +87,7 @@ def stream_late_rows(spark, sf):
         text = F.concat(F.lit(prefix), "text")
         docs.select("doc_id", text.alias("text"), F.lit(edition).cast("long").alias("edition")).write.mode(
             "append"
-        ).parquet(landing)
+        ).option("compression", "zstd").parquet(landing)
         rows = spark.readStream.schema(schema).parquet(landing)
         start_sync(rows, path, state, "doc_id", "text", "edition").awaitTermination()
 

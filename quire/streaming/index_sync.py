@@ -15,6 +15,10 @@ delete stands for the highest version known when it is recorded: late rows up to
 that version stay deleted, a higher version brings the key back, and so does the
 same version in a later batch.
 
+A batch is compared with the state by key and version first, so rows that come
+too late are dropped before any text moves. Only buckets in which a row changes
+are dealt anew; the others of the batch are written as they were read.
+
 One writer at a time. The index folder and the state folder of the stream belong
 together: a stream started anew needs a new index folder.
 """
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.ids import content_hash
+from quire.scratch import MAX_NARROW_ROWS, broadcast_if_small
 
 TRIGGERED = "TRIGGERED"
 CONTINUOUS = "CONTINUOUS"
@@ -57,19 +62,14 @@ def start_sync(
     counts. ``prepare`` adds columns to the changed rows only, such as their
     vectors. TRIGGERED handles what is there and stops; CONTINUOUS keeps running.
     """
-    others = [c for c in source.columns if c != key]
-
     def upsert(batch: DataFrame, epoch: int) -> None:
-        latest = (
-            batch.groupBy(key)
-            .agg(F.max_by(F.struct(*others), F.struct(F.col(version), content_hash(content))).alias("_row"))
-            .select(key, "_row.*")
-            .withColumn("content_hash", content_hash(content))
+        rows = (
+            batch.withColumn("content_hash", content_hash(content))
             .withColumn("deleted", F.lit(False))
             .withColumn("row_version", F.col(version))
             .withColumn("epoch", F.lit(epoch).cast("long"))
         )
-        _merge(latest if prepare is None else prepare(latest), path, key, epoch)
+        _merge(rows, path, key, epoch, prepare)
 
     writer = source.writeStream.foreachBatch(upsert).option("checkpointLocation", state)
     if mode == TRIGGERED:
@@ -118,24 +118,60 @@ def _bucket(key: str):
 
 
 def _write_step(rows: DataFrame, path: str, key: str, epoch: int) -> None:
+    """Writes rows as a new step, each task the buckets of its rows."""
     steps = _steps(rows.sparkSession, path)
     number = steps[-1][0] + 1 if steps else 0
-    dealt = rows.select("*", _bucket(key)).repartition("bucket")
-    dealt.write.partitionBy("bucket").parquet(f"{path}/step={number:09d}.{epoch}")
+    dealt = rows if "bucket" in rows.columns else rows.withColumn("bucket", _bucket(key))
+    dealt.write.option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/step={number:09d}.{epoch}")
+
+
+def _greatest(rows: DataFrame, key: str) -> DataFrame:
+    """The greatest row of every key, dealt by bucket: the only time that whole rows are shuffled."""
+    others = [c for c in rows.columns if c not in (key, "bucket")]
+    # a delete counts after the rows of its epoch and before those of the next
+    place = F.struct("row_version", "epoch", "deleted", "content_hash")
+    dealt = rows.withColumn("bucket", _bucket(key)).repartition("bucket")
+    best = dealt.groupBy("bucket", key).agg(F.max_by(F.struct(*others), place).alias("_row"))
+    return best.select(key, "_row.*", "bucket")
 
 
-def _merge(rows: DataFrame, path: str, key: str, epoch: int) -> None:
-    """Writes the buckets of ``rows`` anew, each key with the greater of its state and its row."""
+def _changed(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """Keys of ``rows`` with a row above their state, from keys and versions alone."""
+    place = F.struct("row_version", "epoch", "deleted")
+    new = rows.groupBy(key).agg(F.max(place).alias("_new"))
+    old = held.select(F.col(key).alias("_key"), place.alias("_old"))
+    met = new.join(old, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return met.filter(F.col("_old").isNull() | (F.col("_new") > F.col("_old"))).select(F.col(key).alias("_key"))
+
+
+def _merge(
+    rows: DataFrame, path: str, key: str, epoch: int, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Writes the buckets of ``rows`` anew, each key with the greater of its state and its rows."""
     spark = rows.sparkSession
     rows = rows.persist()
     touched = [r[0] for r in rows.select(_bucket(key)).distinct().collect()]
-    if touched:
-        held = index_state(spark, path, touched)
-        both = rows if held is None else held.unionByName(rows, allowMissingColumns=True)
-        others = [c for c in both.columns if c != key]
-        # a delete counts after the rows of its epoch and before those of the next
-        place = F.struct("row_version", "epoch", "deleted")
-        best = both.groupBy(key).agg(F.max_by(F.struct(*others), place).alias("_row")).select(key, "_row.*")
+    held = index_state(spark, path, touched) if touched else None
+    if held is not None:
+        changed = _changed(rows, held, key).persist()
+        found = {r[0]: r[1] for r in changed.groupBy(_bucket("_key")).count().collect()}
+        new = rows
+        if sum(found.values()) <= MAX_NARROW_ROWS:
+            new = rows.join(F.broadcast(changed), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        held = index_state(spark, path, list(found))
+        step = index_state(spark, path, [b for b in touched if b not in found])
+        if found:
+            latest = new if prepare is None else prepare(_greatest(new, key).drop("bucket"))
+            both = latest if held is None else held.unionByName(latest, allowMissingColumns=True)
+            best = _greatest(both, key)
+            stay = None if step is None else step.withColumn("bucket", _bucket(key))
+            step = best if stay is None else stay.unionByName(best, allowMissingColumns=True)
+        _write_step(step, path, key, epoch)
+        changed.unpersist()
+    elif touched:
+        best = _greatest(rows, key)
+        if prepare is not None:
+            best = _greatest(prepare(best.drop("bucket")), key)
         _write_step(best, path, key, epoch)
     rows.unpersist()
 
@@ -157,17 +193,21 @@ def append_deletes(spark: SparkSession, path: str, keys: DataFrame, key: str) ->
     if held is None:
         return
     epoch = max(e for _, e, _ in _steps(spark, path))
-    named = gone.select(F.col(key).alias("_gone"))
-    known = held.select(key, "row_version").join(named, F.col(key).eqNullSafe(F.col("_gone")), "left_semi")
-    rows = known.select(
+    named = gone.select(F.col(key).alias("_gone"), F.lit(True).alias("_is_gone")).persist()
+    small = broadcast_if_small(named)
+    met = held.join(small, F.col(key).eqNullSafe(F.col("_gone")), "left")
+    fixed = {"deleted": True, "epoch": epoch}
+    rows = met.select(
         *[
             F.col(f.name)
             if f.name in (key, "row_version")
-            else F.lit({"deleted": True, "epoch": epoch}.get(f.name)).cast(f.dataType).alias(f.name)
+            else F.when(F.col("_is_gone"), F.lit(fixed.get(f.name)).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
             for f in held.schema.fields
         ]
     )
-    _merge(rows, path, key, epoch)
+    # a join with many keys has dealt the rows by key; else they stand as they were read
+    _write_step(rows if small is not named else rows.repartition(_bucket(key)), path, key, epoch)
+    named.unpersist()
 
 
 def compact(spark: SparkSession, path: str, target: str, key: str) -> None:

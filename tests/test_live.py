@@ -107,6 +107,35 @@ def test_index_state_equals_a_replay(spark, tmp_path, seed):
     assert "Exchange" not in plan and "Join" not in plan and "Aggregate" not in plan
 
 
+def test_late_batch_moves_keys_and_versions_only(spark, tmp_path):
+    """Rows below their state are dropped before they are prepared or dealt; no bucket gathers files over batches."""
+    src, path, state = str(tmp_path / "src"), str(tmp_path / "index"), str(tmp_path / "state")
+    schema = "key string, text string, version long"
+    prepared = []
+
+    def prepare(df):
+        prepared.append([(r.key, r.version) for r in df.collect()])
+        return df.withColumn("size", F.length("text"))
+
+    def add(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        index_sync.start_sync(stream, path, state, "key", "text", "version", prepare=prepare).awaitTermination()
+        found = {r.key: (r.text, r.size) for r in index_sync.current_index(spark, path, "key").collect()}
+        files = index_sync.index_state(spark, path).inputFiles()
+        assert len(files) == len({f.rsplit("/", 1)[0] for f in files})
+        return found
+
+    first = add([(f"k{n}", "second", 2) for n in range(40)] + [(None, "none", 2)])
+    assert first == {f"k{n}": ("second", 6) for n in range(40)} | {None: ("none", 4)}
+    assert add([(f"k{n}", "1", 1) for n in range(40)] + [(None, "0", None)]) == first
+    assert len(prepared) == 1
+    assert add([("k1", "third", 3), ("k1", "1", 1), ("k2", "1", 1), ("new", "n", None), (None, "last", 2)]) == first | {
+        "k1": ("third", 5), "new": ("n", 1), None: ("last", 4)
+    }
+    assert {k for k, _ in prepared[1]} == {"k1", "new", None}
+
+
 def test_stream_adds_vectors_to_changed_rows(spark, tmp_path):
     src, path, state = str(tmp_path / "src"), str(tmp_path / "index"), str(tmp_path / "state")
     schema = "key string, text string, version long"

@@ -60,6 +60,15 @@ def test_pages_do_not_depend_on_reused_exchanges(spark, sf):
     assert html_diff.extract_pages(pages.where("false")).count() == 0
 
 
+def test_lines_are_packed_for_the_exchange(spark, sf):
+    """What is dealt out is at most half of the lines, and gives the same lines again."""
+    pages = [html_diff.parse(r.html or "").lines for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    pages += [["é 漢 😀 \x00 &", "b"]]
+    assert all(html_diff._unpacked(html_diff._packed(lines)) == (lines or [""]) for lines in pages)
+    packed = sum(len(html_diff._packed(lines)) for lines in pages)
+    assert packed <= 0.5 * sum(len("\n".join(lines).encode()) for lines in pages)
+
+
 def test_runs_over_many_ranges(spark):
     """A host of nothing but copies over all ranges, between two other pages, gives what one range gives."""
     rows = [(k, f"https://h.example/{k:04d}", "<p>menu</p><p>same</p>") for k in range(1, 300)]

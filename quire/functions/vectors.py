@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.columns import as_col
+from quire.functions.columns import as_col, text_slices
 
 # Fixed value: the base64 alphabet; a word's hash digit selects the dimension.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 DIMENSIONS = len(ALPHABET)
-# Bytes of text whose words a task holds at once, and words whose digit it keeps.
-SLICE_BYTES = 8 << 20
-KNOWN_WORDS = 1 << 18
+# Words whose digit a task keeps.
+KNOWN_WORDS = 1 << 16
 
 
 @functools.lru_cache(maxsize=KNOWN_WORDS)
@@ -25,23 +28,14 @@ def word_digit(word: str) -> int:
 
 
 def hashed_counts(text) -> Column:
-    """Words of a text counted in 64 hash buckets; each distinct word of a batch is hashed once."""
+    """Words of a text counted in 64 hash buckets; a task holds the words of one slice of texts, each distinct one hashed once."""
 
     @F.arrow_udf("array<double>")
-    def counted(texts):  # noqa: ANN001, ANN202
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype("int64"))
-        parts, lo = [], 0
-        while lo < len(texts):
-            before = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
-            lists = pc.ascii_split_whitespace(pa.concat_arrays([texts.slice(lo, hi - lo)]))
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            lists = pc.ascii_split_whitespace(pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), "")]))
             words = lists.flatten()
-            row = np.repeat(np.arange(hi - lo), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            row = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             coded = words.dictionary_encode()
             digits = np.array([word_digit(w) for w in coded.dictionary.to_pylist()], dtype="int64")
             there = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
@@ -49,11 +43,9 @@ def hashed_counts(text) -> Column:
                 cell = (row * DIMENSIONS + digits[coded.indices.to_numpy(zero_copy_only=False)])[there]
             else:
                 cell = np.empty(0, dtype="int64")
-            parts.append(np.bincount(cell, minlength=(hi - lo) * DIMENSIONS).astype("float64"))
-            lo = hi
-        flat = np.concatenate([*parts, np.empty(0)])
-        bounds = np.arange(len(texts) + 1, dtype="int32") * DIMENSIONS
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+            flat = np.bincount(cell, minlength=len(texts) * DIMENSIONS).astype("float64")
+            bounds = np.arange(len(texts) + 1, dtype="int32") * DIMENSIONS
+            yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
     return counted(F.lower(as_col(text)))
 

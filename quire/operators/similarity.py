@@ -36,7 +36,7 @@ from quire.scratch import (
 SCORE_DIGITS = 6
 RANK_DIGITS = 12
 # Scores computed at once by a task.
-CELLS = 4_000_000
+CELLS = 1_000_000
 # (key, question) pairs that may be sent to the tasks to scope a search.
 MAX_SCOPE_ROWS = 200_000
 # Keys that a filter may list for the reader.
@@ -166,7 +166,8 @@ def _top_k_block(index, question_field, rows, k, id_col, vector, scope, group, o
     seen = None if lookup is None else [h for _, h in lookup]
     scoped = lookup is not None or scope is not None
     kernel = _kernel(matrix, keys, k, group is not None, scoped, seen, placed)
-    local = index.filter(F.col(vector).isNotNull()).select(*columns).mapInArrow(kernel, placed)
+    # the kernel leaves out null vectors: a filter on a vector made of a text would make it twice
+    local = index.select(*columns).mapInArrow(kernel, placed)
     per = ["_at"] if group is None else ["_at", group]
     order = W.partitionBy(*per).orderBy(F.desc("score"), F.asc("id"))
     ranked = local.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k).drop("_at")
@@ -318,6 +319,8 @@ def _kernel(matrix, keys, k, grouped, scoped, seen, schema):
         full, bound = np.empty(0, dtype="int64"), np.empty(0)
         floor = np.full(n_questions, -np.inf)
         for batch in batches:
+            if batch.column("_vec").null_count:
+                batch = batch.filter(batch.column("_vec").is_valid())
             if batch.num_rows == 0:
                 continue
             flat = batch.column("_vec").flatten().to_numpy(zero_copy_only=False)

@@ -361,3 +361,26 @@ def test_questions_without_words_have_answers(spark, sf, tmp_path):
     assert len(summary) == len(table) and summary[9001].total_results == 0 and summary[9002].avg_relevance == "N/A"
     overlap = {r.question_id: r for r in plans.eval_overlap(spark, folder).collect()}
     assert len(overlap) == len(table) and overlap[9001].groundedness == overlap[9002].query_relevance == 0
+
+
+def test_vectors_made_of_texts_are_made_once(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (3, "two")], "id int, text string")
+    asked = similarity.embed(spark.createDataFrame([("q", "two")], "question_id string, t string"), "t")
+    hits = similarity.top_k(similarity.embed(docs, "text"), asked, 2)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert [r.id for r in hits.orderBy("rank").collect()] == [3, 1]
+    bare = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "id int, vector array<double>")
+    near = spark.createDataFrame([("q", [0.1, 1.0])], "question_id string, vector array<double>")
+    assert [r.id for r in similarity.top_k(bare, near, 3).orderBy("rank").collect()] == [3, 1]
+
+
+def test_texts_are_cut_into_slices():
+    import pyarrow as pa
+
+    from quire.functions.columns import text_slices
+
+    texts = pa.array(["a" * 50, None, "b" * 500, "", *["c" * 30] * 40])
+    found = list(text_slices(iter([texts, pa.array([], pa.string()), texts[:1]]), 400))
+    assert pa.concat_arrays(found).equals(pa.concat_arrays([texts, texts[:1]]))
+    assert all(len(part) == 1 or sum(len(t or "") + 64 for t in part.to_pylist()) <= 400 for part in found)
